@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmark.llm import near_duplicates, packing
-from pitmark.llm.common import small_batches, table
+from pitmark.llm import language_id, near_duplicates, packing, secrets
+from pitmark.llm.common import fold, small_batches, table
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold("doc_id", 4) != 2))
+    return language_id.identify(docs, model, held_out=fold("doc_id", 4) == 2)
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +22,15 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.secret_spans(table(spark, sf_dir, "documents")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash, op8_packing)}
+QUERIES = {f.__name__: f for f in (op4_language_id, op5_minhash, op7_secrets, op8_packing)}
 ORACLES: dict[str, str] = {}

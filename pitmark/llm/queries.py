@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmark.llm import language_id, near_duplicates, packing, secrets
+from pitmark.llm import language_id, near_duplicates, packing, quality, secrets
 from pitmark.llm.common import fold, small_batches, table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), where=fold("id", 5) != 0)
+    return quality.score(docs, model, held_out=fold("doc_id", 5) == 0)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -32,5 +39,5 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op4_language_id, op5_minhash, op7_secrets, op8_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op4_language_id, op5_minhash, op7_secrets, op8_packing)}
 ORACLES: dict[str, str] = {}

@@ -147,12 +147,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     band with a chance of (1 - 0.8**rows)**bands: 7 in a million by default.
     Every candidate is then confirmed on the full sets.
 
-    A bucket is not expanded into pairs: its smallest member not yet used is
-    compared with the members of other components, links are contracted, and
-    the bucket leaves once it holds one component. That covers every pair of
-    the bucket that could still join two components, and a bucket of copies is
-    done after one comparison for each member. When the pairs still open are no
-    more than the members, they are compared at once.
+    A bucket is not expanded into pairs: its smallest member is compared with
+    the others, links are contracted, the used member leaves, and so does the
+    bucket once it holds one component. In later rounds 4, 16, ... members not
+    yet used lead, against members of other components only. That covers every
+    pair of a bucket that could still join two components, and a bucket of
+    copies is done after one comparison for each member. Once no more pairs are
+    open than rows were banded, they are compared at once.
 
     Null and blank texts have no shingles and are linked with nothing; so are
     rows with a null id, whose class and component are null. Repeated ids give a
@@ -169,30 +170,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_ = materialise(banded.join(shared, "bucket").withColumn("comp", F.col("id")), "members")
     # ids whose rows have several sets link those sets' classes
     links = materialise(some.join(classes, ["d1", "d2", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct().join(classes.select(F.col("rep").alias("a")), "a", "left_semi"), "links")
-    roots, rounds = None, 0
+    roots, rounds, bound = None, 0, bands * classes.count()
+    pair = f"a <> b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    named = lambda df, x: df.select("bucket", *[F.col(c).alias(d) for c, d in (("id", x), ("n", f"n{x}"), ("comp", f"c{x}"))])
     while True:
-        state = open_.groupBy("bucket").agg(F.min(F.struct("id", "n", "comp")).alias("lead"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("m")).where("c1 <> c2")
-        state = materialise(state.select("bucket", F.col("lead.id").alias("a"), F.col("lead.n").alias("na"), F.col("lead.comp").alias("ca"), "m"), "leads")
-        left = state.agg(F.count("*"), F.sum("m"), F.sum(F.expr("m * (m - 1) / 2"))).first()
-        if left[0] == 0:
+        state = materialise(open_.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("m")).where("c1 <> c2").select("bucket", "m"), "state")
+        left, pairs_left = state.agg(F.count("*"), F.sum(F.expr("m * (m - 1) / 2"))).first()
+        if not left:
             break
-        at_once = rounds > 0 and left[2] <= 2 * left[1]
+        open_ = materialise(open_.join(state.select("bucket"), "bucket", "left_semi"), "open")
+        at_once = rounds > 0 and pairs_left <= bound
         if at_once:
-            these = open_.join(state.select("bucket"), "bucket")
-            x = these.select("bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            y = these.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "bucket").where("a < b")
+            pairs = named(open_, "a").join(named(open_, "b"), "bucket").where(pair).where("a < b")
         else:
-            y = open_.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = y.join(state, "bucket").where("a <> b")
-        pairs = pairs.where(f"ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-        pairs = materialise(pairs, "pairs")
+            slot = F.pmod(F.xxhash64("id"), F.lit(4**rounds))
+            leads = open_.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("id", "n", "comp")).alias("x")).select("bucket", "x.*")
+            leads = materialise(named(leads, "a"), "leads")
+            pairs = named(open_, "b").join(leads, "bucket").where(pair)
+        pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         links = materialise(links.unionByName(_verified(pairs, docs, size, percent)), "links")
         roots = materialise(components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("root")), "roots")
         if at_once:
             break
-        rest = open_.join(state.select("bucket", F.col("a").alias("used")), "bucket").where("id <> used").drop("used")
-        open_ = materialise(rest.drop("comp").join(roots, "id", "left").select("bucket", "id", "n", F.coalesce("root", "id").alias("comp")), "members")
+        used = leads.select("bucket", F.col("a").alias("id"))
+        rest = materialise(open_.drop("comp").join(used, ["bucket", "id"], "left_anti"), "rest")
+        open_ = materialise(rest.join(roots, "id", "left").select("bucket", "id", "n", F.coalesce("root", "id").alias("comp")), "members")
         rounds += 1
     if roots is None:
         roots = components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("root"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmark.llm import language_id, near_duplicates, packing, quality, secrets
+from pitmark.llm import ann, embedding_dedup, language_id, near_duplicates, packing, quality, secrets
 from pitmark.llm.common import fold, small_batches, table
 
 
@@ -16,6 +16,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, held_out=fold("doc_id", 5) == 0)
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), factor=0.95)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -39,5 +44,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_language_id, op5_minhash, op7_secrets, op8_packing)}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op4_language_id, op5_minhash, op7_secrets, op8_packing, op10_embedding_dedup)}
 ORACLES: dict[str, str] = {}

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,3 +33,16 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of a text column; null is the empty text."""
     return ["" if x is None else x for x in column.to_pylist()]
+
+
+def annotate(df: DataFrame, text_col: str, factory: Callable, fields: list[T.StructField]) -> DataFrame:
+    """``df`` with columns that ``factory()(texts)`` gives for each batch of texts; rows keep their other columns and stay where they are."""
+    place, names = df.columns.index(text_col), [*df.columns, *[f.name for f in fields]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = factory()
+        for b in batches:
+            new = made(texts_of(b.column(place)))
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, new)], names=names)
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))

@@ -9,9 +9,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pitmark.llm.common import batch, texts_of
+from pitmark.llm.common import annotate, batch, texts_of
 from pitmark.llm.pieces import PieceTable, by_length, codes, piece_table
 
 #: Longer words are cut here, so that products of probabilities stay within a double.
@@ -176,23 +177,41 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     are read; a null id stays null; repeated rows get a row each; an empty table
     gives no rows; other columns are ignored.
     """
-    names, weights = model
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    predict = predictor(docs, model, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(shared.value, vocabulary) if names else None
+        made = predict()
         for b in batches:
-            texts = texts_of(b.column(2))
-            if scorer and texts:
-                total = scorer.totals(texts)
-                known = total.any(1)
-                best = total.argmax(1)
-                score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-                langs = [names[i] if k else "und" for i, k in zip(best, known, strict=True)]
-                score = np.where(known, score, 0.0)
-            else:
-                langs, score = ["und"] * len(texts), np.zeros(len(texts))
+            langs, score = made(texts_of(b.column(2)))
             yield batch(_FOUND, doc_id=b.column(0), held_out=b.column(1), lang_pred=langs, score=score)
 
     held = F.lit(False) if held_out is None else held_out
     return docs.select(docs[id_col].cast("long").alias("id"), held.alias("held"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def predictor(docs: DataFrame, model: tuple[list[str], np.ndarray], vocabulary: str = "piece_bpe_32k.model"):
+    """A factory of functions from texts to (languages, scores), for tasks."""
+    names, weights = model
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def factory():
+        scorer = _Scorer(shared.value, vocabulary) if names else None
+
+        def predict(texts: list[str]) -> tuple[list[str], np.ndarray]:
+            if not scorer or not texts:
+                return ["und"] * len(texts), np.zeros(len(texts))
+            total = scorer.totals(texts)
+            known = total.any(1)
+            score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+            return [names[i] if k else "und" for i, k in zip(total.argmax(1), known, strict=True)], np.where(known, score, 0.0)
+
+        return predict
+
+    return factory
+
+
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", *, least: float = 0.5, vocabulary: str = "piece_bpe_32k.model") -> DataFrame:
+    """The rows of ``docs`` whose language is found with a score of at least ``least``; columns stay as they are."""
+    fields = [T.StructField("__lang_pred", T.StringType()), T.StructField("__lang_score", T.DoubleType())]
+    found = annotate(docs, text_col, predictor(docs, model, vocabulary), fields)
+    return found.where((F.col("__lang_pred") != "und") & (F.col("__lang_score") >= least)).select(*docs.columns)

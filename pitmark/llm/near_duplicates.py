@@ -210,3 +210,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without those that a smaller id of their component stands for."""
+    gone = near_duplicates(docs, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)

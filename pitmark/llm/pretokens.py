@@ -24,3 +24,10 @@ def encoding(name: str = "byte_bpe_50k") -> tiktoken.Encoding:
 def ids(text: str, name: str = "byte_bpe_50k") -> np.ndarray:
     """Ids of the whole text, uint32."""
     return encoding(name).encode_to_numpy(text, allowed_special="all")
+
+
+@lru_cache(maxsize=2)
+def byte_lengths(name: str = "byte_bpe_50k") -> np.ndarray:
+    """Bytes of the text that each id stands for."""
+    bpe = encoding(name)
+    return np.array([len(bpe.decode_single_token_bytes(i)) for i in range(bpe.n_vocab)], np.int64)

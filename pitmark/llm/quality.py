@@ -11,8 +11,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pitmark.llm.common import batch, texts_of
+from pitmark.llm.common import annotate, batch, texts_of
 
 #: Buckets of word shapes, and counts about the whole text.
 SHAPES, STATS = 256, 10
@@ -171,16 +172,30 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Null text is scored as empty text; a null id stays null; repeated rows get
     a row each; an empty table gives no rows; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scorer = scores(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        made = scorer()
         for b in batches:
-            texts = texts_of(b.column(2))
-            for x in range(0, len(texts), 256):
-                part = b.slice(x, 256)
-                yield batch(_SCORED, doc_id=part.column(0), held_out=part.column(1), score=shared.value.score(features(texts[x : x + 256])))
+            yield batch(_SCORED, doc_id=b.column(0), held_out=b.column(1), score=made(texts_of(b.column(2)))[0])
 
     held = F.lit(False) if held_out is None else held_out
     found = docs.select(docs[id_col].cast("long").alias("id"), held.alias("held"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double")
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def scores(docs: DataFrame, model: Model):
+    """A factory of functions from texts to (scores,), for tasks."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def factory():
+        features = Features()
+        return lambda texts: (np.concatenate([np.zeros(0), *[shared.value.score(features(texts[x : x + 256])) for x in range(0, len(texts), 256)]]),)
+
+    return factory
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", *, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more; columns stay as they are."""
+    found = annotate(docs, text_col, scores(docs, model), [T.StructField("__score", T.DoubleType())])
+    return found.where(F.col("__score") >= threshold).select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmark.llm import ann, embedding_dedup, language_id, near_duplicates, packing, quality, secrets
+from pitmark.llm import ann, embedding_dedup, html_text, language_id, near_duplicates, packing, quality, secrets, sentence_pieces, token_counts
 from pitmark.llm.common import fold, small_batches, table
 
 
@@ -21,6 +21,11 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), factor=0.95)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -34,6 +39,13 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    both = sentence_pieces.round_trip(table(spark, sf_dir, "documents"))
+    said = [c for way in ("path", "merge") for c in ((F.octet_length(f"{way}_ids") / 4).cast("long").alias(f"{way}_pieces"), F.crc32(f"{way}_ids").alias(f"{way}_crc32"), f"{way}_same")]
+    return both.select("doc_id", *said)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
@@ -44,9 +56,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after runs of digits and of marks are edited out of the texts."""
+    small_batches(spark)
+    trees = token_counts.build(token_counts.with_edits(table(spark, sf_dir, "documents"), "[0-9]{4,}|[%&$#*|]+", ""))
+    return token_counts.apply_edits(trees)
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op4_language_id, op5_minhash, op7_secrets, op8_packing, op10_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op3_html_text, op4_language_id, op5_minhash, op6_sentence_pieces, op7_secrets, op8_packing, op9_token_counts, op10_embedding_dedup)}
 ORACLES: dict[str, str] = {}

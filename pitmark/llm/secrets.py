@@ -41,7 +41,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Per row of ``docs``: doc_id, base and spans: arrays of (start, k, end, kind,
     value_sha256, owners, repositories, standing), by start, then kind; offsets
-    in code points, end exclusive. The base kinds are pattern matches: assign,
+    in code points, end exclusive; and text_md5 where there are candidates. The base kinds are pattern matches: assign,
     access and hex. A repository is an owner's part of the corpus (``owner_col``
     with ``part_col``). The hashes of all candidate values are counted over the
     whole corpus: ``example`` if ``example_owners`` owners or more have the
@@ -65,13 +65,14 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty = F.expr(f"cast(array() as {_HIT})")
     some = [F.when(F.col("text").rlike(KINDS[k][1]), _hits(k)).otherwise(empty) for k in range(4)]
     base = F.array_sort(F.concat(*some[:3]))
-    rows = rows.select("doc_id", "owner", "part", base.alias("base"), some[3].alias("bare"))
+    digest_ = F.md5(F.encode("text", "utf-8"))
+    rows = rows.select("doc_id", "owner", "part", base.alias("base"), some[3].alias("bare"), F.when(F.size(base) + F.size(some[3]) > 0, digest_).alias("text_md5"))
     bare = F.expr(
         "filter(bare, x -> length(regexp_replace(x.value, '[^0-9]', '')) >= 4 and length(regexp_replace(x.value, '[^A-Za-z]', '')) >= 4 "
         "and not exists(base, y -> y.start < x.end and x.start < y.end))"
     )
     hits = F.transform(F.concat("base", bare), lambda x: F.struct(x.start.alias("start"), x.k.alias("k"), x.end.alias("end"), F.sha2(x.value, 256).alias("value_sha256")))
-    rows = materialise(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "part", hits.alias("hits")), "hits")
+    rows = materialise(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_md5", "owner", "part", hits.alias("hits")), "hits")
     each = rows.select("row", "owner", "part", F.explode("hits").alias("hit")).select("row", "owner", "part", "hit.*")
     owners = (
         each.select("value_sha256", "owner", "part").distinct()
@@ -84,9 +85,9 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = each.join(owners, "value_sha256").where("k < 3 or standing = 'live'")
     span = F.struct("start", "k", "end", kind.alias("kind"), "value_sha256", "owners", "repositories", "standing")
     spans = joined.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    out = rows.select("row", "doc_id").join(spans, "row", "left")
+    out = rows.select("row", "doc_id", "text_md5").join(spans, "row", "left")
     found = F.coalesce("spans", F.expr("filter(array(named_struct('start', 0, 'k', 0, 'end', 0, 'kind', '', 'value_sha256', '', 'owners', 0L, 'repositories', 0L, 'standing', '')), x -> false)"))
-    return out.select("doc_id", found.alias("spans")).select("doc_id", F.expr("filter(spans, x -> x.k < 3)").alias("base"), "spans")
+    return out.select("doc_id", "text_md5", found.alias("spans")).select("doc_id", F.expr("filter(spans, x -> x.k < 3)").alias("base"), "spans", "text_md5")
 
 
 def digest(spans: DataFrame) -> DataFrame:
@@ -102,22 +103,24 @@ def digest(spans: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, spans: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with live and shared spans overwritten by ``mark``; widely copied examples stay.
 
-    ``spans`` is of ``secret_spans`` and ids are unique and not null in both.
-    Overlapping spans are cut once. All other columns and rows are kept.
+    ``spans`` is of ``secret_spans`` over the same rows. What stands in a text
+    depends on the text and the corpus alone, so rows find their spans by the
+    text's digest: repeated and null ids do no harm. Overlapping spans are cut
+    once. All rows and all other columns are kept.
     """
-    # cuts: running end of what has been dealt with, text kept so far
+    # the end of what has been dealt with, and the text kept so far
     cut = F.aggregate(
         F.col("__cuts"),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, x: F.struct(
-            F.greatest(a.at, x.end).alias("at"),
-            F.when(x.start < a.at, a.out).otherwise(F.concat(a.out, F.substring(F.col(text_col), a.at + 1, x.start - a.at), F.lit(mark))).alias("out"),
+            F.greatest(a["at"], x["end"]).alias("at"),
+            F.when(x["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substring(F.col(text_col), a["at"] + 1, x["start"] - a["at"]), F.lit(mark))).alias("out"),
         ),
     )
-    chosen = spans.select(F.col("doc_id").alias(id_col), F.expr("filter(spans, x -> x.standing <> 'example')").alias("__cuts")).where(F.size("__cuts") > 0)
-    joined = docs.join(chosen, id_col, "left").withColumn("__cut", F.when(F.col("__cuts").isNotNull(), cut))
-    text = F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(F.concat("__cut.out", F.expr(f"substring({text_col}, __cut.at + 1)")))
+    chosen = spans.select(F.col("text_md5").alias("__md5"), F.expr("filter(spans, x -> x.standing <> 'example')").alias("__cuts")).where(F.size("__cuts") > 0).dropDuplicates(["__md5"])
+    joined = docs.withColumn("__md5", F.md5(F.encode(text_col, "utf-8"))).join(chosen, "__md5", "left").withColumn("__cut", F.when(F.col("__cuts").isNotNull(), cut))
+    text = F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(F.concat("__cut.out", F.expr(f"substring(`{text_col}`, __cut.at + 1)")))
     return joined.withColumn(text_col, text).select(*docs.columns)

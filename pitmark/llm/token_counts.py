@@ -122,13 +122,13 @@ def with_edits(docs: DataFrame, pattern: str, replacement: str, id_col: str = "d
     What lies between the matches gives their places, in code points. Null text is empty.
     """
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    zipped = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("m"), F.slice(F.split("text", pattern, -1), 1, 1 << 30).alias("s"))
+    zipped = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("m"), F.split("text", pattern, -1).alias("s"))
     walk = F.aggregate(
         zipped,
         F.expr(f"named_struct('at', 0, 'out', cast(array() as {_EDITS}))"),
         lambda a, x: F.struct(
-            (a["at"] + F.length(x["1"]) + F.coalesce(F.length(x["0"]), F.lit(0))).alias("at"),
-            F.when(x["0"].isNull(), a["out"]).otherwise(F.array_append(a["out"], F.struct((a["at"] + F.length(x["1"])).alias("start"), (a["at"] + F.length(x["1"]) + F.length(x["0"])).alias("end"), F.lit(replacement).alias("text")))).alias("out"),
+            (a["at"] + F.length(x["s"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
+            F.when(x["m"].isNull(), a["out"]).otherwise(F.array_append(a["out"], F.struct((a["at"] + F.length(x["s"])).alias("start"), (a["at"] + F.length(x["s"]) + F.length(x["m"])).alias("end"), F.lit(replacement).alias("text")))).alias("out"),
         ),
     )["out"]
     return docs.withColumn("edits", F.when(F.col("text").rlike(pattern), walk).otherwise(F.expr(f"cast(array() as {_EDITS})")))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitmark.llm.common import batch
+from pitmark.llm.common import batch, contract
 from pitmark.llm.vectors import as_doubles, matrix, unit, usable
 from pitmark.operators.components import components
 from pitmark.operators.scratch import materialise
@@ -78,20 +78,6 @@ class Quantiser:
         return np.sqrt(out)
 
 
-def _contract(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """The smallest place reachable from each place over the links i - j."""
-    at = np.arange(n)
-    while True:
-        low = np.minimum(at[i], at[j])
-        new = at.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == at).all():
-            return at
-        at = new
-
-
 def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", *, cosine: float = 0.93, sample: int = 8192, cells: int | None = None, block: int = 1024) -> DataFrame:
     """Links between vectors of equal label with a cosine of at least ``cosine``.
 
@@ -168,7 +154,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
             i, j = i[sure], j[sure]
             ids = np.concatenate([q_ids, x_ids])
             add = np.concatenate([np.bincount(i, left["mult"].to_numpy()[j], len(q)), np.bincount(j, right["q_mult"].to_numpy()[i], len(x))]).astype(np.int64)
-            root = _contract(i, j + len(q), len(ids))
+            root = contract(i, j + len(q), len(ids))
             some, tied = np.flatnonzero(add), np.flatnonzero(root != np.arange(len(ids)))
             return pa.Table.from_batches([batch(_PAIRED, edge=np.arange(len(some) + len(tied)) >= len(some), a=np.concatenate([ids[some], ids[tied]]), b=np.concatenate([add[some], ids[root[tied]]]))])
 

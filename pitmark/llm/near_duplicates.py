@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitmark.llm.common import batch, texts_of
+from pitmark.llm.common import batch, contract, texts_of
 from pitmark.operators.components import components
 from pitmark.operators.scratch import materialise
 
@@ -118,23 +118,80 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, hashes array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(id, hashes) of the ids; no other text is read into a set."""
+    wanted = materialise(ids.distinct(), "wanted")
+    return materialise(_sets(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]), size), "sets")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets overlap enough.
 
-    Only texts that take part are read into sets. The set of b travels with
-    the pair to where the set of a is, so a hub's set is not copied about; both
-    joins have an exchange on either side and may be split where a is a hub.
+    The set of b travels with the pair to where the set of a is, so a leader's
+    set is not copied about; both joins have an exchange on either side and may
+    be split where a leads very many.
     """
-    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
-    sets = materialise(_sets(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]), size), "sets")
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), docs, size)
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
-    return (
-        pairs.join(right, "b").join(left, "a")
-        .where(100 * both >= percent * (F.size("ha") + F.size("hb") - both))
-        .select("a", "b")
-    )
+    return pairs.join(right, "b").join(left, "a").where(100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets, as products of slices of their incidence matrix."""
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = count[column] > 1
+    number = np.cumsum(count > 1) - 1
+    row, column = row[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        lo, hi = np.searchsorted(column, (first, first + 2048))
+        part = np.zeros((len(sets), 2048), np.float32)
+        part[row[lo:hi], column[lo:hi] - first] = 1
+        out += part @ part.T
+    out[np.arange(len(sets)), np.arange(len(sets))] = sizes
+    return out.astype(np.int64)
+
+
+def _within_groups(groups: DataFrame, root: DataFrame, docs: DataFrame, size: int, percent: int, block: int = 256) -> DataFrame:
+    """Links between members (a, id) of a leader's group that no link joins so far.
+
+    A group of one component needs no more comparison. The others are cut by
+    hash into parts of about ``block``, any two parts meet in one task's group,
+    and a forest of their links comes out: no pairs are written.
+    """
+    state = groups.join(root, "id", "left").select("a", "id", F.coalesce("root", "id").alias("comp"))
+    state = materialise(state, "state")
+    open_ = state.groupBy("a").agg(F.count("*").alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
+    open_ = materialise(open_.select("a", F.ceil(F.col("m") / block).alias("parts")), "open")
+    members = materialise(state.join(open_, "a").withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), F.col("parts"))), "members")
+    sets = _sets_of(members.select("id"), docs, size)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    dealt = members.select("a", "id", "comp", "part", other.alias("other")).join(sets, "id")
+    dealt = dealt.select("a", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "comp", "part", "hashes")
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        ids, comp, part = (table[c].to_numpy() for c in ("id", "comp", "part"))
+        hashes = table["hashes"].combine_chunks()
+        cuts = hashes.offsets.to_numpy()
+        flat = hashes.values.to_numpy()
+        sets = [flat[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        both, n = overlaps(sets), np.diff(cuts)
+        near = (100 * both >= percent * (n[:, None] + n - both)) & (comp[:, None] != comp)
+        if key[1].as_py() != key[2].as_py():
+            near &= part[:, None] != part
+        i, j = np.nonzero(np.triu(near, 1))
+        at = contract(i, j, len(ids))
+        tied = np.flatnonzero(at != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[tied], pa.int64()), "b": pa.array(ids[at[tied]], pa.int64())})
+
+    return dealt.groupBy("a", "p", "q").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size: int = 5, percent: int = 80, rows: int = 5, bands: int = 30, seed: int = 7) -> DataFrame:
@@ -147,13 +204,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     band with a chance of (1 - 0.8**rows)**bands: 7 in a million by default.
     Every candidate is then confirmed on the full sets.
 
-    A bucket is not expanded into pairs: its smallest member is compared with
-    the others, links are contracted, the used member leaves, and so does the
-    bucket once it holds one component. In later rounds 4, 16, ... members not
-    yet used lead, against members of other components only. That covers every
-    pair of a bucket that could still join two components, and a bucket of
-    copies is done after one comparison for each member. Once no more pairs are
-    open than rows were banded, they are compared at once.
+    A bucket is not expanded into pairs. Its leader, the member that shares
+    most buckets with others, is compared with the rest and links are
+    contracted: a bucket of copies is done after one comparison for each member.
+    Buckets of one leader then make one group. Where a group still holds several
+    components, its members are compared in blocks, so that every pair of a
+    bucket that could join two components is decided on the full sets.
 
     Null and blank texts have no shingles and are linked with nothing; so are
     rows with a null id, whose class and component are null. Repeated ids give a
@@ -166,39 +222,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialise(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("rep")), "classes")
     first = some.join(classes, ["d1", "d2", "n"]).where("id = rep").dropDuplicates(["id"])
     banded = materialise(first.select("id", "n", F.explode("bands").alias("bucket")), "banded")
-    shared = materialise(banded.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket"), "shared")
-    open_ = materialise(banded.join(shared, "bucket").withColumn("comp", F.col("id")), "members")
+    shared = materialise(banded.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "shared")
+    met = materialise(banded.join(shared, "bucket"), "met")
+    common = materialise(met.groupBy("id").agg(F.sum("m").alias("pop")), "common")
+    met = met.join(common, "id").select("bucket", "id", "n", "pop")
     # ids whose rows have several sets link those sets' classes
     links = materialise(some.join(classes, ["d1", "d2", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct().join(classes.select(F.col("rep").alias("a")), "a", "left_semi"), "links")
-    roots, rounds, bound = None, 0, bands * classes.count()
-    pair = f"a <> b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    named = lambda df, x: df.select("bucket", *[F.col(c).alias(d) for c, d in (("id", x), ("n", f"n{x}"), ("comp", f"c{x}"))])
-    while True:
-        state = materialise(open_.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("m")).where("c1 <> c2").select("bucket", "m"), "state")
-        left, pairs_left = state.agg(F.count("*"), F.sum(F.expr("m * (m - 1) / 2"))).first()
-        if not left:
-            break
-        open_ = materialise(open_.join(state.select("bucket"), "bucket", "left_semi"), "open")
-        at_once = rounds > 0 and pairs_left <= bound
-        if at_once:
-            pairs = named(open_, "a").join(named(open_, "b"), "bucket").where(pair).where("a < b")
-        else:
-            slot = F.pmod(F.xxhash64("id"), F.lit(4**rounds))
-            leads = open_.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("id", "n", "comp")).alias("x")).select("bucket", "x.*")
-            leads = materialise(named(leads, "a"), "leads")
-            pairs = named(open_, "b").join(leads, "bucket").where(pair)
-        pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        links = materialise(links.unionByName(_verified(pairs, docs, size, percent)), "links")
-        roots = materialise(components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("root")), "roots")
-        if at_once:
-            break
-        used = leads.select("bucket", F.col("a").alias("id"))
-        rest = materialise(open_.drop("comp").join(used, ["bucket", "id"], "left_anti"), "rest")
-        open_ = materialise(rest.join(roots, "id", "left").select("bucket", "id", "n", F.coalesce("root", "id").alias("comp")), "members")
-        rounds += 1
-    if roots is None:
-        roots = components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("root"))
-    member = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n", "rep", F.coalesce("root", "rep").alias("root"))
+    roots = lambda links: materialise(components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("root")), "roots")
+    leads = materialise(met.groupBy("bucket").agg(F.max_by(F.struct("id", "n"), F.struct("pop", -F.col("id"))).alias("x")).select("bucket", F.col("x.id").alias("a"), F.col("x.n").alias("na")), "leads")
+    led = materialise(met.join(leads, "bucket").where("id <> a").select("a", F.col("id").alias("b"), F.col("n").alias("nb"), "na").distinct(), "led")
+    links = materialise(links.unionByName(_linked(led.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"), docs, size, percent)), "links")
+    root = roots(links)
+    found = materialise(_within_groups(led.select("a", F.col("b").alias("id")), root, docs, size, percent), "found")
+    root = roots(links.unionByName(found))
+    member = classes.join(root.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n", "rep", F.coalesce("root", "rep").alias("root"))
     member = materialise(member, "classes")
     return (
         signed.join(member, ["d1", "d2", "n"], "left")

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from pitmark.plans import market_queries, row_quality_queries, temporal_queries  # noqa: F401
+from pitmark.plans import event_queries, market_queries, row_quality_queries, temporal_queries  # noqa: F401
 from pitmark.plans.registry import ORACLES, QUERIES  # noqa: F401

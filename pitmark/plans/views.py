@@ -107,7 +107,7 @@ class Views:
             "event_id", "security_code", F.col("event_type").alias("source_id"),
             F.when(F.col("event_type") == "purchase", "PRIMARY_OFFICIAL").when(F.col("event_type") == "view", "NEWS_CONTEXT").when(F.col("event_type") == "click", "SOCIAL").otherwise("FINANCIAL_CONTEXT").alias("source_role"),
             F.element_at(F.array(F.lit("POSITIVE"), F.lit("NEGATIVE"), F.lit("NEUTRAL")), (F.col("event_id") % 3 + 1).cast("int")).alias("direction"),
-            F.round(F.col("value") / 1000, 4).alias("novelty"), F.col("ts").alias("event_at"), (F.col("ts") - F.expr("interval 5 minutes")).alias("published_at"), F.col("ts").alias("first_available_at"), (F.col("ts") + F.expr("interval 10 minutes")).alias("captured_at"),
+            F.round(F.col("value") / 1000, 6).alias("novelty"), F.col("ts").alias("event_at"), (F.col("ts") - F.expr("interval 5 minutes")).alias("published_at"), F.col("ts").alias("first_available_at"), (F.col("ts") + F.expr("interval 10 minutes")).alias("captured_at"),
             F.regexp_extract("props", r"(\d+)", 1).alias("content_hash"), F.concat(F.lit("o"), (F.col("event_id") % 997).cast("string")).alias("origin_id"), parent.alias("original_event_id"), "user_id", "value",
         )
 
@@ -187,7 +187,7 @@ SQL = {
         ['CASH_DIVIDEND_NORMAL', 'BONUS_SHARES', 'STOCK_SPLIT', 'REVERSE_SPLIT', 'RIGHTS_ISSUE', 'MERGER'][p_size % 6 + 1] action_type FROM part))""",
     "ev": """SELECT e.event_id, CAST(e.user_id % 20 AS VARCHAR) security_code, e.event_type source_id,
         CASE e.event_type WHEN 'purchase' THEN 'PRIMARY_OFFICIAL' WHEN 'view' THEN 'NEWS_CONTEXT' WHEN 'click' THEN 'SOCIAL' ELSE 'FINANCIAL_CONTEXT' END source_role,
-        ['POSITIVE', 'NEGATIVE', 'NEUTRAL'][e.event_id % 3 + 1] direction, round(e.value / 1000, 4) novelty, e.ts event_at, e.ts - INTERVAL 5 MINUTE published_at, e.ts first_available_at, e.ts + INTERVAL 10 MINUTE captured_at,
+        ['POSITIVE', 'NEGATIVE', 'NEUTRAL'][e.event_id % 3 + 1] direction, round(e.value / 1000, 6) novelty, e.ts event_at, e.ts - INTERVAL 5 MINUTE published_at, e.ts first_available_at, e.ts + INTERVAL 10 MINUTE captured_at,
         regexp_extract(e.props, '(\\d+)', 1) content_hash, 'o' || (e.event_id % 997) origin_id, CASE WHEN e.event_id % 10 = 7 AND p.user_id % 20 = e.user_id % 20 THEN e.event_id - 1 END original_event_id, e.user_id, e.value
         FROM events e LEFT JOIN events p ON p.event_id = e.event_id - 1""",
     "findings": """SELECT doc_id finding_id, lang || (doc_id % 5) security_code, source publisher_group, ['PRIMARY', 'NEWS', 'COMMUNITY'][doc_id % 3 + 1] source_class, ['CATALYST', 'TECHNICAL', 'SENTIMENT', 'FUNDAMENTAL'][doc_id % 4 + 1] signal_kind,

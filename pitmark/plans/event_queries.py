@@ -95,10 +95,10 @@ def _(v: Views):
     return E.cluster_representatives(clustered(v), reliability()).withColumn("weight", F.round("weight", 8))
 
 
-@query("e10_source_conflicts", """WITH s AS (SELECT * REPLACE (CAST(finding_id % 12 AS VARCHAR) AS event_key) FROM findings WHERE direction <> 'NEUTRAL' AND round(strength * materiality, 9) >= 0.05), g AS (SELECT security_code, signal_kind, event_key, coalesce(list_sort(list_distinct(list(publisher_group) FILTER (direction = 'POSITIVE'))), []) positive, coalesce(list_sort(list_distinct(list(publisher_group) FILTER (direction = 'NEGATIVE'))), []) negative FROM s GROUP BY 1, 2, 3)
+@query("e10_source_conflicts", """WITH s AS (SELECT * REPLACE (CAST(finding_id % 12 AS VARCHAR) AS event_key, CAST(finding_id // 60 AS VARCHAR) AS publisher_group) FROM findings WHERE direction <> 'NEUTRAL' AND round(strength * materiality, 9) >= 0.05), g AS (SELECT security_code, signal_kind, event_key, coalesce(list_sort(list_distinct(list(publisher_group) FILTER (direction = 'POSITIVE'))), []) positive, coalesce(list_sort(list_distinct(list(publisher_group) FILTER (direction = 'NEGATIVE'))), []) negative FROM s GROUP BY 1, 2, 3)
     SELECT * FROM g WHERE len(positive) > 0 AND len(negative) > 0 AND NOT (len(positive) = 1 AND positive = negative)""")
 def _(v: Views):
-    return E.source_conflicts(v.findings().withColumn("event_key", (F.col("finding_id") % 12).cast("string")), 0.05)
+    return E.source_conflicts(v.findings().withColumn("event_key", (F.col("finding_id") % 12).cast("string")).withColumn("publisher_group", F.floor(F.col("finding_id") / 60).cast("string")), 0.05)
 
 
 @query("e11_exposure_violations", """WITH x AS (SELECT event_id exposure_id, CASE WHEN event_id % 31 = 0 THEN 'none' ELSE coalesce(CAST(original_event_id AS VARCHAR), content_hash) END c, CASE WHEN event_id % 17 = 0 THEN '99' ELSE security_code END code_, security_code, source_id, round(value / 500, 4) confidence, event_id % 3 = 0 eligible, CASE WHEN event_id % 5 = 0 THEN 'CONTRADICTED' ELSE 'CONSISTENT' END status FROM ev),

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitmark.plans.views import Views, with_views
+from pitmark.plans.views import Views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+#: SQL that may name views; the catalogue puts these in front.
+BODIES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -18,7 +19,7 @@ def query(name: str, sql: str | None = None):
     def add(build: Callable[[Views], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: build(Views(spark, sf_dir))
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            BODIES[name] = sql
         return build
 
     return add

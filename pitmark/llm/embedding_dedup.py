@@ -15,7 +15,7 @@ from pitmark.llm.vectors import as_doubles, matrix, unit, usable
 from pitmark.operators.components import components
 from pitmark.operators.scratch import materialise
 
-_CODED = pa.schema([("rep", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("mult", pa.int64()), ("v", pa.list_(pa.float64())), ("cell", pa.int32()), ("code", pa.binary()), ("error", pa.float64()), ("probes", pa.list_(pa.int32()))])
+_CODED = pa.schema([("cls", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("mult", pa.int64()), ("v", pa.list_(pa.float64())), ("cell", pa.int32()), ("code", pa.binary()), ("error", pa.float64()), ("probes", pa.list_(pa.int32()))])
 _PAIRED = pa.schema([("edge", pa.bool_()), ("a", pa.int64()), ("b", pa.int64())])
 _SLACK = 1e-9
 
@@ -105,7 +105,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     rows = vectors.select(vectors[id_col].cast("long").alias("id"), as_doubles(vectors, vector_col).alias("v"), vectors[label_col].cast("string").alias("label"))
     rows = rows.withColumn("v", F.when(usable("v"), F.col("v")))
     some = rows.where("id is not null and label is not null and v is not null")
-    classes = materialise(some.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("mult")).withColumn("dim", F.size("v")), "classes")
+    classes = materialise(some.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("mult")).withColumn("dim", F.size("v")).withColumn("cls", F.monotonically_increasing_id()), "classes")
     n, width = classes.agg(F.count("*"), F.max("dim")).first()
     if not n:
         links = n_links = None
@@ -122,31 +122,30 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
                     x = unit(matrix(b.column("v"), width))
                     cell, codes, error = shared.value.encode(x)
                     may = shared.value.probes(x, cell, reach) & (np.arange(len(shared.value.centres)) >= cell[:, None])
-                    yield batch(_CODED, rep=b.column("rep"), label=b.column("label"), dim=b.column("dim"), mult=b.column("mult"), v=b.column("v"), cell=cell.astype(np.int32), code=[c.tobytes() for c in codes], error=error, probes=[np.flatnonzero(m).astype(np.int32) for m in may])
+                    yield batch(_CODED, cls=b.column("cls"), label=b.column("label"), dim=b.column("dim"), mult=b.column("mult"), v=b.column("v"), cell=cell.astype(np.int32), code=[c.tobytes() for c in codes], error=error, probes=[np.flatnonzero(m).astype(np.int32) for m in may])
 
-        coded = materialise(classes.select("rep", "label", "dim", "mult", "v").mapInArrow(encode, "rep long, label string, dim int, mult long, v array<double>, cell int, code binary, error double, probes array<int>"), "coded")
+        coded = materialise(classes.select("cls", "label", "dim", "mult", "v").mapInArrow(encode, "cls long, label string, dim int, mult long, v array<double>, cell int, code binary, error double, probes array<int>"), "coded")
         key = ["label", "dim", "cell"]
-        asking = coded.select("rep", "label", "dim", "mult", "v", F.col("cell").alias("own"), F.explode("probes").alias("cell"))
+        asking = coded.select("cls", "label", "dim", "mult", "v", F.col("cell").alias("own"), F.explode("probes").alias("cell"))
         sizes = materialise(
             coded.groupBy(*key).agg(F.count("*").alias("n")).join(asking.groupBy(*key).agg(F.count("*").alias("m")), key)
             .select(*key, F.ceil(F.col("n") / block).alias("parts"), F.ceil(F.col("m") / block).alias("askers")),
             "lists",
         )
-        deal = lambda size, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(size))
+        deal = lambda size, salt: F.pmod(F.xxhash64("cls", F.lit(salt)), F.col(size))
         every = lambda size: F.explode(F.sequence(F.lit(0).cast("long"), F.col(size) - 1))
-        members = coded.join(sizes, key).select(*key, deal("parts", 1).alias("part"), every("askers").alias("asker"), "rep", "mult", "v", "code", "error")
-        askers = asking.join(sizes, key).select(*[F.col(c).alias(f"q_{c}") for c in (*key, "rep", "mult", "v", "own")], every("parts").alias("q_part"), deal("askers", 2).alias("q_asker"))
+        members = coded.join(sizes, key).select(*key, deal("parts", 1).alias("part"), every("askers").alias("asker"), "cls", "mult", "v", "code", "error")
+        askers = asking.join(sizes, key).select(*[F.col(c).alias(f"q_{c}") for c in (*key, "cls", "mult", "v", "own")], every("parts").alias("q_part"), deal("askers", 2).alias("q_asker"))
 
         def meet(k: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
             cell = k[2].as_py()
             if not left.num_rows or not right.num_rows:
                 return pa.Table.from_batches([], _PAIRED)
             x, q = matrix(left["v"].combine_chunks(), width), matrix(right["q_v"].combine_chunks(), width)
-            x_ids, q_ids = left["rep"].to_numpy(), right["q_rep"].to_numpy()
+            x_ids, q_ids = left["cls"].to_numpy(), right["q_cls"].to_numpy()
             codes = np.frombuffer(b"".join(left["code"].to_pylist()), np.uint8).reshape(len(x), -1)
             near = shared.value.table_distances(unit(q), cell, codes) - left["error"].to_numpy() <= reach + _SLACK
             near &= (right["q_own"].to_numpy() != cell)[:, None] | (q_ids[:, None] < x_ids)
-            near &= q_ids[:, None] != x_ids
             i, j = np.nonzero(near)
             norms_q, norms_x = np.sqrt((q * q).sum(1)), np.sqrt((x * x).sum(1))
             kept = [np.einsum("nd,nd->n", q[a], x[b]) / (norms_q[a] * norms_x[b]) >= cosine for a, b in ((i[s : s + 65536], j[s : s + 65536]) for s in range(0, len(i), 65536))]
@@ -160,15 +159,18 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
 
         group = [*key, "part", "asker"]
         met = materialise(members.groupBy(*group).cogroup(askers.groupBy(*[f"q_{c}" for c in group])).applyInArrow(meet, "edge boolean, a long, b long"), "met")
-        n_links = materialise(met.where("not edge").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("n")), "counts")
+        n_links = materialise(met.where("not edge").groupBy(F.col("a").alias("cls")).agg(F.sum("b").alias("n")), "counts")
         links = met.where("edge").select("a", "b")
-    twin = some.groupBy("id").agg(F.countDistinct("label", "v").alias("n")).where("n > 1").select("id")
     # an id with several vectors ties their classes together
-    tied = some.join(twin, "id", "left_semi").join(classes, ["label", "v"]).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    twin = materialise(some.groupBy("id").agg(F.countDistinct("label", "v").alias("n")).where("n > 1").select("id"), "twins")
+    several = some.join(twin, "id", "left_semi").join(classes.select("label", "v", "cls"), ["label", "v"]).select("id", F.col("cls").alias("a")).distinct()
+    tied = several.join(several.groupBy("id").agg(F.min("a").alias("b")), "id").select("a", "b")
     root = components(tied if links is None else links.unionByName(tied), "a", "b")
-    root = materialise(root.select(F.col("node").alias("rep"), F.col("component").alias("root")), "roots")
-    known = classes.select("label", "v", "rep", "mult").join(root, "rep", "left")
-    known = known.withColumn("n", F.lit(0).cast("long")) if n_links is None else known.join(n_links, "rep", "left")
+    root = materialise(root.select(F.col("node").alias("cls"), "component"), "roots")
+    least = root.join(classes.select("cls", "rep"), "cls").groupBy("component").agg(F.min("rep").alias("root"))
+    root = materialise(root.join(least, "component").select("cls", "root"), "roots")
+    known = classes.select("label", "v", "cls", "rep", "mult").join(root, "cls", "left")
+    known = known.withColumn("n", F.lit(0).cast("long")) if n_links is None else known.join(n_links, "cls", "left")
     known = materialise(known.select("label", "v", F.coalesce("root", "rep").alias("root"), (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n")), "known")
     out = rows.join(known, ["label", "v"], "left").select(
         F.col("id").alias("vec_id"),

@@ -159,8 +159,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, v
     """Per row: doc_id and ids (binary, little-endian uint32) of the whole text.
 
     ``path=True``: the best path over the pieces' scores, by a Viterbi pass over
-    all words of a length at once; it is what the library gives for the same
-    pieces and scores as a unigram model. ``path=False``: by merges in order of
+    all words of a length at once; the library's n-best search over the same
+    pieces and scores puts the same path first. ``path=False``: by merges in order of
     score, which is what it gives for a merge model. There is no shuffle.
 
     Null and empty texts have no ids; a null id stays null; repeated rows get a

@@ -10,15 +10,16 @@ from pitmark.functions.columns import codes, direction, signed
 from pitmark.operators.events import canonical_events
 from pitmark.operators.row_quality import with_codes
 
-#: One spec for all per-security series: Spark sorts once.
-SERIES = Window.partitionBy("security_code").orderBy("trade_date")
+def series():
+    """One spec for all per-security series: Spark sorts once."""
+    return Window.partitionBy("security_code").orderBy("trade_date")
 
 
 def _trailing(bars: DataFrame, n: int) -> DataFrame:
     """The last n bars of each security with their returns inside the window."""
     newest = F.row_number().over(Window.partitionBy("security_code").orderBy(F.desc("trade_date")))
     last = bars.withColumn("back", newest).where(F.col("back") <= n)
-    return last.withColumn("ret", F.col("close") / F.lag("close").over(SERIES) - 1)
+    return last.withColumn("ret", F.col("close") / F.lag("close").over(series()) - 1)
 
 
 def strength(value: Column, scale: float) -> Column:
@@ -76,7 +77,7 @@ def sentiment_signal(posts: DataFrame) -> DataFrame:
 
 def liquidity_metrics(bars: DataFrame) -> DataFrame:
     """Sessions by kind, medians, and Amihud illiquidity; missing volume is not zero volume, though neither trades."""
-    b = bars.withColumn("ret", F.col("close") / F.lag("close").over(SERIES) - 1)
+    b = bars.withColumn("ret", F.col("close") / F.lag("close").over(series()) - 1)
     one = lambda test: F.sum(F.when(test, 1).otherwise(0))
     live = (F.col("turnover") > 0) & (F.col("volume") > 0)
     return b.groupBy("security_code").agg(
@@ -151,7 +152,7 @@ def feature_violations(features: DataFrame) -> DataFrame:
 
 def price_findings(bars: DataFrame) -> DataFrame:
     """A finding from each security's latest bar."""
-    b = bars.withColumn("chg", 100 * (F.col("close") / F.lag("close").over(SERIES) - 1))
+    b = bars.withColumn("chg", 100 * (F.col("close") / F.lag("close").over(series()) - 1))
     g = b.groupBy("security_code").agg(F.max("trade_date").alias("trade_date"), F.max_by("chg", "trade_date").alias("chg")).where("chg is not null")
     return g.select("security_code", "trade_date", direction(F.col("chg"), 0.05).alias("direction"), strength(F.col("chg"), 5.0).alias("strength"), strength(F.col("chg"), 3.0).alias("materiality"), F.substring(F.sha2(F.concat_ws("|", "security_code", F.col("trade_date").cast("string"), F.lit("PRICE_ACTIVITY")), 256), 1, 24).alias("finding_id"))
 

@@ -12,7 +12,8 @@ from pitmark.plans.event_queries import clustered, reliability, rounded
 from pitmark.plans.registry import query
 from pitmark.plans.views import SQL, Views
 
-CUT = F.lit("2024-01-29 12:00:00").cast("timestamp_ntz")
+def cut():
+    return F.lit("2024-01-29 12:00:00").cast("timestamp_ntz")
 
 
 def observations(v: Views):
@@ -23,17 +24,17 @@ def observations(v: Views):
 @query("k1_qualify_observations", """WITH o AS (SELECT event_id obs_id, (epoch(TIMESTAMP '2024-01-29 12:00:00') - floor(epoch(event_at))) / 3600 age, CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'OBSERVED' END q, event_id % 4 n, event_id % 8 = 0 z FROM ev), s AS (SELECT *, CASE WHEN q = 'OBSERVED' AND age > 240 THEN 'DATA_QUALITY_REJECTED' ELSE q END st FROM o),
     c AS (SELECT *, list_filter([CASE WHEN age < 0 THEN 'ATTEMPTED_AFTER_DECISION' END, CASE WHEN st <> 'OBSERVED' AND n > 0 THEN 'NON_CONTRIBUTING_WITH_ITEMS' END, CASE WHEN st = 'OBSERVED' AND n = 0 AND NOT z THEN 'OBSERVED_WITHOUT_ITEMS' END, CASE WHEN z AND n > 0 THEN 'ZERO_RESULT_WITH_ITEMS' END], lambda x: x IS NOT NULL) codes FROM s) SELECT obs_id, st status, st = 'OBSERVED' AND len(codes) = 0 contributes, codes FROM c""")
 def _(v: Views):
-    return K.qualify_observations(observations(v), CUT, 240).select("obs_id", "status", "contributes", "codes")
+    return K.qualify_observations(observations(v), cut(), 240).select("obs_id", "status", "contributes", "codes")
 
 
 @query("k2_admit_findings", """WITH f AS (SELECT page_id, 'http' || 's' x, url, page_id % 3 s, page_id % 700 h FROM pages), c AS (SELECT page_id, list_filter([CASE WHEN s = 2 THEN 'SOURCE_NOT_OBSERVED' END, CASE WHEN NOT regexp_matches(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), CASE s WHEN 0 THEN '(^|\\.)example\\.com$' WHEN 1 THEN '(^|\\.)example\\.org$' ELSE '(^|\\.)example\\.net$' END) THEN 'HOST_NOT_OF_SOURCE' END, CASE WHEN page_id % 5 = 0 AND s = 1 THEN 'ROLE_NOT_GRANTED' END, CASE WHEN h > 240 THEN 'STALE_FINDING' END], lambda x: x IS NOT NULL) codes FROM f)
     SELECT page_id, len(codes) = 0 admitted, codes FROM c""")
 def _(v: Views):
     k = F.col("page_id")
-    f = v.table("pages").select(k, F.col("url").alias("source_url"), F.concat(F.lit("s"), (k % 3).cast("string")).alias("source_id"), (CUT - F.make_interval(hours=(k % 700).cast("int"))).alias("available_at"), F.when(k % 5 == 0, F.array(F.lit("FACT"), F.lit("OPINION"))).otherwise(F.array(F.lit("FACT"))).alias("roles"))
+    f = v.table("pages").select(k, F.col("url").alias("source_url"), F.concat(F.lit("s"), (k % 3).cast("string")).alias("source_id"), (cut() - F.make_interval(hours=(k % 700).cast("int"))).alias("available_at"), F.when(k % 5 == 0, F.array(F.lit("FACT"), F.lit("OPINION"))).otherwise(F.array(F.lit("FACT"))).alias("roles"))
     q = v.spark.createDataFrame([("s0", True), ("s1", True), ("s2", False)], "source_id string, contributes boolean")
     s = v.spark.createDataFrame([("s0", "example.com", ["FACT", "OPINION"]), ("s1", "example.org", ["FACT"]), ("s2", "example.net", ["FACT", "OPINION"])], "source_id string, domain string, roles array<string>")
-    good, bad = K.admit_findings(f, q, s, CUT, 240)
+    good, bad = K.admit_findings(f, q, s, cut(), 240)
     return good.select("page_id", F.lit(True).alias("admitted"), F.array().cast("array<string>").alias("codes")).unionByName(bad.select("page_id", F.lit(False).alias("admitted"), "codes"))
 
 
@@ -42,7 +43,10 @@ def _(v: Views):
     return K.substantive(v.findings()).select("finding_id")
 
 
-ROLES = F.when(F.col("source_class") == "PRIMARY", F.array(F.lit("CONFIRM"), F.lit("FACT"))).when(F.col("source_class") == "NEWS", F.array(F.lit("CONTEXT"))).otherwise(F.array(F.lit("OPINION")))
+def roles():
+    return F.when(F.col("source_class") == "PRIMARY", F.array(F.lit("CONFIRM"), F.lit("FACT"))).when(F.col("source_class") == "NEWS", F.array(F.lit("CONTEXT"))).otherwise(F.array(F.lit("OPINION")))
+
+
 SQL["roled"] = "SELECT *, unnest(CASE source_class WHEN 'PRIMARY' THEN ['CONFIRM', 'FACT'] WHEN 'NEWS' THEN ['CONTEXT'] ELSE ['OPINION'] END) role FROM findings"
 
 
@@ -52,13 +56,13 @@ def quorum(v: Views):
 
 @query("k4_role_coverage", """WITH q(role, required) AS (VALUES ('CONFIRM', 1), ('CONTEXT', 25), ('OPINION', 2), ('MISSING', 1)), g AS (SELECT role, least(count(DISTINCT publisher_group), count(DISTINCT origin_id), count(DISTINCT event_key)) n FROM roled GROUP BY 1) SELECT role, coalesce(n, 0) actual, required, coalesce(n, 0) < required gap FROM q LEFT JOIN g USING (role)""")
 def _(v: Views):
-    return K.role_coverage(v.findings().withColumn("roles", ROLES), quorum(v))
+    return K.role_coverage(v.findings().withColumn("roles", roles()), quorum(v))
 
 
 @query("k5_role_coverage_by_security", """WITH q(role, required) AS (VALUES ('CONFIRM', 1), ('CONTEXT', 25), ('OPINION', 2), ('MISSING', 1)), g AS (SELECT security_code, role, least(count(DISTINCT publisher_group), count(DISTINCT cluster)) n FROM roled JOIN clusters USING (finding_id) GROUP BY 1, 2)
     SELECT s.security_code, q.role, coalesce(n, 0) actual, required, coalesce(n, 0) < required gap FROM (SELECT DISTINCT security_code FROM findings) s CROSS JOIN q LEFT JOIN g ON g.security_code = s.security_code AND g.role = q.role""")
 def _(v: Views):
-    return K.role_coverage(clustered(v).withColumn("roles", ROLES), quorum(v), by_security=True)
+    return K.role_coverage(clustered(v).withColumn("roles", roles()), quorum(v), by_security=True)
 
 
 @query("k6_universe_reconcile", """SELECT CAST(c_custkey AS VARCHAR) security_code, 'MISSING_SECURITY' code FROM customer WHERE c_custkey % 9 = 0 UNION ALL SELECT 'x' || c_custkey, 'EXTRA_SECURITY' FROM customer WHERE c_custkey % 50 = 1 UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'TICKER_DIFFERS' FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey % 8 = 0""")
@@ -93,12 +97,12 @@ def _(v: Views):
 @query("k9_advance_watermarks", """WITH i AS (SELECT source_id, max(ts) watermark FROM attempts WHERE source_id < 9 AND ts < TIMESTAMP '2024-01-10' GROUP BY 1) SELECT source_id, CASE WHEN status = 'COMPLETE' THEN greatest(TIMESTAMP '2024-01-29 12:00:00', coalesce(watermark, TIMESTAMP '1970-01-01')) ELSE watermark END watermark FROM i FULL JOIN src USING (source_id)""")
 def _(v: Views):
     i = v.attempts().where("source_id < 9").where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")).groupBy("source_id").agg(F.max("ts").alias("watermark"))
-    return K.advance_watermarks(i, K.attempt_rollup(routes(v)), CUT)
+    return K.advance_watermarks(i, K.attempt_rollup(routes(v)), cut())
 
 
 @query("k10_probe_freshness", """SELECT event_id probe_id, CASE WHEN event_at > TIMESTAMP '2024-01-29 12:00:01' OR floor(epoch(event_at)) > epoch(TIMESTAMP '2024-01-29 12:00:00') THEN 'FUTURE_PROBE' WHEN source_id = 'error' THEN 'FAILED_PROBE' WHEN (epoch(TIMESTAMP '2024-01-29 12:00:00') - floor(epoch(event_at))) / 3600 > 240 THEN 'EXPIRED_PROBE' ELSE 'FRESH' END code FROM ev""")
 def _(v: Views):
-    return K.probe_freshness(v.events().select(F.col("event_id").alias("probe_id"), F.col("event_at").alias("probed_at"), (F.col("source_id") != "error").alias("ok")), CUT, 240)
+    return K.probe_freshness(v.events().select(F.col("event_id").alias("probe_id"), F.col("event_at").alias("probed_at"), (F.col("source_id") != "error").alias("ok")), cut(), 240)
 
 
 @query("k11_capability_gaps", """SELECT p_partkey product_id, list_sort(list_filter(list_distinct([p_brand, p_type]), lambda x: NOT list_contains(h, x))) missing FROM part, (SELECT list(p_brand) h FROM part WHERE p_size > 48)""")
@@ -167,7 +171,7 @@ POLICY = {"weights": {"CATALYST": 0.4, "TECHNICAL": 0.2, "SENTIMENT": 0.15, "FUN
     x AS (SELECT *, list_concat(gaps, CASE WHEN groups < 5 THEN ['INSUFFICIENT_SOURCE_DIVERSITY'] WHEN evidence_coverage < 0.6 THEN ['INSUFFICIENT_SIGNAL_COVERAGE'] WHEN len(cf) > 0 THEN ['INDEPENDENT_SOURCE_CONFLICT:' || array_to_string(cf, ',')] ELSE [] END) reasons FROM j), y AS (SELECT *, CASE WHEN groups < 5 OR evidence_coverage < 0.6 THEN 'ABSTAIN' WHEN len(reasons) > 0 THEN 'WATCH' ELSE 'RESEARCH_CANDIDATE' END status FROM x)
     SELECT security_code, round(score, 3) score, evidence_coverage, groups, status, reasons, 'CANDIDATE_SET_RESEARCH_RANK' scope_label, row_number() OVER (ORDER BY score DESC, security_code) "rank", status = 'RESEARCH_CANDIDATE' AND sum((status = 'RESEARCH_CANDIDATE')::INT) OVER (ORDER BY score DESC, security_code ROWS UNBOUNDED PRECEDING) <= 5 selected FROM y""")
 def _(v: Views):
-    f = v.findings().withColumn("roles", ROLES)
+    f = v.findings().withColumn("roles", roles())
     return rounded(R.mosaic_rank(f, POLICY, reliability(), 5), "score", places=3)
 
 

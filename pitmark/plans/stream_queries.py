@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pitmark.operators.ranking import mosaic_rank
 from pitmark.operators.scratch import shared_folder
 from pitmark.plans.event_queries import reliability, rounded
-from pitmark.plans.rank_queries import POLICY, ROLES
+from pitmark.plans.rank_queries import POLICY, roles
 from pitmark.plans.registry import BODIES, query
 from pitmark.plans.views import Views
 from pitmark.sources import contracts as S
@@ -48,7 +48,7 @@ def _(v: Views):
 
 @query("s6_export_projection", BODIES["r2_mosaic_rank"].replace("SELECT security_code, round(score, 3) score, evidence_coverage, groups, status, reasons, 'CANDIDATE", "SELECT security_code, round(score, 3) score, status, 'CANDIDATE"))
 def _(v: Views):
-    r = mosaic_rank(v.findings().withColumn("roles", ROLES), POLICY, reliability(), 5)
+    r = mosaic_rank(v.findings().withColumn("roles", roles()), POLICY, reliability(), 5)
     return rounded(S.export_projection(r, "SUMMARY"), "score", places=3)
 
 

@@ -13,7 +13,7 @@ def isin_is_valid(isin: Column) -> Column:
     """ISO 6166 shape and Luhn check over letters written as numbers; null stays null."""
     digits = F.regexp_replace(F.concat_ws("", F.transform(F.split(isin, ""), lambda c: F.when(c.rlike("[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c))), "[^0-9]", "")
     backwards = F.split(F.reverse(digits), "")
-    doubled = F.transform(backwards, lambda d, i: F.when(i % 2 == 1, d.cast("int") * 2).otherwise(d.cast("int")))
+    doubled = F.transform(backwards, lambda d, i: F.when(i % 2 == 1, d.try_cast("int") * 2).otherwise(d.try_cast("int")))
     total = F.aggregate(doubled, F.lit(0).cast("long"), lambda a, d: a + F.when(d > 9, d - 9).otherwise(F.coalesce(d, F.lit(0))).cast("long"))
     return isin.rlike("^[A-Z]{2}[A-Z0-9]{9}[0-9]$") & (total % 10 == 0)
 

@@ -30,8 +30,8 @@ def average_rank(group: Sequence[str], column: str) -> Column:
 def rank_ic(rows: DataFrame, group: str = "decision_id", score: str = "score", outcome: str = "outcome") -> DataFrame:
     """Spearman correlation of each decision; null where a side is constant."""
     r = rows.where(F.col(score).isNotNull() & F.col(outcome).isNotNull()).select(group, average_rank([group], score).alias("a"), average_rank([group], outcome).alias("b"))
-    g = r.groupBy(group).agg(F.count("*").alias("n"), F.corr("a", "b").alias("ic"), F.stddev_pop("a").alias("sa"), F.stddev_pop("b").alias("sb"))
-    return g.select(group, "n", F.when((F.col("sa") > 0) & (F.col("sb") > 0), F.col("ic")).alias("rank_ic"))
+    g = r.groupBy(group).agg(F.count("*").alias("n"), F.covar_pop("a", "b").alias("ab"), (F.stddev_pop("a") * F.stddev_pop("b")).alias("spread"))
+    return g.select(group, "n", F.try_divide("ab", "spread").alias("rank_ic"))
 
 
 def precision_recall_at_k(rows: DataFrame, k: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pitmark.llm import ann, embedding_dedup, html_text, language_id, near_duplicates, packing, quality, secrets, sentence_pieces, token_counts
 from pitmark.llm.common import fold, small_batches, table
+from pitmark.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=4)
-    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +69,3 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op3_html_text, op4_language_id, op5_minhash, op6_sentence_pieces, op7_secrets, op8_packing, op9_token_counts, op10_embedding_dedup)}
-ORACLES: dict[str, str] = {}

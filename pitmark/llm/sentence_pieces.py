@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,121 +14,136 @@ from pitmark.llm.common import batch, texts_of
 from pitmark.llm.pieces import PieceTable, by_length, codes, piece_table
 
 _SEGMENT = re.compile("▁+[^▁]*")
-_MEMORY = 250_000
+#: Segments that a Python worker remembers, from task to task.
+_MEMORY = 400_000
 #: What the best path pays, beyond the worst piece, for a character that is no piece.
 _STRANGE = 10.0
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 _DECODED = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
 
-def best_paths(table: PieceTable, c: np.ndarray) -> np.ndarray:
-    """(word, place) -> length of the last piece on the best path up to the place.
+def _stack(lattice: list[np.ndarray], words: int, length: int) -> np.ndarray:
+    """(piece length, word, start) -> piece id or -1."""
+    out = np.full((len(lattice) + 1, words, length), -1, np.int32)
+    for k, x in enumerate(lattice):
+        out[k + 1, :, : x.shape[1]] = x
+    return out
+
+
+def best_paths(table: PieceTable, lattice: np.ndarray) -> np.ndarray:
+    """(word, piece) -> start of the pieces of the best path, filled up with the length.
 
     The path with the largest sum of scores; all words take a step together, and
     a tie goes to the longer last piece. A character that is no piece is a step
     of its own.
     """
-    lattice, (words, length) = table.lattice(c), c.shape
+    longest, words, length = lattice.shape
     scores = np.append(table.scores, -np.inf)
     floor = table.scores[table.ids].min() - _STRANGE
     best, back = np.full((length + 1, words), -np.inf), np.ones((length + 1, words), np.int32)
     best[0] = 0
     for j in range(1, length + 1):
-        for k in range(min(j, len(lattice)), 0, -1):
-            step = scores[lattice[k - 1][:, j - k]]
+        for k in range(min(j, longest - 1), 0, -1):
+            step = scores[lattice[k, :, j - k]]
             if k == 1:
                 step = np.where(np.isneginf(step), floor, step)
             total = best[j - k] + step
             better = total > best[j]
             best[j] = np.where(better, total, best[j])
             back[j] = np.where(better, k, back[j])
-    return back.T
+    row, at = np.arange(words), np.full(words, length)
+    cut = np.zeros((words, length + 1), bool)
+    while at.any():
+        at = np.maximum(at - back[at, row], 0)
+        cut[row, at] = True
+    return np.sort(np.where(cut, np.arange(length + 1), length), axis=1)
 
 
-def merged(table: PieceTable, c: np.ndarray) -> list[np.ndarray]:
-    """Starts of each word's pieces after merging: of all neighbours that make a piece the best-scored pair first, ties to the left."""
-    lattice, (words, length) = table.lattice(c), c.shape
-    stacked = np.full((len(lattice) + 1, words, length), -1, np.int32)
-    for k, x in enumerate(lattice):
-        stacked[k + 1, :, : x.shape[1]] = x
+def merged(table: PieceTable, lattice: np.ndarray) -> np.ndarray:
+    """The same after merging: of all neighbours that make a piece the best-scored pair first, ties to the left."""
+    longest, words, length = lattice.shape
     scores = np.append(table.scores, -np.inf)
-    out: list = [None] * words
-    at, starts = np.arange(words), np.broadcast_to(np.append(np.arange(length), length), (words, length + 1)).copy()
+    out = np.full((words, length + 1), length)
+    at, starts = np.arange(words), np.broadcast_to(np.arange(length + 1), (words, length + 1)).copy()
     while len(at):
         size = starts[:, 2:] - starts[:, :-2]
-        fits = (size > 0) & (size < len(stacked)) & (starts[:, 1:-1] < length)
-        found = np.where(fits, stacked[np.where(fits, size, 0), at[:, None], np.minimum(starts[:, :-2], length - 1)], -1)
+        fits = (size > 0) & (size < longest) & (starts[:, 1:-1] < length)
+        found = np.where(fits, lattice[np.where(fits, size, 0), at[:, None], np.minimum(starts[:, :-2], length - 1)], -1)
         score = scores[found]
-        if not score.shape[1]:
-            done = np.ones(len(at), bool)
-        else:
-            pick = score.argmax(1)
-            done = np.isneginf(score[np.arange(len(at)), pick])
-        for i in np.flatnonzero(done):
-            out[at[i]] = starts[i][starts[i] < length]
-        at, starts = at[~done], starts[~done]
+        pick = score.argmax(1) if score.shape[1] else np.zeros(len(at), int)
+        done = np.isneginf(score[np.arange(len(at)), pick]) if score.shape[1] else np.ones(len(at), bool)
+        out[at[done], : starts.shape[1]] = starts[done]
+        at, starts, pick = at[~done], starts[~done], pick[~done]
         if len(at):
-            gone = pick[~done][:, None] + 1
             column = np.arange(starts.shape[1] - 1)
-            starts = np.where(column < gone, starts[:, :-1], starts[:, 1:])
+            starts = np.where(column < pick[:, None] + 1, starts[:, :-1], starts[:, 1:])
+    return out
+
+
+def _ids(table: PieceTable, words: list[str], lattice: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """Piece ids of each word as little-endian uint32; bytes stand for a character that is no piece."""
+    size = starts[:, 1:] - starts[:, :-1]
+    real = size > 0
+    found = np.where(real, lattice[np.where(real, size, 0), np.arange(len(words))[:, None], np.minimum(starts[:, :-1], lattice.shape[2] - 1)], 0)
+    raw, ends = found[real].astype("<u4").tobytes(), np.cumsum(4 * real.sum(1)).tolist()
+    out = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    for i in np.flatnonzero((found < 0).any(1)):
+        ids = []
+        for x, a, n in zip(found[i].tolist(), starts[i].tolist(), size[i].tolist(), strict=False):
+            if n and x >= 0:
+                ids.append(x)
+            elif n:
+                ids += [table.bytes[y] for y in words[i][a : a + n].encode("utf-8", "replace")] if table.bytes else [table.unknown]
+        out[i] = np.array(ids, "<u4").tobytes()
     return out
 
 
 class PieceEncoder:
-    """ids(text), each segment worked out once while it is remembered.
+    """Ids of texts, each segment worked out once while it is remembered.
 
     The model puts a mark before the text and for every space. No piece has the
     mark after another character, so a text falls into segments that begin with
-    marks and are encoded alone. ``path``: the best path by summed scores;
-    otherwise by merges.
+    marks and are encoded alone. ``ways``: by the best path over summed scores
+    (``best_paths``), by merges (``merged``), or both from one lattice.
     """
 
-    def __init__(self, vocabulary: str, path: bool):
-        self.table, self.path = piece_table(vocabulary), path
-        self.seen: dict[str, bytes] = {}
+    def __init__(self, vocabulary: str, *ways):
+        self.table, self.ways = piece_table(vocabulary), ways
+        self.seen: list[dict[str, bytes]] = [{} for _ in ways]
 
     def _learn(self, words: list[str]) -> None:
-        table = self.table
         for length, at in by_length(words).items():
-            for x in range(0, len(at), max(1, min(4096, 400_000 // length))):
-                some = [words[i] for i in at[x : x + max(1, min(4096, 400_000 // length))]]
-                c = codes(some, length)
-                if self.path:
-                    cuts = []
-                    for row in best_paths(table, c).tolist():
-                        j, starts = length, []
-                        while j:
-                            j -= row[j]
-                            starts.append(j)
-                        cuts.append(starts[::-1])
-                else:
-                    cuts = [s.tolist() for s in merged(table, c)]
-                for w, starts in zip(some, cuts, strict=True):
-                    ids = []
-                    for a, b in zip(starts, [*starts[1:], length], strict=True):
-                        i = table.model.piece_to_id(w[a:b])
-                        if i != table.unknown:
-                            ids.append(i)
-                        else:
-                            ids += [table.bytes[y] for y in w[a:b].encode("utf-8", "replace")] if table.bytes else [i]
-                    self.seen[w] = np.array(ids, "<u4").tobytes()
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.seen) > _MEMORY:
-            self.seen.clear()
+            step = max(1, min(4096, 200_000 // length))
+            for x in range(0, len(at), step):
+                some = [words[i] for i in at[x : x + step]]
+                lattice = _stack(self.table.lattice(codes(some, length)), len(some), length)
+                for seen, way in zip(self.seen, self.ways, strict=True):
+                    seen.update(zip(some, _ids(self.table, some, lattice, way(self.table, lattice)), strict=True))
+
+    def batch(self, texts: list[str]) -> list[list[bytes]]:
+        """For each way the ids of each text."""
+        if len(self.seen[0]) > _MEMORY:
+            for seen in self.seen:
+                seen.clear()
         flat: list[str] = []
         ends = []
         for t in texts:
             if t:
                 flat += _SEGMENT.findall("▁" + t.replace(" ", "▁"))
             ends.append(len(flat))
-        got = list(map(self.seen.get, flat))
-        if None in got:
-            gaps = [i for i, x in enumerate(got) if x is None]
-            self._learn(sorted({flat[i] for i in gaps}))
-            for i in gaps:
-                got[i] = self.seen[flat[i]]
-        return [b"".join(got[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+        unseen = set(flat).difference(self.seen[0])
+        if unseen:
+            self._learn(sorted(unseen))
+        out = []
+        for seen in self.seen:
+            got = list(map(seen.__getitem__, flat))
+            out.append([b"".join(got[a:b]) for a, b in zip([0, *ends], ends, strict=False)])
+        return out
+
+
+@lru_cache(maxsize=4)
+def _encoder(vocabulary: str, *ways) -> PieceEncoder:
+    return PieceEncoder(vocabulary, *ways)
 
 
 class PieceDecoder:
@@ -135,15 +151,17 @@ class PieceDecoder:
 
     def __init__(self, vocabulary: str):
         self.table = piece_table(vocabulary)
-        self.byte = np.full(self.table.size, -1)
+        self.byte, self.names = np.full(self.table.size, -1), [*self.table.pieces]
         for y, i in self.table.bytes.items():
             self.byte[i] = y
+            if y < 128:
+                self.names[i] = chr(y)
 
     def __call__(self, raw: bytes) -> str:
         ids = np.frombuffer(raw, "<u4")
         byte = self.byte[ids]
-        pieces, names = [], self.table.pieces
-        if (byte < 0).all():
+        pieces, names = [], self.names
+        if (byte < 128).all():
             pieces = map(names.__getitem__, ids.tolist())
         else:
             edges = np.flatnonzero(np.diff(byte < 0)) + 1
@@ -168,11 +186,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, v
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(vocabulary, path)
+        encoder = _encoder(vocabulary, best_paths if path else merged)
         for b in batches:
             texts = texts_of(b.column(1))
             for x in range(0, len(texts), 256):
-                yield batch(_ENCODED, doc_id=b.column(0).slice(x, 256), ids=encoder.batch(texts[x : x + 256]))
+                yield batch(_ENCODED, doc_id=b.column(0).slice(x, 256), ids=encoder.batch(texts[x : x + 256])[0])
 
     return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
@@ -198,12 +216,12 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = PieceDecoder(vocabulary)
-        by_path, by_merges = PieceEncoder(vocabulary, True), PieceEncoder(vocabulary, False)
+        encoder = _encoder(vocabulary, best_paths, merged)
         for b in batches:
             texts = texts_of(b.column(1))
             for x in range(0, len(texts), 256):
                 some = texts[x : x + 256]
-                one, two = by_path.batch(some), by_merges.batch(some)
+                one, two = encoder.batch(some)
                 same = [[decoder(ids) == t.replace("▁", " ") for ids, t in zip(way, some, strict=True)] for way in (one, two)]
                 yield batch(schema, doc_id=b.column(0).slice(x, 256), path_ids=one, merge_ids=two, path_same=same[0], merge_same=same[1])
 

@@ -11,6 +11,7 @@ from pitmark.operators.scratch import shared_folder
 from pitmark.plans.event_queries import reliability, rounded
 from pitmark.plans.rank_queries import POLICY, roles
 from pitmark.plans.registry import BODIES, query
+from pitmark.plans.temporal_queries import FIRST, LAST
 from pitmark.plans.views import Views
 from pitmark.sources import contracts as S
 from pitmark.streaming import streams as T
@@ -78,21 +79,28 @@ def _(v: Views):
     return _run(v, T.dedupe_events(_events(v)), "dedupe").groupBy("security_code", "content_hash").agg(F.count("*").alias("kept"))
 
 
-@query("t2_stream_event_counts")
+def _civil(df):
+    """Window bounds without a zone, as the tables have their times."""
+    return df.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("end", F.col("end").cast("timestamp_ntz"))
+
+
+# a window is out once the watermark, the latest time less a day, has passed its end
+@query("t2_stream_event_counts", """SELECT security_code, s "start", s + INTERVAL 7 DAY "end", count(*) events, count(*) FILTER (event_type = 'click') social, count(*) FILTER (event_type = 'purchase') official FROM (SELECT CAST(user_id % 20 AS VARCHAR) security_code, event_type, CAST(date_trunc('day', ts) - to_days(CAST(k AS INT)) AS TIMESTAMP) s FROM events, range(0, 7) t(k)) GROUP BY 1, 2 HAVING s + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
 def _(v: Views):
-    return _run(v, T.event_counts(_events(v)), "counts")
+    return _civil(_run(v, T.event_counts(_events(v)), "counts"))
 
 
 def _rocks(v: Views):
     v.spark.conf.set("spark.sql.streaming.stateStore.providerClass", T.STATE_STORE)
 
 
-@query("t3_stream_status_intervals")
+@query("t3_stream_status_intervals", f"""SELECT security_code, 'INTERVAL' kind, status, CAST(NULL AS VARCHAR) event_type, effective_from, effective_to FROM st WHERE effective_to < DATE '{LAST}' UNION ALL SELECT security_code, 'ERROR', prev, ev, since, since FROM st_steps WHERE k > 0 AND NOT ok""")
 def _(v: Views):
     _rocks(v)
-    event = F.when(F.col("o_orderpriority").startswith("2"), "RESUME").when(F.col("o_orderpriority").startswith("3"), "DELIST").when(F.col("o_orderpriority").startswith("4"), "RELIST").otherwise("SUSPEND")
-    n = _stream(v, "orders").select(F.col("o_custkey").cast("string").alias("security_code"), F.to_date("o_orderdate").alias("effective_date"), F.col("o_orderkey").alias("notice_id"), event.alias("event_type"))
-    return _run(v, T.status_intervals(n), "status")
+    at = spot(v, "notices")
+    v.notices().write.parquet(at)
+    out = _run(v, T.status_intervals(T.read_stream(v.spark, at), first=FIRST), "status")
+    return out.withColumn("event_type", F.when(F.col("kind") == "ERROR", F.col("event_type")))
 
 
 @query("t4_stream_chain_check", "SELECT ledger_id, seq, 'PREVIOUS_HASH_BREAK' code FROM ledger WHERE ledger_id % 11 = 0 AND seq = 2")
@@ -103,9 +111,10 @@ def _(v: Views):
     return _run(v, T.chain_check(T.read_stream(v.spark, at)), "chain")
 
 
-@query("t5_stream_attempt_sessions")
+@query("t5_stream_attempt_sessions", """WITH g AS (SELECT user_id route_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(n) OVER (PARTITION BY route_id ORDER BY ts ROWS UNBOUNDED PRECEDING) k FROM g)
+    SELECT route_id, min(ts) "start", max(ts) + INTERVAL 6 HOUR "end", count(*) attempts FROM s GROUP BY route_id, k HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
 def _(v: Views):
-    return _run(v, T.attempt_sessions(_events(v)), "sessions")
+    return _civil(_run(v, T.attempt_sessions(_events(v)), "sessions"))
 
 
 @query("t6_incremental_run", "SELECT user_id % 10 source_id, count(*) n FROM events WHERE user_id % 10 > 4 OR ts > TIMESTAMP '2024-01-15' GROUP BY 1")

@@ -20,6 +20,21 @@ def fold(key: str, parts: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % parts
 
 
+def hashed(key: str, salt: int = 0) -> Column:
+    """A number below 2**40 that stands for the key."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1 << 40))
+
+
+def share_for(n: int, total: int) -> int:
+    """A bound of ``hashed`` that about 4 n of ``total`` keys lie below: the n smallest are among them."""
+    return (1 << 40) if total <= 4 * n else (1 << 40) * 4 * n // total
+
+
+def smallest(df: DataFrame, key: str, n: int, total: int, salt: int = 0) -> DataFrame:
+    """The n rows with the smallest hash of their key; what any task sorts or sends is bounded by a few n in all."""
+    return df.where(hashed(key, salt) < share_for(n, total)).orderBy(hashed(key, salt), key).limit(n)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand Python at most ``rows`` rows at once: whole texts can be long."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:

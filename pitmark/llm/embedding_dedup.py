@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitmark.llm.common import batch, contract
+from pitmark.llm.common import batch, contract, smallest
 from pitmark.llm.vectors import as_doubles, matrix, unit, usable
 from pitmark.operators.components import components
 from pitmark.operators.scratch import materialise
@@ -111,7 +111,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
         links = n_links = None
     else:
         width = -(-width // 4) * 4
-        taken = classes.select("rep", "v").orderBy(F.xxhash64("rep"), "rep", "v").limit(sample).toArrow()
+        taken = smallest(classes.select("rep", "v"), "rep", sample, n).toArrow()
         quantiser = Quantiser.fit(unit(matrix(taken["v"].combine_chunks(), width)), min(cells or min(1024, max(1, round(n**0.5 / 8))), taken.num_rows))
         shared = classes.sparkSession.sparkContext.broadcast(quantiser)
         reach = float(np.sqrt(2 - 2 * cosine))

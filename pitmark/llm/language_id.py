@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pitmark.llm.common import annotate, batch, texts_of
+from pitmark.llm.common import annotate, batch, hashed, share_for, texts_of
 from pitmark.llm.pieces import PieceTable, by_length, codes, piece_table
 
 #: Longer words are cut here, so that products of probabilities stay within a double.
@@ -144,9 +144,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     docs = docs.where("id is not null and lang is not null and text is not null")
     if where is not None:
         docs = docs.where(where)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    names = sorted(r[0] for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect())
-    chosen = docs.where(F.col("lang").isin(names)).select("lang", "id").withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "id").distinct()
+    sizes = dict(docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect())
+    names = sorted(sizes)
+    # ids that can't be among the smallest stay behind, or one language's would all meet in a task
+    bound = F.coalesce(*[F.when(F.col("lang") == x, share_for(per_language, n)) for x, n in sizes.items()], F.lit(0))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(hashed("id"), "id"))
+    chosen = docs.where(hashed("id") < bound).select("lang", "id").withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "id").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}

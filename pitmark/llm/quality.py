@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitmark.llm.common import annotate, batch, texts_of
+from pitmark.llm.common import annotate, batch, hashed, share_for, smallest, texts_of
 
 #: Buckets of word shapes, and counts about the whole text.
 SHAPES, STATS = 256, 10
@@ -142,11 +142,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if where is not None:
         labels, docs = labels.where(where), docs.where(where)
     marked = labels.groupBy("id").agg(F.min("y").alias("y"))
-    share = marked.agg(F.avg("y")).first()[0]
+    share, plus_rows, rows = *marked.agg(F.avg("y"), F.sum("y")).first(), docs.count()
     prior = 0.5 if share is None else min(0.98, max(0.02, share))
-    by_hash = F.xxhash64(F.col("id"), F.lit(11))
-    plus = marked.where("y = 1").select("id").orderBy(by_hash, "id").limit(positives)
-    any_ = docs.select("id").distinct().orderBy(by_hash, "id").limit(unlabelled)
+    plus = smallest(marked.where("y = 1").select("id"), "id", positives, plus_rows or 0, 11)
+    any_ = smallest(docs.where(hashed("id", 11) < share_for(unlabelled, rows)).select("id").distinct(), "id", unlabelled, 0, 11)
     # two bounded lists of ids
     chosen = plus.withColumn("positive", F.lit(True)).unionByName(any_.withColumn("positive", F.lit(False)))
 

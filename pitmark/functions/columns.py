@@ -6,7 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Public suffixes of two labels that count as one.
-TWO_LABEL_SUFFIXES = ("co.uk", "com.kw", "com.sa", "gov.kw", "org.kw", "edu.kw", "net.kw", "com.bh", "com.qa", "com.om")
+TWO_LABEL_SUFFIXES = (
+    "ac.uk", "co.in", "co.jp", "co.nz", "co.uk", "com.au", "com.bh", "com.cn", "com.kw",
+    "com.om", "com.qa", "com.sa", "com.tr", "edu.kw", "gov.kw", "net.kw", "org.kw", "org.uk",
+)
+#: Words of a company name that mean the same, and those that say nothing.
+NAME_ALIASES = {"CO": "COMPANY", "CORP": "COMPANY", "CORPORATION": "COMPANY", "TELECOM": "TELECOMMUNICATIONS"}
+NAME_IGNORED = ("THE", "KSC", "KSCP", "KPSC", "PUBLIC", "SHAREHOLDING", "CLOSED")
+#: Query keys that carry a credential, compared without case, hyphens and underscores.
+CREDENTIAL_KEYS = (
+    "accesstoken", "apikey", "auth", "authorization", "awsaccesskeyid", "bearer", "clientsecret", "code", "cookie",
+    "googleaccessid", "jwt", "oauthtoken", "password", "passwd", "session", "sessionid", "sig", "signature", "token",
+)
+#: Parts of feature names that tell the future or the label.
+FUTURE_TOKENS = ("future_", "forward_", "outcome", "target_hit", "realized_", "label_", "t_plus_")
 
 
 def isin_is_valid(isin: Column) -> Column:
@@ -30,9 +43,16 @@ def registrable_domain(name: Column) -> Column:
 
 
 def name_tokens(name: Column) -> Column:
-    """Upper-case words of a company name without legal forms."""
+    """Distinct upper-case words of a company name, aliases resolved, without those that say nothing."""
     words = F.split(F.trim(F.regexp_replace(F.upper(name), "[^A-Z0-9]+", " ")), " +")
-    return F.array_distinct(F.filter(words, lambda w: ~w.isin("", "CO", "COMPANY", "KSC", "KSCP", "KSCC", "THE", "PLC", "LTD")))
+    alias = F.create_map(*[F.lit(x) for p in NAME_ALIASES.items() for x in p])
+    return F.array_distinct(F.transform(F.filter(words, lambda w: ~w.isin("", *NAME_IGNORED)), lambda w: F.coalesce(F.try_element_at(alias, w), w)))
+
+
+def credential_keys(url: Column) -> Column:
+    """True if a query key of the address can carry a credential."""
+    keys = F.transform(F.regexp_extract_all(url, F.lit("[?&]([^=&#]+)="), F.lit(1)), lambda k: F.translate(F.lower(k), "-_", ""))
+    return F.exists(keys, lambda k: k.isin(*CREDENTIAL_KEYS) | k.rlike("^x(amz|goog)|accesstoken|clientsecret|(token|secret|credential|signature)$"))
 
 
 def names_compatible(a: Column, b: Column) -> Column:

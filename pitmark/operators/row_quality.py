@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pitmark.functions.columns import codes, folded, host
+from pitmark.functions.columns import FUTURE_TOKENS, codes, credential_keys, folded, host
 
 
 def with_codes(df: DataFrame, key: Sequence[str], *rules: tuple[Column, str]) -> DataFrame:
@@ -42,10 +43,10 @@ def state_activity_violations(bars: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def vocabulary_violations(df: DataFrame, key: Sequence[str], enums: Mapping[str, Sequence[str]], patterns: Mapping[str, str], placeholders: Sequence[str] = ("TODO", "TBD", "PLACEHOLDER", "EXAMPLE")) -> DataFrame:
+def vocabulary_violations(df: DataFrame, key: Sequence[str], enums: Mapping[str, Sequence[str]], patterns: Mapping[str, str], placeholders: Sequence[str] = ("{{", "${", "<%")) -> DataFrame:
     rules = [(~F.coalesce(F.col(c).isin(*v), F.lit(False)), f"{c.upper()}_NOT_IN_ENUM") for c, v in enums.items()]
     rules += [(~F.coalesce(F.col(c).rlike(p), F.lit(False)), f"{c.upper()}_PATTERN") for c, p in patterns.items()]
-    rules += [(F.upper(F.col(c)).rlike("|".join(placeholders)), f"{c.upper()}_PLACEHOLDER") for c in patterns]
+    rules += [(reduce(lambda a, x, c=c: a | F.contains(F.col(c), F.lit(x)), placeholders, F.lit(False)), f"{c.upper()}_PLACEHOLDER") for c in patterns]
     return with_codes(df, key, *rules)
 
 
@@ -173,7 +174,7 @@ def parse_vendor_numbers(df: DataFrame, volume: str, percent: str, date: str) ->
 
 def forbidden_feature_names(df: DataFrame, column: str) -> DataFrame:
     """Names that tell the future or the label."""
-    return df.where(F.lower(column).rlike(r"^future_|_future$|outcome|t_plus_|(^|_)label($|_)|target_return|next_(day|session)"))
+    return df.where(F.lower(column).rlike("|".join(FUTURE_TOKENS)))
 
 
 def unsafe_urls(df: DataFrame, url: str, key: Sequence[str]) -> DataFrame:
@@ -184,7 +185,7 @@ def unsafe_urls(df: DataFrame, url: str, key: Sequence[str]) -> DataFrame:
         (u.rlike("^[a-z]+://[^/?#]*@"), "USERINFO"),
         (u.contains("#"), "FRAGMENT"),
         (u.rlike("^[a-z]+://[^/?#]*:[0-9]+"), "PORT"),
-        (u.rlike("[?&](token|api_?key|password|secret|auth|signature|access_token)="), "CREDENTIAL_QUERY_KEY"),
+        (credential_keys(u), "CREDENTIAL_QUERY_KEY"),
     )
 
 

@@ -95,7 +95,7 @@ def _(v: Views):
     return J.delisting_checks(d, F.lit("2000-06-30").cast("date"))
 
 
-@query("j11_name_compatible", """WITH t AS (SELECT p_partkey, list_distinct(list_filter(string_split(upper(p_name || ' Co.'), ' '), lambda x: x NOT IN ('', 'CO.'))) a, list_distinct(list_filter(string_split(upper(p_type || ' ' || p_name), ' '), lambda x: x <> '')) b FROM part)
+@query("j11_name_compatible", """WITH t AS (SELECT p_partkey, list_distinct(list_filter(string_split(upper(p_name || ' Company'), ' '), lambda x: x <> '')) a, list_distinct(list_filter(string_split(upper(p_type || ' ' || p_name), ' '), lambda x: x <> '')) b FROM part)
     SELECT p_partkey, len(list_intersect(a, b)) >= 0.8 * least(len(a), len(b)) compatible FROM t""")
 def _(v: Views):
     p = v.table("part")

@@ -6,14 +6,18 @@ states, not through rows left out.
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmark.operators import coverage as K
 from pitmark.operators import events as E
 from pitmark.operators import ranking as R
 from pitmark.operators import row_quality as Q
+from pitmark.plans import stream_queries  # noqa: F401  (registers s6)
 from pitmark.plans.rank_queries import cut
-from pitmark.plans.registry import BODIES, query
+from pitmark.plans.registry import BODIES, BUILDS, query
 from pitmark.plans.views import SQL, Views
 
 SQL["attempts_varied"] = """SELECT * REPLACE (CASE source_id WHEN 8 THEN 'COMPLETE' WHEN 9 THEN 'FAILED' ELSE CASE WHEN state = 'COMPLETE' AND source_id < 4 AND route_id % 7 = 0 THEN 'RETRY' ELSE state END END AS state) FROM attempts"""
@@ -67,3 +71,25 @@ def _(v: Views):
     k = F.col("o_orderkey")
     c = v.table("orders").select(F.col("o_orderstatus").alias("run_id"), k.cast("string").alias("security_code"), k.alias("rank"), (F.col("o_totalprice") / 4800).alias("score"), F.when(k % 5 == 0, 0.5).alias("probability"), F.when(k % 2 == 0, "RESEARCH_CANDIDATE").otherwise("WATCH").alias("status"), F.when(k % 7 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("reasons"), (k % 11 == 0).alias("selected"))
     return R.candidate_contract_violations(c)
+
+
+class LanguageViews(Views):
+    """Findings blocked by language alone, as FIXTURES.md has them: copies meet whatever their ids."""
+
+    def findings(self) -> DataFrame:
+        directions = F.array(F.lit("POSITIVE"), F.lit("NEGATIVE"), F.lit("NEUTRAL"))
+        return super().findings().withColumn("security_code", F.col("lang")).withColumn("direction", F.element_at(directions, (F.col("finding_id") % 3 + 1).cast("int")))
+
+
+SQL["findings_lang"] = "SELECT * REPLACE (lang AS security_code, ['POSITIVE', 'NEGATIVE', 'NEUTRAL'][finding_id % 3 + 1] AS direction) FROM findings"
+_BLOCKED = ("toks", "near", "clusters", "reps", "roled")
+
+
+def _by_language(sql: str) -> str:
+    return re.sub(rf"\b(findings|{'|'.join(_BLOCKED)})\b", r"\1_lang", sql)
+
+
+SQL |= {f"{name}_lang": _by_language(SQL[name]) for name in _BLOCKED}
+
+for _name in ("e7_near_duplicate_pairs", "e8_claim_clusters", "e9_cluster_representative", "k5_role_coverage_by_security", "r2_mosaic_rank", "s6_export_projection"):
+    query(f"{_name}_by_language", _by_language(BODIES[_name]))(lambda v, build=BUILDS[_name]: build(LanguageViews(v.spark, v.sf_dir)))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitmark.plans import catalogue
+from pitmark.plans.whole_queries import LanguageViews
 from test_oracles import SF, duck, plain  # noqa: F401
 
 RESIDUES = ["k8_attempt_rollup", "k9_advance_watermarks", "k14_capture_state_rollup", "q18_fold_evidence_class", "e5_fold_fact_status", "r9_candidate_contract"]
@@ -34,3 +35,22 @@ def test_no_row_is_left_out(spark):
     assert {r.evidence_class for r in q("q18_fold_evidence_class_whole").collect()} >= {"error", "click", "view"}
     assert q("e5_fold_fact_status_whole").count() == e.select(F.regexp_extract("props", r"(\d+)", 1)).distinct().count()
     assert q("r9_candidate_contract_whole").where("cast(security_code as long) % 3 <> 0").count() > 0
+
+
+@pytest.mark.parametrize("name", ["e7_near_duplicate_pairs", "e8_claim_clusters", "e9_cluster_representative", "k5_role_coverage_by_security", "r2_mosaic_rank", "s6_export_projection"])
+def test_blocked_by_language(spark, duck, name):  # noqa: F811
+    agrees(spark, duck, f"{name}_by_language")
+
+
+def test_copies_meet_across_residues(spark, tmp_path):
+    """Copies of one kind and direction, whose ids leave different rests by 5."""
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(0, text), (12, text), (24, text + " thirteen"), (36, "quite other words that have nothing in common with these sentences"), (1, text), (2, text)]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    f = LanguageViews(spark, str(tmp_path)).findings()
+    assert {(r.finding_id, r.security_code, r.direction) for r in f.collect()} >= {(0, "en", "POSITIVE"), (1, "en", "NEGATIVE"), (2, "en", "NEUTRAL")}
+    q = lambda name: catalogue.QUERIES[name](spark, str(tmp_path))
+    near = lambda df: sorted((r.a, r.b) for r in df.where("why = 'claim_text'").collect())
+    assert near(q("e7_near_duplicate_pairs_by_language")) == [(0, 12), (0, 24), (12, 24)]
+    assert near(q("e7_near_duplicate_pairs")) == []
+    assert {r.finding_id: r.cluster for r in q("e8_claim_clusters_by_language").collect()} == {0: 0, 12: 0, 24: 0, 36: 36, 1: 1, 2: 2}

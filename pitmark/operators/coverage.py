@@ -11,6 +11,9 @@ from pyspark.sql.window import Window
 from pitmark.functions.columns import codes, host, registrable_domain
 from pitmark.operators.row_quality import denominator_gap, with_codes
 
+#: Dispositions after which the next strategy of a route is tried.
+NEXT_STRATEGY = ("NEXT_EMPTY_STRATEGY", "NEXT_STRATEGY_AFTER_TRANSIENT_EXHAUSTED", "NEXT_REJECTED_STRATEGY")
+
 
 def qualify_observations(observations: DataFrame, decision: Column, max_age_hours: float) -> DataFrame:
     """Status after the age check, whether the observation contributes, and what is incoherent about it.
@@ -79,6 +82,48 @@ def attempt_rollup(routes: DataFrame) -> DataFrame:
     return g.withColumn("status", F.when(F.col("complete") == F.col("routes"), "COMPLETE").when(F.col("failed") == F.col("routes"), "FAILED").otherwise("PARTIAL"))
 
 
+def route_violations(attempts: DataFrame) -> DataFrame:
+    """Attempts out of turn: a route begins at one and one, and each next attempt is what the disposition before it allows.
+
+    ``interrupted`` is true on the attempts of a route that was cut off and may end anywhere.
+    """
+    w = Window.partitionBy("route_id").orderBy("ts", "event_id")
+    before = lambda c: F.lag(c).over(w)
+    first_name = F.first("strategy_id").over(Window.partitionBy("route_id", "strategy_ordinal").orderBy("ts", "event_id"))
+    a = attempts.select("*", before("strategy_ordinal").alias("s0"), before("attempt_ordinal").alias("a0"), before("retry_disposition").alias("d0"), F.row_number().over(w).alias("nth"), F.lead("event_id").over(w).isNull().alias("last"), first_name.alias("first_name"))
+    s, n, d, later = F.col("strategy_ordinal"), F.col("attempt_ordinal"), F.col("retry_disposition"), F.col("nth") > 1
+    open_end = (d == "RETRY_TRANSIENT") | (d.isin(*NEXT_STRATEGY) & (s < 4))
+    return with_codes(
+        a, ["route_id", "event_id"],
+        (~later & ((s != 1) | (n != 1)), "BEGINS_PAST_ONE"), (F.col("strategy_id") != F.col("first_name"), "STRATEGY_ORDINAL_REUSED"),
+        (later & (s == F.col("s0")) & (~F.col("d0").eqNullSafe("RETRY_TRANSIENT") | (n != F.col("a0") + 1)), "RETRY_CONTRADICTS_DISPOSITION"),
+        (later & (s == F.col("s0") + 1) & (~F.coalesce(F.col("d0").isin(*NEXT_STRATEGY), F.lit(False)) | (n != 1)), "TRANSITION_CONTRADICTS_DISPOSITION"),
+        (later & (s != F.col("s0")) & (s != F.col("s0") + 1), "STRATEGIES_NOT_CONTIGUOUS"), (F.col("last") & ~F.coalesce("interrupted", F.lit(False)) & open_end, "ENDS_ON_OPEN_DISPOSITION"),
+    )
+
+
+def zero_result_routes(attempts: DataFrame) -> DataFrame:
+    """Per route whether a zero result is proven: the last attempts of strategies 1 to 4 are all empty, with four distinct proofs and addresses."""
+    last = F.row_number().over(Window.partitionBy("route_id", "strategy_ordinal").orderBy(F.desc("ts"), F.desc("event_id")))
+    empty = (F.col("retry_disposition") == "NEXT_EMPTY_STRATEGY") & (F.col("state") == "AVAILABLE") & (F.col("query_status") == "ZERO_RESULT") & F.col("zero_result") & (F.col("qualified_items") == 0) & F.col("content_persisted") & (F.size("data_quality_flags") == 0) & (F.col("proof_sha256") == F.col("content_sha256"))
+    a = attempts.withColumn("back", last).where("back = 1").withColumn("empty", F.coalesce(empty, F.lit(False)) & F.col("strategy_ordinal").between(1, 4))
+    of = lambda c: F.count_distinct(F.when(F.col("empty"), F.col(c)))
+    return a.groupBy("route_id").agg(((of("strategy_ordinal") == 4) & (of("proof_sha256") == 4) & (of("final_url") == 4)).alias("zero_complete"))
+
+
+def wave_rollup(waves: DataFrame, sources: DataFrame) -> DataFrame:
+    """Sources to waves: complete if every planned source is, degraded otherwise, empty without one; ``waves`` holds wave_id and planned source_id, or null."""
+    j = waves.join(sources.select("source_id", "status"), "source_id", "left")
+    g = j.groupBy("wave_id").agg(F.count("source_id").alias("sources"), F.count(F.when(F.col("status") == "COMPLETE", 1)).alias("complete"))
+    return g.withColumn("status", F.when(F.col("sources") == 0, "EMPTY").when(F.col("complete") == F.col("sources"), "COMPLETE").otherwise("DEGRADED"))
+
+
+def run_rollup(sources: DataFrame) -> DataFrame:
+    """One row: sources, those complete, and the run's status, failed without a source."""
+    g = sources.agg(F.count("*").alias("sources"), F.count(F.when(F.col("status") == "COMPLETE", 1)).alias("complete"))
+    return g.withColumn("status", F.when(F.col("sources") == 0, "FAILED").when(F.col("complete") == F.col("sources"), "COMPLETE").otherwise("DEGRADED"))
+
+
 def advance_watermarks(initial: DataFrame, sources: DataFrame, decision: Column) -> DataFrame:
     """A complete source moves to the decision time; any other keeps what it had."""
     j = initial.join(sources.select("source_id", "status"), "source_id", "full_outer")

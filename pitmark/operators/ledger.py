@@ -11,13 +11,23 @@ from pitmark.operators.row_quality import with_codes
 
 
 def chain_violations(events: DataFrame, own_hash=None) -> DataFrame:
-    """Gaps in the sequence, links that do not match the event before, and own hashes that differ when recomputed."""
+    """Gaps in the sequence, links that do not match the event before, own hashes that differ when recomputed, and times out of order.
+
+    Times are judged where the events have them: recorded_at does not go back,
+    and neither it nor effective_at is before issued_at.
+    """
     w = Window.partitionBy("ledger_id").orderBy("seq")
     e = events.withColumn("before", F.lag("event_hash").over(w)).withColumn("seq_before", F.lag("seq").over(w))
     rules = [
         (F.col("seq") != F.coalesce(F.col("seq_before"), F.lit(0)) + 1, "SEQUENCE_GAP"), ((F.col("seq") == 1) & F.col("previous_hash").isNotNull(), "FIRST_HAS_PREVIOUS"),
         ((F.col("seq") > 1) & ~F.col("previous_hash").eqNullSafe(F.col("before")), "PREVIOUS_HASH_BREAK"),
     ]
+    if "recorded_at" in events.columns:
+        e = e.withColumn("at_before", F.lag("recorded_at").over(w))
+        wrong = [F.col("recorded_at") < F.col("at_before")]
+        if "issued_at" in events.columns:
+            wrong += [F.col(c) < F.col("issued_at") for c in ("recorded_at", "effective_at") if c in events.columns]
+        rules.append((F.greatest(*[F.coalesce(x, F.lit(False)) for x in wrong]) if len(wrong) > 1 else wrong[0], "TIME_ORDER"))
     return with_codes(e, ["ledger_id", "seq"], *rules, *([(F.col("event_hash") != own_hash, "OWN_HASH_MISMATCH")] if own_hash is not None else []))
 
 

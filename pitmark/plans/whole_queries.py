@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pitmark.operators import coverage as K
 from pitmark.operators import events as E
+from pitmark.operators import ledger as L
+from pitmark.operators import market as A
 from pitmark.operators import ranking as R
 from pitmark.operators import row_quality as Q
 from pitmark.plans import stream_queries  # noqa: F401  (registers s6)
@@ -93,3 +95,38 @@ SQL |= {f"{name}_lang": _by_language(SQL[name]) for name in _BLOCKED}
 
 for _name in ("e7_near_duplicate_pairs", "e8_claim_clusters", "e9_cluster_representative", "k5_role_coverage_by_security", "r2_mosaic_rank", "s6_export_projection"):
     query(f"{_name}_by_language", _by_language(BODIES[_name]))(lambda v, build=BUILDS[_name]: build(LanguageViews(v.spark, v.sf_dir)))
+
+
+@query("k8_wave_rollup", """SELECT s % 3 wave_id, count(*) sources, count(*) FILTER (status = 'COMPLETE') complete, CASE WHEN count(*) FILTER (status = 'COMPLETE') = count(*) THEN 'COMPLETE' ELSE 'DEGRADED' END status FROM (SELECT unnest(range(10)) s) LEFT JOIN src_whole ON source_id = s WHERE s < 9 GROUP BY 1""")
+def _(v: Views):
+    waves = v.spark.range(9).select((F.col("id") % 3).alias("wave_id"), F.col("id").alias("source_id"))
+    return K.wave_rollup(waves, K.attempt_rollup(K.attempt_routes(attempts(v))))
+
+
+@query("k8_run_rollup", """SELECT count(*) sources, count(*) FILTER (status = 'COMPLETE') complete, CASE WHEN count(*) = 0 THEN 'FAILED' WHEN count(*) FILTER (status = 'COMPLETE') = count(*) THEN 'COMPLETE' ELSE 'DEGRADED' END status FROM src_whole""")
+def _(v: Views):
+    return K.run_rollup(K.attempt_rollup(K.attempt_routes(attempts(v))))
+
+
+@query("k14_batch_state", f"""SELECT CASE WHEN bool_and(state = 'AVAILABLE') THEN 'COMPLETE' WHEN bool_or(state IN ('AVAILABLE', 'PARTIAL')) THEN 'DEGRADED' ELSE 'FAILED' END batch_state FROM ({BODIES["k14_capture_state_rollup_whole"]})""")
+def _(v: Views):
+    return K.batch_state(BUILDS["k14_capture_state_rollup_whole"](v))
+
+
+@query("a9_packet_status", f"""SELECT CASE WHEN bool_or(status = 'BLOCKED') THEN 'BLOCKED' WHEN bool_or(status = 'PARTIAL') THEN 'PARTIAL' ELSE 'PASS' END overall FROM ({BODIES["a9_gate_matrix"]})""")
+def _(v: Views):
+    return A.packet_status(BUILDS["a9_gate_matrix"](v))
+
+
+SQL["sealed"] = """SELECT conv_id ledger_id, coalesce(text, '') t, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, coalesce(text, '')) seq FROM conversations"""
+
+
+@query("l1_chain_own_hash_and_time", """SELECT ledger_id, seq, unnest(list_filter([CASE WHEN ledger_id % 11 = 0 AND seq = 2 THEN 'PREVIOUS_HASH_BREAK' END, CASE WHEN ledger_id % 13 = 0 AND seq = 3 THEN 'TIME_ORDER' END, CASE WHEN ledger_id % 7 = 0 AND seq = 2 THEN 'OWN_HASH_MISMATCH' END], lambda x: x IS NOT NULL)) code FROM sealed""")
+def _(v: Views):
+    """The chain with own hashes made anew from the text, which every seventh ledger's second event has had changed, and times, one of them dated back."""
+    k, n = F.col("ledger_id"), F.col("seq")
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", F.coalesce("text", F.lit("")))
+    texts = v.table("conversations").select(F.col("conv_id").alias("ledger_id"), F.row_number().over(w).alias("seq"), F.coalesce("text", F.lit("")).alias("text"))
+    now = F.concat("text", F.when((k % 7 == 0) & (n == 2), "changed").otherwise(""))
+    e = v.ledger().join(texts.withColumn("text", now), ["ledger_id", "seq"]).withColumn("recorded_at", F.when((k % 13 == 0) & (n == 3), 0).otherwise(n))
+    return L.chain_violations(e, F.sha2(F.concat_ws("|", k.cast("string"), "text"), 256))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pitmark.operators import coverage, ledger
 from pitmark.plans import catalogue
 from pitmark.plans.whole_queries import LanguageViews
 from test_oracles import SF, duck, plain  # noqa: F401
@@ -54,3 +55,37 @@ def test_copies_meet_across_residues(spark, tmp_path):
     assert near(q("e7_near_duplicate_pairs_by_language")) == [(0, 12), (0, 24), (12, 24)]
     assert near(q("e7_near_duplicate_pairs")) == []
     assert {r.finding_id: r.cluster for r in q("e8_claim_clusters_by_language").collect()} == {0: 0, 12: 0, 24: 0, 36: 36, 1: 1, 2: 2}
+
+
+@pytest.mark.parametrize("name", ["k8_wave_rollup", "k8_run_rollup", "k14_batch_state", "a9_packet_status", "l1_chain_own_hash_and_time"])
+def test_rollups_and_chains(spark, duck, name):  # noqa: F811
+    got = agrees(spark, duck, name)
+    assert got and (name != "l1_chain_own_hash_and_time" or {r[0] for r in got} == {"OWN_HASH_MISMATCH", "PREVIOUS_HASH_BREAK", "TIME_ORDER"})
+
+
+def test_chain_times(spark):
+    rows = [("a", 1, None, "h1", 5, 4, 4), ("a", 2, "h1", "h2", 4, 4, 4), ("a", 3, "h2", "h3", 6, 7, 7), ("a", 4, "h3", "h4", 8, 8, 7)]
+    e = spark.createDataFrame(rows, "ledger_id string, seq int, previous_hash string, event_hash string, recorded_at int, issued_at int, effective_at int")
+    assert sorted((r.seq, r.code) for r in ledger.chain_violations(e).collect()) == [(2, "TIME_ORDER"), (3, "TIME_ORDER"), (4, "TIME_ORDER")]
+
+
+ATTEMPT = "route_id string, event_id int, ts int, strategy_ordinal int, strategy_id string, attempt_ordinal int, retry_disposition string, interrupted boolean"
+
+
+def test_route_violations(spark):
+    nxt, again = "NEXT_EMPTY_STRATEGY", "RETRY_TRANSIENT"
+    rows = {
+        "fine": [(1, "s", 1, again), (1, "s", 2, nxt), (2, "t", 1, "STOP_QUALIFIED")], "late": [(2, "t", 1, "STOP_QUALIFIED")], "skip": [(1, "s", 1, nxt), (3, "u", 1, "STOP_QUALIFIED")],
+        "retry": [(1, "s", 1, nxt), (1, "s", 2, "STOP_QUALIFIED")], "next": [(1, "s", 1, again), (2, "t", 1, "STOP_QUALIFIED")], "name": [(1, "s", 1, again), (1, "x", 2, "STOP_QUALIFIED")], "open": [(1, "s", 1, nxt)], "cut": [(1, "s", 1, nxt)],
+    }
+    a = spark.createDataFrame([(k, 10 * i + j, j, *x, k == "cut") for i, (k, v) in enumerate(rows.items()) for j, x in enumerate(v)], ATTEMPT)
+    assert {(r.route_id, r.code) for r in coverage.route_violations(a).collect()} == {
+        ("late", "BEGINS_PAST_ONE"), ("skip", "STRATEGIES_NOT_CONTIGUOUS"), ("retry", "RETRY_CONTRADICTS_DISPOSITION"), ("next", "TRANSITION_CONTRADICTS_DISPOSITION"), ("name", "STRATEGY_ORDINAL_REUSED"), ("open", "ENDS_ON_OPEN_DISPOSITION")}
+
+
+def test_zero_result_proof(spark):
+    def route(name, n=4, proof=str, url=str):
+        return [(name, k, k, k, "NEXT_EMPTY_STRATEGY", "AVAILABLE", "ZERO_RESULT", True, 0, True, [], proof(k), proof(k), url(k)) for k in range(1, n + 1)]
+
+    a = spark.createDataFrame(route("all") + route("three", 3) + route("same", proof=lambda k: "p") + route("url", url=lambda k: "u"), "route_id string, event_id int, ts int, strategy_ordinal int, retry_disposition string, state string, query_status string, zero_result boolean, qualified_items int, content_persisted boolean, data_quality_flags array<string>, proof_sha256 string, content_sha256 string, final_url string")
+    assert {r.route_id: r.zero_complete for r in coverage.zero_result_routes(a).collect()} == {"all": True, "three": False, "same": False, "url": False}

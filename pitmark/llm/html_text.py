@@ -222,7 +222,7 @@ class Page:
     def table(self, node: Node) -> None:
         """Rows on lines, columns as wide as their widest cell; a caption before them."""
         rows: list[list[tuple[list[str], int]]] = []
-        todo = [iter(node.children)]
+        todo, loose = [iter(node.children)], None
         while todo:
             child = next(todo[-1], None)
             if child is None:
@@ -231,26 +231,25 @@ class Page:
                 if child.strip():
                     self.inline(child)
                     self.break_()
+                continue
             elif child.unseen():
                 continue
-            elif child.tag in ("thead", "tbody", "tfoot"):
-                todo.append(iter(child.children))
             elif child.tag == "tr":
-                cells = []
-                for c in child.children:
-                    if isinstance(c, Node) and c.tag in ("td", "th") and not c.unseen():
-                        box = Page()
-                        box.walk(c)
-                        box.break_()
-                        span = c.get("colspan") or ""
-                        cells.append((box.lines, min(100, int(span)) if re.fullmatch(r"[1-9]\d{0,3}", span) else 1))
-                    elif isinstance(c, str):
-                        if c.strip():
-                            cells.append(([_SPACE.sub(" ", c).strip()], 1))
-                rows.append(cells)
+                rows.append(_cells(child))
+            elif child.tag in ("td", "th"):
+                # a cell that something misnested keeps from its row: it goes on with the cell before it
+                if loose is not None and loose[0] is todo[-1]:
+                    rows[-1].append(_cell(child))
+                    continue
+                rows.append([_cell(child)])
+                loose = todo[-1], child
+                continue
+            elif child.tag in ("thead", "tbody", "tfoot") or _holds(child, ("tr", "td", "th")):
+                todo.append(iter(child.children))
             else:
                 self.element(child)
                 self.break_()
+            loose = None
         widths: dict[int, int] = {}
         for cells in rows:
             at = 0
@@ -265,10 +264,46 @@ class Page:
                     width = sum(widths.get(i, 0) for i in range(at, at + span)) + 3 * (span - 1)
                     out += (" | " if at else "") + (lines[k] if k < len(lines) else "").ljust(width)
                     at += span
-                if out.replace("|", "").strip():
+                if any(lines[k:] and lines[k].strip() for lines, _ in cells):
                     self.put(out.rstrip())
 
 
+def _cell(node: Node) -> tuple[list[str], int]:
+    """Lines and columns of a cell."""
+    box = Page()
+    box.walk(node)
+    box.break_()
+    span = node.get("colspan") or ""
+    return box.lines, min(100, int(span)) if re.fullmatch(r"[1-9]\d{0,3}", span) else 1
+
+
+def _holds(node: Node, tags: tuple[str, ...]) -> bool:
+    """True if an element of these is below the node, and not in a table of its own."""
+    return node.tag != "table" and any(isinstance(c, Node) and (c.tag in tags or _holds(c, tags)) for c in node.children)
+
+
+def _cells(row: Node) -> list[tuple[list[str], int]]:
+    """The cells of a row, also those inside other elements; anything else that is seen is a cell of its own."""
+    found: list[tuple[list[str], int]] = []
+    for c in row.children:
+        if isinstance(c, str):
+            if c.strip():
+                found.append(([_SPACE.sub(" ", c).strip()], 1))
+        elif c.unseen():
+            continue
+        elif c.tag in ("td", "th"):
+            found.append(_cell(c))
+        elif _holds(c, ("td", "th")):
+            found += _cells(c)
+        else:
+            box = Page()
+            box.element(c)
+            box.break_()
+            if box.lines:
+                found.append((box.lines, 1))
+    return found
+
+
 def _plain(node: Node) -> str:
     return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else "" if c.unseen() else _plain(c) for c in node.children)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +23,8 @@ _UNSEEN = frozenset("head script style title template noscript iframe object aud
 #: Elements set off by a blank line, and those that only begin a line.
 _APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
 _BLOCK = _APART | frozenset("html body div article section nav header footer main aside address form li dt dd tr caption figcaption details summary legend center hgroup search menu dir".split())
+#: Those whose text does not touch what is beside them.
+_SET_OFF = _BLOCK | {"td", "th"}
 #: A start tag ends an open element of these, looking no further up than the bounds.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -34,7 +37,7 @@ _ENDS = {
     **dict.fromkeys(("thead", "tbody", "tfoot"), ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"})),
 }
 _SCOPE = frozenset("table td th caption html button".split())
-#: Elements nested deeper than this are siblings: no page makes the walk too deep.
+#: What is nested deeper than this is laid in a row in the last element above: no page makes the walk too deep.
 _DEPTH = 150
 
 
@@ -61,11 +64,18 @@ class Node:
 
 
 class Tree:
-    """Elements and texts in document order; ends that are left out are put in."""
+    """Elements and texts in document order; ends that are left out are put in.
+
+    A head is no element here: what it may hold is unseen by itself, and the
+    first other thing closes it.
+    """
 
     def __init__(self, source: str):
         self.root = Node("html")
         self.stack = [self.root]
+        #: Places in the stack of the open elements of each tag, and of those too deep for the tree that are unseen.
+        self.open: dict[str, list[int]] = defaultdict(list)
+        self.dark: list[int] = []
         at = 0
         while m := _TOKEN.search(source, at):
             if m.start() > at:
@@ -88,43 +98,55 @@ class Tree:
         if at < len(source):
             self.text(source[at:])
 
+    def box(self) -> Node:
+        """The element that takes what comes next."""
+        return self.stack[min(len(self.stack), _DEPTH) - 1]
+
     def text(self, said: str) -> None:
-        top = self.stack[-1]
-        if top.tag == "head" and not said.isspace():
-            self.stack.pop()
-            top = self.stack[-1]
-        top.children.append(html.unescape(said))
+        if not self.dark:
+            self.box().children.append(html.unescape(said))
 
     def close(self, tags: set, bounds: frozenset | set) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in tags:
-                del self.stack[i:]
-                return
-            if self.stack[i].tag in bounds:
-                return
+        last = lambda names: max((self.open[t][-1] for t in names if self.open[t]), default=0)
+        at = last(tags)
+        if not at or at < last(bounds):
+            return
+        apart = any(n.tag in _SET_OFF for n in self.stack[max(at, _DEPTH) :])
+        while len(self.stack) > at:
+            self.open[self.stack.pop().tag].pop()
+        while self.dark and self.dark[-1] >= at:
+            self.dark.pop()
+        if apart:
+            self.box().children.append(Node("div"))
 
     def start(self, tag: str, attributes: str) -> None:
-        if tag in ("html", "body") and any(n.tag == tag for n in self.stack):
+        if tag in ("html", "head") or (tag == "body" and self.open[tag]):
             return
-        if self.stack[-1].tag == "head" and (tag in _BLOCK or tag in ("body", "a", "span", "b", "img")):
-            self.stack.pop()
         if tag in _ENDS:
             self.close(*_ENDS[tag])
-        elif tag in _BLOCK and tag not in ("html", "body"):
+        elif tag in _BLOCK and tag != "body":
             self.close({"p"}, _SCOPE)
         if tag in ("td", "th") and self.stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             self.push(Node("tr"), True)
         self.push(Node(tag, attributes), tag not in _VOID and not (attributes.endswith("/") and tag in ("path", "circle")))
 
     def push(self, node: Node, stays: bool) -> None:
-        self.stack[-1].children.append(node)
-        if stays and len(self.stack) < _DEPTH:
+        deep = len(self.stack) >= _DEPTH
+        if not deep or not stays:
+            if not self.dark:
+                self.box().children.append(node)
+        elif node.tag in _SET_OFF:
+            self.box().children.append(Node("div"))
+        if stays:
+            if deep and node.unseen():
+                self.dark.append(len(self.stack))
+            self.open[node.tag].append(len(self.stack))
             self.stack.append(node)
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.push(Node("br"), False)
-        elif tag == "p" and not any(n.tag == "p" for n in self.stack):
+        elif tag == "p" and not self.open["p"]:
             self.push(Node("p"), False)
         elif tag not in _VOID:
             self.close({tag}, set() if tag in ("table", "body", "html") else {"table"} - {tag})
@@ -325,7 +347,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
 
     Null and blank html give empty text; a null id stays null; repeated rows
     get a row each; an empty table gives no rows; other columns are ignored.
-    Elements nested over 150 deep are rendered as siblings.
+    Elements nested over 150 deep lose their own layout, not their text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

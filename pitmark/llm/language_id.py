@@ -19,8 +19,10 @@ from pitmark.llm.pieces import PieceTable, by_length, codes, piece_table
 CHUNK = 40
 #: Probability of a character that is no piece.
 _STRANGE = 1e-7
-#: Words remembered by a Python worker.
+#: Words remembered by a Python worker; fewer if there are more than _AT_ONCE languages.
 _MEMORY = 250_000
+#: Languages whose sums are held at once.
+_AT_ONCE = 8
 _FOUND = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
@@ -62,8 +64,10 @@ def fit_pieces(counts: list[Counter], table: PieceTable, rounds: int = 3, smooth
 
     A round takes the expected number of times each piece is used, over all
     segmentations of the counted words, and divides by their sum; ``smooth``
-    is added to every piece.
+    is added to every piece. Languages don't touch each other and are fitted a few at a time.
     """
+    if len(counts) > _AT_ONCE:
+        return np.concatenate([fit_pieces(counts[x : x + _AT_ONCE], table, rounds, smooth) for x in range(0, len(counts), _AT_ONCE)], axis=1)
     n = len(counts)
     words = sorted(set().union(*counts))
     parts = [(c, i) for i, w in enumerate(words) for c in _chunks(w)]
@@ -106,15 +110,20 @@ class _Scorer:
         for length, at in by_length([c for c, _ in parts]).items():
             for x in range(0, len(at), 2048):
                 some = at[x : x + 2048]
-                steps = _probabilities(self.model, self.table.lattice(codes([parts[i][0] for i in some], length)))
-                np.add.at(new, [parts[i][1] for i in some], np.log(_forward(steps)[-1]))
+                lattice, rows = self.table.lattice(codes([parts[i][0] for i in some], length)), [parts[i][1] for i in some]
+                for k in range(0, new.shape[1], _AT_ONCE):
+                    np.add.at(new[:, k : k + _AT_ONCE], rows, np.log(_forward(_probabilities(self.model[:, k : k + _AT_ONCE], lattice))[-1]))
         new[[i for i, w in enumerate(words) if not any(map(str.isalpha, w))]] = 0
         self.place.update(zip(words, range(len(self.logs), len(self.logs) + len(words)), strict=True))
         self.logs = np.concatenate([self.logs, new])
 
     def totals(self, texts: list[str]) -> np.ndarray:
         """(text, language) -> log probability; a row of zeros if no word has a letter."""
-        if len(self.place) > _MEMORY:
+        most = _MEMORY * _AT_ONCE // max(_AT_ONCE, self.model.shape[1])
+        if most < _MEMORY and len(texts) > 1 and sum(map(str.count, texts, [" "] * len(texts))) > most:
+            half = len(texts) // 2
+            return np.concatenate([self.totals(texts[:half]), self.totals(texts[half:])])
+        if len(self.place) > most:
             self.place.clear()
             self.logs = self.logs[:0]
         flat: list[str] = []
@@ -136,20 +145,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """The languages learned, in order, and their piece probabilities.
 
     Bounded sample: of each language the ``per_language`` documents with the
-    smallest hash of their id (repeated ids count once each), and the
-    ``languages`` most frequent languages. Their word counts alone reach the
-    driver. Rows with a null id, language or text teach nothing.
+    smallest hash of their id (repeated ids count once each); if there are more
+    than ``languages`` languages, fewer of each, so that the sample is no larger
+    than theirs would be, but one at least. Every language is learned. Their
+    word counts alone reach the driver. Rows with a null id, language or text
+    teach nothing.
     """
     docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     docs = docs.where("id is not null and lang is not null and text is not null")
     if where is not None:
         docs = docs.where(where)
-    sizes = dict(docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect())
+    sizes = dict(docs.groupBy("lang").agg(F.count("*").alias("n")).collect())
     names = sorted(sizes)
+    if not names:
+        return [], np.zeros((0, 0))
+    each = max(1, min(per_language, per_language * languages // len(names)))
     # ids that can't be among the smallest stay behind, or one language's would all meet in a task
-    bound = F.coalesce(*[F.when(F.col("lang") == x, share_for(per_language, n)) for x, n in sizes.items()], F.lit(0))
+    bounds = docs.sparkSession.createDataFrame([(x, share_for(each, n)) for x, n in sizes.items()], "lang string, bound long")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(hashed("id"), "id"))
-    chosen = docs.where(hashed("id") < bound).select("lang", "id").withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "id").distinct()
+    chosen = docs.select("lang", "id").join(F.broadcast(bounds), "lang").where(hashed("id") < F.col("bound")).select("lang", "id").withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "id").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}
@@ -161,7 +175,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             a, b, c = zip(*rows[x : x + 50_000], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c)], names=["lang", "word", "n"])
 
-    # at most per_language * languages ids of two small columns: a size with a bound
+    # at most per_language * languages ids of two small columns, or one of each language: a size with a bound
     sample = docs.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "text")
     counts = {x: Counter() for x in names}
     for lang, word, n in sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n")).collect():

@@ -60,8 +60,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts before and after runs of digits and of marks are edited out of the texts."""
     small_batches(spark)
-    trees = token_counts.build(token_counts.with_edits(table(spark, sf_dir, "documents"), "[0-9]{4,}|[%&$#*|]+", ""))
-    return token_counts.apply_edits(trees)
+    return token_counts.count_edited(table(spark, sf_dir, "documents"), "[0-9]{4,}|[%&$#*|]+", "")
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

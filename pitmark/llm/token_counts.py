@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,8 @@ from pitmark.llm.common import texts_of
 LEAF = 16
 _EDITS = "array<struct<start:int,end:int,text:string>>"
 #: All characters that the tokenizer may take for white space, and a few more.
-_WHITE = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
+_WHITE = np.array(sorted({*map(ord, pretokens.WHITE), 28, 29, 30, 31}), np.uint32)
+_COUNTS = ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_chars_encoded"]
 
 
 def safe_cuts(text: str) -> np.ndarray:
@@ -116,22 +118,26 @@ class TokenTree:
         return "".join([*out, text[at:]])
 
 
+def edits_of(text: str, pattern: re.Pattern, replacement: str) -> list[tuple[int, int, str]]:
+    """Every match that isn't empty, in order, with what takes its place: one pass over the text."""
+    return [(m.start(), m.end(), replacement) for m in pattern.finditer(text) if m.end() > m.start()]
+
+
 def with_edits(docs: DataFrame, pattern: str, replacement: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text and edits: every match of ``pattern`` becomes ``replacement``.
+    """doc_id, text and edits: every match of ``pattern`` (of Python's ``re``) becomes ``replacement``.
 
-    What lies between the matches gives their places, in code points. Null text is empty.
+    Places are in code points. Null text is empty; a null id stays null; repeated rows get a row each.
     """
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    zipped = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("m"), F.split("text", pattern, -1).alias("s"))
-    walk = F.aggregate(
-        zipped,
-        F.expr(f"named_struct('at', 0, 'out', cast(array() as {_EDITS}))"),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["s"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
-            F.when(x["m"].isNull(), a["out"]).otherwise(F.array_append(a["out"], F.struct((a["at"] + F.length(x["s"])).alias("start"), (a["at"] + F.length(x["s"]) + F.length(x["m"])).alias("end"), F.lit(replacement).alias("text")))).alias("out"),
-        ),
-    )["out"]
-    return docs.withColumn("edits", F.when(F.col("text").rlike(pattern), walk).otherwise(F.expr(f"cast(array() as {_EDITS})")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = re.compile(pattern)
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
+        for b in batches:
+            edits = [[{"start": x, "end": y, "text": r} for x, y, r in edits_of(t, found, replacement)] for t in texts_of(b.column(1))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(edits, kind)], names=["doc_id", "text", "edits"])
+
+    return docs.mapInArrow(run, f"doc_id long, text string, edits {_EDITS}")
 
 
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits", *, tokenizer: str = "byte_bpe_50k") -> DataFrame:
@@ -169,9 +175,31 @@ def apply_edits(trees: DataFrame, *, tokenizer: str = "byte_bpe_50k", texts: boo
                     column.append(x)
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             columns = [b.column(0), b.column(3), *[pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]]
-            names = ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_chars_encoded", "text", "tree"]
             n = 8 if texts else 6
-            yield pa.RecordBatch.from_arrays(columns[:n], names=names[:n])
+            yield pa.RecordBatch.from_arrays(columns[:n], names=[*_COUNTS, "text", "tree"][:n])
 
-    out = "doc_id long, n_tokens long, n_edits long, n_tokens_after long, n_chars_after long, n_chars_encoded long" + ", text string, tree binary" * texts
+    out = ", ".join(f"{c} long" for c in _COUNTS) + ", text string, tree binary" * texts
     return trees.select("doc_id", "text", "edits", "n_tokens", "tree").mapInArrow(run, out)
+
+
+def count_edited(docs: DataFrame, pattern: str, replacement: str, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str = "byte_bpe_50k") -> DataFrame:
+    """What ``apply_edits(build(with_edits(...)))`` gives, with trees that live in the task only.
+
+    For counts that are wanted once: text, edits and trees don't leave the
+    worker that reads the text. Rows as in ``build``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = re.compile(pattern)
+        for b in batches:
+            rows = []
+            for text in texts_of(b.column(1)):
+                tree, edits = TokenTree.of(text, tokenizer), edits_of(text, found, replacement)
+                before = tree.tokens
+                if edits:
+                    text = tree.edit(text, edits, tokenizer)
+                rows.append((before, len(edits), tree.tokens, len(text), tree.encoded))
+            columns = np.array(rows, np.int64).reshape(-1, len(_COUNTS) - 1).T
+            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, columns)], names=_COUNTS)
+
+    return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).mapInArrow(run, ", ".join(f"{c} long" for c in _COUNTS))

@@ -132,6 +132,27 @@ def test_ids_are_the_tokenizers(text):
     assert pretokens.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\u3000", " \n", "a"])
+@pytest.mark.parametrize("around", [("x", "y"), ("", ""), ("x ", "<|endoftext|>"), ("<|endoftext|>", " y")])
+def test_ids_of_long_runs(run, around):
+    whole = test_ids_are_the_tokenizers.__dict__.setdefault("whole", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    text = around[0] + run * 200_000 + around[1]
+    assert pretokens.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "a"])
+def test_very_long_runs_in_spark(spark, run):
+    n = 10_000_000 if run == " " else 1_000_000
+    df = spark.createDataFrame([(1, n, run)], "doc_id long, n int, run string").selectExpr("doc_id", "concat('x', repeat(run, n), 'y') AS text")
+    whole = test_ids_are_the_tokenizers.__dict__.setdefault("whole", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    want = np.array(whole.encode("x" + run * n + "y", add_special_tokens=False).ids, "<u4")
+    pieces = packing.pack(df).select("start", "ids").orderBy("start").toArrow()
+    assert np.array_equal(np.frombuffer(b"".join(pieces["ids"].to_pylist()), "<u4")[:-1], want)
+    r = token_counts.count_edited(df, "y", "z z").first()
+    assert (r.n_tokens, r.n_edits, r.n_chars_after) == (len(want), 1, n + 4)
+    assert r.n_tokens_after == len(pretokens.ids("x" + run * n + "z z"))
+
+
 def test_secrets(spark):
     live, shared = "a1B2c3D4e5F6g7H8i9J0", "0123456789abcdef01234567"
     rows = [
@@ -317,8 +338,9 @@ PIECES = "piece_bpe_32k.model"
 def test_pieces_match_the_library(text):
     made = test_pieces_match_the_library.__dict__.setdefault("x", [sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECES)), sentence_pieces.PieceEncoder(PIECES, sentence_pieces.merged), sentence_pieces.PieceEncoder(PIECES, sentence_pieces.best_paths), sentence_pieces.PieceDecoder(PIECES)])
     merge, by_merges, by_path, decoder = made
-    ids = lambda raw: np.frombuffer(raw, "<u4").tolist()
-    assert ids(by_merges.batch([text])[0][0]) == merge.encode(text)
+    ids = lambda encoder: encoder.batch([text])[0][0].tolist()
+    said_by = lambda encoder: decoder(*encoder.batch([text])[0])[0].decode()
+    assert ids(by_merges) == merge.encode(text)
     # the best sum over all segmentations, in doubles: single precision can't tell sums below -1e9 apart
     table, said = by_path.table, "▁" + text.replace(" ", "▁") if text else ""
     byte = set(table.bytes.values())
@@ -328,10 +350,42 @@ def test_pieces_match_the_library(text):
     best = [0.0]
     for j in range(1, len(said) + 1):
         best.append(max(best[i] + normal.get(said[i:j], floor if j == i + 1 else -np.inf) for i in range(max(0, j - table.longest), j)))
-    mine = ids(by_path.batch([text])[0][0])
+    mine = ids(by_path)
     strange = [c for c in said if c not in normal]
     assert sum(table.scores[i] for i in mine if i not in byte) + floor * len(strange) == best[-1]
-    assert decoder(by_path.batch([text])[0][0]) == decoder(by_merges.batch([text])[0][0]) == text
+    assert said_by(by_path) == said_by(by_merges) == text
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "Bc", "he", "ing", "1", "é", "the", "tion", "☃", "l", "\n"]), min_size=1, max_size=120).map("".join))
+def test_long_segments_are_walked_to_the_same_end(word):
+    from pitmark.llm.pieces import codes, piece_table
+
+    table = piece_table(PIECES)
+    lattice = sentence_pieces._stack(table.lattice(codes([word], len(word))), 1, len(word))
+    for together, alone in ((sentence_pieces.best_paths, sentence_pieces.walked_path), (sentence_pieces.merged, sentence_pieces.walked_merges)):
+        want, got = (sentence_pieces._ids(table, [word], lattice, way(table, lattice))[0].tolist() for way in (together, alone))
+        assert got == want
+
+
+def test_a_segment_without_spaces():
+    made = sentence_pieces.PieceEncoder(PIECES, sentence_pieces.best_paths, sentence_pieces.merged)
+    text = "".join(random.Random(3).choices(WORDS, k=4_000))
+    (path, _), (merges, _) = made.batch([text])
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECES))
+    assert merges.tolist() == library.encode(text)
+    decoder = sentence_pieces.PieceDecoder(PIECES)
+    assert decoder(path, np.array([len(path)])) == [text.encode()]
+
+
+def test_forgetting_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "_MEMORY", 8)
+    small, whole = (sentence_pieces.PieceEncoder(PIECES, sentence_pieces.best_paths) for _ in range(2))
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(WORDS, k=6)) + f" x{i % 3}" for i in range(40)]
+    want = whole.batch(texts)[0]
+    got = [small.batch([t])[0][0].tolist() for t in texts]
+    assert sum(got, []) == want[0].tolist()
 
 
 def test_round_trip(spark, docs, nothing):
@@ -353,6 +407,10 @@ def test_token_counts(spark, docs, nothing):
         assert r.text == after and r.n_edits == len(re.findall("a[a-z]", before))
         assert (r.n_tokens, r.n_tokens_after) == (len(pretokens.ids(before)), len(pretokens.ids(after)))
     assert token_counts.apply_edits(token_counts.build(token_counts.with_edits(nothing, "a", ""))).count() == 0
+    counted = token_counts.count_edited(docs, "a[a-z]", "-- ")
+    known_first = lambda rows: sorted(tuple(known(x) for x in r) for r in rows)
+    assert known_first(counted.collect()) == known_first(r[:6] for r in got)
+    assert token_counts.count_edited(nothing, "a", "").count() == 0
 
 
 @settings(max_examples=100, deadline=None)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,18 +16,24 @@ from pyspark.sql import DataFrame
 from pitmark.llm.common import batch, texts_of
 
 _OUT = pa.schema([("page_id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64())])
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+#: Comments and the like, tags, and a tag that the page ends in. No part is read twice, so broken pages take no longer.
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?>[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+|=)*+)>"
+    r"|<(?=/?[a-zA-Z]).*+",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_DECLARATION = re.compile(r"\s*(display|visibility)\s*:\s*([a-z -]*[a-z])\s*(!\s*important)?\s*", re.I)
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas svg math datalist noembed noframes".split())
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for t in _RAW}
 #: Elements set off by a blank line, and those that only begin a line.
 _APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
-_BLOCK = _APART | frozenset("html body div article section nav header footer main aside address form li dt dd tr caption figcaption details summary legend center hgroup search menu dir".split())
-#: Those whose text does not touch what is beside them.
-_SET_OFF = _BLOCK | {"td", "th"}
+_BLOCK = _APART | frozenset("html body div article section nav header footer main aside address form li dt dd tr caption figcaption details summary legend center hgroup search menu dir option optgroup".split())
 #: A start tag ends an open element of these, looking no further up than the bounds.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -37,30 +46,51 @@ _ENDS = {
     **dict.fromkeys(("thead", "tbody", "tfoot"), ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"})),
 }
 _SCOPE = frozenset("table td th caption html button".split())
-#: What is nested deeper than this is laid in a row in the last element above: no page makes the walk too deep.
-_DEPTH = 150
+#: Lists and quotations are moved to the right by no more than this.
+_INDENT = 80
+_CELL, _ROW = 1, 2
 
 
 class Node:
-    __slots__ = ("attributes", "children", "tag")
+    __slots__ = ("_found", "attributes", "children", "holds", "tag")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
+        #: Cells and rows below, but not those in a table of their own.
+        self.holds = 0
+        self._found: dict[str, str] | None = None if attributes and not attributes.isspace() else {}
 
     def get(self, name: str) -> str | None:
-        """An attribute's value, empty if it has none, None if it is absent."""
-        for m in _ATTRIBUTE.finditer(self.attributes):
-            if m[1].lower() == name:
-                return html.unescape(m[2] or m[3] or m[4] or "")
-        return None
-
-    def unseen(self) -> bool:
+        """An attribute's value, empty if it has none, None if it is absent; the first of a name counts."""
+        if self._found is None:
+            self._found = {}
+            for m in _ATTRIBUTE.finditer(self.attributes):
+                self._found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+        return self._found.get(name)
+
+    def number(self, name: str, default: int, least: int = -(10**9), most: int = 10**9) -> int:
+        m = re.match(r"\s*([+-]?\d{1,9})", self.get(name) or "")
+        return default if m is None or int(m[1]) < least else min(most, int(m[1]))
+
+    def style(self, name: str) -> str | None:
+        """Value of a style property: the last declaration, but one marked important before others."""
+        if "style" not in self.attributes.lower():
+            return None
+        value, strong = None, False
+        for part in _CSS_COMMENT.sub(" ", self.get("style") or "").split(";"):
+            m = _DECLARATION.fullmatch(part)
+            if m and m[1].lower() == name and (m[3] or not strong):
+                value, strong = m[2].lower(), bool(m[3])
+        return value
+
+    def shown(self) -> bool:
+        """False if the element makes no box: by its kind, its display, or its attributes where display doesn't say."""
         if self.tag in _UNSEEN:
-            return True
-        if not self.attributes or self.attributes.isspace():
-            return self.tag == "dialog"
-        style = self.get("style")
-        return self.get("hidden") is not None or (style is not None and bool(_UNSEEN_STYLE.search(style))) or (self.tag == "dialog" and self.get("open") is None)
+            return False
+        display = self.style("display")
+        if display is not None:
+            return display != "none"
+        return self.get("hidden") is None and (self.tag != "dialog" or self.get("open") is not None)
 
 
 class Tree:
@@ -73,9 +103,8 @@ class Tree:
     def __init__(self, source: str):
         self.root = Node("html")
         self.stack = [self.root]
-        #: Places in the stack of the open elements of each tag, and of those too deep for the tree that are unseen.
+        #: Places in the stack of the open elements of each tag.
         self.open: dict[str, list[int]] = defaultdict(list)
-        self.dark: list[int] = []
         at = 0
         while m := _TOKEN.search(source, at):
             if m.start() > at:
@@ -89,7 +118,7 @@ class Tree:
                 continue
             self.start(tag, m[3])
             if tag in _RAW:
-                close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+                close = _RAW_END[tag].search(source, at)
                 stop = close.start() if close else len(source)
                 if tag == "textarea":
                     self.text(source[at:stop])
@@ -98,26 +127,16 @@ class Tree:
         if at < len(source):
             self.text(source[at:])
 
-    def box(self) -> Node:
-        """The element that takes what comes next."""
-        return self.stack[min(len(self.stack), _DEPTH) - 1]
-
     def text(self, said: str) -> None:
-        if not self.dark:
-            self.box().children.append(html.unescape(said))
+        self.stack[-1].children.append(html.unescape(said))
 
     def close(self, tags: set, bounds: frozenset | set) -> None:
         last = lambda names: max((self.open[t][-1] for t in names if self.open[t]), default=0)
         at = last(tags)
         if not at or at < last(bounds):
             return
-        apart = any(n.tag in _SET_OFF for n in self.stack[max(at, _DEPTH) :])
         while len(self.stack) > at:
             self.open[self.stack.pop().tag].pop()
-        while self.dark and self.dark[-1] >= at:
-            self.dark.pop()
-        if apart:
-            self.box().children.append(Node("div"))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in ("html", "head") or (tag == "body" and self.open[tag]):
@@ -131,15 +150,14 @@ class Tree:
         self.push(Node(tag, attributes), tag not in _VOID and not (attributes.endswith("/") and tag in ("path", "circle")))
 
     def push(self, node: Node, stays: bool) -> None:
-        deep = len(self.stack) >= _DEPTH
-        if not deep or not stays:
-            if not self.dark:
-                self.box().children.append(node)
-        elif node.tag in _SET_OFF:
-            self.box().children.append(Node("div"))
+        self.stack[-1].children.append(node)
+        kind = _CELL if node.tag in ("td", "th") else _ROW if node.tag == "tr" else 0
+        if kind:
+            for above in reversed(self.stack):
+                if above.tag == "table" or above.holds & kind:
+                    break
+                above.holds |= kind
         if stays:
-            if deep and node.unseen():
-                self.dark.append(len(self.stack))
             self.open[node.tag].append(len(self.stack))
             self.stack.append(node)
 
@@ -152,101 +170,173 @@ class Tree:
             self.close({tag}, set() if tag in ("table", "body", "html") else {"table"} - {tag})
 
 
+class Cell(NamedTuple):
+    lines: list[str]
+    columns: int = 1
+    #: Rows the cell reaches over; 0 for all that are left of its section.
+    rows: int = 1
+
+
+def unwind(task: Iterator) -> object:
+    """Run a walk whose steps yield the walks below them: pages nested at any depth need no deeper Python stack."""
+    stack, value = [task], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as e:
+            stack.pop()
+            value = e.value
+    return value
+
+
 class Page:
-    """Lines of a box; blank lines are held back until text follows."""
+    """Lines of a box; blank lines are held back until text follows. Its walks are for ``unwind``."""
 
-    def __init__(self) -> None:
+    def __init__(self, hidden: bool = False) -> None:
         self.lines: list[str] = []
-        self.now, self.gap = "", 0
+        self.now: list[str] = []
+        self.gap = self.blank = 0
         self.indent, self.mark = "", ""
+        self.hidden, self.exact = hidden, 0
 
     def inline(self, said: str) -> None:
+        if self.hidden:
+            return
+        if self.exact:
+            first, *rest = said.expandtabs().split("\n")
+            self.now.append(first)
+            for line in rest:
+                self.newline()
+                self.now.append(line)
+            return
         said = _SPACE.sub(" ", said)
-        if not self.now or self.now[-1] == " ":
+        if not self.now or self.now[-1][-1:] == " ":
             said = said.lstrip(" ")
-        self.now += said
+        if said:
+            self.now.append(said)
+
+    def line(self) -> str:
+        said = "".join(self.now).rstrip(" ")
+        self.now = []
+        return said
+
+    def newline(self) -> None:
+        """A line end that counts, also where nothing stands before it."""
+        if line := self.line():
+            self.put(line)
+        elif self.lines:
+            self.blank += 1
+
+    def line_end(self) -> None:
+        """What ``br`` does: a second one in a row leaves a blank line."""
+        if self.exact:
+            self.newline()
+        elif line := self.line():
+            self.put(line)
+        elif self.lines:
+            self.gap = max(self.gap, 1)
 
     def break_(self, gap: int = 0) -> None:
         """End the line; the next one comes after ``gap`` blank lines at least."""
-        if line := self.now.rstrip(" "):
+        if line := self.line():
             self.put(line)
-        self.now, self.gap = "", max(self.gap, gap)
+        self.gap = max(self.gap, gap)
 
     def put(self, line: str) -> None:
         if self.lines:
-            self.lines += [""] * self.gap
-        self.gap = 0
+            self.lines += [""] * (self.gap + self.blank)
+        self.gap = self.blank = 0
         self.lines.append(self.indent + self.mark + line)
         self.mark = " " * len(self.mark)
 
-    def walk(self, node: Node) -> None:
+    def further(self, by: int) -> str:
+        return " " * min(_INDENT, len(self.indent) + by)
+
+    def walk(self, node: Node) -> Iterator:
         for child in node.children:
             if isinstance(child, str):
                 self.inline(child)
-            elif not child.unseen():
-                self.element(child)
+            elif child.shown():
+                yield self.element(child)
+            elif child.tag in _BLOCK and not self.exact:
+                self.inline(" ")  # what stands before and after a block without a box are not one word
+
+    def element(self, node: Node) -> Iterator:
+        tag, hidden = node.tag, self.hidden
+        seen = node.style("visibility")
+        if seen is not None:
+            self.hidden = seen in ("hidden", "collapse")
+        if tag == "br":
+            self.line_end()
+        elif tag not in _BLOCK:
+            yield self.walk(node)
+        else:
+            yield self.block(node)
+        self.hidden = hidden
 
-    def element(self, node: Node) -> None:
+    def block(self, node: Node) -> Iterator:
         tag = node.tag
-        if tag == "br":
-            if self.now.strip(" "):
-                self.break_()
-            elif self.lines:
-                self.gap = max(self.gap, 1)
-            return
-        if tag not in _BLOCK:
-            self.walk(node)
-            return
         gap = int(tag in _APART and not (tag in ("ul", "ol") and self.indent + self.mark))
         self.break_(gap)
         if tag == "table":
-            self.table(node)
+            yield self.table(node)
         elif tag == "pre":
-            for line in _plain(node).strip("\n").split("\n"):
-                self.put(line.rstrip())
+            if node.children and isinstance(node.children[0], str):
+                node.children[0] = node.children[0].removeprefix("\r").removeprefix("\n")
+            self.exact += 1
+            yield self.walk(node)
+            self.exact -= 1
+            self.break_()
+            self.blank = 0
         elif tag in ("ul", "ol", "menu", "dir"):
-            self.items(node)
+            yield self.items(node)
         elif tag in ("dd", "blockquote"):
-            self.indent, kept = self.indent + "  ", self.indent
-            self.walk(node)
+            self.indent, kept = self.further(2), self.indent
+            yield self.walk(node)
             self.break_()
             self.indent = kept
         elif tag == "details" and node.get("open") is None:
             for child in node.children:
                 if isinstance(child, Node) and child.tag == "summary":
-                    self.walk(child)
+                    yield self.walk(child)
+                    break
         else:
-            self.walk(node)
+            yield self.walk(node)
         self.break_(gap)
 
-    def items(self, node: Node) -> None:
-        start = node.get("start") or ""
-        n = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
+    def items(self, node: Node) -> Iterator:
+        n = node.number("start", 1)
         for child in node.children:
             if isinstance(child, str):
-                self.inline(child)
-            elif child.unseen():
+                if child.strip() or not self.exact:
+                    self.inline(child)
+            elif not child.shown():
                 continue
             elif child.tag != "li":
-                self.element(child)
+                yield self.element(child)
             else:
                 self.break_()
-                value = child.get("value") or ""
-                n = int(value) if re.fullmatch(r"-?\d{1,9}", value) else n
+                n = child.number("value", n)
                 kept = self.indent, self.mark
-                self.indent += " " * len(self.mark)
-                self.mark = f"{n}. " if node.tag == "ol" else "- "
+                self.indent = self.further(len(self.mark))
+                seen = child.style("visibility")
+                hidden = self.hidden if seen is None else seen != "visible"
+                mark = f"{n}. " if node.tag == "ol" else "- "
+                self.mark = " " * len(mark) if hidden else mark
                 n += 1
-                self.walk(child)
+                yield self.element(child)
                 self.break_()
                 self.indent, self.mark = kept[0], " " * len(kept[1])
 
-    def table(self, node: Node) -> None:
+    def table(self, node: Node) -> Iterator:
         """Rows on lines, columns as wide as their widest cell; a caption before them."""
-        rows: list[list[tuple[list[str], int]]] = []
-        todo, loose = [iter(node.children)], None
+        rows: list[tuple[int, Node | None, list[Cell]]] = []
+        todo, loose = [(iter(node.children), None)], None
         while todo:
-            child = next(todo[-1], None)
+            children, section = todo[-1]
+            place = {"thead": 0, "tfoot": 2}.get(section.tag if section else "", 1)
+            child = next(children, None)
             if child is None:
                 todo.pop()
             elif isinstance(child, str):
@@ -254,85 +344,100 @@ class Page:
                     self.inline(child)
                     self.break_()
                 continue
-            elif child.unseen():
+            elif not child.shown():
                 continue
             elif child.tag == "tr":
-                rows.append(_cells(child))
+                rows.append((place, section, (yield self.cells(child))))
             elif child.tag in ("td", "th"):
                 # a cell that something misnested keeps from its row: it goes on with the cell before it
-                if loose is not None and loose[0] is todo[-1]:
-                    rows[-1].append(_cell(child))
-                    continue
-                rows.append([_cell(child)])
-                loose = todo[-1], child
+                cell = yield self.cell(child)
+                if loose is children:
+                    rows[-1][2].append(cell)
+                else:
+                    rows.append((place, section, [cell]))
+                loose = children
                 continue
-            elif child.tag in ("thead", "tbody", "tfoot") or _holds(child, ("tr", "td", "th")):
-                todo.append(iter(child.children))
+            elif child.tag in ("thead", "tbody", "tfoot") or child.holds:
+                todo.append((iter(child.children), child if child.tag in ("thead", "tbody", "tfoot") else section))
             else:
-                self.element(child)
+                yield self.element(child)
                 self.break_()
             loose = None
-        widths: dict[int, int] = {}
-        for cells in rows:
-            at = 0
-            for lines, span in cells:
-                if span == 1:
-                    widths[at] = max([widths.get(at, 0), *map(len, lines)])
-                at += span
-        for cells in rows:
-            for k in range(max([0, *(len(lines) for lines, _ in cells)])):
-                out, at = "", 0
-                for lines, span in cells:
-                    width = sum(widths.get(i, 0) for i in range(at, at + span)) + 3 * (span - 1)
-                    out += (" | " if at else "") + (lines[k] if k < len(lines) else "").ljust(width)
-                    at += span
-                if any(lines[k:] and lines[k].strip() for lines, _ in cells):
-                    self.put(out.rstrip())
-
-
-def _cell(node: Node) -> tuple[list[str], int]:
-    """Lines and columns of a cell."""
-    box = Page()
-    box.walk(node)
-    box.break_()
-    span = node.get("colspan") or ""
-    return box.lines, min(100, int(span)) if re.fullmatch(r"[1-9]\d{0,3}", span) else 1
-
-
-def _holds(node: Node, tags: tuple[str, ...]) -> bool:
-    """True if an element of these is below the node, and not in a table of its own."""
-    return node.tag != "table" and any(isinstance(c, Node) and (c.tag in tags or _holds(c, tags)) for c in node.children)
-
-
-def _cells(row: Node) -> list[tuple[list[str], int]]:
-    """The cells of a row, also those inside other elements; anything else that is seen is a cell of its own."""
-    found: list[tuple[list[str], int]] = []
-    for c in row.children:
-        if isinstance(c, str):
-            if c.strip():
-                found.append(([_SPACE.sub(" ", c).strip()], 1))
-        elif c.unseen():
-            continue
-        elif c.tag in ("td", "th"):
-            found.append(_cell(c))
-        elif _holds(c, ("td", "th")):
-            found += _cells(c)
-        else:
-            box = Page()
-            box.element(c)
-            box.break_()
-            if box.lines:
-                found.append((box.lines, 1))
-    return found
+        for line in laid_out(sorted(rows, key=lambda r: r[0])):
+            self.put(line)
 
+    def cell(self, node: Node) -> Iterator:
+        seen = node.style("visibility")
+        box = Page(self.hidden if seen is None else seen != "visible")
+        yield box.walk(node)
+        box.break_()
+        return Cell(box.lines, node.number("colspan", 1, 1, 1000), node.number("rowspan", 1, 0, 65534))
+
+    def cells(self, row: Node) -> Iterator:
+        """The cells of a row, also those inside other elements; anything else that is seen is a cell of its own."""
+        found: list[Cell] = []
+        for c in row.children:
+            if isinstance(c, str):
+                if c.strip() and not self.hidden:
+                    found.append(Cell([_SPACE.sub(" ", c).strip()]))
+            elif not c.shown():
+                continue
+            elif c.tag in ("td", "th"):
+                found.append((yield self.cell(c)))
+            elif c.holds & _CELL:
+                found += yield self.cells(c)
+            else:
+                box = Page(self.hidden)
+                yield box.element(c)
+                box.break_()
+                if box.lines:
+                    found.append(Cell(box.lines))
+        return found
 
-def _plain(node: Node) -> str:
-    return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else "" if c.unseen() else _plain(c) for c in node.children)
+
+def laid_out(rows: list[tuple[int, Node | None, list[Cell]]]) -> Iterator[str]:
+    """Lines of a table. A cell takes the next columns that no cell from above reaches into.
+
+    Columns in which no cell begins take no room. A cell over several columns
+    widens the last of them if it must.
+    """
+    placed: list[list[tuple[int, Cell]]] = []
+    reach: dict[int, int] = {}  # column -> first row that is free again
+    section: Node | None = None
+    for y, (_, group, cells) in enumerate(rows):
+        if y and group is not section:
+            reach = {}
+        section, x, out = group, 0, []
+        for cell in cells:
+            while reach.get(x, 0) > y:
+                x += 1
+            out.append((x, cell))
+            if cell.rows != 1:
+                stop = y + cell.rows if cell.rows else len(rows)
+                reach.update(dict.fromkeys(range(x, x + cell.columns), stop))
+            x += cell.columns
+        placed.append(out)
+    used = sorted({x for out in placed for x, _ in out})
+    number = {x: i for i, x in enumerate(used)}
+    spans = [[(number[x], bisect_left(used, x + cell.columns), cell.lines) for x, cell in out] for out in placed]
+    widths = [0] * len(used)
+    for first, stop, lines in sorted((s for out in spans for s in out), key=lambda s: s[1] - s[0]):
+        room = sum(widths[first:stop]) + 3 * (stop - first - 1)
+        widths[stop - 1] += max(0, max(map(len, lines), default=0) - room)
+    starts = [0, *accumulate(w + 3 for w in widths)]
+    for out in spans:
+        for k in range(max((len(lines) for _, _, lines in out), default=0)):
+            if any(lines[k:] and lines[k].strip() for _, _, lines in out):
+                line = ""
+                for first, _, lines in out:
+                    line = line.ljust(starts[first] - 3) + " | " if first else line
+                    line += lines[k] if k < len(lines) else ""
+                yield line.rstrip()
 
 
 def visible_text(source: str) -> str:
     page = Page()
-    page.walk(Tree(source).root)
+    unwind(page.walk(Tree(source).root))
     page.break_()
     return "\n".join(page.lines)
 
@@ -340,14 +445,21 @@ def visible_text(source: str) -> str:
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Per row: page_id, text (all that a reader would see), n_lines.
 
-    Elements that hide their content, the ``hidden`` attribute, and display or
-    visibility styles are honoured. Paragraphs, headings, lists and tables are
-    set apart by a blank line; list items carry their mark and depth; table
-    cells stand in columns. There is no shuffle.
+    Unseen are elements that hide their content, ``display: none``, and the
+    ``hidden`` attribute unless a display style says otherwise; the last
+    declaration of a style counts, important ones first. A hidden
+    ``visibility`` passes to what is below until something there is visible.
+    Paragraphs, headings, lists and tables are set apart by a blank line; list
+    items carry their mark and depth (moved right by 80 columns at most);
+    options stand on lines of their own; ``pre`` keeps its spaces and lines.
+    Table cells stand in columns, with colspan up to 1000 and rowspan up to
+    65534, as the HTML standard has it; what spans several rows is printed in
+    the first, the rows of thead first and of tfoot last. Pages may be nested
+    at any depth; time grows with the length of the page, also where tags are
+    broken. A tag that the page ends in is no text. There is no shuffle.
 
     Null and blank html give empty text; a null id stays null; repeated rows
     get a row each; an empty table gives no rows; other columns are ignored.
-    Elements nested over 150 deep lose their own layout, not their text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,8 +15,10 @@ from pyspark.sql.window import Window
 from pitmark.llm.common import annotate, batch, hashed, share_for, texts_of
 from pitmark.llm.pieces import PieceTable, by_length, codes, piece_table
 
-#: Longer words are cut here, so that products of probabilities stay within a double.
-CHUNK = 40
+#: Up to this many characters the products of probabilities stay within a double; sums over longer words are scaled on the way.
+_SHORT = 40
+#: Places between two scalings, and characters of long words worked on together.
+_RESCALE, _LONG_CHARS = 8, 200_000
 #: Probability of a character that is no piece.
 _STRANGE = 1e-7
 #: Words remembered by a Python worker; fewer if there are more than _AT_ONCE languages.
@@ -26,9 +28,31 @@ _AT_ONCE = 8
 _FOUND = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
-def _chunks(word: str) -> list[str]:
-    word = "▁" + word
-    return [word[i : i + CHUNK] for i in range(0, len(word), CHUNK)]
+def _marked(words: list[str]) -> list[str]:
+    return ["▁" + w for w in words]
+
+
+def _groups(words: list[str], at_once: int) -> Iterator[list[int]]:
+    """Places of words that are worked on together: short ones of one length, long ones of lengths close by."""
+    places = by_length(words)
+    for length in sorted(places):
+        if length <= _SHORT:
+            yield from (places[length][x : x + at_once] for x in range(0, len(places[length]), at_once))
+    some: list[int] = []
+    for length in sorted(x for x in places if x > _SHORT):
+        for i in places[length]:
+            if some and (length > 1.25 * len(words[some[0]]) or (len(some) + 1) * length > _LONG_CHARS):
+                yield some
+                some = []
+            some.append(i)
+    if some:
+        yield some
+
+
+def _lattice(table: PieceTable, words: list[str]) -> list[np.ndarray]:
+    """The lattice of a group; shorter words are filled up with a character that no piece has."""
+    width = max(map(len, words))
+    return table.lattice(codes([w.ljust(width, "\0") for w in words], width))
 
 
 def _probabilities(model: np.ndarray, lattice: list[np.ndarray]) -> list[np.ndarray]:
@@ -59,6 +83,74 @@ def _backward(steps: list[np.ndarray]) -> np.ndarray:
     return b
 
 
+def _step(model: np.ndarray, lattice: list[np.ndarray], k: int, start: int) -> np.ndarray:
+    """(word, language) of the pieces of k + 1 characters from a place on."""
+    found = lattice[k][:, start]
+    return np.where(found[:, None] < 0, _STRANGE, model[found]) if k == 0 else model[found]
+
+
+def _scaled_forward(model: np.ndarray, lattice: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``_forward`` for words of any length: (values, logarithms); what it means is value * exp(logarithm)."""
+    words, length = lattice[0].shape
+    a, log = np.zeros((2, length + 1, words, model.shape[1]))
+    a[0] = 1
+    for j in range(1, length + 1):
+        for k in range(min(j, len(lattice))):
+            a[j] += a[j - k - 1] * _step(model, lattice, k, j - k - 1)
+        log[j] = log[j - 1]
+        if j % _RESCALE == 0:
+            lo, m = max(0, j - len(lattice) + 1), a[j].copy()
+            a[lo : j + 1] /= m
+            log[lo : j + 1] += np.log(m)
+    return a, log
+
+
+def _scaled_backward(model: np.ndarray, lattice: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from each word's own end backwards."""
+    words, length = lattice[0].shape
+    b, log = np.zeros((2, length + 1, words, model.shape[1]))
+    b[length, lengths == length] = 1
+    for i in range(length - 1, -1, -1):
+        for k in range(min(length - i, len(lattice))):
+            b[i] += b[i + k + 1] * _step(model, lattice, k, i)
+        log[i] = log[i + 1]
+        b[i, lengths == i] = 1
+        if i % _RESCALE == 0:
+            hi, m = min(length, i + len(lattice) - 1), np.where(b[i] > 0, b[i], 1)
+            b[i : hi + 1] /= m
+            log[i : hi + 1] += np.log(m)
+    return b, log
+
+
+def log_sums(model: np.ndarray, table: PieceTable, words: list[str]) -> np.ndarray:
+    """(word, language) -> log of the sum over all segmentations, for one group of ``_groups``."""
+    lattice, lengths = _lattice(table, words), np.array(list(map(len, words)))
+    if lengths.max() <= _SHORT:
+        return np.log(_forward(_probabilities(model, lattice))[-1])
+    a, log = _scaled_forward(model, lattice)
+    row = np.arange(len(words))
+    return np.log(a[lengths, row]) + log[lengths, row]
+
+
+def _expected(model: np.ndarray, lattice: list[np.ndarray], lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """For each piece length (start, word, language) -> share of the word's segmentations that use the piece there."""
+    if lengths.max() <= _SHORT:
+        steps = _probabilities(model, lattice)
+        a, b = _forward(steps), _backward(steps)
+        for k, found in enumerate(lattice):
+            m = found.shape[1]
+            yield a[:m] * steps[k].transpose(1, 0, 2) * b[k + 1 : k + 1 + m] / a[-1]
+        return
+    (a, log_a), (b, log_b) = _scaled_forward(model, lattice), _scaled_backward(model, lattice, lengths)
+    row = np.arange(len(lengths))
+    total = np.log(a[lengths, row]) + log_a[lengths, row]
+    for k, found in enumerate(lattice):
+        m = found.shape[1]
+        step = np.stack([_step(model, lattice, k, i) for i in range(m)])
+        real = b[k + 1 : k + 1 + m] > 0
+        yield np.where(real, a[:m] * step * b[k + 1 : k + 1 + m] * np.exp(np.where(real, log_a[:m] + log_b[k + 1 : k + 1 + m] - total, 0)), 0)
+
+
 def fit_pieces(counts: list[Counter], table: PieceTable, rounds: int = 3, smooth: float = 0.1) -> np.ndarray:
     """Piece probabilities (piece + an empty last row, language) by expectation maximisation.
 
@@ -70,25 +162,15 @@ def fit_pieces(counts: list[Counter], table: PieceTable, rounds: int = 3, smooth
         return np.concatenate([fit_pieces(counts[x : x + _AT_ONCE], table, rounds, smooth) for x in range(0, len(counts), _AT_ONCE)], axis=1)
     n = len(counts)
     words = sorted(set().union(*counts))
-    parts = [(c, i) for i, w in enumerate(words) for c in _chunks(w)]
-    weight = np.array([[c.get(w, 0) for c in counts] for w in words], float)
-    groups = []
-    for length, at in by_length([c for c, _ in parts]).items():
-        for x in range(0, len(at), 4096):
-            some = at[x : x + 4096]
-            groups.append((table.lattice(codes([parts[i][0] for i in some], length)), weight[[parts[i][1] for i in some]]))
+    weight, marked = np.array([[c.get(w, 0) for c in counts] for w in words], float), _marked(words)
+    groups = [(_lattice(table, [marked[i] for i in some]), np.array([len(marked[i]) for i in some]), weight[some]) for some in _groups(marked, 4096)]
     model = np.full((table.size + 1, n), 1 / table.size)
     model[-1] = 0
     for _ in range(rounds):
         used = np.full((table.size + 1, n), smooth)
-        for lattice, w in groups:
-            steps = _probabilities(model, lattice)
-            a, b = _forward(steps), _backward(steps)
-            scale = w / a[-1]
-            for k, found in enumerate(lattice):
-                m = found.shape[1]
-                expected = a[:m].transpose(1, 0, 2) * steps[k] * b[k + 1 : k + 1 + m].transpose(1, 0, 2) * scale[:, None, :]
-                flat = np.where(found < 0, table.size, found).ravel()
+        for lattice, lengths, w in groups:
+            for found, share in zip(lattice, _expected(model, lattice, lengths), strict=True):
+                flat, expected = np.where(found < 0, table.size, found).T.ravel(), share * w
                 for x in range(n):
                     used[:, x] += np.bincount(flat, expected[:, :, x].ravel(), table.size + 1)
         used[-1] = 0
@@ -105,14 +187,10 @@ class _Scorer:
         self.logs = np.zeros((0, model.shape[1]))
 
     def _learn(self, words: list[str]) -> None:
-        parts = [(c, i) for i, w in enumerate(words) for c in _chunks(w)]
-        new = np.zeros((len(words), self.model.shape[1]))
-        for length, at in by_length([c for c, _ in parts]).items():
-            for x in range(0, len(at), 2048):
-                some = at[x : x + 2048]
-                lattice, rows = self.table.lattice(codes([parts[i][0] for i in some], length)), [parts[i][1] for i in some]
-                for k in range(0, new.shape[1], _AT_ONCE):
-                    np.add.at(new[:, k : k + _AT_ONCE], rows, np.log(_forward(_probabilities(self.model[:, k : k + _AT_ONCE], lattice))[-1]))
+        new, marked = np.zeros((len(words), self.model.shape[1])), _marked(words)
+        for some in _groups(marked, 2048):
+            for k in range(0, new.shape[1], _AT_ONCE):
+                new[some, k : k + _AT_ONCE] = log_sums(self.model[:, k : k + _AT_ONCE], self.table, [marked[i] for i in some])
         new[[i for i, w in enumerate(words) if not any(map(str.isalpha, w))]] = 0
         self.place.update(zip(words, range(len(self.logs), len(self.logs) + len(words)), strict=True))
         self.logs = np.concatenate([self.logs, new])
@@ -191,7 +269,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     over all their segmentations; score is the share of the best language.
     Ties go to the language first in order. Null text, text without a letter,
     and any text where nothing was learned get ``und`` with score 0. Whole texts
-    are read; a null id stays null; repeated rows get a row each; an empty table
+    are read and words of any length are summed whole; a null id stays null; repeated rows get a row each; an empty table
     gives no rows; other columns are ignored.
     """
     predict = predictor(docs, model, vocabulary)

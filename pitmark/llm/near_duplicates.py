@@ -16,7 +16,8 @@ from pitmark.operators.components import components
 from pitmark.operators.scratch import materialise
 
 _SIGNED = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_SETS = pa.schema([("id", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+_SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+_CLASS = ["d1", "d2", "n"]
 #: Word hashes remembered by a Python worker.
 _MEMORY = 400_000
 #: Shingles whose coordinates are computed together, so that they stay in cache.
@@ -89,12 +90,21 @@ def signatures(sets: list[np.ndarray], coordinates: int, seed: int) -> np.ndarra
     return out
 
 
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    """(set, half) -> 128 bits that stand for the set; zeros for an empty one."""
+    out = np.zeros((len(sets), 2), np.int64)
+    for i, s in enumerate(sets):
+        if len(s):
+            out[i] = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
+    return out
+
+
 def _signed(docs: DataFrame, size: int, rows: int, bands: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, size) for t in texts_of(b.column(1))]
             full = [i for i, s in enumerate(sets) if len(s)]
-            digests = np.zeros((len(sets), 2), np.int64)
+            digests = _digests(sets)
             keys: list = [None] * len(sets)
             if full:
                 sig = signatures([sets[i] for i in full], rows * bands, seed).reshape(len(full), bands, rows).astype(np.uint64)
@@ -104,7 +114,6 @@ def _signed(docs: DataFrame, size: int, rows: int, bands: int, seed: int) -> Dat
                         key = _mix64(key * _ODD[j % len(_ODD)] + sig[:, :, j])
                 for i, k in zip(full, key.view(np.int64), strict=True):
                     keys[i] = k
-                    digests[i] = np.frombuffer(hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), np.int64)
             yield batch(_SIGNED, id=b.column(0), n=[len(s) for s in sets], d1=digests[:, 0], d2=digests[:, 1], bands=keys)
 
     return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, bands array<long>")
@@ -113,81 +122,89 @@ def _signed(docs: DataFrame, size: int, rows: int, bands: int, seed: int) -> Dat
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield batch(_SETS, id=b.column(0), hashes=[shingles(t, size).view(np.int64) for t in texts_of(b.column(1))])
+            sets = [shingles(t, size) for t in texts_of(b.column(1))]
+            digests = _digests(sets)
+            yield batch(_SETS, id=b.column(0), n=[len(s) for s in sets], d1=digests[:, 0], d2=digests[:, 1], hashes=[s.view(np.int64) for s in sets])
 
-    return docs.mapInArrow(run, "id long, hashes array<long>")
+    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, hashes array<long>")
 
 
-def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(id, hashes) of the ids; no other text is read into a set."""
-    wanted = materialise(ids.distinct(), "wanted")
-    return materialise(_sets(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]), size), "sets")
+def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(cls, hashes) of the classes ``wanted``, from texts of their smallest ids; no other text is read into a set."""
+    wanted = materialise(wanted.select("cls").distinct().join(classes, "cls").select("cls", F.col("rep").alias("id"), *_CLASS), "wanted")
+    made = _sets(docs.join(wanted.select("id").distinct(), "id", "left_semi"), size)
+    # an id's other texts, and further rows of the same text, go
+    return materialise(made.join(wanted, ["id", *_CLASS]).select("cls", "hashes").dropDuplicates(["cls"]), "sets")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets overlap enough.
 
     The set of b travels with the pair to where the set of a is, so a leader's
     set is not copied about; both joins have an exchange on either side and may
     be split where a leads very many.
     """
-    sets = _sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), docs, size)
-    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
+    sets = _sets_of(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))), classes, docs, size)
+    left = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha"))
+    right = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
     return pairs.join(right, "b").join(left, "a").where(100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets, as products of slices of their incidence matrix."""
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """(left, right) -> size of the intersection, as products of slices of the incidence matrix."""
     sizes = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), sizes)
     shared = count[column] > 1
     number = np.cumsum(count > 1) - 1
     row, column = row[shared], number[column[shared]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
+    out = np.zeros((len(left), len(right)), np.float32)
     for first in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
         lo, hi = np.searchsorted(column, (first, first + 2048))
         part = np.zeros((len(sets), 2048), np.float32)
         part[row[lo:hi], column[lo:hi] - first] = 1
-        out += part @ part.T
-    out[np.arange(len(sets)), np.arange(len(sets))] = sizes
+        out += part[left] @ part[right].T
+    out[left[:, None] == right] = sizes[left[np.isin(left, right)]]
     return out.astype(np.int64)
 
 
-def _within_groups(groups: DataFrame, root: DataFrame, docs: DataFrame, size: int, percent: int, block: int = 256) -> DataFrame:
-    """Links between members (a, id) of a leader's group that no link joins so far.
+def _within_groups(groups: DataFrame, root: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, block: int = 128) -> DataFrame:
+    """Links between members (a, cls) of a leader's group that no link joins so far.
 
-    A group of one component needs no more comparison. The others are cut by
-    hash into parts of about ``block``, any two parts meet in one task's group,
-    and a forest of their links comes out: no pairs are written.
+    A group of one component needs no more comparison. In the others, members
+    of the largest component meet those of the smaller ones only, and these
+    meet all. Both sides are cut by hash into parts of about ``block``; two
+    parts meet in one task's group, and a forest of their links comes out: no
+    pairs are written.
     """
-    state = groups.join(root, "id", "left").select("a", "id", F.coalesce("root", "id").alias("comp"))
+    state = groups.join(root, "cls", "left").select("a", "cls", F.coalesce("root", "cls").alias("comp"))
     state = materialise(state, "state")
-    open_ = state.groupBy("a").agg(F.count("*").alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
-    open_ = materialise(open_.select("a", F.ceil(F.col("m") / block).alias("parts")), "open")
-    members = materialise(state.join(open_, "a").withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), F.col("parts"))), "members")
-    sets = _sets_of(members.select("id"), docs, size)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    dealt = members.select("a", "id", "comp", "part", other.alias("other")).join(sets, "id")
-    dealt = dealt.select("a", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "comp", "part", "hashes")
+    sizes = state.groupBy("a", "comp").agg(F.count("*").alias("m"))
+    open_ = sizes.groupBy("a").agg(F.sum("m").alias("all"), F.max("m").alias("most"), F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
+    open_ = materialise(open_.select("a", "main", F.ceil((F.col("all") - F.col("most")) / block).alias("few"), F.ceil(F.col("most") / block).alias("many")), "open")
+    members = state.join(open_, "a")
+    deal = lambda parts: F.pmod(F.xxhash64("cls", F.lit(3)), F.col(parts))
+    main = F.col("comp") == F.col("main")
+    members = materialise(members.select("a", "cls", "comp", "few", "many", main.alias("in_main"), F.when(main, F.col("few") + deal("many")).otherwise(deal("few")).alias("part")), "members")
+    sets = _sets_of(members, classes, docs, size)
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("few") + F.when(F.col("in_main"), 0).otherwise(F.col("many")) - 1))
+    dealt = members.select("a", "cls", "comp", "part", others.alias("other")).join(sets, "cls")
+    dealt = dealt.select("a", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "cls", "comp", "part", "hashes")
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids, comp, part = (table[c].to_numpy() for c in ("id", "comp", "part"))
+        ids, comp, part = (table[c].to_numpy() for c in ("cls", "comp", "part"))
         hashes = table["hashes"].combine_chunks()
         cuts = hashes.offsets.to_numpy()
         flat = hashes.values.to_numpy()
         sets = [flat[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-        both, n = overlaps(sets), np.diff(cuts)
-        near = (100 * both >= percent * (n[:, None] + n - both)) & (comp[:, None] != comp)
-        if key[1].as_py() != key[2].as_py():
-            near &= part[:, None] != part
-        i, j = np.nonzero(np.triu(near, 1))
-        at = contract(i, j, len(ids))
+        left, right = (np.flatnonzero(part == k.as_py()) for k in key[1:])
+        both, n = overlaps(sets, left, right), np.diff(cuts)
+        near = (100 * both >= percent * (n[left][:, None] + n[right] - both)) & (comp[left][:, None] != comp[right])
+        i, j = np.nonzero(near)
+        at = contract(left[i], right[j], len(ids))
         tied = np.flatnonzero(at != np.arange(len(ids)))
         return pa.table({"a": pa.array(ids[tied], pa.int64()), "b": pa.array(ids[at[tied]], pa.int64())})
 
@@ -208,8 +225,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     most buckets with others, is compared with the rest and links are
     contracted: a bucket of copies is done after one comparison for each member.
     Buckets of one leader then make one group. Where a group still holds several
-    components, its members are compared in blocks, so that every pair of a
-    bucket that could join two components is decided on the full sets.
+    components, those are compared in blocks, so that every pair of a bucket
+    that could join two components is decided on the full sets.
 
     Null and blank texts have no shingles and are linked with nothing; so are
     rows with a null id, whose class and component are null. Repeated ids give a
@@ -219,26 +236,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     signed = materialise(_signed(docs, size, rows, bands, seed), "signed")
     some = signed.where("n > 0 and id is not null")
-    classes = materialise(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("rep")), "classes")
-    first = some.join(classes, ["d1", "d2", "n"]).where("id = rep").dropDuplicates(["id"])
-    banded = materialise(first.select("id", "n", F.explode("bands").alias("bucket")), "banded")
+    classes = some.groupBy(*_CLASS).agg(F.min("id").alias("rep"))
+    classes = materialise(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    first = some.join(classes, _CLASS).where("id = rep").dropDuplicates(["cls"])
+    banded = materialise(first.select("cls", "n", F.explode("bands").alias("bucket")), "banded")
     shared = materialise(banded.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     met = materialise(banded.join(shared, "bucket"), "met")
-    common = materialise(met.groupBy("id").agg(F.sum("m").alias("pop")), "common")
-    met = met.join(common, "id").select("bucket", "id", "n", "pop")
-    # ids whose rows have several sets link those sets' classes
-    links = materialise(some.join(classes, ["d1", "d2", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct().join(classes.select(F.col("rep").alias("a")), "a", "left_semi"), "links")
-    roots = lambda links: materialise(components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("root")), "roots")
-    leads = materialise(met.groupBy("bucket").agg(F.max_by(F.struct("id", "n"), F.struct("pop", -F.col("id"))).alias("x")).select("bucket", F.col("x.id").alias("a"), F.col("x.n").alias("na")), "leads")
-    led = materialise(met.join(leads, "bucket").where("id <> a").select("a", F.col("id").alias("b"), F.col("n").alias("nb"), "na").distinct(), "led")
-    links = materialise(links.unionByName(_linked(led.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"), docs, size, percent)), "links")
+    common = materialise(met.groupBy("cls").agg(F.sum("m").alias("pop")), "common")
+    met = met.join(common, "cls").select("bucket", "cls", "n", "pop")
+    # an id with several sets ties their classes together
+    twin = some.groupBy("id").agg(F.min("d1").alias("x1"), F.max("d1").alias("x2"), F.min("d2").alias("y1"), F.max("d2").alias("y2")).where("x1 <> x2 or y1 <> y2").select("id")
+    several = materialise(some.join(twin, "id", "left_semi").select("id", *_CLASS).distinct().join(classes.drop("rep"), _CLASS).select("id", F.col("cls").alias("a")), "several")
+    links = materialise(several.join(several.groupBy("id").agg(F.min("a").alias("b")), "id").where("a <> b").select("a", "b").distinct(), "links")
+    roots = lambda links: materialise(components(links, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("root")), "roots")
+    leads = materialise(met.groupBy("bucket").agg(F.max_by(F.struct("cls", "n"), F.struct("pop", -F.col("cls"))).alias("x")).select("bucket", F.col("x.cls").alias("a"), F.col("x.n").alias("na")), "leads")
+    led = materialise(met.join(leads, "bucket").where("cls <> a").select("a", F.col("cls").alias("b"), F.col("n").alias("nb"), "na").distinct(), "led")
+    links = materialise(links.unionByName(_linked(led.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"), classes, docs, size, percent)), "links")
     root = roots(links)
-    found = materialise(_within_groups(led.select("a", F.col("b").alias("id")), root, docs, size, percent), "found")
+    found = materialise(_within_groups(led.select("a", F.col("b").alias("cls")), root, classes, docs, size, percent), "found")
     root = roots(links.unionByName(found))
-    member = classes.join(root.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n", "rep", F.coalesce("root", "rep").alias("root"))
-    member = materialise(member, "classes")
+    least = root.join(classes.select("cls", "rep"), "cls").groupBy("root").agg(F.min("rep").alias("least"))
+    root = materialise(root.join(least, "root").select("cls", "least"), "least")
+    member = materialise(classes.join(root, "cls", "left").select(*_CLASS, "rep", F.coalesce("least", "rep").alias("root")), "member")
     return (
-        signed.join(member, ["d1", "d2", "n"], "left")
+        signed.join(member, _CLASS, "left")
         .select(
             F.col("id").alias("doc_id"),
             F.col("n").alias("n_shingles"),
@@ -250,6 +271,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without those that a smaller id of their component stands for."""
-    gone = near_duplicates(docs, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one row of each component: of its smallest id, and of that id's rows the one with the first text.
+
+    Rows without words and rows with a null id are linked with nothing and all
+    stay; so an id's blank rows outlive its other texts. An id that very many
+    rows share is reduced in each task before they meet.
+    """
+    found = near_duplicates(docs, id_col, text_col, **options).where("n_shingles > 0 and doc_id is not null")
+    decided = found.groupBy("doc_id").agg(F.bool_and("kept").alias("__stays"), F.count("*").alias("__n")).where("not __stays or __n > 1")
+    decided = materialise(decided.withColumnRenamed("doc_id", "__id"), "decided")
+    words = F.coalesce(docs[text_col].rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    rows = docs.withColumn("__id", F.when(words, docs[id_col].cast("long"))).join(decided, "__id", "left")
+    single = rows.where("__stays is null").select(*docs.columns)
+    several = rows.where("__stays").groupBy("__id").agg(F.min_by(F.struct(*docs.columns), text_col).alias("row"))
+    return single.unionByName(several.select("row.*"))

@@ -92,6 +92,45 @@ def test_groups_of_many_near_copies(spark):
     assert got == label
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_an_id_with_several_texts(spark, order):
+    rng = random.Random(9)
+    a, b, c = (" ".join(rng.choice(WORDS) + str(rng.randint(0, 99)) for _ in range(80)) for _ in range(3))
+    rows = [(5, a), (5, b), (6, a + " tail"), (7, b), (8, c), (8, None), (9, c + " end"), (9, "")][::order]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {(r.doc_id, r.n_shingles > 0, r.component_id) for r in near_duplicates.near_duplicates(df).collect()}
+    assert got == {(5, True, 5), (6, True, 5), (7, True, 5), (8, True, 8), (8, False, 8), (9, True, 8), (9, False, 9)}
+    kept = sorted((r.doc_id, r.text or "") for r in near_duplicates.keep_one(df).collect())
+    assert kept == sorted([(5, min(a, b)), (8, ""), (8, c), (9, "")])
+
+
+def test_a_stray_beside_many_copies(spark):
+    """Members that no leader links are compared with all of a group, and copies not with one another."""
+    rng = random.Random(11)
+    base = [rng.choice(WORDS) + str(rng.randint(0, 99)) for _ in range(100)]
+    rows = []
+    for i in range(600):
+        w = list(base)
+        for k in range(i % 3):
+            w[rng.randrange(40) + 60 * (i % 2)] = f"x{i}{k}"
+        rows.append((i, " ".join(w)))
+    half = base[:50] + [f"y{k}" for k in range(14)]
+    rows += [(1000 + i, " ".join([*half, *(f"z{i}{k}" for k in range(i % 4))])) for i in range(40)]
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    sets = {i: frozenset(zip(*[t.split()[j:] for j in range(5)])) for i, t in rows}
+    label = {i: i for i in sets}
+    for i in sorted(sets):
+        if label[i] == i:
+            todo = [i]
+            while todo:
+                x = todo.pop()
+                for y in sets:
+                    if label[y] == y and y > i and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                        label[y] = i
+                        todo.append(y)
+    assert got == label
+
+
 def test_packing(spark, docs, nothing):
     rows = packing.pack(docs, capacity=64, windows=4, grain=16).collect()
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))

@@ -15,7 +15,7 @@ from pitmark.llm.common import batch
 from pitmark.llm.vectors import as_doubles, matrix, usable
 from pitmark.operators.scratch import materialise
 
-_TREE = pa.schema([("dim", pa.int32()), ("shard", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()), ("radii", pa.binary())])
+_TREE = pa.schema([("dim", pa.int32()), ("shard", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()), ("rings", pa.binary())])
 _BEST = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 _NONE = np.iinfo(np.int64).max
 #: Keeps rounding from pruning what lies on a border.
@@ -32,13 +32,14 @@ def _inner(size: int, leaf: int) -> int:
 
 
 def build(ids: np.ndarray, rows: np.ndarray, leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Points in tree order and the radius of each inner node, nodes before their children.
+    """Points in tree order and the rings of each inner node (near half from, to, far half from, to), nodes before their children.
 
     A node's first point is its vantage point: the one farthest from the node's
-    mean. The nearer half of the others comes next, then the farther half.
+    mean. The nearer half of the others comes next, then the farther half; of
+    both the distances where they begin and end are kept.
     """
     unit = rows / np.sqrt((rows * rows).sum(1, keepdims=True))
-    order, radii = np.arange(len(ids)), []
+    order, rings = np.arange(len(ids)), []
 
     def split(lo: int, hi: int) -> None:
         if hi - lo <= leaf:
@@ -51,36 +52,53 @@ def build(ids: np.ndarray, rows: np.ndarray, leaf: int) -> tuple[np.ndarray, np.
         by = np.argsort(d, kind="stable")
         at[1:] = at[1:][by]
         inside = (hi - lo) // 2
-        radii.append((d[by[inside - 1]] + d[by[min(inside, len(by) - 1)]]) / 2)
+        rings.append((d[by[0]], d[by[inside - 1]], d[by[min(inside, len(by) - 1)]], d[by[-1]]))
         split(lo + 1, lo + 1 + inside)
         split(lo + 1 + inside, hi)
 
     split(0, len(ids))
-    return ids[order], rows[order], np.array(radii)
+    return ids[order], rows[order], np.array(rings).reshape(-1, 4)
 
 
-class _Search:
-    """The best k of a shard for a block of queries, which go down the tree together."""
+class Search:
+    """The best k of a shard for a block of queries, which go down the tree together.
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, radii: np.ndarray, leaf: int, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
-        self.ids, self.rows, self.radii, self.leaf = ids, rows, radii, leaf
-        self.norms = np.sqrt((rows * rows).sum(1))
-        self.query_ids, self.queries, self.query_norms = query_ids, queries, np.sqrt((queries * queries).sum(1))
+    ``measured`` counts the pairs of a query and a point that were compared.
+    """
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, rings: np.ndarray, leaf: int, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
+        self.ids, self.rows, self.rings, self.leaf = ids, rows, rings, leaf
+        self.norms, self.query_norms = (np.sqrt(np.einsum("nd,nd->n", x, x)) for x in (rows, queries))
+        self.unit, self.query_unit = rows / self.norms[:, None], queries / self.query_norms[:, None]
+        self.query_ids, self.queries = query_ids, queries
         self.k, self.factor = k, factor
         self.score, self.found = np.full((len(queries), k), -np.inf), np.full((len(queries), k), _NONE)
         self.measured = 0
         self.visit(0, len(ids), 0, np.arange(len(queries)))
 
     def measure(self, lo: int, hi: int, q: np.ndarray) -> np.ndarray:
-        """Cosines with the points lo..hi; the best k are kept, ties to the smaller id."""
+        """Cosines with the points lo..hi; the best k are kept, ties to the smaller id.
+
+        A matrix product tells what may be among the best; only that is
+        measured in the order of summation that scores are given in.
+        """
         self.measured += (hi - lo) * len(q)
-        s = np.einsum("qd,nd->qn", self.queries[q], self.rows[lo:hi]) / (self.query_norms[q][:, None] * self.norms[lo:hi])
-        ids = np.broadcast_to(self.ids[lo:hi], s.shape)
-        own = ids == self.query_ids[q][:, None]
-        both = np.concatenate([self.score[q], np.where(own, -np.inf, s)], 1)
-        names = np.concatenate([self.found[q], np.where(own, _NONE, ids)], 1)
-        best = np.lexsort((names, -both), axis=1)[:, : self.k]
-        self.score[q], self.found[q] = np.take_along_axis(both, best, 1), np.take_along_axis(names, best, 1)
+        s = self.query_unit[q] @ self.unit[lo:hi].T
+        other = self.ids[lo:hi] != self.query_ids[q][:, None]
+        least = self.score[q, -1]
+        if hi - lo > self.k + 1:
+            least = np.maximum(least, np.partition(s, -self.k - 1, axis=1)[:, -self.k - 1])
+        i, j = np.nonzero((s >= least[:, None] - _SLACK) & other)
+        if len(i):
+            row, at = q[i], lo + j
+            score = np.einsum("nd,nd->n", self.queries[row], self.rows[at]) / (self.query_norms[row] * self.norms[at])
+            some = np.unique(row)
+            place = np.concatenate([row, np.repeat(some, self.k)])
+            score, names = np.concatenate([score, self.score[some].ravel()]), np.concatenate([self.ids[at], self.found[some].ravel()])
+            order = np.lexsort((names, -score, place))
+            rank = np.arange(len(order)) - np.searchsorted(place[order], place[order])
+            best = order[rank < self.k]
+            self.score[some], self.found[some] = score[best].reshape(-1, self.k), names[best].reshape(-1, self.k)
         return s
 
     def reach(self, q: np.ndarray) -> np.ndarray:
@@ -94,28 +112,30 @@ class _Search:
             self.measure(lo, hi, q)
             return
         d = np.sqrt(np.maximum(0, 2 - 2 * self.measure(lo, lo + 1, q)[:, 0]))
-        radius, inside = self.radii[node], (hi - lo) // 2
+        near_from, near_to, far_from, far_to = self.rings[node]
+        inside = (hi - lo) // 2
         near = (lo + 1, lo + 1 + inside, node + 1)
         far = (lo + 1 + inside, hi, node + 1 + _inner(inside, self.leaf))
-        within = d <= radius
-        self.visit(*near, q[within])
-        self.visit(*far, q[~within])
-        self.visit(*far, q[within & (radius - d <= self.reach(q))])
-        self.visit(*near, q[~within & (d - radius <= self.reach(q))])
+        off_near, off_far = np.maximum(near_from - d, d - near_to), np.maximum(far_from - d, d - far_to)
+        first = off_near <= off_far  # the half that is nearer comes first and brings the k-th best closer
+        for half, mine, off in ((near, first, off_near), (far, ~first, off_far), (far, first, off_far), (near, ~first, off_near)):
+            some = q[mine]
+            self.visit(*half, some[off[mine] <= self.reach(some)])
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 5, factor: float = 1.0, leaf: int = 48, shard_rows: int | None = None, block: int = 256) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 5, factor: float = 1.0, leaf: int = 192, shard_rows: int = 32_768, block: int = 512) -> DataFrame:
     """The k vectors of the largest cosine for each query: query_id, rank, vec_id, score.
 
     All vectors are dealt by the hash of their id over shards of about
-    ``shard_rows`` (1024 up to 262,144 vectors, then a 256th of them, 65,536 at
-    most), and each shard is indexed whole as a vantage-point tree of Euclidean
-    distances between unit vectors. Queries go to every shard in blocks of about
-    ``block``. A subtree is left out if the triangle inequality shows that its
-    points are farther than ``factor`` times the distance of the k-th best; at
-    1 the result is exact, below 1 more is pruned. Scores are cosines of the
-    original vectors in double precision; ties go to the smaller id. Only the k
-    best of a shard leave it, and only the k best of a task are shuffled.
+    ``shard_rows``, and each shard is indexed whole as a vantage-point tree of
+    Euclidean distances between unit vectors. Queries go to every shard in
+    blocks of about ``block``; a block's work in a shard is large beside the
+    tree that is sent with it. A subtree is left out if the triangle inequality
+    shows that its points are farther than ``factor`` times the distance of the
+    k-th best; at 1 the result is exact, below 1 more is pruned. Scores are
+    cosines of the original vectors in double precision; ties go to the smaller
+    id. Only the k best of a shard leave it, and only the k best of a task are
+    shuffled.
 
     Null ids and vectors that are null, empty, zero or hold null or non-finite
     components take no part on either side. Only vectors of equal length are
@@ -130,17 +150,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
     points, asked = clean(vectors), materialise(clean(queries), "queries")
     points = materialise(points, "points")
     n, m = points.count(), asked.count()
-    shard_rows = shard_rows or min(65_536, max(1024, n // 256))
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block))
 
     def grow(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         v = matrix(table["v"].combine_chunks())
         ids = table["id"].to_numpy()
         order = np.argsort(ids)
-        ids, rows, radii = build(ids[order], v[order], leaf)
-        return pa.Table.from_batches([batch(_TREE, dim=[key[0].as_py()], shard=[key[1].as_py()], ids=[ids.tobytes()], rows=[rows.tobytes()], radii=[radii.tobytes()])])
+        ids, rows, rings = build(ids[order], v[order], leaf)
+        return pa.Table.from_batches([batch(_TREE, dim=[key[0].as_py()], shard=[key[1].as_py()], ids=[ids.tobytes()], rows=[rows.tobytes()], rings=[rings.tobytes()])])
 
-    index = points.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).groupBy("dim", "shard").applyInArrow(grow, "dim int, shard long, ids binary, rows binary, radii binary")
+    index = points.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).groupBy("dim", "shard").applyInArrow(grow, "dim int, shard long, ids binary, rows binary, rings binary")
     index = materialise(index, "trees")
     packed = asked.groupBy("dim", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("q"))
     packed = packed.select("dim", F.col("q.id").alias("qids"), F.flatten("q.v").alias("qrows"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
@@ -151,11 +170,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
                 dim = b.column("dim")[i].as_py()
                 query_ids = b.column("qids").slice(i, 1).flatten().to_numpy()
                 q = b.column("qrows").slice(i, 1).flatten().to_numpy().reshape(-1, dim)
-                ids, rows, radii = (np.frombuffer(b.column(c)[i].as_buffer(), t) for c, t in (("ids", np.int64), ("rows", np.float64), ("radii", np.float64)))
-                s = _Search(ids, rows.reshape(-1, dim), radii, leaf, query_ids, q, k, factor)
+                ids, rows, rings = (np.frombuffer(b.column(c)[i].as_buffer(), t) for c, t in (("ids", np.int64), ("rows", np.float64), ("rings", np.float64)))
+                s = Search(ids, rows.reshape(-1, dim), rings.reshape(-1, 4), leaf, query_ids, q, k, factor)
                 real = s.found != _NONE
                 yield batch(_BEST, query_id=np.broadcast_to(query_ids[:, None], real.shape)[real], vec_id=s.found[real], score=s.score[real])
 
-    found = index.join(packed, ["dim", "shard"]).select("dim", "qids", "qrows", "ids", "rows", "radii").mapInArrow(search, "query_id long, vec_id long, score double")
+    found = index.join(packed, ["dim", "shard"]).select("dim", "qids", "qrows", "ids", "rows", "rings").mapInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,11 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pitmark.functions.columns import claim_tokens, codes
 from pitmark.operators.components import components
 from pitmark.operators.row_quality import with_codes
+from pitmark.operators.scratch import materialise
 
+#: Tokens that are told apart by how common they are; the table is sent to every task.
+_COMMON = 20_000
 _OFFICIAL = ("PRIMARY_OFFICIAL", "COMPANY_OFFICIAL")
 
 
@@ -80,34 +84,52 @@ def fold_fact_status(rows: DataFrame, key: str) -> DataFrame:
 def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int = 6, containment: float = 0.90, jaccard: float = 0.82) -> DataFrame:
     """(a, b, why): same security, kind and direction, and one event or origin, or texts nearly alike and close in time.
 
-    Equal keys are tied to the smallest id of the key, which links the same rows
-    as all their pairs would. Texts: two sets with this Jaccard similarity share
-    one of the rarest tokens, the first floor((1 - j) n) + 1 by corpus
-    frequency; only those are joined, then sets are compared in full. Equal
-    token sets meet first and stand for each other through their smallest id.
+    The pairs tie the same rows together as all pairs that qualify would, but no
+    group of copies is expanded. Equal keys are tied to the smallest id of the
+    key. Texts: rows with an equal set of tokens in one stretch of ``hours`` are
+    tied to its smallest id, and stretches that follow within ``hours`` to each
+    other; such a run then stands for its rows. Two different sets with this
+    Jaccard similarity share one of their rarest tokens, the first
+    floor((1 - j) n) + 1 in one order of all tokens; only those are compared in
+    full, and then the runs of both that come within ``hours`` of each other are
+    tied. Null texts have no tokens. Token sets and stretches are written to
+    tables on the way.
     """
     f = findings.where("direction <> 'NEUTRAL'")
-    block = ["security_code", "signal_kind", "direction"]
+    block, span = ["security_code", "signal_kind", "direction"], hours * 3600
 
     def star(key: str) -> DataFrame:
         least = f.groupBy(*block, key).agg(F.min("finding_id").alias("a"))
         return f.join(least, [*block, key]).where("finding_id <> a").select("a", F.col("finding_id").alias("b"), F.lit(key).alias("why"))
 
-    t = f.select(*block, "finding_id", "available_at", F.array_sort(claim_tokens(F.col("claim_text"))).alias("tokens")).where(F.size("tokens") >= least_tokens)
-    t = t.withColumn("n", F.size("tokens"))
-    seen = t.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    each = t.select(*block, "finding_id", "n", F.explode("tokens").alias("token")).join(seen, "token")
-    rare = each.groupBy(*block, "finding_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_df"))
-    keys = rare.select(*block, "finding_id", "n", F.explode(F.slice("by_df", 1, F.floor((1 - jaccard) * F.col("n")).cast("int") + 1)).alias("x")).select(*block, "finding_id", "n", F.col("x.token").alias("token"))
-    right = keys.select(*block, "token", F.col("finding_id").alias("b"), F.col("n").alias("nb"))
-    close = keys.join(right, [*block, "token"]).where((F.col("finding_id") < F.col("b")) & (F.least("n", "nb") >= jaccard * F.greatest("n", "nb"))).select(F.col("finding_id").alias("a"), "b").distinct()
-    side = lambda x: t.select(F.col("finding_id").alias(x), F.col("tokens").alias(f"t{x}"), F.col("available_at").alias(f"at{x}"))
-    j = close.join(side("a"), "a").join(side("b"), "b")
-    both = F.size(F.array_intersect("ta", "tb"))
-    total = F.size("ta") + F.size("tb") - both
-    near = F.abs(F.unix_seconds(F.col("ata").cast("timestamp")) - F.unix_seconds(F.col("atb").cast("timestamp"))) <= hours * 3600
-    alike = j.where(near & (both >= containment * F.least(F.size("ta"), F.size("tb"))) & (both >= jaccard * total)).select("a", "b", F.lit("claim_text").alias("why"))
-    return star("event_key").unionByName(star("origin_id")).unionByName(alike)
+    t = f.select(*block, "finding_id", F.unix_seconds(F.col("available_at").cast("timestamp")).alias("at"), F.array_sort(claim_tokens(F.col("claim_text"))).alias("tokens")).where(F.size("tokens") >= least_tokens)
+    key = F.sha2(F.concat_ws("\x1f", *block, F.array_join("tokens", "\x1f")), 256)
+    t = materialise(t.withColumn("set", key).withColumn("stretch", F.floor(F.col("at") / span)), "tokens")
+    stretches = t.groupBy("set", "stretch").agg(F.min("finding_id").alias("rep"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+    order = Window.partitionBy("set").orderBy("stretch")  # one row for each stretch of time, not for each text
+    before = stretches.withColumn("last", F.lag("rep").over(order)).withColumn("breaks", F.coalesce(F.col("lo") - F.lag("hi").over(order) > span, F.lit(True)))
+    stretches = materialise(before.withColumn("run", F.sum(F.col("breaks").cast("int")).over(order)), "stretches")
+    copies = t.join(stretches.select("set", "stretch", "rep"), ["set", "stretch"]).where("finding_id <> rep").select(F.col("rep").alias("a"), F.col("finding_id").alias("b"))
+    chain = stretches.where("not breaks").select(F.least("last", "rep").alias("a"), F.greatest("last", "rep").alias("b"))
+    runs = stretches.groupBy("set", "run").agg(F.min("rep").alias("rep"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+    sets = materialise(t.select(*block, "set", "tokens").dropDuplicates(["set"]).withColumn("n", F.size("tokens")), "sets")
+    each = sets.select(*block, "set", "n", F.explode("tokens").alias("token"))
+    # any one order of tokens will do; the commonest come last, all others are as rare as each other
+    common = each.groupBy("token").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "token").limit(_COMMON)
+    rare = each.join(F.broadcast(common), "token", "left").groupBy(*block, "set", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("by_df"))
+    first = F.slice("by_df", 1, F.floor((1 - jaccard) * F.col("n")).cast("int") + 1)
+    keys = materialise(rare.select(*block, "set", "n", F.explode(first).alias("x")).select(*block, "set", "n", F.col("x.token").alias("token")), "prefixes")
+    right = keys.select(*block, "token", F.col("set").alias("other"), F.col("n").alias("m"))
+    close = keys.join(right, [*block, "token"]).where((F.col("set") < F.col("other")) & (F.least("n", "m") >= jaccard * F.greatest("n", "m"))).select("set", "other").distinct()
+    j = close.join(sets.select("set", "tokens"), "set").join(sets.select(F.col("set").alias("other"), F.col("tokens").alias("theirs")), "other")
+    both = F.size(F.array_intersect("tokens", "theirs"))
+    total = F.size("tokens") + F.size("theirs") - both
+    alike = j.where((both >= containment * F.least(F.size("tokens"), F.size("theirs"))) & (both >= jaccard * total)).select("set", "other")
+    theirs = runs.select(F.col("set").alias("other"), F.col("rep").alias("rep_"), F.col("lo").alias("lo_"), F.col("hi").alias("hi_"))
+    met = alike.join(runs, "set").join(theirs, "other").where((F.col("lo") - F.col("hi_") <= span) & (F.col("lo_") - F.col("hi") <= span))
+    texts = copies.unionByName(chain).unionByName(met.select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b")))
+    return star("event_key").unionByName(star("origin_id")).unionByName(texts.withColumn("why", F.lit("claim_text")))
 
 
 def claim_clusters(findings: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -151,7 +173,7 @@ def repost_count(findings: DataFrame) -> DataFrame:
 
 def claim_support_violations(claims: DataFrame, sources: DataFrame) -> DataFrame:
     """Each fact type needs its role among the cited sources; a community cannot establish facts alone."""
-    roles = claims.select("claim_id", F.explode("source_ids").alias("source_id")).join(F.broadcast(sources), "source_id", "left").groupBy("claim_id").agg(F.collect_set("role").alias("roles"))
+    roles = claims.select("claim_id", F.explode("source_ids").alias("source_id")).join(sources, "source_id", "left").groupBy("claim_id").agg(F.collect_set("role").alias("roles"))
     j = claims.join(roles, "claim_id", "left").withColumn("roles", F.coalesce("roles", F.array().cast("array<string>")))
     only_social = (F.size("roles") > 0) & (F.size(F.array_except("roles", F.array(F.lit("SOCIAL")))) == 0)
     return with_codes(
@@ -171,6 +193,6 @@ def empty_year_support(records: DataFrame) -> DataFrame:
 def annual_coverage_plan(layers: DataFrame, sources: DataFrame, first: int, last: int) -> DataFrame:
     """layer x year with the sources that reach back so far."""
     grid = layers.select("layer", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"))
-    s = F.broadcast(sources.select("layer", "source_id", "from_year"))
+    s = sources.select("layer", "source_id", "from_year")
     g = grid.join(s, "layer", "left").groupBy("layer", "year").agg(F.array_sort(F.collect_set(F.when(F.col("from_year") <= F.col("year"), F.col("source_id")))).alias("source_ids"))
     return g.withColumn("status", F.when(F.size("source_ids") == 0, "UNCOVERED").when(F.size("source_ids") == 1, "SINGLE_SOURCE").otherwise("COVERED"))

@@ -53,18 +53,35 @@ def resolve_as_of(facts: DataFrame, fact_key: Sequence[str], date: str, interval
 def eligible_universe(calendar: DataFrame, master: DataFrame, statuses: DataFrame, allowed: Sequence[str] = ("TRADING", "SUSPENDED", "HALTED")) -> DataFrame:
     """(trade_date, security_code) listed on a trading day with exactly one status in force, and that allowed.
 
-    Identity and status intervals meet on the code; only their overlap is
-    spread into days, so no day is compared with an interval it lies outside of.
+    Identity and status intervals meet on the code and are cut to their overlap.
+    Each code's overlaps are then cut at all of their bounds, so that the number
+    in force is the same within a piece: it follows from running sums over the
+    bounds, one window for each code. Only pieces with one allowed status are
+    spread into days, which meet a list of trading days in place: no rows of
+    days are shuffled. Two intervals that differ in their end alone are two.
     """
     m = master.select("security_code", "valid_from", until("valid_to").alias("vt"))
-    s = statuses.select("security_code", "effective_from", until("effective_to").alias("et"), "status")
+    s = statuses.select("security_code", "effective_from", until("effective_to").alias("et"), "status").distinct()
     last = calendar.agg(F.max("trade_date").alias("last_day"))
     both = m.join(s, "security_code").crossJoin(F.broadcast(last))
     lo, hi = F.greatest("valid_from", "effective_from"), F.least("vt", "et", "last_day")
-    days = both.where(lo <= hi).select("security_code", "status", F.col("effective_from"), F.explode(F.sequence(lo, hi)).alias("trade_date"))
-    one = days.distinct().groupBy("trade_date", "security_code").agg(F.count("*").alias("n"), F.min("status").alias("status"))
-    good = one.where((F.col("n") == 1) & F.col("status").isin(*allowed))
-    return good.join(F.broadcast(calendar.where("is_trading_day").select("trade_date")), "trade_date", "left_semi").select("trade_date", "security_code", "status")
+    # one status interval under several identities counts once on a day
+    cover = both.where(lo <= hi).select("security_code", "status", "effective_from", "et", lo.alias("lo"), hi.alias("hi"))
+    by = Window.partitionBy("security_code", "status", "effective_from", "et").orderBy("lo", "hi")
+    reached = F.max("hi").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    joined = cover.withColumn("lo", F.greatest("lo", F.coalesce(F.date_add(reached, 1), "lo"))).where("lo <= hi")
+    good = F.col("status").isin(*allowed).cast("int")
+    bounds = joined.select("security_code", F.explode(F.array(F.struct(F.col("lo").alias("day"), F.lit(1).alias("n"), "status", good.alias("good")), F.struct(F.date_add("hi", 1).alias("day"), F.lit(-1).alias("n"), "status", (-good).alias("good")))).alias("x"))
+    # with one interval in force, the sum of all statuses' numbers is that status
+    names = F.array_sort(F.array(*map(F.lit, allowed)))
+    number = F.array_position(names, F.col("x.status")) * F.col("x.n")
+    steps = bounds.groupBy("security_code", F.col("x.day").alias("day")).agg(F.sum("x.n").alias("n"), F.sum("x.good").alias("good"), F.sum(number).alias("which"))
+    w = Window.partitionBy("security_code").orderBy("day")
+    total = lambda c: F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(c)
+    pieces = steps.select("security_code", "day", F.lead("day").over(w).alias("next"), total("n"), total("good"), total("which")).where("n = 1 and good = 1")
+    spread = pieces.select("security_code", F.element_at(names, F.col("which").cast("int")).alias("status"), F.explode(F.sequence("day", F.date_sub("next", 1))).alias("trade_date"))
+    spread = spread.join(F.broadcast(calendar.where("is_trading_day").select("trade_date")), "trade_date", "left_semi")
+    return spread.select("trade_date", "security_code", "status")
 
 
 def build_calendar(spark, first: str, last: str, holidays: DataFrame, weekdays: Sequence[int], regime: dict[str, str]) -> DataFrame:

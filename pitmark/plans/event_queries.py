@@ -13,8 +13,13 @@ SQL["canonical"] = """WITH p AS (SELECT DISTINCT original_event_id pid FROM ev W
     SELECT security_code, coalesce(CAST(original_event_id AS VARCHAR), CASE WHEN p.pid IS NOT NULL THEN CAST(event_id AS VARCHAR) END, content_hash) canonical_event_id, arg_min(direction, (first_available_at, event_id)) direction, arg_min(novelty, (first_available_at, event_id)) novelty, min(first_available_at) first_available_at, max(captured_at) last_captured_at,
     list_sort(list_distinct(list(source_id))) source_ids, count(*) diffusion_count, count(DISTINCT source_id) source_diversity, bool_or(source_role = 'PRIMARY_OFFICIAL') official_fact_seen FROM ev LEFT JOIN p ON p.pid = event_id GROUP BY 1, 2"""
 SQL["toks"] = """SELECT finding_id, security_code, signal_kind, direction, available_at, list_distinct(regexp_extract_all(regexp_replace(lower(claim_text), 'https?://\\S+', ' ', 'g'), '[\\p{L}\\p{M}\\p{N}_]{3,}')) t FROM findings"""
-SQL["near"] = """SELECT a.finding_id a, b.finding_id b FROM toks a JOIN toks b ON a.security_code = b.security_code AND a.signal_kind = b.signal_kind AND a.direction = b.direction AND a.finding_id < b.finding_id
-    WHERE a.direction <> 'NEUTRAL' AND least(len(a.t), len(b.t)) >= 6 AND abs(epoch(a.available_at) - epoch(b.available_at)) <= 72 * 3600 AND len(list_intersect(a.t, b.t)) >= 0.9 * least(len(a.t), len(b.t)) AND len(list_intersect(a.t, b.t)) >= 0.82 * (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t)))"""
+SQL["stretches"] = """SELECT *, sum(CASE WHEN prior IS NOT NULL AND lo - prior <= 259200 THEN 0 ELSE 1 END) OVER (PARTITION BY security_code, signal_kind, direction, s ORDER BY stretch ROWS UNBOUNDED PRECEDING) run FROM (SELECT *, lag(hi) OVER w prior, lag(rep) OVER w last_rep FROM (
+    SELECT security_code, signal_kind, direction, list_sort(t) s, CAST(floor(epoch(available_at) / 259200) AS BIGINT) stretch, min(finding_id) rep, min(epoch(available_at)) lo, max(epoch(available_at)) hi FROM toks WHERE direction <> 'NEUTRAL' AND len(t) >= 6 GROUP BY ALL) WINDOW w AS (PARTITION BY security_code, signal_kind, direction, s ORDER BY stretch))"""
+SQL["runs"] = """SELECT security_code, signal_kind, direction, s, run, min(rep) rep, min(lo) lo, max(hi) hi FROM stretches GROUP BY ALL"""
+SQL["near"] = """SELECT rep a, finding_id b FROM toks JOIN stretches c USING (security_code, signal_kind, direction) WHERE c.s = list_sort(t) AND stretch = CAST(floor(epoch(available_at) / 259200) AS BIGINT) AND finding_id <> rep
+    UNION ALL SELECT least(last_rep, rep), greatest(last_rep, rep) FROM stretches WHERE lo - prior <= 259200
+    UNION ALL SELECT least(a.rep, b.rep), greatest(a.rep, b.rep) FROM runs a JOIN runs b ON a.security_code = b.security_code AND a.signal_kind = b.signal_kind AND a.direction = b.direction AND a.s < b.s AND a.lo - b.hi <= 259200 AND b.lo - a.hi <= 259200 AND least(len(a.s), len(b.s)) >= 0.82 * greatest(len(a.s), len(b.s))
+    WHERE len(list_intersect(a.s, b.s)) >= 0.9 * least(len(a.s), len(b.s)) AND len(list_intersect(a.s, b.s)) >= 0.82 * (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s)))"""
 
 
 @query("e1_canonical_events", "SELECT * FROM canonical")
@@ -45,10 +50,12 @@ def _(v: Views):
     return E.context_canonical(E.context_components(v.events()), F.lit("2024-01-31").cast("timestamp_ntz"))
 
 
-@query("e5_fold_fact_status", """SELECT content_hash, CASE WHEN bool_or(source_id = 'error') THEN 'DISPUTED' WHEN bool_or(source_id = 'purchase') THEN 'CONFIRMED' ELSE 'UNCONFIRMED' END factual_status, CASE WHEN bool_or(direction = 'POSITIVE') AND bool_or(direction = 'NEGATIVE') THEN 'CONTRADICTED' ELSE 'CONSISTENT' END contradiction_status,
-    CASE WHEN bool_or(event_id % 40 = 0) THEN 'CORRECTED' ELSE 'ORIGINAL' END correction_status FROM ev WHERE event_id % 11 = 0 GROUP BY 1""")
+@query("e5_fold_fact_status", """WITH x AS (SELECT *, CAST(content_hash AS INT) h FROM ev) SELECT content_hash, CASE WHEN bool_or(source_id = 'error' AND h % 3 = 0) THEN 'DISPUTED' WHEN bool_or(source_id = 'purchase' AND h % 3 < 2) THEN 'CONFIRMED' ELSE 'UNCONFIRMED' END factual_status,
+    CASE WHEN bool_or(direction = 'POSITIVE') AND bool_or(direction = 'NEGATIVE' AND h % 2 = 1) THEN 'CONTRADICTED' ELSE 'CONSISTENT' END contradiction_status, CASE WHEN bool_or(event_id % 40 = 0 AND h % 5 = 0) THEN 'CORRECTED' ELSE 'ORIGINAL' END correction_status FROM x GROUP BY 1""")
 def _(v: Views):
-    e = v.events().where("event_id % 11 = 0").withColumn("factual_status", F.when(F.col("source_id") == "error", "DISPUTED").when(F.col("source_id") == "purchase", "CONFIRMED").otherwise("UNCONFIRMED")).withColumn("corrected", F.col("event_id") % 40 == 0)
+    h, c, d = F.col("content_hash").cast("int"), F.col("source_id"), F.col("direction")
+    fact = F.when((c == "error") & (h % 3 == 0), "DISPUTED").when((c == "purchase") & (h % 3 < 2), "CONFIRMED").otherwise("UNCONFIRMED")
+    e = v.events().withColumn("factual_status", fact).withColumn("direction", F.when((d == "NEGATIVE") & (h % 2 == 0), "NEUTRAL").otherwise(d)).withColumn("corrected", (F.col("event_id") % 40 == 0) & (h % 5 == 0))
     return E.fold_fact_status(e, "content_hash")
 
 

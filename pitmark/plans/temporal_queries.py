@@ -52,7 +52,7 @@ def _(v: Views):
     return J.resolve_as_of(facts(v), ["fact_id"], "fact_date", statuses(v), "status", "effective_from", "effective_to")
 
 
-@query("j5_eligible_universe", """WITH d AS (SELECT DISTINCT c.trade_date, i.security_code, st.status, st.effective_from FROM identity i JOIN st ON st.security_code = i.security_code JOIN calendar c ON c.trade_date >= greatest(valid_from, effective_from) AND c.trade_date <= least(coalesce(valid_to, DATE '9999-12-31'), effective_to) WHERE c.is_trading_day)
+@query("j5_eligible_universe", """WITH d AS (SELECT DISTINCT c.trade_date, i.security_code, st.status, st.effective_from, st.effective_to FROM identity i JOIN st ON st.security_code = i.security_code JOIN calendar c ON c.trade_date >= greatest(valid_from, effective_from) AND c.trade_date <= least(coalesce(valid_to, DATE '9999-12-31'), effective_to) WHERE c.is_trading_day)
     SELECT trade_date, security_code, min(status) status FROM d GROUP BY 1, 2 HAVING count(*) = 1 AND min(status) IN ('TRADING', 'SUSPENDED', 'HALTED')""")
 def _(v: Views):
     return J.eligible_universe(v.calendar(), v.identity(), statuses(v))

@@ -73,18 +73,28 @@ def _(v: Views):
     return K.universe_reconcile(e, covered)
 
 
+SQL["attempts_varied"] = """SELECT * REPLACE (CASE source_id WHEN 8 THEN 'COMPLETE' WHEN 9 THEN 'FAILED' ELSE CASE WHEN state = 'COMPLETE' AND source_id < 4 AND route_id % 7 = 0 THEN 'RETRY' ELSE state END END AS state) FROM attempts"""
+
+
+def attempts(v: Views):
+    """All attempts; sources 0 to 3 have routes that never complete, 8 always completes, 9 always fails."""
+    source, state = F.col("source_id"), F.col("state")
+    lost = (state == "COMPLETE") & (source < 4) & (F.col("route_id") % 7 == 0)
+    return v.attempts().withColumn("state", F.when(source == 8, "COMPLETE").when(source == 9, "FAILED").when(lost, "RETRY").otherwise(state))
+
+
 SQL["routes"] = """SELECT route_id, source_id, count(*) attempts, count(DISTINCT state) states, arg_max(state, (ts, event_id)) terminal_state, count(*) FILTER (b = 'COMPLETE') after_complete, count(*) FILTER (state = 'COMPLETE') completed, CASE WHEN count(*) FILTER (state = 'COMPLETE') > 0 THEN 'COMPLETE' WHEN arg_max(state, (ts, event_id)) = 'FAILED' THEN 'FAILED' ELSE 'OPEN' END outcome
-    FROM (SELECT *, lag(state) OVER (PARTITION BY route_id ORDER BY ts, event_id) b FROM attempts WHERE event_id % 20 = 0) GROUP BY 1, 2"""
+    FROM (SELECT *, lag(state) OVER (PARTITION BY route_id ORDER BY ts, event_id) b FROM attempts_varied) GROUP BY 1, 2"""
 
 
 def routes(v: Views):
-    return K.attempt_routes(v.attempts().where("event_id % 20 = 0"))
+    return K.attempt_routes(attempts(v))
 
 
 SQL["src"] = """SELECT source_id, count(*) routes, count(*) FILTER (outcome = 'COMPLETE') complete, count(*) FILTER (outcome = 'FAILED') failed, CASE WHEN count(*) FILTER (outcome = 'COMPLETE') = count(*) THEN 'COMPLETE' WHEN count(*) FILTER (outcome = 'FAILED') = count(*) THEN 'FAILED' ELSE 'PARTIAL' END status FROM routes GROUP BY 1"""
 
 
-@query("k7_attempt_routes", SQL["routes"].replace(" WHERE event_id % 20 = 0", ""))
+@query("k7_attempt_routes", SQL["routes"].replace("attempts_varied", "attempts"))
 def _(v: Views):
     return K.attempt_routes(v.attempts())
 
@@ -123,9 +133,9 @@ def _(v: Views):
     return K.evidence_ownership(d.select(F.col("doc_id").alias("event_id"), F.when(F.col("doc_id") % 6 == 0, "src1").otherwise(F.col("source")).alias("source_id"), F.array("h").alias("hashes")), d.select(F.col("source").alias("source_id"), F.col("h").alias("sha256")))
 
 
-@query("k14_capture_state_rollup", """SELECT route_id source_id, count(*) captures, CASE WHEN bool_and(s = 'AVAILABLE') THEN 'AVAILABLE' WHEN bool_or(s = 'AVAILABLE') THEN 'PARTIAL' ELSE arg_max(s, CASE s WHEN 'FAILED' THEN 2 ELSE 1 END) END state FROM (SELECT route_id, CASE state WHEN 'COMPLETE' THEN 'AVAILABLE' WHEN 'FAILED' THEN 'FAILED' ELSE 'BLOCKED' END s FROM attempts WHERE event_id % 20 = 0) GROUP BY 1""")
+@query("k14_capture_state_rollup", """SELECT route_id source_id, count(*) captures, CASE WHEN bool_and(s = 'AVAILABLE') THEN 'AVAILABLE' WHEN bool_or(s = 'AVAILABLE') THEN 'PARTIAL' ELSE arg_max(s, CASE s WHEN 'FAILED' THEN 2 ELSE 1 END) END state FROM (SELECT route_id, CASE state WHEN 'COMPLETE' THEN 'AVAILABLE' WHEN 'FAILED' THEN 'FAILED' ELSE 'BLOCKED' END s FROM attempts_varied) GROUP BY 1""")
 def _(v: Views):
-    c = v.attempts().where("event_id % 20 = 0").select(F.col("route_id").alias("source_id"), F.when(F.col("state") == "COMPLETE", "AVAILABLE").when(F.col("state") == "FAILED", "FAILED").otherwise("BLOCKED").alias("state"))
+    c = attempts(v).select(F.col("route_id").alias("source_id"), F.when(F.col("state") == "COMPLETE", "AVAILABLE").when(F.col("state") == "FAILED", "FAILED").otherwise("BLOCKED").alias("state"))
     return K.capture_rollup(c, {"AVAILABLE": 0, "BLOCKED": 1, "FAILED": 2})
 
 
@@ -229,9 +239,9 @@ def _(v: Views):
     return R.scope_violations(req, o.where(k % 21 != 0).select(k.alias("request_id"), F.when(k % 10 == 0, "OTHER").otherwise(scope).alias("scope")), o.where(k % 15 != 0).select(k.alias("request_id"), F.col("o_custkey").cast("string").alias("security_code")))
 
 
-@query("r9_candidate_contract", """WITH c AS (SELECT o_orderstatus run_id, CAST(o_orderkey AS VARCHAR) security_code, o_orderkey k, o_totalprice / 4800 score FROM orders WHERE o_orderkey % 3 = 0) SELECT run_id, security_code, 'SCORE_OUT_OF_RANGE' code FROM c WHERE score > 100 UNION ALL SELECT run_id, security_code, 'PROBABILITY_RECORDED' FROM c WHERE k % 5 = 0 UNION ALL SELECT run_id, security_code, 'CANDIDATE_WITH_REASONS' FROM c WHERE k % 2 = 0 AND k % 7 = 0
+@query("r9_candidate_contract", """WITH c AS (SELECT o_orderstatus run_id, CAST(o_orderkey AS VARCHAR) security_code, o_orderkey k, o_totalprice / 4800 score FROM orders) SELECT run_id, security_code, 'SCORE_OUT_OF_RANGE' code FROM c WHERE score > 100 UNION ALL SELECT run_id, security_code, 'PROBABILITY_RECORDED' FROM c WHERE k % 5 = 0 UNION ALL SELECT run_id, security_code, 'CANDIDATE_WITH_REASONS' FROM c WHERE k % 2 = 0 AND k % 7 = 0
     UNION ALL SELECT run_id, security_code, 'STATUS_WITHOUT_REASON' FROM c WHERE k % 2 = 1 AND k % 7 <> 0 UNION ALL SELECT run_id, security_code, 'SELECTED_NOT_CANDIDATE' FROM c WHERE k % 11 = 0 AND k % 2 = 1""")
 def _(v: Views):
     k = F.col("o_orderkey")
-    c = v.table("orders").where(k % 3 == 0).select(F.col("o_orderstatus").alias("run_id"), k.cast("string").alias("security_code"), k.alias("rank"), (F.col("o_totalprice") / 4800).alias("score"), F.when(k % 5 == 0, 0.5).alias("probability"), F.when(k % 2 == 0, "RESEARCH_CANDIDATE").otherwise("WATCH").alias("status"), F.when(k % 7 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("reasons"), (k % 11 == 0).alias("selected"))
+    c = v.table("orders").select(F.col("o_orderstatus").alias("run_id"), k.cast("string").alias("security_code"), k.alias("rank"), (F.col("o_totalprice") / 4800).alias("score"), F.when(k % 5 == 0, 0.5).alias("probability"), F.when(k % 2 == 0, "RESEARCH_CANDIDATE").otherwise("WATCH").alias("status"), F.when(k % 7 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("reasons"), (k % 11 == 0).alias("selected"))
     return R.candidate_contract_violations(c)

@@ -1,7 +1,7 @@
-"""Queries that read whole tables where an older one of nearly the same name reads the ids of one residue.
+"""Queries that stand on others: roll-ups of roll-ups, findings blocked by language, chains with their own hashes.
 
-The older queries and their SQL stay as they were. Results vary through derived
-states, not through rows left out.
+Six queries are also registered under a second name, with ``_whole``, from the
+time when the first name stood for a part of its table.
 """
 
 from __future__ import annotations
@@ -18,61 +18,12 @@ from pitmark.operators import market as A
 from pitmark.operators import ranking as R
 from pitmark.operators import row_quality as Q
 from pitmark.plans import stream_queries  # noqa: F401  (registers s6)
-from pitmark.plans.rank_queries import cut
+from pitmark.plans.rank_queries import attempts
 from pitmark.plans.registry import BODIES, BUILDS, query
 from pitmark.plans.views import SQL, Views
 
-SQL["attempts_varied"] = """SELECT * REPLACE (CASE source_id WHEN 8 THEN 'COMPLETE' WHEN 9 THEN 'FAILED' ELSE CASE WHEN state = 'COMPLETE' AND source_id < 4 AND route_id % 7 = 0 THEN 'RETRY' ELSE state END END AS state) FROM attempts"""
-SQL["routes_whole"] = SQL["routes"].replace("FROM attempts WHERE event_id % 20 = 0", "FROM attempts_varied")
-SQL["src_whole"] = SQL["src"].replace("FROM routes", "FROM routes_whole")
-
-
-def attempts(v: Views):
-    """All attempts; sources 0 to 3 have routes that never complete, 8 always completes, 9 always fails."""
-    source, state = F.col("source_id"), F.col("state")
-    lost = (state == "COMPLETE") & (source < 4) & (F.col("route_id") % 7 == 0)
-    return v.attempts().withColumn("state", F.when(source == 8, "COMPLETE").when(source == 9, "FAILED").when(lost, "RETRY").otherwise(state))
-
-
-@query("k8_attempt_rollup_whole", "SELECT * FROM src_whole")
-def _(v: Views):
-    return K.attempt_rollup(K.attempt_routes(attempts(v)))
-
-
-@query("k9_advance_watermarks_whole", BODIES["k9_advance_watermarks"].replace("JOIN src ", "JOIN src_whole "))
-def _(v: Views):
-    i = v.attempts().where("source_id < 9").where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")).groupBy("source_id").agg(F.max("ts").alias("watermark"))
-    return K.advance_watermarks(i, K.attempt_rollup(K.attempt_routes(attempts(v))), cut())
-
-
-@query("k14_capture_state_rollup_whole", BODIES["k14_capture_state_rollup"].replace("FROM attempts WHERE event_id % 20 = 0", "FROM attempts_varied"))
-def _(v: Views):
-    c = attempts(v).select(F.col("route_id").alias("source_id"), F.when(F.col("state") == "COMPLETE", "AVAILABLE").when(F.col("state") == "FAILED", "FAILED").otherwise("BLOCKED").alias("state"))
-    return K.capture_rollup(c, {"AVAILABLE": 0, "BLOCKED": 1, "FAILED": 2})
-
-
-@query("q18_fold_evidence_class_whole", """WITH c AS (SELECT security_code, CASE WHEN (source_id = 'error' AND s > 0) OR (source_id = 'click' AND s > 1) OR (source_id = 'view' AND s > 2) THEN 'signup' ELSE source_id END cls FROM (SELECT *, CAST(security_code AS INT) % 4 s FROM ev))
-    SELECT security_code, CASE WHEN bool_or(cls = 'error') THEN 'error' WHEN bool_or(cls = 'click') THEN 'click' WHEN bool_or(cls = 'view') THEN 'view' WHEN bool_or(cls = 'purchase') THEN 'purchase' ELSE 'signup' END evidence_class FROM c GROUP BY 1""")
-def _(v: Views):
-    s, c = F.col("security_code").cast("int") % 4, F.col("source_id")
-    mild = ((c == "error") & (s > 0)) | ((c == "click") & (s > 1)) | ((c == "view") & (s > 2))
-    return Q.fold_evidence_class(v.events().withColumn("evidence_class", F.when(mild, "signup").otherwise(c)), ["security_code"], ["error", "click", "view", "purchase", "signup"])
-
-
-@query("e5_fold_fact_status_whole", """WITH x AS (SELECT *, CAST(content_hash AS INT) h FROM ev) SELECT content_hash, CASE WHEN bool_or(source_id = 'error' AND h % 3 = 0) THEN 'DISPUTED' WHEN bool_or(source_id = 'purchase' AND h % 3 < 2) THEN 'CONFIRMED' ELSE 'UNCONFIRMED' END factual_status,
-    CASE WHEN bool_or(direction = 'POSITIVE') AND bool_or(direction = 'NEGATIVE' AND h % 2 = 1) THEN 'CONTRADICTED' ELSE 'CONSISTENT' END contradiction_status, CASE WHEN bool_or(event_id % 40 = 0 AND h % 5 = 0) THEN 'CORRECTED' ELSE 'ORIGINAL' END correction_status FROM x GROUP BY 1""")
-def _(v: Views):
-    h, c, d = F.col("content_hash").cast("int"), F.col("source_id"), F.col("direction")
-    fact = F.when((c == "error") & (h % 3 == 0), "DISPUTED").when((c == "purchase") & (h % 3 < 2), "CONFIRMED").otherwise("UNCONFIRMED")
-    e = v.events().withColumn("factual_status", fact).withColumn("direction", F.when((d == "NEGATIVE") & (h % 2 == 0), "NEUTRAL").otherwise(d)).withColumn("corrected", (F.col("event_id") % 40 == 0) & (h % 5 == 0))
-    return E.fold_fact_status(e, "content_hash")
-
-
-@query("r9_candidate_contract_whole", BODIES["r9_candidate_contract"].replace(" WHERE o_orderkey % 3 = 0", ""))
-def _(v: Views):
-    k = F.col("o_orderkey")
-    c = v.table("orders").select(F.col("o_orderstatus").alias("run_id"), k.cast("string").alias("security_code"), k.alias("rank"), (F.col("o_totalprice") / 4800).alias("score"), F.when(k % 5 == 0, 0.5).alias("probability"), F.when(k % 2 == 0, "RESEARCH_CANDIDATE").otherwise("WATCH").alias("status"), F.when(k % 7 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("reasons"), (k % 11 == 0).alias("selected"))
-    return R.candidate_contract_violations(c)
+for _name in ("k8_attempt_rollup", "k9_advance_watermarks", "k14_capture_state_rollup", "q18_fold_evidence_class", "e5_fold_fact_status", "r9_candidate_contract"):
+    query(f"{_name}_whole", BODIES[_name])(BUILDS[_name])
 
 
 class LanguageViews(Views):
@@ -84,7 +35,7 @@ class LanguageViews(Views):
 
 
 SQL["findings_lang"] = "SELECT * REPLACE (lang AS security_code, ['POSITIVE', 'NEGATIVE', 'NEUTRAL'][finding_id % 3 + 1] AS direction) FROM findings"
-_BLOCKED = ("toks", "near", "clusters", "reps", "roled")
+_BLOCKED = ("toks", "stretches", "runs", "near", "clusters", "reps", "roled")
 
 
 def _by_language(sql: str) -> str:
@@ -97,13 +48,13 @@ for _name in ("e7_near_duplicate_pairs", "e8_claim_clusters", "e9_cluster_repres
     query(f"{_name}_by_language", _by_language(BODIES[_name]))(lambda v, build=BUILDS[_name]: build(LanguageViews(v.spark, v.sf_dir)))
 
 
-@query("k8_wave_rollup", """SELECT s % 3 wave_id, count(*) sources, count(*) FILTER (status = 'COMPLETE') complete, CASE WHEN count(*) FILTER (status = 'COMPLETE') = count(*) THEN 'COMPLETE' ELSE 'DEGRADED' END status FROM (SELECT unnest(range(10)) s) LEFT JOIN src_whole ON source_id = s WHERE s < 9 GROUP BY 1""")
+@query("k8_wave_rollup", """SELECT s % 3 wave_id, count(*) sources, count(*) FILTER (status = 'COMPLETE') complete, CASE WHEN count(*) FILTER (status = 'COMPLETE') = count(*) THEN 'COMPLETE' ELSE 'DEGRADED' END status FROM (SELECT unnest(range(10)) s) LEFT JOIN src ON source_id = s WHERE s < 9 GROUP BY 1""")
 def _(v: Views):
     waves = v.spark.range(9).select((F.col("id") % 3).alias("wave_id"), F.col("id").alias("source_id"))
     return K.wave_rollup(waves, K.attempt_rollup(K.attempt_routes(attempts(v))))
 
 
-@query("k8_run_rollup", """SELECT count(*) sources, count(*) FILTER (status = 'COMPLETE') complete, CASE WHEN count(*) = 0 THEN 'FAILED' WHEN count(*) FILTER (status = 'COMPLETE') = count(*) THEN 'COMPLETE' ELSE 'DEGRADED' END status FROM src_whole""")
+@query("k8_run_rollup", """SELECT count(*) sources, count(*) FILTER (status = 'COMPLETE') complete, CASE WHEN count(*) = 0 THEN 'FAILED' WHEN count(*) FILTER (status = 'COMPLETE') = count(*) THEN 'COMPLETE' ELSE 'DEGRADED' END status FROM src""")
 def _(v: Views):
     return K.run_rollup(K.attempt_rollup(K.attempt_routes(attempts(v))))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,10 +15,10 @@ TWO_LABEL_SUFFIXES = (
 #: Words of a company name that mean the same, and those that say nothing.
 NAME_ALIASES = {"CO": "COMPANY", "CORP": "COMPANY", "CORPORATION": "COMPANY", "TELECOM": "TELECOMMUNICATIONS"}
 NAME_IGNORED = ("THE", "KSC", "KSCP", "KPSC", "PUBLIC", "SHAREHOLDING", "CLOSED")
-#: Query keys that carry a credential, compared without case, hyphens and underscores.
+#: Query keys that carry a credential.
 CREDENTIAL_KEYS = (
-    "accesstoken", "apikey", "auth", "authorization", "awsaccesskeyid", "bearer", "clientsecret", "code", "cookie",
-    "googleaccessid", "jwt", "oauthtoken", "password", "passwd", "session", "sessionid", "sig", "signature", "token",
+    "access_token", "apikey", "api_key", "auth", "authorization", "awsaccesskeyid", "bearer", "client_secret", "code", "cookie",
+    "googleaccessid", "jwt", "oauth_token", "password", "passwd", "session", "sessionid", "sig", "signature", "token",
 )
 #: Parts of feature names that tell the future or the label.
 FUTURE_TOKENS = ("future_", "forward_", "outcome", "target_hit", "realized_", "label_", "t_plus_")
@@ -32,14 +34,21 @@ def isin_is_valid(isin: Column) -> Column:
 
 
 def host(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
+    return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/:?#]+)", 1))
 
 
 def registrable_domain(name: Column) -> Column:
-    """Last two labels of a host, or three where the last two are a known suffix."""
-    labels = F.split(F.lower(name), "\\.")
+    """Last two labels of a host, or three where the last two are a known suffix; dots around the host don't count.
+
+    An address stays whole. A single label, an empty one, and null give null.
+    Names with letters beyond ASCII are kept as they are written.
+    """
+    plain = F.regexp_replace(F.lower(F.trim(name)), r"^\.+|\.+$", "")
+    address = plain.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") | F.contains(plain, F.lit(":"))
+    labels = F.split(plain, "\\.")
     last = lambda n: F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), F.lit(n)), ".")
-    return F.when(last(2).isin(*TWO_LABEL_SUFFIXES), last(3)).otherwise(last(2))
+    short = (F.size(labels) < 2) | F.array_contains(labels, "")
+    return F.when(address, F.regexp_replace(plain, r"[\[\]]", "")).when(short, None).when(last(2).isin(*TWO_LABEL_SUFFIXES), last(3)).otherwise(last(2))
 
 
 def name_tokens(name: Column) -> Column:
@@ -50,21 +59,55 @@ def name_tokens(name: Column) -> Column:
 
 
 def credential_keys(url: Column) -> Column:
-    """True if a query key of the address can carry a credential."""
-    keys = F.transform(F.regexp_extract_all(url, F.lit("[?&]([^=&#]+)="), F.lit(1)), lambda k: F.translate(F.lower(k), "-_", ""))
-    return F.exists(keys, lambda k: k.isin(*CREDENTIAL_KEYS) | k.rlike("^x(amz|goog)|accesstoken|clientsecret|(token|secret|credential|signature)$"))
+    """True if a query key of the address can carry a credential.
+
+    Hyphens count as underscores. The listed names hold with and without
+    underscores; endings such as ``_token`` need theirs: ``mytoken`` is none.
+    """
+    pairs = F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&")
+    name = lambda p: F.regexp_extract(p, "^[^=]*", 0)
+    keys = F.transform(pairs, lambda p: F.translate(F.lower(F.trim(F.coalesce(F.try_url_decode(name(p)), name(p)))), "-", "_"))
+    bare = lambda k: F.translate(k, "_", "")
+    known = sorted({k.replace("_", "") for k in CREDENTIAL_KEYS})
+    return F.exists(keys, lambda k: bare(k).isin(*known) | bare(k).rlike("^x(amz|goog)") | k.rlike("access_token|client_secret|_(token|secret|credential|signature)$"))
 
 
 def names_compatible(a: Column, b: Column) -> Column:
-    """Equal tokens, or an overlap of at least 0.8 of the smaller set."""
+    """Equal tokens, also none on both sides, or an overlap of at least 0.8 of the smaller set."""
     x, y = name_tokens(a), name_tokens(b)
     smaller = F.least(F.size(x), F.size(y))
-    return F.when(smaller == 0, False).otherwise(F.size(F.array_intersect(x, y)) >= 0.8 * smaller)
+    return F.when(x == y, True).when(smaller == 0, False).otherwise(F.size(F.array_intersect(x, y)) >= 0.8 * smaller)
+
+
+def _compatible_forms() -> tuple[str, str, dict[str, str]]:
+    """Characters of the basic plane with a compatible form of one character, those forms, and presentation forms of several."""
+    one, forms, several = [], [], {}
+    for i in (*range(0xA0, 0xD800), *range(0xF900, 0xFFFE)):
+        form = unicodedata.normalize("NFKC", chr(i))
+        if len(form) == 1 and form != chr(i):
+            one.append(chr(i))
+            forms.append(form)
+        elif len(form) > 1 and (0xFB00 <= i <= 0xFB4F or 0xFE70 <= i <= 0xFEFF):
+            several[chr(i)] = form
+    return "".join(one), "".join(forms), several
+
+
+_ONE, _FORMS, _SEVERAL = _compatible_forms()
+
+
+def compatible(text: Column) -> Column:
+    """Compatibility forms (NFKC) of full-width and half-width letters, ligatures and presentation forms; marks are not composed."""
+    t = F.translate(text, _ONE, _FORMS)
+    wide = t
+    for a, b in _SEVERAL.items():
+        wide = F.replace(wide, F.lit(a), F.lit(b))
+    t = F.when(t.rlike("[" + "".join(_SEVERAL) + "]"), wide).otherwise(t)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), t).otherwise(text)
 
 
 def claim_tokens(text: Column) -> Column:
     """Distinct words of three characters or more, without addresses and Arabic marks, with letter forms folded."""
-    t = F.regexp_replace(F.lower(text), r"https?://\S+", " ")
+    t = F.regexp_replace(F.lower(compatible(text)), r"https?://\S+", " ")
     t = F.translate(F.regexp_replace(t, "[ً-ٰٟـ]", ""), "أإآى", "اااي")
     return F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?U)[\w؀-ۿ]{3,}"), F.lit(0)))
 

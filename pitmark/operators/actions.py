@@ -13,10 +13,30 @@ _CASH = ("CASH_DIVIDEND_NORMAL", "CASH_DIVIDEND_SPECIAL")
 _SHARES = ("BONUS_SHARES", "STOCK_SPLIT", "REVERSE_SPLIT")
 
 
-def schedule_violations(ca: DataFrame) -> DataFrame:
+def schedule_violations(ca: DataFrame, identity: DataFrame | None = None) -> DataFrame:
+    """Dates out of order, schedules outside the query's window, ids used twice, and schedule rows that claim more than dates.
+
+    ``identity`` (security_code, ticker, isin): rows must carry exactly these.
+    Rows that state ``factor_status`` are schedule-only: no type of action, no
+    factor, and pending. A schedule that only touches the window is inside it;
+    OUTSIDE_WINDOW is about the ex-date, SCHEDULE_OUTSIDE_WINDOW about all dates.
+    """
+    c = F.col
+    dates = [c(x) for x in ("cum_date", "ex_date", "record_date", "payment_date")]
+    more = [((F.greatest(*dates) < c("window_from")) | (F.least(*dates) > c("window_to")), "SCHEDULE_OUTSIDE_WINDOW")]
+    if "factor_status" in ca.columns:
+        more += [(c("action_type") != "UNCLASSIFIED_ENTITLEMENT", "SCHEDULE_CLAIMS_TYPE"), (c("adjustment_factor").isNotNull(), "SCHEDULE_CLAIMS_FACTOR"), (~c("factor_status").eqNullSafe("pending"), "FACTOR_NOT_PENDING")]
+    if identity is not None:
+        ca = ca.join(identity.select("security_code", c("ticker").alias("i_ticker"), c("isin").alias("i_isin")), "security_code", "left")
+        more.append((~(c("ticker").eqNullSafe(c("i_ticker")) & c("isin").eqNullSafe(c("i_isin"))) | c("i_isin").isNull(), "IDENTITY_DIFFERS"))
+    twice = ca.groupBy("action_id").agg(F.count("*").alias("n")).where("n > 1").select("action_id", F.lit("DUPLICATE_ACTION_ID").alias("code"))
+    return twice.unionByName(_schedule_rows(ca, more))
+
+
+def _schedule_rows(ca: DataFrame, more: list[tuple[Column, str]]) -> DataFrame:
     c = F.col
     return with_codes(
-        ca, ["action_id"],
+        ca, ["action_id"], *more,
         (c("cum_date") >= c("ex_date"), "CUM_NOT_BEFORE_EX"), (c("ex_date") > c("record_date"), "EX_AFTER_RECORD"),
         (c("payment_date") < c("record_date"), "PAYMENT_BEFORE_RECORD"),
         ((c("ex_date") < c("window_from")) | (c("ex_date") > c("window_to")), "OUTSIDE_WINDOW"),
@@ -107,7 +127,7 @@ def audit_integration(ca: DataFrame, master: DataFrame, calendar: DataFrame, sta
     who = resolve_as_of(at, ["action_id"], "ex_date", master, "isin").select("action_id", F.col("resolution").alias("identity"))
     state = resolve_as_of(at, ["action_id"], "ex_date", statuses, "status", "effective_from", "effective_to").select("action_id", "status")
     session = F.broadcast(calendar.select(F.col("trade_date").alias("ex_date"), "is_trading_day"))
-    index = F.broadcast(benchmark.select(F.col("trade_date").alias("ex_date"), F.lit(True).alias("has_benchmark")).distinct())
+    index = benchmark.select(F.col("trade_date").alias("ex_date"), F.lit(True).alias("has_benchmark")).distinct()
     price = bars.select("security_code", F.col("trade_date").alias("ex_date"), F.lit(True).alias("has_bar"))
     j = at.join(who, "action_id").join(state, "action_id").join(session, "ex_date", "left").join(price, ["security_code", "ex_date"], "left").join(index, "ex_date", "left")
     why = codes(
@@ -118,6 +138,17 @@ def audit_integration(ca: DataFrame, master: DataFrame, calendar: DataFrame, sta
     return j.select("action_id", "security_code", why.alias("codes"), F.when(F.size(why) == 0, "PASS").when(blocked, "BLOCKED").otherwise("PARTIAL").alias("audit_status"))
 
 
+def integration_metrics(audited: DataFrame, ca: DataFrame, factors: DataFrame) -> DataFrame:
+    """One row over ``audit_integration``: actions by status and code, and links of actions to factor rows that are missing, several or unclaimed."""
+    n = lambda s: F.count_if(F.col("audit_status") == s)
+    has = lambda c: F.count_if(F.array_contains("codes", c))
+    whole = audited.agg(F.count("*").alias("actions"), n("PASS").alias("passed"), n("PARTIAL").alias("partial"), n("BLOCKED").alias("blocked"), *[has(c).alias(c.lower()) for c in ("IDENTITY_UNRESOLVED", "NOT_A_SESSION", "STATUS_UNRESOLVED", "DELISTED_AT_EX_DATE", "NO_PRICE_ROW", "NO_BENCHMARK_ROW")])
+    f = factors.groupBy("action_id").agg(F.count("*").alias("rows"))
+    j = ca.select("action_id").distinct().withColumn("claimed", F.lit(True)).join(f, "action_id", "full_outer")
+    links = j.agg(F.count_if(F.col("rows").isNull()).alias("without_factor"), F.count_if(F.col("rows") > 1).alias("several_factors"), F.count_if(F.col("claimed").isNull()).alias("factor_without_action"))
+    return whole.crossJoin(links)
+
+
 def policy_factor_links(policy: DataFrame, factors: DataFrame) -> DataFrame:
     """Queue rows must link to one factor row with equal key fields."""
     f = factors.select("action_id", F.col("security_code").alias("f_code"), F.col("action_type").alias("f_type"))

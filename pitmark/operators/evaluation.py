@@ -68,11 +68,20 @@ def replay_returns(rows: DataFrame) -> DataFrame:
 
 
 def replay_metrics(rows: DataFrame, k: int) -> DataFrame:
-    """One row: hits with their Wilson interval, top-1 hits, recall at k and mean rank correlation."""
+    """One row: hits with their Wilson interval, top-1 hits, recall at k and mean rank correlation.
+
+    Where rows have ``market_excess`` and ``sector_excess``: the mean rank
+    correlation with each of them too, and the share of selected rows above 0.
+    """
     pr = precision_recall_at_k(rows, k).agg(F.sum("hits").alias("hits"), F.sum("n_selected").alias("n"), F.avg("recall").alias("recall_at_k"), F.count("*").alias("decisions"))
     first = F.row_number().over(Window.partitionBy("decision_id").orderBy(F.desc("score"), "security_code"))
     top = rows.withColumn("first", first).where("first = 1").agg(F.sum(F.col("positive").cast("int")).alias("top1_hits"))
     ic = rank_ic(rows).agg(F.avg("rank_ic").alias("mean_rank_ic"), F.count("rank_ic").alias("effective_decisions"))
+    for name in ("market", "sector"):
+        if f"{name}_excess" in rows.columns:
+            other = rank_ic(rows.withColumn("outcome", F.col(f"{name}_excess"))).agg(F.avg("rank_ic").alias(f"mean_{name}_rank_ic"), F.count("rank_ic").alias(f"{name}_rank_ic_decisions"))
+            above = rows.where("selected").agg(F.avg((F.col(f"{name}_excess") > 0).cast("double")).alias(f"{name}_excess_rate")) if "selected" in rows.columns else None
+            ic = ic.crossJoin(other) if above is None else ic.crossJoin(other).crossJoin(above)
     lo, hi = wilson(F.col("hits"), F.col("n"))
     return pr.crossJoin(top).crossJoin(ic).withColumns({"hit_rate": F.col("hits") / F.col("n"), "wilson_low": lo, "wilson_high": hi})
 

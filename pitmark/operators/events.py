@@ -45,11 +45,17 @@ def relation_violations(events: DataFrame) -> DataFrame:
 def context_components(events: DataFrame, scope: Sequence[str] = ("security_code",)) -> DataFrame:
     """(event_id, component): transitive over republishing, equal origin and equal content within a scope.
 
-    Rows of a key are tied to its smallest id, so a very frequent key makes a
-    star and not a clique.
+    Where events state a ``relation_type``, corrections, supplements and the
+    like stay events of their own: only standalone, original and republished
+    rows are tied by key, and only a republished row to its original. Rows of a
+    key are tied to its smallest id, so a very frequent key makes a star and
+    not a clique.
     """
-    star = lambda key: events.join(events.groupBy(*scope, key).agg(F.min("event_id").alias("least")), [*scope, key]).select(F.col("event_id").alias("src"), F.col("least").alias("dst"))
-    ties = star("origin_id").unionByName(star("content_hash")).unionByName(events.where("original_event_id is not null").select(F.col("event_id").alias("src"), F.col("original_event_id").alias("dst")))
+    kinds = "relation_type" in events.columns
+    same = events.where(F.col("relation_type").isin("STANDALONE", "ORIGINAL", "REPUBLISHED")) if kinds else events
+    repeats = events.where("relation_type = 'REPUBLISHED'") if kinds else events
+    star = lambda key: same.join(same.groupBy(*scope, key).agg(F.min("event_id").alias("least")), [*scope, key]).select(F.col("event_id").alias("src"), F.col("least").alias("dst"))
+    ties = star("origin_id").unionByName(star("content_hash")).unionByName(repeats.where("original_event_id is not null").select(F.col("event_id").alias("src"), F.col("original_event_id").alias("dst")))
     found = components(ties).withColumnRenamed("node", "event_id")
     return events.join(found, "event_id", "left").withColumn("component", F.coalesce("component", "event_id"))
 
@@ -158,10 +164,41 @@ def source_conflicts(findings: DataFrame, least: float = 0.35) -> DataFrame:
 
 
 def exposure_violations(exposures: DataFrame, canonical: DataFrame, universe: DataFrame) -> DataFrame:
-    """Exposures must name a known event and security, carry some of its evidence, and only sound ones are factors."""
-    j = exposures.join(canonical.select("canonical_event_id", F.col("source_ids").alias("e_sources")), "canonical_event_id", "left").join(universe.select("security_code", F.lit(True).alias("listed")).distinct(), "security_code", "left")
+    """Exposures must name a known event and security, carry some of its evidence, and only sound ones are factors.
+
+    Where events state them, further: evidence hashes, scope (security or
+    sector), time of availability, factual and correction status and classes of
+    source; where exposures state their type, its confirmation must fit.
+    """
+    has = lambda df, *names: all(c in df.columns for c in names)
+    c = F.col
+    told = [x for x in ("scope", "scope_key", "first_available_at", "factual_status", "correction_status", "source_classes", "evidence_hashes") if x in canonical.columns]
+    j = exposures.join(canonical.select("canonical_event_id", F.col("source_ids").alias("e_sources"), *[c(x).alias(f"e_{x}") for x in told]), "canonical_event_id", "left").join(universe.select("security_code", F.lit(True).alias("listed")).distinct(), "security_code", "left")
+    more = []
+    if has(exposures, "exposure_type"):
+        kind, said = c("exposure_type"), c("confirmation_class")
+        more += [
+            ((kind == "INFERRED_EXPOSURE") & (said != "ANALYTICAL_INFERENCE"), "INFERENCE_RELABELLED"), (kind.isin("DIRECT_NAMED", "CONTRACT_COUNTERPARTY") & (said == "ANALYTICAL_INFERENCE"), "DIRECT_EXPOSURE_AS_INFERENCE"),
+            ((kind == "UNRESOLVED") != (said == "UNRESOLVED"), "UNRESOLVED_INCOHERENT"), ((kind == "UNRESOLVED") & c("factor_eligible"), "UNRESOLVED_FACTOR"),
+        ]
+        if has(canonical, "scope", "scope_key"):
+            more.append(((kind == "DIRECT_NAMED") & (c("e_scope") == "SECURITY") & (c("e_scope_key") != c("security_code")), "SECURITY_SCOPE_CONFLICT"))
+            more += [((kind == "SECTOR_EXPOSURE") & (c("e_scope") == "SECTOR") & (c("e_scope_key") != c("sector_code")), "SECTOR_SCOPE_CONFLICT")] if has(exposures, "sector_code") else []
+        j = j.withColumn("__twice", F.count("*").over(Window.partitionBy("canonical_event_id", "security_code", "exposure_type")) > 1)
+        more.append((c("__twice"), "DUPLICATE_EXPOSURE"))
+    if has(canonical, "evidence_hashes") and has(exposures, "evidence_hashes"):
+        more.append((~F.arrays_overlap("evidence_hashes", "e_evidence_hashes"), "EVIDENCE_HASHES_DO_NOT_BIND"))
+    if has(canonical, "first_available_at") and has(exposures, "available_at"):
+        more.append((c("available_at") < c("e_first_available_at"), "EXPOSURE_BEFORE_EVENT"))
+    if has(canonical, "factual_status"):
+        more.append((c("factor_eligible") & c("e_factual_status").isin("ROUTING_ONLY", "CONTESTED"), "FACTOR_FROM_CONTESTED_EVENT"))
+    if has(canonical, "correction_status"):
+        more.append((c("factor_eligible") & ~c("e_correction_status").isin("CURRENT", "CORRECTED"), "FACTOR_FROM_SUPERSEDED_EVENT"))
+    if has(canonical, "source_classes"):
+        weak = F.array(*map(F.lit, ("COMMUNITY", "SEARCH_ROUTING", "ARCHIVE")))
+        more.append((c("factor_eligible") & (F.size("e_source_classes") > 0) & (F.size(F.array_except("e_source_classes", weak)) == 0), "FACTOR_FROM_WEAK_SOURCES"))
     return with_codes(
-        j, ["exposure_id"],
+        j, ["exposure_id"], *more,
         (F.col("e_sources").isNull(), "EVENT_UNRESOLVED"), (F.col("listed").isNull(), "SECURITY_OUTSIDE_UNIVERSE"), (~F.arrays_overlap("sources", "e_sources"), "EVIDENCE_DOES_NOT_OVERLAP"),
         (F.col("factor_eligible") & ((F.col("confidence") < 0.5) | (F.col("contradiction_status") != "CONSISTENT")), "FACTOR_NOT_ELIGIBLE"),
     )
@@ -172,7 +209,10 @@ def repost_count(findings: DataFrame) -> DataFrame:
 
 
 def claim_support_violations(claims: DataFrame, sources: DataFrame) -> DataFrame:
-    """Each fact type needs its role among the cited sources; a community cannot establish facts alone."""
+    """Each fact type needs its role among the cited sources; a community cannot establish facts alone.
+
+    For fact types of tiers and legal standing see ``fact_type_violations``.
+    """
     roles = claims.select("claim_id", F.explode("source_ids").alias("source_id")).join(sources, "source_id", "left").groupBy("claim_id").agg(F.collect_set("role").alias("roles"))
     j = claims.join(roles, "claim_id", "left").withColumn("roles", F.coalesce("roles", F.array().cast("array<string>")))
     only_social = (F.size("roles") > 0) & (F.size(F.array_except("roles", F.array(F.lit("SOCIAL")))) == 0)
@@ -183,6 +223,32 @@ def claim_support_violations(claims: DataFrame, sources: DataFrame) -> DataFrame
     )
 
 
+#: Fact types, the roles one of which must be cited, and the tiers one of which must be.
+_REGISTERED = (("COMPANY_REGISTRATION", "FOUNDER_IDENTITY", "COMPANY_STATUS"), ("COMMERCIAL_REGISTRY", "OFFICIAL_GAZETTE", "COMPANY_DISCLOSURE"), ("PRIMARY_OFFICIAL", "PRIMARY_ARCHIVE"))
+_LEGAL = (("LEGAL_ALLEGATION", "COURT_OUTCOME", "REGULATORY_ACTION"), ("COURT_RECORD", "REGULATORY_ACTION", "OFFICIAL_GAZETTE"))
+_LEGAL_STATUS = ("ALLEGED", "REFERRED", "CHARGED", "DECIDED", "APPEALED", "FINAL")
+
+
+def fact_type_violations(claims: DataFrame, sources: DataFrame) -> DataFrame:
+    """(claim_id, code): what a claim's fact type asks of the roles and tiers of its sources and of its legal status.
+
+    ``claims``: claim_id, fact_type, source_ids, legal_status and factual_status;
+    ``sources``: source_id, roles, tier.
+    """
+    each = claims.select("claim_id", F.explode_outer("source_ids").alias("source_id")).join(sources.select("source_id", "roles", "tier"), "source_id", "left")
+    told = each.groupBy("claim_id").agg(F.array_distinct(F.flatten(F.collect_list("roles"))).alias("roles"), F.collect_set("tier").alias("tiers"), F.count_if(F.col("source_id").isNotNull() & F.col("tier").isNull()).alias("unknown"), F.count("source_id").alias("cited"))
+    j, kind = claims.join(told, "claim_id"), F.upper(F.trim("fact_type"))
+    among = lambda c, names: F.arrays_overlap(c, F.array(*map(F.lit, names)))
+    legal = kind.isin(*_LEGAL[0])
+    only_weak = (F.size("tiers") > 0) & (F.size(F.array_except("tiers", F.array(F.lit("COMMUNITY"), F.lit("ROUTING_ONLY")))) == 0)
+    return with_codes(
+        j, ["claim_id"],
+        (F.col("cited") == 0, "NO_SOURCE"), (F.col("unknown") > 0, "UNKNOWN_SOURCE"), (kind.isin(*_REGISTERED[0]) & ~among("roles", _REGISTERED[1]), "REGISTRY_ROLE_MISSING"), (kind.isin(*_REGISTERED[0]) & ~among("tiers", _REGISTERED[2]), "PRIMARY_TIER_MISSING"),
+        (legal & ~among("roles", _LEGAL[1]), "LEGAL_ROLE_MISSING"), (legal & ~F.coalesce(F.col("legal_status").isin(*_LEGAL_STATUS), F.lit(False)), "LEGAL_STATUS_MISSING"), ((kind != "SOCIAL_SENTIMENT") & only_weak, "COMMUNITY_CANNOT_ESTABLISH_FACT"),
+        ((F.col("factual_status") == "OFFICIAL_CONFIRMED") & ~F.array_contains("tiers", "PRIMARY_OFFICIAL"), "CONFIRMED_WITHOUT_PRIMARY"),
+    )
+
+
 def empty_year_support(records: DataFrame) -> DataFrame:
     """``No event found`` counts if the declared sources are those of the receipts and every receipt is complete."""
     got = F.transform("receipts", lambda r: r.source_id)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitmark.functions.columns import codes
-from pitmark.operators.row_quality import with_codes
+from pitmark.operators.row_quality import evidence_tuple, with_codes
 
 
 def merge_providers(rows: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -25,23 +25,32 @@ def market_totals(bars: DataFrame) -> DataFrame:
 
 
 def reconcile_totals(totals: DataFrame, declared: DataFrame, complete: DataFrame, tolerance: float = 0.001) -> DataFrame:
-    """Counts exactly, value within a tolerance; on an incomplete day a mismatch warns, a blank field can't be reconciled."""
-    d = declared.select("trade_date", *[F.col(c).alias(f"d_{c}") for c in ("traded_securities", "total_volume", "total_value")])
+    """Counts exactly, value within a tolerance; on an incomplete day a mismatch warns, a blank field can't be reconciled.
+
+    The number of trades is compared where it is declared as ``total_trades``.
+    """
+    trades = ["total_trades"] if "total_trades" in declared.columns else []
+    d = declared.select("trade_date", *[F.col(c).alias(f"d_{c}") for c in ("traded_securities", "total_volume", "total_value", *trades)])
     j = totals.join(d, "trade_date", "full_outer").join(complete, "trade_date", "left")
     off = (F.col("traded_securities") != F.col("d_traded_securities")) | (F.col("total_volume") != F.col("d_total_volume")) | (F.abs(F.col("total_value") - F.col("d_total_value")) > tolerance)
+    blank = F.col("d_traded_securities").isNull() | F.col("d_total_volume").isNull() | F.col("d_total_value").isNull()
+    for c in trades:
+        off, blank = off | (F.col(c) != F.col(f"d_{c}")), blank | F.col(f"d_{c}").isNull()
     code = (
         F.when(F.col("d_traded_securities").isNull() & F.col("d_total_value").isNull(), "NOT_DECLARED").when(F.col("traded_securities").isNull(), "NO_ROWS")
-        .when(F.col("d_traded_securities").isNull() | F.col("d_total_volume").isNull() | F.col("d_total_value").isNull(), "NOT_RECONCILABLE")
+        .when(blank, "NOT_RECONCILABLE")
         .when(off & F.coalesce("complete", F.lit(False)), "MISMATCH").when(off, "MISMATCH_WARNING").otherwise("OK")
     )
     return j.select("trade_date", code.alias("code"))
 
 
 def benchmark_contract_violations(series: DataFrame, registry: DataFrame, low: float, high: float) -> DataFrame:
-    """Metadata as registered, values in range."""
-    j = series.join(F.broadcast(registry.select("benchmark_code", F.col("basis").alias("r_basis"), F.col("unit").alias("r_unit"))), "benchmark_code", "left")
+    """Metadata as registered, values in range; where captures are stated, their combination with rights and registry must be legal."""
+    contract = ["source_access", "rights_requirement", "registry_state"] if "capture_mode" in series.columns else []
+    j = series.join(registry.select("benchmark_code", F.col("basis").alias("r_basis"), F.col("unit").alias("r_unit"), *contract), "benchmark_code", "left")
+    legal = [(evidence_tuple(*map(F.col, ("capture_mode", "rights_status", *contract)))[1].isNotNull(), "EVIDENCE_TUPLE_ILLEGAL")] if contract else []
     return with_codes(
-        j, ["benchmark_code", "trade_date"],
+        j, ["benchmark_code", "trade_date"], *legal,
         (F.col("r_basis").isNull(), "NOT_REGISTERED"), (F.col("basis") != F.col("r_basis"), "BASIS_DIFFERS"), (F.col("unit") != F.col("r_unit"), "UNIT_DIFFERS"),
         ((F.col("benchmark_value") <= low) | (F.col("benchmark_value") > high), "VALUE_OUT_OF_RANGE"),
     )
@@ -81,11 +90,39 @@ def normalise_vendor_bars(raw: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_vendor_exports(bars: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(export_id, code): row count and first and last date of each export against its manifest."""
+    g = bars.groupBy("export_id").agg(F.count("*").alias("n_rows"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))
+    j = manifest.select("export_id", "row_count", "date_from", "date_to").join(g, "export_id", "full_outer")
+    c = F.col
+    return with_codes(
+        j, ["export_id"],
+        (c("row_count").isNull(), "EXPORT_NOT_IN_MANIFEST"), (c("n_rows").isNull(), "EXPORT_WITHOUT_ROWS"), (c("row_count") != c("n_rows"), "ROW_COUNT_DIFFERS"),
+        (c("date_from") != c("first_date"), "FIRST_DATE_DIFFERS"), (c("date_to") != c("last_date"), "LAST_DATE_DIFFERS"),
+    )
+
+
+#: Fixed values, worst first.
+RIGHTS_ORDER = ("UNKNOWN", "RESTRICTED", "FIXTURE_ONLY", "RESEARCH_USE_AUTHORIZED")
+CLASS_ORDER = ("BLOCKED", "PARTIAL", "SYNTHETIC_ONLY", "RECORDED_AUTHORIZED_FIXTURE", "LICENSED_FEED_DEPENDENT", "LIVE_DEPENDENT", "PROVEN_REAL_EVIDENCE")
+
+
+def worst_of(column: str, order: Sequence[str]) -> Column:
+    """The worst value of a group; one that is not listed is worst of all."""
+    return F.min_by(F.coalesce(F.col(column), F.lit("UNKNOWN")), F.struct(F.array_position(F.array(*map(F.lit, order)), F.col(column)), F.col(column)))
+
+
 def gate_matrix(components: DataFrame) -> DataFrame:
-    """Per gate the worst status of its components, and how many are worse than PASS."""
+    """Per gate the worst status of its components, and how many are worse than PASS.
+
+    Where components have them, also the worst rights and the worst class of
+    evidence, and the sum of each column named ``metric_...``.
+    """
+    more = [worst_of(c, order).alias(c) for c, order in (("rights_status", RIGHTS_ORDER), ("evidence_class", CLASS_ORDER)) if c in components.columns]
+    more += [F.sum(c).alias(c) for c in components.columns if c.startswith("metric_")]
     rank = F.when(F.col("status") == "BLOCKED", 2).when(F.col("status") == "PARTIAL", 1).otherwise(0)
-    g = components.groupBy("gate").agg(F.max(rank).alias("worst"), F.sum((rank > 0).cast("int")).alias("open_components"), F.count("*").alias("components"))
-    return g.select("gate", F.element_at(F.array(F.lit("PASS"), F.lit("PARTIAL"), F.lit("BLOCKED")), F.col("worst") + 1).alias("status"), "open_components", "components")
+    g = components.groupBy("gate").agg(F.max(rank).alias("worst"), F.sum((rank > 0).cast("int")).alias("open_components"), F.count("*").alias("components"), *more)
+    return g.select("gate", F.element_at(F.array(F.lit("PASS"), F.lit("PARTIAL"), F.lit("BLOCKED")), F.col("worst") + 1).alias("status"), "open_components", "components", *g.columns[4:])
 
 
 def packet_status(matrix: DataFrame) -> DataFrame:
@@ -100,8 +137,21 @@ def stop_gate_verdict(gates: DataFrame, required: DataFrame, measured: DataFrame
     return bad.crossJoin(measured).select(F.when(F.col("bad") > 0, "STOP_BACKTEST").when(short, "STOP_INFERENCE").otherwise("READY_TO_SCORE").alias("verdict"), "bad", "dates", "events")
 
 
-def eod_readiness(gaps: DataFrame, prices: DataFrame, totals: DataFrame, queries: DataFrame) -> DataFrame:
-    """One row: denominator, price, totals and query status, and the worst of them."""
+def eod_readiness(gaps: DataFrame, prices: DataFrame, totals: DataFrame, queries: DataFrame, errors: DataFrame | None = None, evidence: DataFrame | None = None) -> DataFrame:
+    """One row: denominator, price, totals and query status, and the worst of them.
+
+    ``errors``: any row blocks the whole. ``evidence`` (evidence_class,
+    rights_status of the rows used) adds their worst values; what is not proven
+    and authorised throughout is PARTIAL at best.
+    """
     one = lambda df, test, name: df.agg(F.when(F.coalesce(F.bool_or(test), F.lit(False)), "PARTIAL").otherwise("PASS").alias(name))
     j = one(gaps, F.lit(True), "denominator").crossJoin(one(prices, F.lit(True), "price")).crossJoin(one(totals, ~F.col("code").isin("OK", "MISMATCH_WARNING"), "totals")).crossJoin(one(queries, F.lit(True), "queries"))
-    return j.withColumn("overall", F.when(F.array_contains(F.array("denominator", "price", "totals", "queries"), "PARTIAL"), "PARTIAL").otherwise("PASS"))
+    partial = F.array_contains(F.array("denominator", "price", "totals", "queries"), "PARTIAL")
+    if evidence is not None:
+        j = j.crossJoin(evidence.agg(worst_of("evidence_class", CLASS_ORDER).alias("evidence_class"), worst_of("rights_status", RIGHTS_ORDER).alias("rights_status")))
+        partial = partial | ~F.col("evidence_class").eqNullSafe("PROVEN_REAL_EVIDENCE") | ~F.col("rights_status").eqNullSafe("RESEARCH_USE_AUTHORIZED")
+    overall = F.when(partial, "PARTIAL").otherwise("PASS")
+    if errors is not None:
+        j = j.crossJoin(errors.agg(F.count("*").alias("errors")))
+        overall = F.when(F.col("errors") > 0, "BLOCKED").otherwise(overall)
+    return j.withColumn("overall", overall)

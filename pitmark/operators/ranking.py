@@ -99,13 +99,55 @@ def disposition_violations(rows: DataFrame) -> DataFrame:
 
 
 def snapshot_violations(snapshot: DataFrame, universe: DataFrame, registry: DataFrame) -> DataFrame:
-    """Cells that are missing, extra or doubled, and values against their state."""
+    """Cells that are missing, extra or doubled, and values against their state.
+
+    Where the snapshot has ``available_at`` and ``decision_at``: availability is
+    not after the decision, and not older than the registry's ``window_days``;
+    with ``evidence_hashes``: what is missing has none, all else has some, in order.
+    """
+    c = F.col
+    more = []
+    if "available_at" in snapshot.columns:
+        more += [(c("available_at") > c("decision_at"), "LOOK_AHEAD"), ((c("status") == "MISSING") & c("available_at").isNotNull(), "MISSING_WITH_AVAILABILITY")]
+        if "window_days" in registry.columns:
+            age = F.unix_seconds(c("decision_at").cast("timestamp")) - F.unix_seconds(c("available_at").cast("timestamp"))
+            snapshot = snapshot.join(F.broadcast(registry.select("factor_id", "window_days")), "factor_id", "left")
+            more.append((~c("status").isin("REJECTED", "MISSING") & (age > c("window_days") * 86_400), "OUTSIDE_REGISTRY_WINDOW"))
+    if "evidence_hashes" in snapshot.columns:
+        n = F.coalesce(F.size("evidence_hashes"), F.lit(0))
+        more += [((c("status") == "MISSING") & (n > 0), "MISSING_WITH_EVIDENCE"), ((c("status") != "MISSING") & (n <= 0), "WITHOUT_EVIDENCE"), (c("evidence_hashes") != F.array_sort("evidence_hashes"), "EVIDENCE_NOT_IN_ORDER")]
     want = universe.select("security_code").distinct().crossJoin(F.broadcast(registry.select("factor_id")))
     key = ["security_code", "factor_id"]
     have = snapshot.groupBy(*key).agg(F.count("*").alias("n"))
     j = want.withColumn("want", F.lit(True)).join(have, key, "full_outer")
     cells = with_codes(j, key, (F.col("n").isNull(), "MISSING_CELL"), (F.col("want").isNull(), "EXTRA_CELL"), (F.col("n") > 1, "DUPLICATE_CELL"))
-    return cells.unionByName(with_codes(snapshot, key, ((F.col("status") == "OBSERVED") & F.col("value").isNull(), "OBSERVED_WITHOUT_VALUE"), ((F.col("status") != "OBSERVED") & F.col("value").isNotNull(), "VALUE_WITHOUT_OBSERVATION")))
+    return cells.unionByName(with_codes(snapshot, key, *more, ((F.col("status") == "OBSERVED") & F.col("value").isNull(), "OBSERVED_WITHOUT_VALUE"), ((F.col("status") != "OBSERVED") & F.col("value").isNotNull(), "VALUE_WITHOUT_OBSERVATION")))
+
+
+def snapshot_row_violations(rows: DataFrame, snapshot: DataFrame, required: DataFrame) -> DataFrame:
+    """(security_code, code): counts and coverage that a snapshot's rows state against its cells, and order and score of the rows.
+
+    ``rows``: security_code, ordinal, observed, missing, not_applicable,
+    rejected, required_coverage, disposition, score, score_kind, probability;
+    ``required``: factor_id of those required for selection.
+    """
+    c = F.col
+    n = lambda s: F.count_if(c("status") == s)
+    must = required.select("factor_id", F.lit(True).alias("must")).distinct()
+    cells = snapshot.join(F.broadcast(must), "factor_id", "left").groupBy("security_code").agg(
+        n("OBSERVED").alias("c_observed"), n("MISSING").alias("c_missing"), n("NOT_APPLICABLE").alias("c_not_applicable"), n("REJECTED").alias("c_rejected"), F.count_if((c("status") == "OBSERVED") & c("must")).alias("held"),
+    )
+    total = must.agg(F.count("*").alias("must_have"))
+    j = rows.join(cells, "security_code", "left").crossJoin(F.broadcast(total))
+    coverage = F.when(c("must_have") > 0, c("held") / c("must_have")).otherwise(1.0)
+    place = F.row_number().over(Window.orderBy("security_code"))  # one row for each security of the universe
+    j = j.withColumn("place", place)
+    picked = c("disposition") == "SELECTED"
+    return with_codes(
+        j, ["security_code"],
+        (F.exists(F.array(*[c(x) != c(f"c_{x}") for x in ("observed", "missing", "not_applicable", "rejected")]), lambda x: x) | c("c_observed").isNull(), "COUNTS_DIFFER"), (F.abs(c("required_coverage") - coverage) > 1e-12, "COVERAGE_DIFFERS"), (c("ordinal") != c("place"), "NOT_IN_ORDER"),
+        (picked & (c("score").isNull() | ~c("score_kind").eqNullSafe("UNVALIDATED_RESEARCH_SCORE")), "SELECTED_WITHOUT_SCORE"), (c("score").isNull() & c("score_kind").isNotNull(), "SCORE_KIND_WITHOUT_SCORE"), (c("disposition").isin("ABSTAINED", "UNRESOLVED") & c("score").isNotNull(), "SCORE_ON_ABSTENTION"), (c("probability").isNotNull(), "PROBABILITY_RECORDED"),
+    )
 
 
 def full_market_claim(ranked: DataFrame, expected: DataFrame) -> DataFrame:
@@ -119,7 +161,7 @@ def full_market_claim(ranked: DataFrame, expected: DataFrame) -> DataFrame:
 
 def rank_consistency(decisions: DataFrame, k: int) -> DataFrame:
     """Recorded ranks and selections that do not follow from score (descending), number of the code, code."""
-    order = Window.partitionBy("decision_id").orderBy(F.desc("score"), F.col("security_code").cast("int"), "security_code")
+    order = Window.partitionBy("decision_id").orderBy(F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), "security_code")
     r = decisions.withColumn("expected_rank", F.row_number().over(order))
     return r.where((F.col("rank") != F.col("expected_rank")) | (F.col("selected") != (F.col("expected_rank") <= k))).select("decision_id", "security_code", "rank", "expected_rank", "selected")
 
@@ -132,6 +174,66 @@ def scope_violations(requests: DataFrame, packets: DataFrame, ranked: DataFrame)
     return with_codes(j, ["request_id"], (F.col("p_scope").isNull(), "PACKET_MISSING"), (F.col("scope") != F.col("p_scope"), "SCOPE_INCOMPATIBLE"), ((F.col("scope") == "SECURITIES") & unresolved, "SECURITY_UNRESOLVED"), ((F.col("scope") == "FULL_MARKET") & (F.size("securities") > 0), "LIST_IN_FULL_MARKET_CLAIM"))
 
 
+#: Scopes of packets that serve a request's scope.
+PACKET_SCOPES = {"CANDIDATE_SET": ("CANDIDATE_SET", "FULL_MARKET"), "NAMED_SECURITIES": ("NAMED_SECURITIES", "FULL_MARKET"), "FULL_MARKET": ("FULL_MARKET",)}
+
+
+def claim_scope_violations(requests: DataFrame, packets: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(request_id, code): claim type against scope and list of securities, scope against the packet, and what was resolved.
+
+    ``requests``: request_id, claim_type, scope, securities; ``packets``:
+    request_id, scope, exact_universe; ``ranked``: request_id, security_code.
+    """
+    c = F.col
+    got = ranked.groupBy("request_id").agg(F.collect_set("security_code").alias("got"))
+    j = requests.join(packets.select("request_id", c("scope").alias("p_scope"), "exact_universe"), "request_id", "left").join(got, "request_id", "left")
+    n, named, full = F.coalesce(F.size("securities"), F.lit(0)), c("scope") == "NAMED_SECURITIES", c("scope") == "FULL_MARKET"
+    fits = F.lit(False)
+    for scope, packs in PACKET_SCOPES.items():
+        fits = fits | ((c("scope") == scope) & c("p_scope").isin(*packs))
+    exact = F.coalesce("exact_universe", F.lit(False))
+    return with_codes(
+        j, ["request_id"],
+        ((c("claim_type") == "SINGLE_SECURITY") & ~named, "SINGLE_CLAIM_SCOPE"), ((c("claim_type") == "SINGLE_SECURITY") & (n != 1), "SINGLE_CLAIM_LIST"), ((c("claim_type") == "COMPARISON") & ~named, "COMPARISON_SCOPE"), ((c("claim_type") == "COMPARISON") & (n < 2), "COMPARISON_LIST"),
+        ((c("claim_type") == "RESEARCH_RANK") & ~c("scope").isin("CANDIDATE_SET", "FULL_MARKET"), "RANK_SCOPE"), ((c("claim_type") == "RESEARCH_RANK") & (n > 0), "RANK_WITH_LIST"), (~c("scope").isin(*PACKET_SCOPES), "SCOPE_UNSUPPORTED"),
+        (c("p_scope").isNull(), "PACKET_MISSING"), (c("scope").isin(*PACKET_SCOPES) & c("p_scope").isNotNull() & ~fits, "SCOPE_INCOMPATIBLE"), (((named & (c("p_scope") == "FULL_MARKET")) | full) & ~exact, "EXACT_UNIVERSE_REQUIRED"),
+        (F.size(F.array_except("securities", F.coalesce("got", F.array().cast("array<string>")))) > 0, "SECURITY_UNRESOLVED"),
+    )
+
+
+#: Fields of a candidate and the range they lie in.
+CANDIDATE_RANGES = {"evidence_coverage": (0, 1), "source_quality_factor": (0, 1), "evidence_direction_alignment": (-1, 1), "community_contribution_total": (-1, 1), "community_contribution_cap": (0, 1)}
+
+
+def candidate_field_violations(ranked: DataFrame, allowed: Sequence[str]) -> DataFrame:
+    """(run_id, security_code, code): identity, ranges, labels and reasons of candidates, roles against their quorum, and fields out of place.
+
+    Rules on fields that the table lacks are left out; a column that is not
+    ``allowed`` is a code of every row.
+    """
+    c, here = F.col, set(ranked.columns)
+    rules = [(~F.coalesce(c("security_code").rlike("^[0-9]{1,12}$"), F.lit(False)), "CODE_INVALID"), (~F.coalesce(c("rank") > 0, F.lit(False)), "RANK_NOT_POSITIVE")]
+    if "ticker" in here:
+        rules.append((~F.coalesce(c("ticker").rlike(r"^[\p{L}\p{N}._-]{1,32}$"), F.lit(False)), "TICKER_INVALID"))
+    if "score_kind" in here:
+        rules.append((~c("score_kind").eqNullSafe("SOURCE_MOSAIC_EVIDENCE_SCORE_NOT_PROBABILITY"), "SCORE_KIND_INVALID"))
+    if "status" in here:
+        rules.append((~F.coalesce(c("status").isin("RESEARCH_CANDIDATE", "WATCH", "ABSTAIN"), F.lit(False)), "STATUS_INVALID"))
+    if "scope_label" in here:
+        rules.append((~c("scope_label").isin("CANDIDATE_SET_RESEARCH_RANK", "FULL_MARKET_RESEARCH_RANK"), "SCOPE_LABEL_INVALID"))
+    rules += [(F.isnan(c(x).cast("double")) | ~c(x).between(lo, hi), f"{x.upper()}_OUT_OF_RANGE") for x, (lo, hi) in CANDIDATE_RANGES.items() if x in here]
+    if "reasons" in here:
+        rules += [(F.size(F.array_distinct("reasons")) < F.size("reasons"), "REASON_DOUBLED"), (F.exists("reasons", lambda r: F.trim(r) == ""), "REASON_EMPTY")]
+    if "role_gaps" in here:
+        rules.append((F.exists("role_gaps", lambda g: (g.actual < 0) | (g.required < 0)), "ROLE_GAP_NEGATIVE"))
+    extra = sorted(here - set(allowed) - {"run_id"})
+    if extra:
+        rules.append((F.lit(True), "FIELDS_NOT_ALLOWED:" + ",".join(extra)))
+    order = Window.partitionBy("run_id").orderBy(F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), "security_code")
+    rows = ranked.withColumn("__place", F.row_number().over(order))
+    return with_codes(rows, ["run_id", "security_code"], *rules, (c("rank") != c("__place"), "RANK_NOT_BY_SCORE"))
+
+
 def candidate_contract_violations(ranked: DataFrame) -> DataFrame:
     """Recorded candidates: unique code and rank, score in range, status that fits its reasons, and no probability."""
     code = ranked.groupBy("run_id", "security_code").agg(F.count("*").alias("n")).where("n > 1").select("run_id", "security_code", F.lit("DUPLICATE_CODE").alias("code"))

@@ -35,9 +35,10 @@ def state_activity_violations(bars: DataFrame, key: Sequence[str]) -> DataFrame:
     """A traded row needs positive activity; any other has no prices and no activity."""
     traded = F.col("trading_state") == "TRADED"
     blank = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
+    none = lambda c: F.coalesce(F.col(c), F.lit(0)) <= 0
     return with_codes(
         bars, key,
-        (traded & (blank("volume") | blank("turnover") | blank("trade_count")), "TRADED_WITHOUT_ACTIVITY"),
+        (traded & (none("volume") | none("turnover") | none("trade_count")), "TRADED_WITHOUT_ACTIVITY"),
         (~traded & F.coalesce("open", "high", "low", "close").isNotNull(), "NON_TRADED_WITH_PRICES"),
         (~traded & ~(blank("volume") & blank("turnover") & blank("trade_count")), "NON_TRADED_WITH_ACTIVITY"),
     )
@@ -113,6 +114,15 @@ def series_coverage(series: DataFrame, calendar: DataFrame, key: str) -> DataFra
     return span.join(counted, key).crossJoin(F.broadcast(total)).select(key, "n_rows", "first_date", "last_date", (F.col("sessions") - F.col("covered")).alias("missing_dates"), "extra_dates")
 
 
+def series_gaps(series: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
+    """(key, trade_date, gap): each session a series lacks, and each date it has that is no session."""
+    sessions = calendar.where("is_trading_day").select("trade_date").distinct()
+    seen = series.select(key, "trade_date").distinct()
+    grid = seen.select(key).distinct().crossJoin(F.broadcast(sessions))  # keys x days; days are few
+    missing = grid.join(seen, [key, "trade_date"], "left_anti").withColumn("gap", F.lit("MISSING"))
+    return missing.unionByName(seen.join(F.broadcast(sessions), "trade_date", "left_anti").select(key, "trade_date", F.lit("EXTRA").alias("gap")))
+
+
 def query_ledger_violations(q: DataFrame) -> DataFrame:
     c = F.col
     return with_codes(
@@ -134,11 +144,16 @@ def declared_vs_actual_counts(q: DataFrame, rows: DataFrame, keys: Sequence[str]
 
 
 def price_coverage(bars: DataFrame) -> DataFrame:
-    """Per security: rows, dates, zero-volume rows, and the sets of units and bases with flags for mixtures."""
+    """Per security: rows, dates, zero-volume rows, and the sets of units and bases with flags for mixtures.
+
+    Where the bars have them, also the set of sources (``source_id``) and a flag for more than one ``ticker``.
+    """
+    more = [F.array_sort(F.collect_set("source_id")).alias("sources")] if "source_id" in bars.columns else []
+    more += [(F.count_distinct("ticker") > 1).alias("mixed_tickers")] if "ticker" in bars.columns else []
     out = bars.groupBy("security_code").agg(
         F.count("*").alias("n_rows"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"),
         F.sum(F.when(F.col("volume") == 0, 1).otherwise(0)).alias("zero_volume_rows"),
-        F.array_sort(F.collect_set("unit")).alias("units"), F.array_sort(F.collect_set("price_basis")).alias("bases"),
+        F.array_sort(F.collect_set("unit")).alias("units"), F.array_sort(F.collect_set("price_basis")).alias("bases"), *more,
     )
     return out.withColumn("mixed_units", F.size("units") > 1).withColumn("mixed_bases", F.size("bases") > 1)
 
@@ -208,7 +223,7 @@ def phrase_evidence(texts: DataFrame, phrases: DataFrame, key: str) -> DataFrame
 
 def derive_evidence_class(rows: DataFrame, registry: DataFrame) -> DataFrame:
     """Class of evidence from capture mode, rights and registry state; what claims to be proven by itself is lowered."""
-    j = rows.join(F.broadcast(registry), "source_id", "left")
+    j = rows.join(registry, "source_id", "left")
     live, right = F.col("state") == "ACTIVE", F.col("rights_status") == "GRANTED"
     cls = (
         F.when(F.col("state").isNull(), "UNREGISTERED")
@@ -221,9 +236,60 @@ def derive_evidence_class(rows: DataFrame, registry: DataFrame) -> DataFrame:
     return j.select(*rows.columns, cls.alias("evidence_class"), code.alias("code"))
 
 
+#: Capture mode, rights it must have, class of evidence it gives.
+CAPTURE_CLASSES = (
+    ("RECORDED_AUTHORIZED_FIXTURE", "FIXTURE_ONLY", "RECORDED_AUTHORIZED_FIXTURE"),
+    ("SYNTHETIC_GENERATED", "FIXTURE_ONLY", "SYNTHETIC_ONLY"),
+    ("LICENSED_VENDOR_EXPORT", "RESEARCH_USE_AUTHORIZED", "LICENSED_FEED_DEPENDENT"),
+    ("PUBLIC_OFFICIAL_EXPORT", "RESEARCH_USE_AUTHORIZED", "LIVE_DEPENDENT"),
+    ("USER_PROVIDED_OFFICIAL_EXPORT", "RESEARCH_USE_AUTHORIZED", "LIVE_DEPENDENT"),
+)
+#: Access of a source, rights that a mere access receipt must state, class it gives.
+RECEIPT_CLASSES = (
+    ("PUBLIC_OFFICIAL_EXPORT", "UNKNOWN", "LIVE_DEPENDENT"),
+    ("LICENSED_EXPORT", "RESTRICTED", "LICENSED_FEED_DEPENDENT"),
+    ("RECORDED_AUTHORIZED_FIXTURE", "FIXTURE_ONLY", "RECORDED_AUTHORIZED_FIXTURE"),
+)
+
+
+def evidence_tuple(capture_mode: Column, rights: Column, access: Column, requirement: Column, state: Column) -> tuple[Column, Column]:
+    """Class of evidence of a legal combination, and the code of an illegal one; one of the two is null.
+
+    A packet can't prove by itself that its bytes came from the named source,
+    so official captures stay dependent whatever they declare.
+    """
+
+    def pick(by: Column, rows, place: int) -> Column:
+        out = F.lit(None).cast("string")
+        for r in rows:
+            out = F.when(by == r[0], r[place]).otherwise(out)
+        return out
+
+    receipt = capture_mode == "SOURCE_ACCESS_RECEIPT"
+    rights_due = F.when(receipt, pick(access, RECEIPT_CLASSES, 1)).otherwise(pick(capture_mode, CAPTURE_CLASSES, 1))
+    given = F.when(receipt, pick(access, RECEIPT_CLASSES, 2)).otherwise(pick(capture_mode, CAPTURE_CLASSES, 2))
+    official = capture_mode.isin("PUBLIC_OFFICIAL_EXPORT", "USER_PROVIDED_OFFICIAL_EXPORT")
+    licensed = capture_mode == "LICENSED_VENDOR_EXPORT"
+    code = (
+        F.when(given.isNull(), "CAPTURE_MODE_UNSUPPORTED").when(~rights.eqNullSafe(rights_due), F.when(receipt, "RECEIPT_RIGHTS_DIFFER").otherwise("CAPTURE_MODE_AND_RIGHTS_CONFLICT"))
+        .when(licensed & ~(access.eqNullSafe("LICENSED_EXPORT") & requirement.eqNullSafe("EXTERNAL_LICENSE_REQUIRED")), "LICENSED_CAPTURE_OUTSIDE_CONTRACT")
+        .when(official & ~access.eqNullSafe("PUBLIC_OFFICIAL_EXPORT"), "OFFICIAL_CAPTURE_OUTSIDE_CONTRACT").when(official & ~state.eqNullSafe("VERIFIED_DEFINITION"), "DEFINITION_NOT_VERIFIED")
+    )
+    return F.when(code.isNull(), given), code
+
+
+def derive_registered_class(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """``rows`` with evidence_class and code from their source's contract; what declares itself proven is lowered with a code of its own."""
+    j = rows.join(registry.select("source_id", "source_access", "rights_requirement", "registry_state"), "source_id", "left")
+    cls, code = evidence_tuple(*map(F.col, ("capture_mode", "rights_status", "source_access", "rights_requirement", "registry_state")))
+    lowered = F.col("declared_class") == "PROVEN_REAL_EVIDENCE" if "declared_class" in rows.columns else F.lit(False)
+    unknown = F.col("source_access").isNull()
+    return j.select(*rows.columns, F.when(~unknown, cls).alias("evidence_class"), F.when(unknown, "SOURCE_NOT_REGISTERED").otherwise(F.coalesce(code, F.when(lowered, "SELF_DECLARED_PROVEN_LOWERED"))).alias("code"))
+
+
 def attestation_coverage(attest: DataFrame, allowed: DataFrame) -> DataFrame:
     """PASS only for a full, coherent and permitted attestation."""
-    j = attest.join(F.broadcast(allowed.select("role", "capability", F.lit(True).alias("permitted"))), ["role", "capability"], "left")
+    j = attest.join(allowed.select("role", "capability", F.lit(True).alias("permitted")).distinct(), ["role", "capability"], "left")
     why = codes(
         ((F.col("denominator") <= 0) | (F.col("numerator") != F.col("denominator")), "INCOMPLETE_COVERAGE"),
         (F.col("version") != F.col("registry_version"), "VERSION_MISMATCH"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pitmark.functions.columns import codes, direction, signed
+from pitmark.functions.columns import FUTURE_TOKENS, codes, direction, signed
 from pitmark.operators.events import canonical_events
 from pitmark.operators.row_quality import with_codes
 
@@ -140,11 +142,45 @@ def event_features(events: DataFrame, decision: Column) -> DataFrame:
     return long.withColumn("source_availability_state", F.when(F.col("feature_value").isNull(), "UNKNOWN_NOT_OBSERVED").otherwise("OBSERVED"))
 
 
-def feature_violations(features: DataFrame) -> DataFrame:
-    """Look-ahead, late fetches, and values that do not agree with their state."""
+def window_relation_violations(events: DataFrame, decision: Column, days: Sequence[int] = (30, 7)) -> DataFrame:
+    """(event_id, window_days, code): reposts inside a window whose original is not: the window is cut before events are made canonical."""
+    out = None
+    for n in days:
+        seen = events.where((F.col("first_available_at") <= decision) & (F.col("first_available_at") >= decision - F.expr(f"interval {n} days")))
+        lost = seen.where("original_event_id is not null").join(seen.select(F.col("event_id").alias("original_event_id")).distinct(), "original_event_id", "left_anti")
+        lost = lost.select("event_id", F.lit(n).alias("window_days"), F.lit("MISSING_ORIGINAL_IN_WINDOW").alias("code"))
+        out = lost if out is None else out.unionByName(lost)
+    return out
+
+
+def feature_violations(features: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """Look-ahead, late fetches, values that do not agree with their state, keys used twice, and names that tell the future.
+
+    Where features carry ``evidence_hashes``, what is observed needs some (all
+    of the ``manifest``'s sha256, if one is given) and what is unknown has none;
+    ``availability_evidence_grade`` must be A, B or C for what is observed; a
+    ``source_published_at`` is not after the availability.
+    """
+    c, key = F.col, ["decision_id", "security_code", "feature_name"]
+    observed = c("source_availability_state") == "OBSERVED"
+    more = [(F.lower("feature_name").rlike("|".join(FUTURE_TOKENS)), "FUTURE_NAME")]
+    if "evidence_hashes" in features.columns:
+        more += [(observed & (F.coalesce(F.size("evidence_hashes"), F.lit(0)) <= 0), "OBSERVED_WITHOUT_EVIDENCE"), (~observed & (F.size("evidence_hashes") > 0), "UNKNOWN_WITH_EVIDENCE")]
+    if "availability_evidence_grade" in features.columns:
+        more.append((observed & ~F.coalesce(c("availability_evidence_grade").isin("A", "B", "C"), F.lit(False)), "GRADE_MISSING"))
+    if "source_published_at" in features.columns:
+        more.append((observed & (c("source_published_at") > c("available_at")), "PUBLISHED_AFTER_AVAILABLE"))
+    twice = features.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key, F.lit("DUPLICATE_KEY").alias("code"))
+    if manifest is not None:
+        each = features.select(*key, F.explode("evidence_hashes").alias("sha256"))
+        twice = twice.unionByName(each.join(manifest.select("sha256").distinct(), "sha256", "left_anti").select(*key, F.lit("EVIDENCE_UNRESOLVED").alias("code")).distinct())
+    return twice.unionByName(_feature_rows(features, key, more))
+
+
+def _feature_rows(features: DataFrame, key: list[str], more: list[tuple[Column, str]]) -> DataFrame:
     c = F.col
     return with_codes(
-        features, ["decision_id", "security_code", "feature_name"],
+        features, key, *more,
         (c("available_at") > c("decision_at"), "LOOK_AHEAD"), ((c("capture_mode") == "PROSPECTIVE") & (c("fetched_at") > c("decision_at")), "LATE_PROSPECTIVE_FETCH"),
         ((c("source_availability_state") == "OBSERVED") & c("feature_value").isNull(), "OBSERVED_WITHOUT_VALUE"), ((c("source_availability_state") == "UNKNOWN_NOT_OBSERVED") & c("feature_value").isNotNull(), "UNKNOWN_WITH_VALUE"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pitmark.functions.columns import codes, names_compatible
+from pitmark.functions.columns import codes, host, names_compatible
 
 _OPEN = "9999-12-31"
 #: Allowed transitions of the trading status.
@@ -50,6 +50,24 @@ def resolve_as_of(facts: DataFrame, fact_key: Sequence[str], date: str, interval
     return found.select(*fact_key, "security_code", date, F.when(F.col("matches") == 1, F.col("value")).alias(value), state.alias("resolution"))
 
 
+def trust_entry_as_of(facts: DataFrame, registry: DataFrame) -> DataFrame:
+    """Per fact the one registry entry in force for its source, subject and security whose domain its address belongs to.
+
+    ``facts``: fact_id, source_id, subject_id, security_code (may be null), url,
+    at; ``registry``: entry_id, source_id, subject_id, security_codes, domain,
+    valid_from, valid_until. Windows are half-open. A host belongs to a domain
+    that equals it or that it lies below.
+    """
+    r = registry.select("entry_id", "source_id", "subject_id", "security_codes", "domain", "valid_from", "valid_until")
+    j = facts.join(r, ["source_id", "subject_id"], "left")
+    h = host(F.col("url"))
+    alive = (F.col("at") >= F.col("valid_from")) & (F.col("at") < F.col("valid_until")) & (F.col("security_code").isNull() | F.array_contains("security_codes", F.col("security_code")))
+    mine = (h == F.lower("domain")) | h.endswith(F.concat(F.lit("."), F.lower("domain")))
+    g = j.groupBy("fact_id").agg(F.count_if(alive).alias("alive"), F.count_if(alive & mine).alias("matches"), F.min(F.when(alive & mine, F.col("entry_id"))).alias("entry"))
+    state = F.when(F.col("matches") == 1, "MATCHED").when(F.col("matches") > 1, "AMBIGUOUS").when(F.col("alive") > 0, "DOMAIN_OUTSIDE_ENTRY").otherwise("MISSING")
+    return g.select("fact_id", F.when(F.col("matches") == 1, F.col("entry")).alias("entry_id"), state.alias("resolution"))
+
+
 def eligible_universe(calendar: DataFrame, master: DataFrame, statuses: DataFrame, allowed: Sequence[str] = ("TRADING", "SUSPENDED", "HALTED")) -> DataFrame:
     """(trade_date, security_code) listed on a trading day with exactly one status in force, and that allowed.
 

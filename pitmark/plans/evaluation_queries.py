@@ -137,14 +137,14 @@ def _(v: Views):
     return L.outcome_link_violations(out, o.where(k % 20 != 0).select(k.alias("decision_id"), at.alias("decided_at"), F.array(F.col("o_custkey").cast("string"), F.lit("x")).alias("candidates")))
 
 
-@query("l4_stream_seal", "SELECT ledger_id, count(*) n, arg_min(event_hash, seq) first_hash, arg_max(event_hash, seq) last_hash, sha256(string_agg(event_hash, chr(10) ORDER BY seq)) digest FROM ledger GROUP BY 1")
+@query("l4_stream_seal", """SELECT ledger_id, CAST(sum(n) AS BIGINT) n, arg_min(f, part) first_hash, arg_max(l, part) last_hash, CASE WHEN count(*) = 1 THEN min(d) ELSE sha256(string_agg(d, chr(10) ORDER BY part)) END digest FROM (SELECT ledger_id, (seq - 1) // 4096 part, count(*) n, arg_min(event_hash, seq) f, arg_max(event_hash, seq) l, sha256(string_agg(event_hash, chr(10) ORDER BY seq)) d FROM ledger GROUP BY 1, 2) GROUP BY 1""")
 def _(v: Views):
     return L.stream_seal(v.ledger())
 
 
-@query("l5_packet_hash", """SELECT source packet_id, count(*) n_files, sha256('[' || string_agg('{"path":"d' || doc_id || '","sha256":"' || sha256(text) || '"}', ',' ORDER BY 'd' || doc_id) || ']' || chr(10)) packet_sha256 FROM documents GROUP BY 1""")
+@query("l5_packet_hash", """SELECT source || '-' || (doc_id // 1000) packet_id, count(*) n_files, sha256('[' || string_agg('{"path":"d' || doc_id || '","sha256":"' || sha256(text) || '"}', ',' ORDER BY 'd' || doc_id) || ']' || chr(10)) packet_sha256 FROM documents GROUP BY 1""")  # packets of a bounded number of files
 def _(v: Views):
-    return L.packet_hash(v.table("documents").select(F.col("source").alias("packet_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256")))
+    return L.packet_hash(v.table("documents").select(F.concat_ws("-", "source", F.floor(F.col("doc_id") / 1000).cast("string")).alias("packet_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256")))
 
 
 @query("l6_manifest_inventory", """SELECT 'd' || doc_id path, unnest(list_filter([CASE WHEN doc_id % 10 = 0 THEN 'MISSING_FILE' END, CASE WHEN doc_id % 11 = 0 AND doc_id % 10 <> 0 THEN 'UNREFERENCED_FILE' END, CASE WHEN doc_id % 13 = 0 AND doc_id % 11 <> 0 THEN 'DUPLICATE_PATH' END, CASE WHEN doc_id % 17 = 0 AND doc_id % 11 <> 0 AND doc_id % 10 <> 0 THEN 'SIZE_MISMATCH' END], lambda x: x IS NOT NULL)) code FROM documents WHERE doc_id % 10 <> 0 OR doc_id % 11 <> 0""")
@@ -184,3 +184,39 @@ def _(v: Views):
     flag = lambda c: F.when(c, "true").otherwise("false")
     payload = F.concat(F.lit('{"selected":'), flag(k % 2 == 0), F.lit(',"abstained":'), flag(k % 4 == 0), F.when(k % 10 != 1, F.lit(',"score":1.5')).otherwise(""), F.when(k % 6 == 0, F.lit(',"outcome_return":2')).otherwise(""), F.lit("}"))
     return L.forecast_payload_violations(v.events().select("event_id", payload.alias("payload")), ["selected", "abstained", "score"])
+
+
+#: A forecast for each event, with faults that depend on it in several ways; the rules below look at the text alone.
+SQL["forecasts"] = """SELECT event_id, '{"decision_id":"d","security_code":"' || (user_id % 20) || '","product_id":"p","target_rule":"t","model_version":"m","entry_rule":"e","thesis_episode_id":' || CASE WHEN event_id % 23 = 0 THEN 'null' ELSE '"th"' END || ',"decision_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 29 = 0 THEN '' ELSE 'Z' END || '","outcome_due_at":"' || strftime(ts + to_days(CAST(event_id % 4 AS INT)), '%Y-%m-%dT%H:%M:%S') || 'Z","horizon_sessions":' || (event_id % 6)
+    || ',"eligible":' || CASE WHEN event_id % 5 = 0 THEN 'false' ELSE 'true' END || ',"selected":' || CASE WHEN event_id % 3 = 0 THEN 'true' ELSE 'false' END || ',"abstained":' || CASE WHEN event_id % 7 = 0 THEN 'true' WHEN event_id % 31 = 0 THEN '"no"' ELSE 'false' END || CASE WHEN event_id % 2 = 0 THEN ',"probability":' || (CAST(user_id AS INT) % 12) || 'e-1' ELSE '' END || CASE WHEN event_id % 11 <> 0 THEN ',"score":1.5' ELSE '' END
+    || CASE WHEN event_id % 13 = 0 THEN ',"rank":' || (event_id % 3 - 1) ELSE '' END || CASE WHEN event_id % 17 = 0 THEN ',"reason_codes":{"a":[{"realized_gain":1}]}' WHEN event_id % 19 = 0 THEN ',"reason_codes":["outcome: none"]' ELSE '' END || '}' payload FROM events"""
+
+
+def forecasts(v: Views):
+    k, at = F.col("event_id"), F.col("ts")
+    flag = lambda c, yes="true", no="false": F.when(c, yes).otherwise(no)
+    stamp = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    parts = [
+        '{"decision_id":"d","security_code":"', (F.col("user_id") % 20).cast("string"), '","product_id":"p","target_rule":"t","model_version":"m","entry_rule":"e","thesis_episode_id":', flag(k % 23 == 0, "null", '"th"'), ',"decision_at":"', stamp(at), flag(k % 29 == 0, "", "Z"),
+        '","outcome_due_at":"', stamp(at + F.make_interval(days=(k % 4).cast("int"))), 'Z","horizon_sessions":', (k % 6).cast("string"), ',"eligible":', flag(k % 5 == 0, "false", "true"), ',"selected":', flag(k % 3 == 0), ',"abstained":', F.when(k % 7 == 0, "true").when(k % 31 == 0, '"no"').otherwise("false"),
+        F.when(k % 2 == 0, F.concat(F.lit(',"probability":'), (F.col("user_id").cast("int") % 12).cast("string"), F.lit("e-1"))).otherwise(""), flag(k % 11 != 0, ',"score":1.5', ""), F.when(k % 13 == 0, F.concat(F.lit(',"rank":'), (k % 3 - 1).cast("string"))).otherwise(""),
+        F.when(k % 17 == 0, ',"reason_codes":{"a":[{"realized_gain":1}]}').when(k % 19 == 0, ',"reason_codes":["outcome: none"]').otherwise(""), "}",
+    ]
+    return v.table("events").select("event_id", F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("payload"))
+
+
+@query("l10_forecast_payload_rules", """WITH j AS (SELECT event_id, payload, json_extract_string(payload, '$.decision_at') da, json_extract_string(payload, '$.outcome_due_at') du, json_extract_string(payload, '$.selected') sel, json_extract_string(payload, '$.abstained') ab, json_extract_string(payload, '$.eligible') el, json_extract_string(payload, '$.probability') pr, json_extract_string(payload, '$.score') sc, json_extract_string(payload, '$.rank') rk, json_extract_string(payload, '$.horizon_sessions') hz, json_extract_string(payload, '$.thesis_episode_id') th FROM forecasts)
+    SELECT event_id, unnest(list_filter([CASE WHEN regexp_matches(payload, '"realized_[a-z]*" *:') THEN 'OUTCOME_FIELD' END, CASE WHEN th IS NULL THEN 'FIELD_MISSING' END, CASE WHEN NOT ends_with(da, 'Z') THEN 'TIME_UNREADABLE' END, CASE WHEN CAST(replace(du, 'Z', '') AS TIMESTAMP) <= CAST(replace(da, 'Z', '') AS TIMESTAMP) THEN 'OUTCOME_DUE_NOT_AFTER_DECISION' END, CASE WHEN CAST(hz AS INT) < 1 THEN 'HORIZON_NOT_POSITIVE' END, CASE WHEN ab NOT IN ('true', 'false') THEN 'FLAG_NOT_BOOLEAN' END,
+    CASE WHEN sel = 'true' AND (ab = 'true' OR el = 'false') THEN 'SELECTED_AND_ABSTAINED' END, CASE WHEN sc IS NULL AND pr IS NULL THEN 'SCORE_MISSING' END, CASE WHEN CAST(pr AS DOUBLE) > 1 THEN 'PROBABILITY_OUT_OF_RANGE' END, CASE WHEN CAST(rk AS INT) < 1 THEN 'RANK_NOT_POSITIVE' END, CASE WHEN json_type(payload, '$.reason_codes') NOT IN ('ARRAY', 'NULL') THEN 'LIST_EXPECTED' END], lambda x: x IS NOT NULL)) code FROM j""")
+def _(v: Views):
+    return L.forecast_payload_violations(forecasts(v), required=L.FORECAST_REQUIRED)
+
+
+@query("v8_replay_metrics_excess", """WITH r AS (SELECT *, outcome - avg(outcome) OVER (PARTITION BY decision_id) + 0.001 x FROM outcomes), k AS (SELECT decision_id, rank() OVER (PARTITION BY decision_id ORDER BY score) + (count(*) OVER (PARTITION BY decision_id, score) - 1) / 2 a, rank() OVER (PARTITION BY decision_id ORDER BY x) + (count(*) OVER (PARTITION BY decision_id, x) - 1) / 2 b FROM r)
+    SELECT round(avg(ic), 6) mean_market_rank_ic, count(ic) market_rank_ic_decisions FROM (SELECT CASE WHEN count(*) >= 2 AND stddev_pop(a) > 0 AND stddev_pop(b) > 0 THEN corr(a, b) END ic FROM k GROUP BY decision_id)""")
+def _(v: Views):
+    from pyspark.sql.window import Window
+
+    mean = F.avg("outcome").over(Window.partitionBy("decision_id"))
+    rows = v.outcomes().withColumn("market_excess", F.col("outcome") - mean + 0.001).withColumn("positive", F.col("outcome") > 0).withColumn("selected", F.col("score") > 0)
+    return V.replay_metrics(rows, 5).select(F.round("mean_market_rank_ic", 6).alias("mean_market_rank_ic"), "market_rank_ic_decisions")

@@ -25,7 +25,7 @@ def factors(v: Views):
     return C.adjustment_factors(v.actions())
 
 
-@query("c1_schedule_violations", """SELECT action_id, 'EX_AFTER_RECORD' code FROM actions WHERE ex_date > record_date UNION ALL SELECT action_id, 'OUTSIDE_WINDOW' FROM actions WHERE ex_date > DATE '2024-02-15'""")
+@query("c1_schedule_violations", """SELECT action_id, 'EX_AFTER_RECORD' code FROM actions WHERE ex_date > record_date UNION ALL SELECT action_id, 'OUTSIDE_WINDOW' FROM actions WHERE ex_date > DATE '2024-02-15' UNION ALL SELECT action_id, 'SCHEDULE_OUTSIDE_WINDOW' FROM actions WHERE least(cum_date, ex_date, record_date, payment_date) > DATE '2024-02-15' OR greatest(cum_date, ex_date, record_date, payment_date) < DATE '2024-01-01'""")
 def _(v: Views):
     return C.schedule_violations(v.actions().withColumn("window_from", F.lit("2024-01-01").cast("date")).withColumn("window_to", F.lit("2024-02-15").cast("date")))
 

@@ -111,6 +111,11 @@ def _(v: Views):
     return Q.series_coverage(v.benchmark_series(), v.calendar(), "benchmark_code")
 
 
+@query("q13_series_gaps", """WITH s AS (SELECT DISTINCT security_code, trade_date FROM bars), c AS (SELECT trade_date FROM calendar WHERE is_trading_day) SELECT k security_code, c.trade_date, 'MISSING' gap FROM (SELECT DISTINCT security_code k FROM s) CROSS JOIN c WHERE (k, c.trade_date) NOT IN (SELECT (security_code, trade_date) FROM s) UNION ALL SELECT security_code, trade_date, 'EXTRA' FROM s WHERE trade_date NOT IN (SELECT trade_date FROM c)""")
+def _(v: Views):
+    return Q.series_gaps(v.bars(), v.calendar(), "security_code")
+
+
 @query("q14_query_ledger_violations", """WITH q AS (SELECT o_orderkey query_id, o_orderkey % 7 a, o_orderkey % 7 - CASE WHEN o_orderkey % 29 = 0 THEN 1 ELSE 0 END b, o_orderkey % 5 n, o_orderkey % 5 = 0 OR o_orderkey % 31 = 0 z, CAST(o_orderdate AS DATE) f FROM orders)
     SELECT query_id, 'PAGES_DECLARED_NOT_RECEIVED' code FROM q WHERE a <> b UNION ALL SELECT query_id, 'ZERO_RESULT_WITH_ROWS' FROM q WHERE z AND n <> 0 UNION ALL SELECT query_id, 'ZERO_ROWS_WITHOUT_ZERO_RESULT' FROM q WHERE NOT z AND n = 0
     UNION ALL SELECT query_id, 'WINDOW_OUTSIDE_COLLECTION' FROM q WHERE f < DATE '1996-01-01' OR f + 30 > DATE '2001-01-01'""")
@@ -164,10 +169,10 @@ def _(v: Views):
     return Q.forbidden_feature_names(p, "feature_name")
 
 
-@query("q21_unsafe_urls", """WITH u AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN url || '#top' WHEN 1 THEN url || '&token=x' ELSE url END url FROM pages) SELECT page_id, 'NOT_HTTPS' code FROM u WHERE url NOT LIKE 'https://%' UNION ALL SELECT page_id, 'FRAGMENT' FROM u WHERE url LIKE '%#%'
+@query("q21_unsafe_urls", """WITH u AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN url || '#top' WHEN 1 THEN url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'token=x' ELSE url END url FROM pages) SELECT page_id, 'NOT_HTTPS' code FROM u WHERE url NOT LIKE 'https://%' UNION ALL SELECT page_id, 'FRAGMENT' FROM u WHERE url LIKE '%#%'
     UNION ALL SELECT page_id, 'CREDENTIAL_QUERY_KEY' FROM u WHERE regexp_matches(url, '[?&](token|api_?key|password|secret|auth|signature|access_token)=') UNION ALL SELECT page_id, 'PORT' FROM u WHERE regexp_matches(url, '^[a-z]+://[^/?#]*:[0-9]+') UNION ALL SELECT page_id, 'USERINFO' FROM u WHERE regexp_matches(url, '^[a-z]+://[^/?#]*@')""")
 def _(v: Views):
-    u = F.when(F.col("page_id") % 6 == 0, F.concat("url", F.lit("#top"))).when(F.col("page_id") % 6 == 1, F.concat("url", F.lit("&token=x"))).otherwise(F.col("url"))
+    u = F.when(F.col("page_id") % 6 == 0, F.concat("url", F.lit("#top"))).when(F.col("page_id") % 6 == 1, F.concat("url", F.when(F.contains("url", F.lit("?")), "&").otherwise("?"), F.lit("token=x"))).otherwise(F.col("url"))
     return Q.unsafe_urls(v.table("pages").select("page_id", u.alias("url")), "url", ["page_id"])
 
 

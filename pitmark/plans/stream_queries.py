@@ -42,11 +42,54 @@ def _(v: Views):
     at = spot(v, "csv")
     row = F.concat_ws(",", k.cast("string"), "o_orderstatus", F.when(k % 50 == 0, "extra"))
     lines = v.table("orders").select(row.alias("value"))  # rows that are too wide carry one more cell
-    lines.unionByName(v.spark.createDataFrame([("o_orderkey,o_orderstatus",)], "value string")).write.text(at)
+
+    def under_header(batches):
+        import pyarrow as pa
+
+        first = True
+        for b in batches:
+            if first:
+                yield pa.RecordBatch.from_arrays([pa.array(["o_orderkey,o_orderstatus"])], schema=b.schema)
+            first = False
+            yield b
+
+    lines.mapInArrow(under_header, "value string").write.text(at)
     good, bad = S.read_contract_csv(v.spark, at, t.StructType([t.StructField("o_orderkey", t.LongType()), t.StructField("o_orderstatus", t.StringType())]))
     return good.select(F.lit(1).alias("g"), F.lit(0).alias("b")).unionByName(bad.select(F.lit(0).alias("g"), F.lit(1).alias("b"))).agg(F.sum("g").alias("good"), F.sum("b").alias("bad"))
 
 
+@query("s3_read_manifest", "SELECT 'd' || doc_id path, sha256(text) sha256, n_chars size_bytes, source source_id FROM documents")
+def _(v: Views):
+    """Manifests of 500 artifacts each, written as one object a file and read back."""
+    k, at = F.col("doc_id"), spot(v, "manifests")
+    d = v.table("documents").select(F.floor(k / 500).alias("part"), F.struct(F.concat(F.lit("d"), k.cast("string")).alias("path"), F.sha2("text", 256).alias("sha256"), F.col("n_chars").cast("long").alias("size_bytes"), F.col("source").alias("source_id")).alias("a"))
+    one = d.groupBy("part").agg(F.collect_list("a").alias("artifacts")).select("part", F.to_json(F.struct("artifacts")).alias("value"))
+    one.repartition("part").write.partitionBy("part").text(at)
+    return S.read_manifest(v.spark, at).select("path", "sha256", "size_bytes", "source_id")
+
+
+@query("s4_verify_artifacts", """WITH f AS (SELECT s_nationkey k, sha256(string_agg(s_name, chr(10) ORDER BY s_suppkey) || chr(10)) h, sum(length(s_name) + 1) n FROM supplier GROUP BY 1) SELECT 'nation' || k nation, CASE WHEN k % 6 = 0 THEN 'UNREFERENCED' WHEN k % 5 = 0 THEN 'HASH_MISMATCH' WHEN k % 7 = 0 THEN 'SIZE_MISMATCH' ELSE 'OK' END code FROM f UNION ALL SELECT 'nation99', 'MISSING'""")
+def _(v: Views):
+    """Suppliers' names as one file for each nation; the manifest knows them from the table, with some entries altered."""
+    at, k = spot(v, "artifacts"), F.col("s_nationkey")
+    s = v.table("supplier")
+    s.repartition("s_nationkey").sortWithinPartitions("s_nationkey", "s_suppkey").select(k, "s_name").write.partitionBy("s_nationkey").text(at)
+    text = F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))), lambda x: x.s_name), "\n"), F.lit("\n"))
+    folder = F.concat(F.lit("s_nationkey="), k.cast("string"))
+    names = v.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(at).select(F.regexp_extract("path", "(s_nationkey=[0-9]+)/", 1).alias("folder"), F.regexp_extract("path", "s_nationkey=[0-9]+/.*$", 0).alias("path"))
+    m = s.groupBy(k).agg(text.alias("text")).withColumn("folder", folder).join(names, "folder").where(k % 6 != 0)
+    m = m.select("path", F.sha2(F.when(k % 5 == 0, "other").otherwise(F.col("text")), 256).alias("sha256"), (F.length("text") + F.when(k % 7 == 0, 1).otherwise(0)).cast("long").alias("size_bytes"))
+    lost = v.spark.range(1).select(F.lit("s_nationkey=99/x").alias("path"), F.lit("").alias("sha256"), F.lit(0).cast("long").alias("size_bytes"))
+    return S.verify_artifacts(m.unionByName(lost), at).select(F.regexp_replace(F.regexp_extract("name", "^([^/]*)/", 1), "s_nationkey=", "nation").alias("nation"), "code")
+
+
+@query("s5_write_dataset", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def _(v: Views):
+    at = spot(v, "dataset")
+    S.write_dataset(v.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus"), at, ["o_orderkey"])
+    return v.spark.read.parquet(at)
+
+
 @query("s6_export_projection", BODIES["r2_mosaic_rank"].replace("SELECT security_code, round(score, 3) score, evidence_coverage, groups, status, reasons, 'CANDIDATE", "SELECT security_code, round(score, 3) score, status, 'CANDIDATE"))
 def _(v: Views):
     r = mosaic_rank(v.findings().withColumn("roles", roles()), POLICY, reliability(), 5)

@@ -72,7 +72,8 @@ def _(v: Views):
 SQL["sealed"] = """SELECT conv_id ledger_id, coalesce(text, '') t, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, coalesce(text, '')) seq FROM conversations"""
 
 
-@query("l1_chain_own_hash_and_time", """SELECT ledger_id, seq, unnest(list_filter([CASE WHEN ledger_id % 11 = 0 AND seq = 2 THEN 'PREVIOUS_HASH_BREAK' END, CASE WHEN ledger_id % 13 = 0 AND seq = 3 THEN 'TIME_ORDER' END, CASE WHEN ledger_id % 7 = 0 AND seq = 2 THEN 'OWN_HASH_MISMATCH' END], lambda x: x IS NOT NULL)) code FROM sealed""")
+@query("l1_chain_own_hash_and_time", """WITH e AS (SELECT l.*, s.t || CASE WHEN l.ledger_id % 7 = 0 AND l.seq = 2 THEN 'changed' ELSE '' END t, CASE WHEN l.ledger_id % 13 = 0 AND l.seq = 3 THEN 0 ELSE l.seq END rec FROM ledger l JOIN sealed s USING (ledger_id, seq)), w AS (SELECT *, lag(event_hash) OVER o before, lag(seq) OVER o s0, lag(rec) OVER o r0 FROM e WINDOW o AS (PARTITION BY ledger_id ORDER BY seq))
+    SELECT ledger_id, seq, unnest(list_filter([CASE WHEN seq <> coalesce(s0, 0) + 1 THEN 'SEQUENCE_GAP' END, CASE WHEN seq = 1 AND previous_hash IS NOT NULL THEN 'FIRST_HAS_PREVIOUS' END, CASE WHEN seq > 1 AND previous_hash IS DISTINCT FROM before THEN 'PREVIOUS_HASH_BREAK' END, CASE WHEN rec < r0 THEN 'TIME_ORDER' END, CASE WHEN event_hash <> sha256(ledger_id || '|' || t) THEN 'OWN_HASH_MISMATCH' END], lambda x: x IS NOT NULL)) code FROM w""")
 def _(v: Views):
     """The chain with own hashes made anew from the text, which every seventh ledger's second event has had changed, and times, one of them dated back."""
     k, n = F.col("ledger_id"), F.col("seq")

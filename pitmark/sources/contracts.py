@@ -30,14 +30,23 @@ def header_errors(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Good rows and error rows of CSV files with this header; rows that are too wide or too narrow, or do not parse, are error rows.
 
-    One record a line; a byte-order mark and carriage returns are ignored, and
-    so is every line that repeats the header.
+    One record a line; a byte-order mark and carriage returns are ignored. The
+    first line of every file must be exactly the header, or the whole read is
+    refused with an error that names the files; a later line that repeats it is
+    an error row.
     """
+    wrong = [f"{r.file}: {r.code}" for r in header_errors(spark, path, schema).limit(5).collect()]
+    if wrong:
+        raise ValueError("files out of contract: " + "; ".join(wrong))
     line = F.regexp_replace("value", "^\ufeff|\r$", "")
-    lines = spark.read.text(path).select(line.alias("value")).where((F.trim("value") != "") & (F.col("value") != ",".join(f.name for f in schema.fields)))
+    lines = spark.read.text(path).select(line.alias("value"), (F.col("_metadata.file_block_start") == 0).alias("head"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
+    header = ",".join(f.name for f in schema.fields)
+    first = lines.where(F.col("head") & (F.col("value") == header)).groupBy("file").agg(F.min("n").alias("n"))
+    repeated = lines.where(F.col("value") == header).join(first, ["file", "n"], "left_anti").select(F.col("value").alias("raw"), F.lit("HEADER_REPEATED").alias("code"))
+    lines = lines.where((F.trim("value") != "") & (F.col("value") != header)).select("value")
     parsed = lines.select("value", F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _with_bad(schema).fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}).alias("r"))
     bad = F.col("r").isNull() | F.col(f"r.{_BAD}").isNotNull()
-    return parsed.where(~bad).select("r.*").drop(_BAD), parsed.where(bad).select(F.col("value").alias("raw"), F.lit("ROW_NOT_IN_CONTRACT").alias("code"))
+    return parsed.where(~bad).select("r.*").drop(_BAD), parsed.where(bad).select(F.col("value").alias("raw"), F.lit("ROW_NOT_IN_CONTRACT").alias("code")).unionByName(repeated)
 
 
 def read_contract_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -60,10 +69,13 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def verify_artifacts(manifest: DataFrame, folder: str) -> DataFrame:
-    """(path, code): digest and size of each raw file against the manifest; files on one side only."""
+    """(name, code): digest and size of each raw file against the manifest; files on one side only. Names are paths below ``folder``."""
     raw = manifest.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    files = raw.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("actual_sha256"), F.col("length").alias("actual_size"))
-    want = manifest.select(F.element_at(F.split("path", "/"), -1).alias("name"), "sha256", "size_bytes")
+    below = F.split("path", F.lit("/" + folder.rstrip("/").rsplit("/", 1)[-1] + "/"), 2)  # the folder's own name, then the rest
+    root = "/".join(["", *[p for p in folder.split("://", 1)[-1].split("/") if p], ""])
+    name = F.when(F.instr("path", root) > 0, F.expr(f"substring(path, instr(path, '{root}') + {len(root)})")).otherwise(F.element_at(below, -1))
+    files = raw.select(name.alias("name"), F.sha2("content", 256).alias("actual_sha256"), F.col("length").alias("actual_size"))
+    want = manifest.select(F.regexp_replace("path", r"^(\./)+", "").alias("name"), "sha256", "size_bytes")
     j = want.join(files, "name", "full_outer")
     code = F.when(F.col("actual_sha256").isNull(), "MISSING").when(F.col("sha256").isNull(), "UNREFERENCED").when(F.col("sha256") != F.col("actual_sha256"), "HASH_MISMATCH").when(F.col("size_bytes") != F.col("actual_size"), "SIZE_MISMATCH").otherwise("OK")
     return j.select("name", code.alias("code"))

@@ -16,7 +16,7 @@ from pitmark.operators.components import components
 from pitmark.operators.scratch import materialise
 
 _SIGNED = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+_SETS = pa.schema([("cls", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 _CLASS = ["d1", "d2", "n"]
 #: Word hashes remembered by a Python worker.
 _MEMORY = 400_000
@@ -119,32 +119,32 @@ def _signed(docs: DataFrame, size: int, rows: int, bands: int, seed: int) -> Dat
     return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, bands array<long>")
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(t, size) for t in texts_of(b.column(1))]
-            digests = _digests(sets)
-            yield batch(_SETS, id=b.column(0), n=[len(s) for s in sets], d1=digests[:, 0], d2=digests[:, 1], hashes=[s.view(np.int64) for s in sets])
+def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(cls, hashes) of the classes ``wanted``, from texts of their smallest ids; no other text is read into a set.
 
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, hashes array<long>")
+    The texts are dealt by id once, in the same way at every size; the other
+    texts of an id and further rows of the same text go.
+    """
+    owned = wanted.select("cls").distinct().join(classes, "cls").groupBy(F.col("rep").alias("id")).agg(F.collect_list(F.struct("cls", "d1", "d2")).alias("owners"))
+    owned = materialise(owned, "wanted")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t, size) for t in texts_of(b.column(0))]
+            pairs = [(o["cls"], s) for s, d, owners in zip(sets, _digests(sets).tolist(), b.column(1).to_pylist(), strict=True) for o in owners if [o["d1"], o["d2"]] == d]
+            yield batch(_SETS, cls=[c for c, _ in pairs], hashes=[s.view(np.int64) for _, s in pairs])
 
-def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(cls, hashes) of the classes ``wanted``, from texts of their smallest ids; no other text is read into a set."""
-    wanted = materialise(wanted.select("cls").distinct().join(classes, "cls").select("cls", F.col("rep").alias("id"), *_CLASS), "wanted")
-    made = _sets(docs.join(wanted.select("id").distinct(), "id", "left_semi"), size)
-    # an id's other texts, and further rows of the same text, go
-    return materialise(made.join(wanted, ["id", *_CLASS]).select("cls", "hashes").dropDuplicates(["cls"]), "sets")
+    made = docs.join(owned.hint("shuffle_hash"), "id").select("text", "owners").mapInArrow(run, "cls long, hashes array<long>")
+    return materialise(made.dropDuplicates(["cls"]), "sets")
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets overlap enough.
 
     The set of b travels with the pair to where the set of a is, so a leader's
     set is not copied about; both joins have an exchange on either side and may
     be split where a leads very many.
     """
-    sets = _sets_of(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))), classes, docs, size)
     left = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
@@ -171,7 +171,7 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     return out.astype(np.int64)
 
 
-def _within_groups(groups: DataFrame, root: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, block: int = 128) -> DataFrame:
+def _within_groups(groups: DataFrame, root: DataFrame, sets: DataFrame, percent: int, block: int = 128) -> DataFrame:
     """Links between members (a, cls) of a leader's group that no link joins so far.
 
     A group of one component needs no more comparison. In the others, members
@@ -189,7 +189,6 @@ def _within_groups(groups: DataFrame, root: DataFrame, classes: DataFrame, docs:
     deal = lambda parts: F.pmod(F.xxhash64("cls", F.lit(3)), F.col(parts))
     main = F.col("comp") == F.col("main")
     members = materialise(members.select("a", "cls", "comp", "few", "many", main.alias("in_main"), F.when(main, F.col("few") + deal("many")).otherwise(deal("few")).alias("part")), "members")
-    sets = _sets_of(members, classes, docs, size)
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("few") + F.when(F.col("in_main"), 0).otherwise(F.col("many")) - 1))
     dealt = members.select("a", "cls", "comp", "part", others.alias("other")).join(sets, "cls")
     dealt = dealt.select("a", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "cls", "comp", "part", "hashes")
@@ -244,6 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = materialise(banded.join(shared, "bucket"), "met")
     common = materialise(met.groupBy("cls").agg(F.sum("m").alias("pop")), "common")
     met = met.join(common, "cls").select("bucket", "cls", "n", "pop")
+    sets = _sets_of(met, classes, docs, size)
     # an id with several sets ties their classes together
     twin = some.groupBy("id").agg(F.min("d1").alias("x1"), F.max("d1").alias("x2"), F.min("d2").alias("y1"), F.max("d2").alias("y2")).where("x1 <> x2 or y1 <> y2").select("id")
     several = materialise(some.join(twin, "id", "left_semi").select("id", *_CLASS).distinct().join(classes.drop("rep"), _CLASS).select("id", F.col("cls").alias("a")), "several")
@@ -251,9 +251,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = lambda links: materialise(components(links, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("root")), "roots")
     leads = materialise(met.groupBy("bucket").agg(F.max_by(F.struct("cls", "n"), F.struct("pop", -F.col("cls"))).alias("x")).select("bucket", F.col("x.cls").alias("a"), F.col("x.n").alias("na")), "leads")
     led = materialise(met.join(leads, "bucket").where("cls <> a").select("a", F.col("cls").alias("b"), F.col("n").alias("nb"), "na").distinct(), "led")
-    links = materialise(links.unionByName(_linked(led.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"), classes, docs, size, percent)), "links")
+    links = materialise(links.unionByName(_linked(led.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"), sets, percent)), "links")
     root = roots(links)
-    found = materialise(_within_groups(led.select("a", F.col("b").alias("cls")), root, classes, docs, size, percent), "found")
+    found = materialise(_within_groups(led.select("a", F.col("b").alias("cls")), root, sets, percent), "found")
     root = roots(links.unionByName(found))
     least = root.join(classes.select("cls", "rep"), "cls").groupBy("root").agg(F.min("rep").alias("least"))
     root = materialise(root.join(least, "root").select("cls", "least"), "least")

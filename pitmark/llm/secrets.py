@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pitmark.operators.scratch import materialise
 
@@ -20,22 +21,39 @@ KINDS = (
     ("hex", "[0-9a-f]{24,}", 0, 24),
     ("owned", "[A-Za-z0-9+/_-]{20,}", 0, 20),
 )
-_HIT = "array<struct<start:int,k:int,end:int,value:string>>"
+_PART = "array<struct<k:int,i:int,gap:int,size:int,value:string>>"
 
 
-def _hits(k: int) -> Column:
-    """Places and values of the matches of a kind: what lies between matches gives their offsets, in code points."""
-    _, pattern, group, least = KINDS[k]
+def _parts(k: int) -> Column:
+    """What lies before each match of a kind, and the match: lengths in code points, in order; one pass over the text."""
+    _, pattern, group, _ = KINDS[k]
     literal = "r'" + pattern.replace("'", "\\x27") + "'"
     return F.expr(
-        f"filter(aggregate(arrays_zip(regexp_extract_all(text, {literal}, 0), regexp_extract_all(text, {literal}, {group}), split(text, {literal}, -1)), "
-        f"named_struct('at', 0, 'out', cast(array() as {_HIT})), "
-        "(a, x) -> named_struct('at', a.at + length(x['2']) + coalesce(length(x['0']), 0), 'out', if(x['0'] is null, a.out, "
-        f"array_append(a.out, named_struct('start', a.at + length(x['2']), 'k', {k}, 'end', a.at + length(x['2']) + length(x['0']), 'value', x['1'])))), "
-        f"a -> a.out), x -> length(x.value) >= {least})"
+        f"transform(arrays_zip(regexp_extract_all(text, {literal}, 0), regexp_extract_all(text, {literal}, {group}), split(text, {literal}, -1)), "
+        f"(x, i) -> named_struct('k', {k}, 'i', i, 'gap', length(x['2']), 'size', length(x['0']), 'value', x['1']))"
     )
 
 
+def _spans(rows: DataFrame) -> DataFrame:
+    """(row, owner, part, start, k, end, value) of all candidates.
+
+    Offsets are running sums over a text's parts, one window for each text and
+    kind. A bare token counts if no base span overlaps it: of the base spans
+    that start before its end, the one that reaches farthest must end before it.
+    """
+    running = Window.partitionBy("row", "k").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    part = rows.where("size(parts) > 0").select("row", "owner", "part", F.explode("parts").alias("x")).select("row", "owner", "part", "x.*")
+    end = F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(running).cast("int")
+    each = part.withColumn("end", end).where("size is not null").withColumn("start", (F.col("end") - F.col("size")).cast("int"))
+    least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS]), F.col("k") + 1)
+    n = lambda kept: F.length(F.regexp_replace("value", kept, ""))
+    each = each.where((F.length("value") >= least) & ((F.col("k") < 3) | ((n("[^0-9]") >= 4) & (n("[^A-Za-z]") >= 4))))
+    base = F.col("k") < 3
+    before = Window.partitionBy("row").orderBy(F.when(base, F.col("start")).otherwise(F.col("end")), base).rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.when(base, F.col("end"))).over(before)
+    return each.withColumn("reach", reach).where(base | F.col("reach").isNull() | (F.col("reach") <= F.col("start"))).select("row", "owner", "part", "start", "k", "end", "value")
+
+
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", part_col: str = "lang", *, example_owners: int = 3) -> DataFrame:
     """Spans of secrets in whole texts, told apart by who else has them.
 
@@ -52,8 +70,8 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null text is empty; null owners and parts count as one owner and part; a
     null id stays null; repeated rows get a row each; an empty table gives no
-    rows; other columns are ignored. A text's matches are held as one array. A
-    hash that very many rows share is counted per task and owner before the
+    rows; other columns are ignored. A text's matches are held as one array, and
+    time grows with the text, however many there are. A hash that very many rows share is counted per task and owner before the
     shuffle, and the join back to its rows has an exchange on either side.
     """
     rows = docs.select(
@@ -62,18 +80,11 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce(docs[part_col].cast("string"), F.lit("")).alias("part"),
         F.coalesce(docs[text_col], F.lit("")).alias("text"),
     )
-    empty = F.expr(f"cast(array() as {_HIT})")
-    some = [F.when(F.col("text").rlike(KINDS[k][1]), _hits(k)).otherwise(empty) for k in range(4)]
-    base = F.array_sort(F.concat(*some[:3]))
-    digest_ = F.md5(F.encode("text", "utf-8"))
-    rows = rows.select("doc_id", "owner", "part", base.alias("base"), some[3].alias("bare"), F.when(F.size(base) + F.size(some[3]) > 0, digest_).alias("text_md5"))
-    bare = F.expr(
-        "filter(bare, x -> length(regexp_replace(x.value, '[^0-9]', '')) >= 4 and length(regexp_replace(x.value, '[^A-Za-z]', '')) >= 4 "
-        "and not exists(base, y -> y.start < x.end and x.start < y.end))"
-    )
-    hits = F.transform(F.concat("base", bare), lambda x: F.struct(x.start.alias("start"), x.k.alias("k"), x.end.alias("end"), F.sha2(x.value, 256).alias("value_sha256")))
-    rows = materialise(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_md5", "owner", "part", hits.alias("hits")), "hits")
-    each = rows.select("row", "owner", "part", F.explode("hits").alias("hit")).select("row", "owner", "part", "hit.*")
+    empty = F.expr(f"cast(array() as {_PART})")
+    parts = F.concat(*[F.when(F.col("text").rlike(KINDS[k][1]), _parts(k)).otherwise(empty) for k in range(4)])
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "part", parts.alias("parts"), F.col("text"))
+    rows = materialise(rows.select("row", "doc_id", "owner", "part", "parts", F.when(F.size("parts") > 0, F.md5(F.encode("text", "utf-8"))).alias("text_md5")), "hits")
+    each = materialise(_spans(rows).withColumn("value_sha256", F.sha2("value", 256)).drop("value"), "spans")
     owners = (
         each.select("value_sha256", "owner", "part").distinct()
         .groupBy("value_sha256", "owner").agg(F.count("*").alias("n"))

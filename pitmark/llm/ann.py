@@ -63,6 +63,8 @@ def build(ids: np.ndarray, rows: np.ndarray, leaf: int) -> tuple[np.ndarray, np.
 class Search:
     """The best k of a shard for a block of queries, which go down the tree together.
 
+    Each query first meets the leaf that it would lie in, which brings its k-th
+    best close; then all walk the whole tree, past what the bounds leave out.
     ``measured`` counts the pairs of a query and a point that were compared.
     """
 
@@ -73,7 +75,8 @@ class Search:
         self.query_ids, self.queries = query_ids, queries
         self.k, self.factor = k, factor
         self.score, self.found = np.full((len(queries), k), -np.inf), np.full((len(queries), k), _NONE)
-        self.measured = 0
+        self.measured, self.home = 0, np.full(len(queries), -1)
+        self.settle(0, len(ids), 0, np.arange(len(queries)))
         self.visit(0, len(ids), 0, np.arange(len(queries)))
 
     def measure(self, lo: int, hi: int, q: np.ndarray) -> np.ndarray:
@@ -105,25 +108,41 @@ class Search:
         """How far a better point may lie: the distance of the k-th best, times the factor."""
         return self.factor * np.sqrt(np.maximum(0, 2 - 2 * np.maximum(self.score[q, -1], -1))) + _SLACK
 
-    def visit(self, lo: int, hi: int, node: int, q: np.ndarray) -> None:
-        if not len(q) or lo == hi:
+    def halves(self, lo: int, hi: int, node: int) -> tuple[tuple[int, int, int], tuple[int, int, int]]:
+        inside = (hi - lo) // 2
+        return (lo + 1, lo + 1 + inside, node + 1), (lo + 1 + inside, hi, node + 1 + _inner(inside, self.leaf))
+
+    def beyond(self, node: int, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How far each query lies at least from the points of the near and of the far half."""
+        near_from, near_to, far_from, far_to = self.rings[node]
+        d = np.sqrt(np.maximum(0, 2 - 2 * cosine))
+        return np.maximum(near_from - d, d - near_to), np.maximum(far_from - d, d - far_to)
+
+    def settle(self, lo: int, hi: int, node: int, q: np.ndarray) -> None:
+        if not len(q):
             return
         if hi - lo <= self.leaf:
             self.measure(lo, hi, q)
+            self.home[q] = lo
             return
-        d = np.sqrt(np.maximum(0, 2 - 2 * self.measure(lo, lo + 1, q)[:, 0]))
-        near_from, near_to, far_from, far_to = self.rings[node]
-        inside = (hi - lo) // 2
-        near = (lo + 1, lo + 1 + inside, node + 1)
-        far = (lo + 1 + inside, hi, node + 1 + _inner(inside, self.leaf))
-        off_near, off_far = np.maximum(near_from - d, d - near_to), np.maximum(far_from - d, d - far_to)
-        first = off_near <= off_far  # the half that is nearer comes first and brings the k-th best closer
-        for half, mine, off in ((near, first, off_near), (far, ~first, off_far), (far, first, off_far), (near, ~first, off_near)):
-            some = q[mine]
-            self.visit(*half, some[off[mine] <= self.reach(some)])
+        near, far = self.beyond(node, self.query_unit[q] @ self.unit[lo])
+        self.measured += len(q)
+        for half, mine in zip(self.halves(lo, hi, node), (near <= far, near > far), strict=True):
+            self.settle(*half, q[mine])
+
+    def visit(self, lo: int, hi: int, node: int, q: np.ndarray) -> None:
+        if hi - lo <= self.leaf:
+            q = q[self.home[q] != lo]
+            if len(q) and hi > lo:
+                self.measure(lo, hi, q)
+            return
+        if not len(q):
+            return
+        for half, off in zip(self.halves(lo, hi, node), self.beyond(node, self.measure(lo, lo + 1, q)[:, 0]), strict=True):
+            self.visit(*half, q[off <= self.reach(q)])
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 5, factor: float = 1.0, leaf: int = 192, shard_rows: int = 32_768, block: int = 512) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 5, factor: float = 1.0, leaf: int = 192, shard_rows: int = 16_384, block: int = 512) -> DataFrame:
     """The k vectors of the largest cosine for each query: query_id, rank, vec_id, score.
 
     All vectors are dealt by the hash of their id over shards of about
@@ -159,7 +178,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
         ids, rows, rings = build(ids[order], v[order], leaf)
         return pa.Table.from_batches([batch(_TREE, dim=[key[0].as_py()], shard=[key[1].as_py()], ids=[ids.tobytes()], rows=[rows.tobytes()], rings=[rings.tobytes()])])
 
-    index = points.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).groupBy("dim", "shard").applyInArrow(grow, "dim int, shard long, ids binary, rows binary, rings binary")
+    # few bytes and much work: a partition for each shard, which small sizes don't merge
+    spread = lambda df: df.repartition(shards, "dim", "shard")
+    index = spread(points.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))).groupBy("dim", "shard").applyInArrow(grow, "dim int, shard long, ids binary, rows binary, rings binary")
     index = materialise(index, "trees")
     packed = asked.groupBy("dim", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("q"))
     packed = packed.select("dim", F.col("q.id").alias("qids"), F.flatten("q.v").alias("qrows"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
@@ -175,6 +196,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
                 real = s.found != _NONE
                 yield batch(_BEST, query_id=np.broadcast_to(query_ids[:, None], real.shape)[real], vec_id=s.found[real], score=s.score[real])
 
-    found = index.join(packed, ["dim", "shard"]).select("dim", "qids", "qrows", "ids", "rows", "rings").mapInArrow(search, "query_id long, vec_id long, score double")
+    found = spread(index).join(spread(packed), ["dim", "shard"]).select("dim", "qids", "qrows", "ids", "rows", "rings").mapInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -85,7 +85,8 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     (smallest vec_id reachable), kept. Rows of equal label and vector fall into
     a class first and are counted, not compared. The quantiser is fitted on the
     ``sample`` classes (four for each cell at least) with the smallest hash of
-    their id; every class is indexed. There are sqrt(classes) / 8 cells. A vector probes
+    their id; every class is indexed. There are sqrt(classes) / 24 cells: more would copy each vector
+    more often than they spare comparisons. A vector probes
     each cell that can hold a link of it by the half-plane bound. Members whose
     table distance, less their own coding error, is beyond the distance that
     belongs to ``cosine`` can't be links; all others are decided by the exact
@@ -111,7 +112,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
         links = n_links = None
     else:
         width = -(-width // 4) * 4
-        cells = cells or max(1, round(n**0.5 / 8))
+        cells = cells or max(1, round(n**0.5 / 24))
         taken = smallest(classes.select("rep", "v"), "rep", max(sample, 4 * cells), n).toArrow()
         quantiser = Quantiser.fit(unit(matrix(taken["v"].combine_chunks(), width)), min(cells, taken.num_rows))
         shared = classes.sparkSession.sparkContext.broadcast(quantiser)

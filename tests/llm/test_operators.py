@@ -279,7 +279,7 @@ def test_quality(spark):
     good = lambda: " ".join(rng.choice(WORDS) for _ in range(rng.randint(30, 80))).capitalize() + "."
     bad = lambda: " ".join(rng.choice(WORDS) + "%%%" for _ in range(40)) if rng.random() < 0.5 else " ".join([rng.choice(WORDS)] * 40)
     y = [int(rng.random() < 0.8) for _ in range(600)]
-    rows = [(i, good() if v else bad()) for i, v in enumerate(y)] + [(900, None), (901, ""), (None, "alpha beta"), (3, "alpha beta")]
+    rows = [(i, good() if v else bad()) for i, v in enumerate(y)] + [(900, None), (901, ""), (None, "alpha beta"), (3, "alpha beta"), (904, "alpha beta gamma " * 100_000)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(i, v) for i, v in enumerate(y) if i % 2] + [(902, None), (None, 1), (5, y[5])], "doc_id long, quality int")
     model = quality.fit(df, labels, where="id % 5 <> 0")

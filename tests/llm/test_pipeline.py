@@ -53,9 +53,30 @@ def test_stages(spark):
 
 
 def test_stages_keep_odd_rows(spark):
-    docs = spark.createDataFrame([(1, None, None, None, None), (None, "some words here", "en", "s", 15), (2, "", "en", "s", 0), (2, "some words here", "en", "s", 15)], "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, docs, SF).count() >= 0
+    """Nulls, empties, repeats and an empty table: what each stage is defined to keep."""
+    secret = 'token = "a1B2c3D4e5F6g7H8i9J0" is in some words here'
+    rows = [(1, None, None, None, None), (None, "some words here", "en", "s", 15), (2, "", "en", "s", 0), (2, "some words here", "en", "s", 15), (3, "some words here", None, "t", 15), (3, "some words here", None, "t", 15), (4, secret, "en", None, len(secret)), (5, "12 %", "en", "s", 4)]
+    docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, score int")
+    lang, good, one, clean, pack = (f for _, f in corpus_pipeline.STAGES)
+    both = lambda df: sorted(((-1 if r.doc_id is None else r.doc_id), r.text) for r in df.collect() if r.text is not None)
+    nulls = lambda df: df.where("text is null").count()
+    some = [(-1 if r[0] is None else r[0], r[1]) for r in rows]
+
+    kept = lang(spark, docs, SF)
+    assert both(kept) == sorted((i, t) for i, t in some if t and re.search("[a-z]", t)) and nulls(kept) == 0 and kept.columns == docs.columns
+    unlabelled = good(spark, docs.where("doc_id > 900"), SF)
+    assert unlabelled.count() == 0
+    judged = good(spark, docs, SF)
+    assert set(both(judged)) <= set(some) and judged.columns == docs.columns
+    # ids 2 and 3 have the same words: one row of 2; the blank row of 2 has none and stays
+    unique = one(spark, docs, SF)
+    assert both(unique) == [(-1, "some words here"), (2, ""), (2, "some words here"), (4, secret), (5, "12 %")] and nulls(unique) == 1
+    safe = clean(spark, docs, SF)
+    assert both(safe) == sorted((i, t.replace('token = "a1B2c3D4e5F6g7H8i9J0', "[SECRET]") if t else t) for i, t in some if t is not None) and nulls(safe) == 1
+    assert all(r.n_chars == len(r.text) for r in safe.collect() if r.text is not None)
+    pieces = pack(spark, docs, SF).collect()
+    assert len(pieces) == len(rows) and sorted(r.length for r in pieces)[:2] == [1, 1]
+    for stage in (lang, good, one, clean, pack):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 

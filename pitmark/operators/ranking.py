@@ -12,6 +12,7 @@ from pitmark.functions.columns import signed
 from pitmark.operators.coverage import role_coverage, substantive
 from pitmark.operators.events import claim_clusters, cluster_representatives, near_duplicate_pairs, source_conflicts
 from pitmark.operators.row_quality import with_codes
+from pitmark.operators.scratch import materialise
 
 #: Weights of the heuristic rank.
 FEATURE_WEIGHTS = {"relative_return_5d": 0.25, "relative_return_20d": 0.15, "relative_value_20d": 0.20, "relative_volume_20d": 0.15, "official_event_net_30d": 0.15, "liquidity_percentile": 0.10}
@@ -37,14 +38,16 @@ def mosaic_rank(findings: DataFrame, policy: Mapping, reliability: Column, k: in
     ``policy``: weights by kind, quorum by role, minimum_groups, minimum_coverage,
     community_cap, and whether the whole universe was reconciled. The community's
     part of a kind shares the kind's denominator and is scaled down to the cap.
-    Every row gets a rank; only candidates are selected.
+    Every row gets a rank; only candidates are selected. The clusters are
+    written to a table on the way.
     """
     weights, cap = policy["weights"], policy["community_cap"]
     strong = substantive(findings)
     usable = strong if cap > 0 else strong.where("source_class <> 'COMMUNITY'")
-    clustered = claim_clusters(usable, near_duplicate_pairs(usable))
+    # several branches read the clusters, none of them the texts
+    clustered = materialise(claim_clusters(usable, near_duplicate_pairs(usable)).drop("claim_text"), "clustered")
     best = cluster_representatives(clustered, reliability).select("finding_id")
-    reps = usable.join(best, "finding_id").withColumn("reliability", reliability)
+    reps = clustered.join(best, "finding_id").withColumn("reliability", reliability)
     value = signed(F.col("direction")) * F.col("strength") * F.col("materiality") * F.col("reliability")
     weight = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in weights.items() for x in p]), F.col("signal_kind")), F.lit(0.0))
     by_kind = reps.withColumn("value", value).groupBy("security_code", "signal_kind").agg(F.count("*").alias("n"), F.sum(F.when(F.col("source_class") != "COMMUNITY", F.col("value")).otherwise(0.0)).alias("a"), F.sum(F.when(F.col("source_class") == "COMMUNITY", F.col("value")).otherwise(0.0)).alias("b"))

@@ -112,13 +112,14 @@ class Views:
         )
 
     def findings(self) -> DataFrame:
-        """Claims: documents blocked by language."""
+        """Claims: documents blocked by language; kind and direction follow from the first words, so copies share them."""
         d = self.table("documents")
+        word = lambda n: F.length(F.regexp_extract(F.coalesce("text", F.lit("")), rf"^[ \t\n]*(?:[^ \t\n]+[ \t\n]+){{{n}}}([^ \t\n]+)", 1))
         cls = F.element_at(F.array(F.lit("PRIMARY"), F.lit("NEWS"), F.lit("COMMUNITY")), (F.col("doc_id") % 3 + 1).cast("int"))
         return d.select(
-            F.col("doc_id").alias("finding_id"), F.concat("lang", (F.col("doc_id") % 5).cast("string")).alias("security_code"), F.col("source").alias("publisher_group"), cls.alias("source_class"),
-            F.element_at(F.array(F.lit("CATALYST"), F.lit("TECHNICAL"), F.lit("SENTIMENT"), F.lit("FUNDAMENTAL")), (F.col("doc_id") % 4 + 1).cast("int")).alias("signal_kind"),
-            F.element_at(F.array(F.lit("POSITIVE"), F.lit("NEGATIVE"), F.lit("NEUTRAL")), (F.col("doc_id") % 7 % 3 + 1).cast("int")).alias("direction"),
+            F.col("doc_id").alias("finding_id"), F.col("lang").alias("security_code"), F.col("source").alias("publisher_group"), cls.alias("source_class"),
+            F.element_at(F.array(F.lit("CATALYST"), F.lit("TECHNICAL"), F.lit("SENTIMENT"), F.lit("FUNDAMENTAL")), word(0) % 4 + 1).alias("signal_kind"),
+            F.element_at(F.array(F.lit("POSITIVE"), F.lit("NEGATIVE"), F.lit("NEUTRAL")), word(1) % 3 + 1).alias("direction"),
             F.least(F.lit(1.0), F.round(F.col("n_chars") / 2000, 4)).alias("strength"), F.round((F.col("doc_id") % 10) / 10, 4).alias("materiality"),
             (F.col("doc_id") % 300).cast("string").alias("event_key"), (F.col("doc_id") % 700).cast("string").alias("origin_id"), F.col("text").alias("claim_text"),
             (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(hours=(F.col("doc_id") % 500).cast("int"))).alias("available_at"), "lang",
@@ -190,8 +191,8 @@ SQL = {
         ['POSITIVE', 'NEGATIVE', 'NEUTRAL'][e.event_id % 3 + 1] direction, round(e.value / 1000, 6) novelty, e.ts event_at, e.ts - INTERVAL 5 MINUTE published_at, e.ts first_available_at, e.ts + INTERVAL 10 MINUTE captured_at,
         regexp_extract(e.props, '(\\d+)', 1) content_hash, 'o' || (e.event_id % 997) origin_id, CASE WHEN e.event_id % 10 = 7 AND p.user_id % 20 = e.user_id % 20 THEN e.event_id - 1 END original_event_id, e.user_id, e.value
         FROM events e LEFT JOIN events p ON p.event_id = e.event_id - 1""",
-    "findings": """SELECT doc_id finding_id, lang || (doc_id % 5) security_code, source publisher_group, ['PRIMARY', 'NEWS', 'COMMUNITY'][doc_id % 3 + 1] source_class, ['CATALYST', 'TECHNICAL', 'SENTIMENT', 'FUNDAMENTAL'][doc_id % 4 + 1] signal_kind,
-        ['POSITIVE', 'NEGATIVE', 'NEUTRAL'][doc_id % 7 % 3 + 1] direction, least(1.0, round(n_chars / 2000, 4)) strength, round((doc_id % 10) / 10, 4) materiality, CAST(doc_id % 300 AS VARCHAR) event_key, CAST(doc_id % 700 AS VARCHAR) origin_id, text claim_text,
+    "findings": r"""SELECT doc_id finding_id, lang security_code, source publisher_group, ['PRIMARY', 'NEWS', 'COMMUNITY'][doc_id % 3 + 1] source_class, ['CATALYST', 'TECHNICAL', 'SENTIMENT', 'FUNDAMENTAL'][length(regexp_extract(coalesce(text, ''), '^[ \t\n]*([^ \t\n]+)', 1)) % 4 + 1] signal_kind,
+        ['POSITIVE', 'NEGATIVE', 'NEUTRAL'][length(regexp_extract(coalesce(text, ''), '^[ \t\n]*(?:[^ \t\n]+[ \t\n]+){1}([^ \t\n]+)', 1)) % 3 + 1] direction, least(1.0, round(n_chars / 2000, 4)) strength, round((doc_id % 10) / 10, 4) materiality, CAST(doc_id % 300 AS VARCHAR) event_key, CAST(doc_id % 700 AS VARCHAR) origin_id, text claim_text,
         TIMESTAMP '2024-01-01' + to_hours(doc_id % 500) available_at, lang FROM documents""",
     "posts": """SELECT CAST(user_id % 20 AS VARCHAR) security_code, regexp_extract(props, '(\\d+)', 1) origin_id, CAST(user_id AS VARCHAR) author_id, greatest(-1.0, least(1.0, (value - 50) / 500)) tone, (user_id % 10) / 10 reliability, event_id seq FROM events""",
     "predictions": """SELECT doc_id, source decision_id, least(1.0, n_chars / 5000) probability, quality "label" FROM documents JOIN labels USING (doc_id)""",

@@ -277,3 +277,51 @@ def test_universe_of_pieces(spark):
     got = {(r.trade_date.day, r.security_code, r.status) for r in temporal.eligible_universe(cal, ids, st).collect()}
     want = {(n, "a", "TRADING" if n < 8 else "SUSPENDED") for n in range(2, 21) if n not in (5, 6)} | {(n, "b", "TRADING") for n in range(7, 10)}
     assert got == want
+
+
+def test_files_out_of_contract(spark, tmp_path):
+    import hashlib
+
+    from pyspark.sql import types as t
+
+    from pitmark.sources import contracts
+
+    schema = t.StructType([t.StructField("a", t.LongType()), t.StructField("b", t.StringType())])
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_bytes("\ufeffa,b\r\n1,x\r\na,b\r\n2,y,z\r\n".encode())
+    (tmp_path / "in" / "2.csv").write_text("a,b\n3,w\n")
+    good, bad = contracts.read_contract_csv(spark, str(tmp_path / "in"), schema)
+    assert sorted((r.a, r.b) for r in good.collect()) == [(1, "x"), (3, "w")]
+    assert sorted((r.raw, r.code) for r in bad.collect()) == [("2,y,z", "ROW_NOT_IN_CONTRACT"), ("a,b", "HEADER_REPEATED")]
+    (tmp_path / "in" / "3.csv").write_text("b,a\nx,1\n")
+    with pytest.raises(ValueError, match="HEADER_MISMATCH"):
+        contracts.read_contract_csv(spark, str(tmp_path / "in"), schema)
+    raw = tmp_path / "raw"
+    for folder, said in (("x", "one"), ("y", "two"), ("z", "three")):
+        (raw / folder).mkdir(parents=True)
+        (raw / folder / "same.txt").write_text(said)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    m = spark.createDataFrame([("x/same.txt", sha("one"), 3), ("./y/same.txt", sha("one"), 3), ("w/same.txt", sha("one"), 3)], "path string, sha256 string, size_bytes long")
+    assert {r.name: r.code for r in contracts.verify_artifacts(m, str(raw)).collect()} == {"x/same.txt": "OK", "y/same.txt": "HASH_MISMATCH", "w/same.txt": "MISSING", "z/same.txt": "UNREFERENCED"}
+
+
+def test_components_of_names(spark):
+    from pitmark.operators.components import components
+
+    edges = [("b", "a"), ("c", "b"), ("e", "d"), ("d", "d"), (None, "a"), ("c", "a"), *((f"n{i:03}", f"n{i + 1:03}") for i in range(300))]
+    df = spark.createDataFrame(edges, "src string, dst string").repartition(5)
+    got = {r.node: r.component for r in components(df).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d"} | {f"n{i:03}": "n000" for i in range(301)}
+    assert components(df.limit(0)).count() == 0
+
+
+def test_scratch_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from pitmark.operators import scratch
+
+    session = lambda master: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master, applicationId="x"))
+    for master in ("yarn", "spark://h:1", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch.shared_folder(session(master))
+    assert scratch.shared_folder(session("local[4]")).startswith("file://")

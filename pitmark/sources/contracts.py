@@ -69,13 +69,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def verify_artifacts(manifest: DataFrame, folder: str) -> DataFrame:
-    """(name, code): digest and size of each raw file against the manifest; files on one side only. Names are paths below ``folder``."""
+    """(name, code): digest and size of each raw file against the manifest; files on one side only.
+
+    Names are paths below ``folder``; a manifest may put the folder's own name before them.
+    """
     raw = manifest.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    below = F.split("path", F.lit("/" + folder.rstrip("/").rsplit("/", 1)[-1] + "/"), 2)  # the folder's own name, then the rest
-    root = "/".join(["", *[p for p in folder.split("://", 1)[-1].split("/") if p], ""])
-    name = F.when(F.instr("path", root) > 0, F.expr(f"substring(path, instr(path, '{root}') + {len(root)})")).otherwise(F.element_at(below, -1))
-    files = raw.select(name.alias("name"), F.sha2("content", 256).alias("actual_sha256"), F.col("length").alias("actual_size"))
-    want = manifest.select(F.regexp_replace("path", r"^(\./)+", "").alias("name"), "sha256", "size_bytes")
+    parts = [p for p in folder.split("://", 1)[-1].split("/") if p]
+    # what follows the folder's path in a file's address, whatever scheme stands before it
+    root = "/" + "/".join(parts) + "/"
+    files = raw.select(F.expr(f"substring(path, instr(path, '{root}') + {len(root)})").alias("name"), F.sha2("content", 256).alias("actual_sha256"), F.col("length").alias("actual_size"))
+    want = manifest.select(F.regexp_replace("path", rf"^(\./)*(\Q{parts[-1]}\E/)?", "").alias("name"), "sha256", "size_bytes")
     j = want.join(files, "name", "full_outer")
     code = F.when(F.col("actual_sha256").isNull(), "MISSING").when(F.col("sha256").isNull(), "UNREFERENCED").when(F.col("sha256") != F.col("actual_sha256"), "HASH_MISMATCH").when(F.col("size_bytes") != F.col("actual_size"), "SIZE_MISMATCH").otherwise("OK")
     return j.select("name", code.alias("code"))

@@ -95,14 +95,27 @@ def _compatible_forms() -> tuple[str, str, dict[str, str]]:
 _ONE, _FORMS, _SEVERAL = _compatible_forms()
 
 
+def _ranges(characters: str, gap: int = 16) -> str:
+    """A character class of the ranges these lie in; neighbours within the gap share one."""
+    out: list[list[int]] = []
+    for i in sorted(map(ord, characters)):
+        if out and i - out[-1][1] <= gap:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
+
+
+_MAYBE, _EXPANDS = _ranges(_ONE + "".join(_SEVERAL)), _ranges("".join(_SEVERAL))
+
+
 def compatible(text: Column) -> Column:
     """Compatibility forms (NFKC) of full-width and half-width letters, ligatures and presentation forms; marks are not composed."""
     t = F.translate(text, _ONE, _FORMS)
     wide = t
     for a, b in _SEVERAL.items():
         wide = F.replace(wide, F.lit(a), F.lit(b))
-    t = F.when(t.rlike("[" + "".join(_SEVERAL) + "]"), wide).otherwise(t)
-    return F.when(text.rlike(r"[^\x00-\x7F]"), t).otherwise(text)
+    return F.when(~text.rlike(_MAYBE), text).when(text.rlike(_EXPANDS), wide).otherwise(t)
 
 
 def claim_tokens(text: Column) -> Column:

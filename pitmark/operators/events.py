@@ -108,9 +108,10 @@ def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int
         least = f.groupBy(*block, key).agg(F.min("finding_id").alias("a"))
         return f.join(least, [*block, key]).where("finding_id <> a").select("a", F.col("finding_id").alias("b"), F.lit(key).alias("why"))
 
-    t = f.select(*block, "finding_id", F.unix_seconds(F.col("available_at").cast("timestamp")).alias("at"), F.array_sort(claim_tokens(F.col("claim_text"))).alias("tokens")).where(F.size("tokens") >= least_tokens)
+    t = f.select(*block, "finding_id", F.unix_seconds(F.col("available_at").cast("timestamp")).alias("at"), F.array_sort(claim_tokens(F.col("claim_text"))).alias("tokens"))
     key = F.sha2(F.concat_ws("\x1f", *block, F.array_join("tokens", "\x1f")), 256)
-    t = materialise(t.withColumn("set", key).withColumn("stretch", F.floor(F.col("at") / span)), "tokens")
+    # written first and filtered after, or texts would be cut into tokens for the filter and once more for the table
+    t = materialise(t.withColumn("stretch", F.floor(F.col("at") / span)), "tokens").where(F.size("tokens") >= least_tokens).withColumn("set", key)
     stretches = t.groupBy("set", "stretch").agg(F.min("finding_id").alias("rep"), F.min("at").alias("lo"), F.max("at").alias("hi"))
     order = Window.partitionBy("set").orderBy("stretch")  # one row for each stretch of time, not for each text
     before = stretches.withColumn("last", F.lag("rep").over(order)).withColumn("breaks", F.coalesce(F.col("lo") - F.lag("hi").over(order) > span, F.lit(True)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pitmark.llm.license_rules import KEYWORDS, REACH, RULES
 from pitmark.llm.secrets import KINDS
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -34,4 +35,16 @@ SECRETS = f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () r, doc_id, coa
     SELECT doc_id, {", ".join(f"count(*) FILTER (k = {i}) n_{k[0]}" for i, k in enumerate(KINDS))}, sha256(coalesce(string_agg({_NAMES}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3), '')) base_sha256, coalesce(string_agg({_NAMES}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k), '') spans,
     {", ".join(f"count(*) FILTER (standing = '{x}') n_{x}" for x in ("live", "shared", "example"))} FROM d LEFT JOIN h USING (r) GROUP BY r, doc_id"""
 
-ORACLES = {"op5_minhash": NEAR_DUPLICATES, "op7_secrets": SECRETS, "op10_embedding_dedup": EMBEDDINGS}
+_TEXTS = ", ".join(f"({r.rank}, {r.strength}, '{r.label}', '{r.keyword}', '{f'(?:^| ){r.before}$' if r.before else ''}', '^{r.keyword}{r.after} ', {r.base})" for r in RULES)
+_SPACES = lambda x: f"(length({x}) - length(replace({x}, ' ', '')))"
+LICENSES = rf"""WITH rules(rank, strength, "label", keyword, before, after, base) AS (VALUES {_TEXTS}),
+    d AS MATERIALIZED (SELECT row_number() OVER () r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') w FROM documents),
+    p AS MATERIALIZED (SELECT r, i - 1 pos, w[i] word, CASE WHEN i > 1 THEN array_to_string(w[greatest(1, i - {REACH}):i - 1], ' ') || ' ' ELSE '' END ahead, array_to_string(w[i:i + {REACH}], ' ') || ' ' behind
+        FROM (SELECT r, w, unnest(list_filter(range(1, len(w) + 1), lambda i: list_contains({KEYWORDS}, w[i]))) i FROM d)),
+    f AS MATERIALIZED (SELECT r, pos - CASE WHEN before = '' THEN 0 ELSE {_SPACES("ltrim(regexp_extract(ahead, before))")} END s, pos + {_SPACES("regexp_extract(behind, after)")} e, rank, strength, "label", base
+        FROM p JOIN rules ON keyword = word WHERE (before = '' OR regexp_matches(ahead, before)) AND regexp_matches(behind, after)),
+    g AS (SELECT *, NOT EXISTS (SELECT 1 FROM f x WHERE x.r = f.r AND (x.s <= f.s AND f.e <= x.e OR f.s <= x.s AND x.e <= f.e) AND (x.strength, x.e - x.s, -x.rank) > (f.strength, f.e - f.s, -f.rank)) stays FROM f)
+    SELECT doc_id, len(w) n_words, count(*) FILTER (base) n_base, min(s) FILTER (base) first_word, max(s) FILTER (base) last_word, coalesce(string_agg(DISTINCT "label", ',' ORDER BY "label") FILTER (base), '') base_labels,
+    coalesce(string_agg(DISTINCT "label", ',' ORDER BY "label") FILTER (base OR stays), '') labels, coalesce(max(strength) FILTER (stays), 0) / 4 score FROM d LEFT JOIN g USING (r) GROUP BY r, doc_id, w"""
+
+ORACLES = {"op5_minhash": NEAR_DUPLICATES, "op7_secrets": SECRETS, "op10_embedding_dedup": EMBEDDINGS, "op12_licenses": LICENSES}

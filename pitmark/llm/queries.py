@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmark.llm import ann, embedding_dedup, html_text, language_id, near_duplicates, packing, quality, secrets, sentence_pieces, token_counts
+from pitmark.llm import ann, embedding_dedup, html_text, language_id, licenses, near_duplicates, packing, periodic_runs, quality, secrets, sentence_pieces, token_counts
 from pitmark.llm.common import fold, small_batches, table
 from pitmark.llm.oracles import ORACLES  # noqa: F401
 
@@ -67,4 +70,32 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op3_html_text, op4_language_id, op5_minhash, op6_sentence_pieces, op7_secrets, op8_packing, op9_token_counts, op10_embedding_dedup)}
+def planted_period(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The order in which the contract reads a text of n words: every tenth id repeats its words from some place on."""
+    if doc_id is None or not n or (h := zlib.crc32(str(doc_id).encode())) % 10:
+        return None
+    g = h // 10
+    a = g % n
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words, most of them planted; digests of all runs and of the text without their repetitions."""
+    small_batches(spark)
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), reading=planted_period)
+    # runs are by start, then period, so the first of the greatest exponents stays
+    best = F.expr("aggregate(slice(runs, 2, greatest(size(runs) - 1, 0)), runs[0], (a, x) -> if(x.length * a.period > a.length * x.period, x, a))")
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(x.start, F.lit(","), x.length, F.lit(","), x.period, F.lit("\n"))), "")
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.encode(lines, "utf-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "utf-8"), 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.license_spans(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op3_html_text, op4_language_id, op5_minhash, op6_sentence_pieces, op7_secrets, op8_packing, op9_token_counts, op10_embedding_dedup, op11_periodic_runs, op12_licenses)}

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmark.llm import ann, embedding_dedup, html_text, language_id, licenses, near_duplicates, packing, periodic_runs, quality, secrets, sentence_pieces, token_counts
+from pitmark.llm import ann, conversation_repair, embedding_dedup, html_text, language_id, licenses, near_duplicates, packing, periodic_runs, quality, secrets, sentence_pieces, token_counts
 from pitmark.llm.common import fold, small_batches, table
 from pitmark.llm.oracles import ORACLES  # noqa: F401
 
@@ -98,4 +98,19 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.license_spans(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op3_html_text, op4_language_id, op5_minhash, op6_sentence_pieces, op7_secrets, op8_packing, op9_token_counts, op10_embedding_dedup, op11_periodic_runs, op12_licenses)}
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults of the contract; dropped rows are marked ``gone``. Nulls in the key, role and text are one space."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = rows.select("conv_id", "turn", said("role").alias("role"), said("text").alias("text"), (F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn")).cast("binary")) % 20).alias("fault"))
+    is_ = lambda k: F.col("fault") == k
+    text = F.when(is_(1), "").when(is_(2), F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    rows = rows.select("conv_id", "turn", F.when(is_(4), "user").otherwise(F.col("role")).alias("role"), text.alias("text"), is_(0).alias("gone"), "fault")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(0), is_(3).cast("int")))).drop("copy", "fault")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return conversation_repair.repair_report(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_nearest, op3_html_text, op4_language_id, op5_minhash, op6_sentence_pieces, op7_secrets, op8_packing, op9_token_counts, op10_embedding_dedup, op11_periodic_runs, op12_licenses, op13_conversation_repair)}

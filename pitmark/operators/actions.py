@@ -123,7 +123,7 @@ def adjusted_returns(outcomes: DataFrame) -> DataFrame:
 
 def audit_integration(ca: DataFrame, master: DataFrame, calendar: DataFrame, statuses: DataFrame, bars: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Each action against identity, session, status, price and benchmark of its ex-date, with one status."""
-    at = ca.select("action_id", "security_code", "ex_date")
+    at = ca.select("action_id", "security_code", "ex_date").distinct()
     who = resolve_as_of(at, ["action_id"], "ex_date", master, "isin").select("action_id", F.col("resolution").alias("identity"))
     state = resolve_as_of(at, ["action_id"], "ex_date", statuses, "status", "effective_from", "effective_to").select("action_id", "status")
     session = F.broadcast(calendar.select(F.col("trade_date").alias("ex_date"), "is_trading_day"))

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from pitmark.functions.columns import signed
 from pitmark.operators.coverage import role_coverage, substantive
 from pitmark.operators.events import claim_clusters, cluster_representatives, near_duplicate_pairs, source_conflicts
+from pitmark.operators.ordered import Sums, numbered, running
 from pitmark.operators.row_quality import with_codes
 from pitmark.operators.scratch import materialise
 
@@ -21,15 +22,16 @@ FEATURE_WEIGHTS = {"relative_return_5d": 0.25, "relative_return_20d": 0.15, "rel
 def heuristic_rank(features: DataFrame, k: int, min_coverage: float = 0.67, weights: Mapping[str, float] = FEATURE_WEIGHTS, group: Sequence[str] = ()) -> DataFrame:
     """Weighted sum of what is known if enough is; else the row abstains with a null rank. Ties go to the smaller code.
 
-    Give ``group`` (a decision date, say) where there are many decisions: each is ranked apart.
+    Give ``group`` (a decision date, say) where there are many decisions: each is
+    ranked apart. Ranks come from ranges in order and the sizes of those before
+    (``ordered.numbered``), so no task sees the whole universe.
     """
     coverage = sum((F.col(c).isNotNull().cast("int") for c in weights), F.lit(0)) / len(weights)
     total = sum((F.coalesce(F.col(c) * w, F.lit(0.0)) for c, w in weights.items()), F.lit(0.0))
     scored = features.withColumn("feature_coverage", coverage).withColumn("score", F.when(F.col("feature_coverage") >= min_coverage, F.round(total, 9)))
-    order = Window.partitionBy(*group, F.col("score").isNull()).orderBy(F.desc("score"), "security_code")
-    rank = F.when(F.col("score").isNotNull(), F.row_number().over(order))
-    out = scored.withColumn("rank", rank)
-    return out.select(*group, "security_code", "score", "feature_coverage", F.col("score").isNull().alias("abstained"), "rank", F.coalesce(F.col("rank") <= k, F.lit(False)).alias("selected"))
+    scored = scored.withColumn("abstained", F.col("score").isNull())
+    out = numbered(scored, [F.desc("score"), "security_code"], "rank", [*group, "abstained"]).withColumn("rank", F.when(~F.col("abstained"), F.col("rank")).cast("int"))
+    return out.select(*group, "security_code", "score", "feature_coverage", "abstained", "rank", F.coalesce(F.col("rank") <= k, F.lit(False)).alias("selected"))
 
 
 def mosaic_rank(findings: DataFrame, policy: Mapping, reliability: Column, k: int = 5) -> DataFrame:
@@ -72,11 +74,10 @@ def mosaic_rank(findings: DataFrame, policy: Mapping, reliability: Column, k: in
     exact = F.lit(bool(policy["exact_universe"]))
     j = j.crossJoin(F.broadcast(allowed)).withColumn("full", exact & F.col("complete"))
     j = j.withColumn("status", F.when(exact & ~F.col("full") & (F.col("status") == "RESEARCH_CANDIDATE"), "WATCH").otherwise(F.col("status")))
-    # one row for each security of the universe: the ranking itself is small
-    by_score = Window.orderBy(F.desc("score"), "security_code")
     candidate = F.col("status") == "RESEARCH_CANDIDATE"
-    nth = F.sum(candidate.cast("int")).over(by_score.rowsBetween(Window.unboundedPreceding, 0))
-    return j.select("security_code", "score", "evidence_coverage", "groups", "status", "reasons", F.when(F.col("full"), "FULL_MARKET_RESEARCH_RANK").otherwise("CANDIDATE_SET_RESEARCH_RANK").alias("scope_label"), F.row_number().over(by_score).alias("rank"), (candidate & (nth <= k)).alias("selected"))
+    j = j.withColumn("one", F.lit(1).cast("long")).withColumn("is_candidate", candidate.cast("long"))
+    j = running(j, [], [F.desc("score"), "security_code"], Sums(rank="one", nth="is_candidate"))
+    return j.select("security_code", "score", "evidence_coverage", "groups", "status", "reasons", F.when(F.col("full"), "FULL_MARKET_RESEARCH_RANK").otherwise("CANDIDATE_SET_RESEARCH_RANK").alias("scope_label"), F.col("rank").cast("int").alias("rank"), (candidate & (F.col("nth") <= k)).alias("selected"))
 
 
 def factor_snapshot(universe: DataFrame, registry: DataFrame, inputs: DataFrame) -> DataFrame:
@@ -143,8 +144,7 @@ def snapshot_row_violations(rows: DataFrame, snapshot: DataFrame, required: Data
     total = must.agg(F.count("*").alias("must_have"))
     j = rows.join(cells, "security_code", "left").crossJoin(F.broadcast(total))
     coverage = F.when(c("must_have") > 0, c("held") / c("must_have")).otherwise(1.0)
-    place = F.row_number().over(Window.orderBy("security_code"))  # one row for each security of the universe
-    j = j.withColumn("place", place)
+    j = numbered(j, ["security_code"], "place")
     picked = c("disposition") == "SELECTED"
     return with_codes(
         j, ["security_code"],
@@ -164,8 +164,8 @@ def full_market_claim(ranked: DataFrame, expected: DataFrame) -> DataFrame:
 
 def rank_consistency(decisions: DataFrame, k: int) -> DataFrame:
     """Recorded ranks and selections that do not follow from score (descending), number of the code, code."""
-    order = Window.partitionBy("decision_id").orderBy(F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), "security_code")
-    r = decisions.withColumn("expected_rank", F.row_number().over(order))
+    order = [F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), "security_code"]
+    r = numbered(decisions, order, "expected_rank", ["decision_id"]).withColumn("expected_rank", F.col("expected_rank").cast("int"))
     return r.where((F.col("rank") != F.col("expected_rank")) | (F.col("selected") != (F.col("expected_rank") <= k))).select("decision_id", "security_code", "rank", "expected_rank", "selected")
 
 

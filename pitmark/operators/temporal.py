@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitmark.functions.columns import codes, host, names_compatible
+from pitmark.operators.ordered import Steps, Sums, running
 
 _OPEN = "9999-12-31"
 #: Allowed transitions of the trading status.
@@ -35,19 +37,82 @@ def identifier_collisions(master: DataFrame) -> DataFrame:
     return both.where(other & together).select("isin", "a_security_code", "b_security_code", "a_valid_from", "b_valid_from")
 
 
-def _within(facts: DataFrame, fact_key: Sequence[str], date: str, intervals: DataFrame, start: str, end: str, value: str, half_open: bool = False) -> DataFrame:
-    right = intervals.select("security_code", F.col(start).alias("__from"), until(end).alias("__to"), F.col(value).alias("__value"))
-    inside = (F.col(date) >= F.col("__from")) & ((F.col(date) < F.col("__to")) if half_open else (F.col(date) <= F.col("__to")))
-    joined = facts.withColumnRenamed("security_code", "__code").join(right.withColumnRenamed("security_code", "__rcode"), (F.col("__code") == F.col("__rcode")) & inside, "left")
-    found = joined.groupBy(*[F.col("__code").alias("security_code") if k == "security_code" else F.col(k) for k in (*fact_key, "security_code", date)]).agg(F.count("__from").alias("matches"), F.min("__value").alias("value"))
-    return found
+def _later(a: tuple, b: tuple) -> tuple:
+    """Of two pairs of in-force intervals, the one that reaches farthest and the one of another listing that does: (end, listing, start) twice, flat."""
+    found = sorted({x for x in (a[:3], a[3:], b[:3], b[3:]) if x[0] is not None}, reverse=True)
+    best = found[0]
+    other = next((x for x in found if x[1] != best[1]), (None, None, None))
+    return (*best, *other)
+
+
+_REACH = pa.schema([(c, t) for k in ("far", "next") for c, t in ((f"{k}_to", pa.date32()), (f"{k}_listing", pa.string()), (f"{k}_from", pa.date32()))])
+
+
+def collision_links(master: DataFrame) -> DataFrame:
+    """Each listing interval that meets an earlier one of its ISIN under another code or board, tied to the one in force that reaches farthest.
+
+    A sweep over the starts of an ISIN's intervals: one row at most for each
+    interval, so very many listings under one ISIN give as many rows, where
+    ``identifier_collisions`` gives all their pairs. Every listing (code and
+    board) that collides is named on one side of a row, and listings that
+    collide, directly or through others, are connected through the rows. An
+    interval that ends before it starts, and one without ISIN or start, takes no
+    part. Columns: isin, security_code, board, valid_from, with_listing, with_from, with_to (null: open).
+    """
+    listing = F.to_json(F.struct("security_code", "board"))
+    rows = master.where("isin is not null and valid_from is not null").select("isin", "security_code", "board", "valid_from", until("valid_to").alias("end"), listing.alias("listing")).where("valid_from <= end")
+    fold = Steps(["end", "listing", "valid_from"], _REACH, lambda end, listing, start: (end, listing, start, None, None, None), _later)
+    # intervals that start together meet: the state after a row holds them only in order, so a row looks at all before it
+    swept = running(rows, ["isin"], ["valid_from", "end", "listing"], fold)
+    other = F.when(F.col("far_listing") != F.col("listing"), F.struct(F.col("far_to").alias("t"), F.col("far_listing").alias("l"), F.col("far_from").alias("f"))).otherwise(F.struct(F.col("next_to").alias("t"), F.col("next_listing").alias("l"), F.col("next_from").alias("f")))
+    met = swept.withColumn("o", other).where(F.col("o.t") >= F.col("valid_from"))
+    open_ = F.lit(_OPEN).cast("date")
+    return met.select("isin", "security_code", "board", "valid_from", F.col("o.l").alias("with_listing"), F.col("o.f").alias("with_from"), F.nullif("o.t", open_).alias("with_to"))
+
+
+def in_force(facts: DataFrame, keys: Sequence[str], at: str, intervals: DataFrame, start: str, end: str, *, half_open: bool = False) -> DataFrame:
+    """``facts`` with ``matches``, the number of intervals of the same key in force at their date, and ``interval_id``, the one where it is one.
+
+    Facts and the bounds of intervals are one ordered stream for each key; a
+    running sum counts what is in force, and a running sum of the intervals'
+    numbers is the number of the one in force where the count is one. Facts are
+    never multiplied by intervals, each row gets its own answer, and a key with
+    very many rows lies in several tasks. ``intervals`` has interval_id (long,
+    never null, above -2**63). Null keys and dates match nothing, nor do intervals without a
+    start or that end before it; a null end is open. Writes a table on the way.
+    """
+    day = intervals.schema[start].dataType
+    after = F.col(end) if half_open else (F.date_add(end, 1) if day.typeName() == "date" else F.col(end) + F.expr("interval 1 microsecond"))
+    right = intervals.select(*keys, F.col(start).alias("at"), after.cast(day).alias("after"), "interval_id").where(F.col("at").isNotNull() & F.coalesce(F.col("at") < F.col("after"), F.lit(True)))
+    for k in keys:
+        right = right.where(F.col(k).isNotNull())
+    starts = right.select(*keys, "at", F.lit(1).cast("long").alias("n"), F.col("interval_id").alias("number"))
+    ends = right.where("after is not null").select(*keys, F.col("after").alias("at"), F.lit(-1).cast("long").alias("n"), F.negative("interval_id").alias("number"))
+    # bounds come before the facts of their day; many of one day are told apart
+    kind = facts.select(F.struct("*").alias("fact")).schema["fact"].dataType
+    salt = F.lit(-1).cast("long") - F.pmod("number", F.lit(1 << 40))
+    bounds = starts.unionByName(ends).select(*keys, "at", F.lit(None).cast(kind).alias("fact"), salt.alias("salt"), "n", "number")
+    asked = facts.select(*keys, F.col(at).cast(day).alias("at"), F.struct(*facts.columns).alias("fact"), (F.monotonically_increasing_id() + 1).alias("salt"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("number"))
+    swept = running(bounds.unionByName(asked), keys, ["at", "salt"], Sums(matches="n", interval_id="number")).where("salt > 0")
+    return swept.select("fact.*", "matches", F.when(F.col("matches") == 1, F.col("interval_id")).alias("interval_id"))
 
 
 def resolve_as_of(facts: DataFrame, fact_key: Sequence[str], date: str, intervals: DataFrame, value: str, start: str = "valid_from", end: str = "valid_to", *, half_open: bool = False) -> DataFrame:
-    """The value in force at each fact's date: it must be exactly one. Closed at both ends unless ``half_open``."""
-    found = _within(facts, fact_key, date, intervals, start, end, value, half_open)
+    """The value in force at each fact's date: it must be exactly one. Closed at both ends unless ``half_open``.
+
+    One row for each row of ``facts``, repeated ones included; an interval that
+    is there twice counts twice. See ``in_force`` for nulls and for how many
+    rows of one security are handled.
+    """
+    named = intervals.select("security_code", F.col(start).alias("__from"), F.col(end).alias("__to"), F.col(value).alias("__value"))
+    # the number follows from the row, so that it is the same whenever it is computed; the join checks the interval itself
+    named = named.withColumn("interval_id", F.shiftright(F.xxhash64("*"), 1))
+    asked = facts.select(*fact_key, "security_code", F.col(date).alias("__at"))
+    found = in_force(asked, ["security_code"], "__at", named, "__from", "__to", half_open=half_open)
+    inside = (F.col("__from") <= F.col("__at")) & (F.col("__to").isNull() | ((F.col("__at") < F.col("__to")) if half_open else (F.col("__at") <= F.col("__to"))))
+    known = found.join(named.distinct(), ["security_code", "interval_id"], "left").where(F.col("interval_id").isNull() | inside)
     state = F.when(F.col("matches") == 1, "MATCHED").when(F.col("matches") == 0, "MISSING").otherwise("AMBIGUOUS")
-    return found.select(*fact_key, "security_code", date, F.when(F.col("matches") == 1, F.col("value")).alias(value), state.alias("resolution"))
+    return known.select(*fact_key, "security_code", F.col("__at").alias(date), F.col("__value").alias(value), state.alias("resolution"))
 
 
 def trust_entry_as_of(facts: DataFrame, registry: DataFrame) -> DataFrame:
@@ -120,46 +185,69 @@ def calendar_gaps(calendar: DataFrame, first: Column, last: Column) -> DataFrame
     return missing.unionByName(extra).unionByName(bare)
 
 
-def status_folds(notices: DataFrame, first: str, last: str, opening: str = "TRADING") -> DataFrame:
-    """security_code with its intervals and errors, by folding each security's notices in order of date, then id.
+class _Transitions:
+    """Notices as functions from status to status. A state is a flat list, four numbers for each status to start from.
 
-    A notice that is not allowed in the current state is an error and skipped.
-    One security's notices make one array.
+    They are: the status after the last notice, the day since when (null: since
+    the start), and both as they were before the last notice. A notice that is
+    not allowed changes nothing.
     """
-    target = F.create_map(*[F.lit(x) for (a, b), c in TRANSITIONS.items() for x in (f"{a}>{b}", c)])
-    interval = "struct<status:string,effective_from:date,effective_to:date>"
-    error = "struct<status:string,event_type:string,effective_date:date>"
+
+    def __init__(self, names: Sequence[str]):
+        self.names, self.width = names, len(names)
+        self.to = {event: [names.index(TRANSITIONS.get((s, event), s)) if TRANSITIONS.get((s, event), s) in names else k for k, s in enumerate(names)] for event in {e for _, e in TRANSITIONS}}
+        self.moves = {event: [(s, event) in TRANSITIONS for s in names] for event in self.to}
+
+    def lift(self, event: str, day) -> tuple:
+        to, moves = self.to.get(event), self.moves.get(event)
+        state = []
+        for k in range(self.width):
+            moved = moves is not None and moves[k]
+            state += [to[k] if moved else k, day if moved else None, k, None]
+        return (state,)
+
+    def combine(self, before: tuple, then: tuple) -> tuple:
+        (a,), (b,), state = before, then, []
+        for k in range(0, 4 * self.width, 4):
+            at = 4 * a[k]
+            since = a[k + 1]
+            state += [b[at], since if b[at + 1] is None else b[at + 1], b[at + 2], since if b[at + 3] is None else b[at + 3]]
+        return (state,)
+
+
+def status_steps(notices: DataFrame, first: str, last: str, opening: str = "TRADING") -> DataFrame:
+    """Each notice of the window with the status before it: security_code, effective_date, notice_id, event_type, status, since, to (null: not allowed), to_since.
+
+    Notices stand by date, then id, then type. Each is a function from status to
+    status, and functions compose in any grouping, so ranges of a security's
+    notices are folded in several tasks and then take up what came before (see
+    ``ordered.running``). Writes a table on the way.
+    """
+    names = sorted({opening, *TRANSITIONS.values(), *[s for s, _ in TRANSITIONS]})
+    fold = _Transitions(names)
     first_, last_ = F.lit(first).cast("date"), F.lit(last).cast("date")
-    seed = F.struct(F.lit(opening).alias("status"), first_.alias("since"), F.array().cast(f"array<{interval}>").alias("intervals"), F.array().cast(f"array<{error}>").alias("errors"))
-
-    def step(a: Column, x: Column) -> Column:
-        to = F.try_element_at(target, F.concat(a["status"], F.lit(">"), x["event_type"]))
-        end = F.date_sub(x["effective_date"], 1)
-        piece = F.struct(a["status"].alias("status"), a["since"].alias("effective_from"), end.alias("effective_to"))
-        bad = F.struct(a["status"].alias("status"), x["event_type"].alias("event_type"), x["effective_date"].alias("effective_date"))
-        ok = to.isNotNull()
-        return F.struct(
-            F.coalesce(to, a["status"]).alias("status"),
-            F.when(ok, x["effective_date"]).otherwise(a["since"]).alias("since"),
-            F.when(ok & (end >= a["since"]), F.array_append(a["intervals"], piece)).otherwise(a["intervals"]).alias("intervals"),
-            F.when(ok, a["errors"]).otherwise(F.array_append(a["errors"], bad)).alias("errors"),
-        )
-
-    def finish(a: Column) -> Column:
-        tail = F.struct(a["status"].alias("status"), a["since"].alias("effective_from"), last_.alias("effective_to"))
-        return F.struct(F.when(a["since"] <= last_, F.array_append(a["intervals"], tail)).otherwise(a["intervals"]).alias("intervals"), a["errors"].alias("errors"))
-
-    inside = notices.where((F.col("effective_date") >= first_) & (F.col("effective_date") <= last_))
-    lists = inside.groupBy("security_code").agg(F.sort_array(F.collect_list(F.struct("effective_date", "notice_id", "event_type"))).alias("n"))
-    return lists.select("security_code", F.aggregate("n", seed, step, finish).alias("f")).select("security_code", "f.intervals", "f.errors")
+    inside = notices.where((F.col("effective_date") >= first_) & (F.col("effective_date") <= last_)).select("security_code", "effective_date", "notice_id", "event_type", F.unix_date("effective_date").alias("day"))
+    swept = running(inside, ["security_code"], ["effective_date", "notice_id", "event_type"], Steps(["event_type", "day"], pa.schema([("state", pa.list_(pa.int32()))]), fold.lift, fold.combine))
+    at = 4 * names.index(opening)
+    name = lambda k: F.element_at(F.array(*map(F.lit, names)), F.col("state")[at + k] + 1)
+    day = lambda k: F.coalesce(F.date_from_unix_date(F.col("state")[at + k]), first_)
+    target = F.create_map(*[F.lit(x) for (a, b), c in TRANSITIONS.items() for x in (f"{a}>{b}", c)])
+    steps = swept.select("security_code", "effective_date", "notice_id", "event_type", name(2).alias("status"), day(3).alias("since"), name(0).alias("now"), day(1).alias("to_since"))
+    return steps.withColumn("to", F.try_element_at(target, F.concat("status", F.lit(">"), "event_type")))
 
 
 def status_intervals(notices: DataFrame, first: str, last: str, opening: str = "TRADING") -> DataFrame:
-    return status_folds(notices, first, last, opening).select("security_code", F.inline("intervals"))
+    """security_code, status, effective_from, effective_to: contiguous intervals of each security that has notices in the window; a notice that is not allowed is skipped."""
+    steps = status_steps(notices, first, last, opening)
+    ended = steps.where(F.col("to").isNotNull()).select("security_code", "status", F.col("since").alias("effective_from"), F.date_sub("effective_date", 1).alias("effective_to"))
+    order = F.struct("effective_date", "notice_id", "event_type")
+    open_ = steps.groupBy("security_code").agg(F.max_by(F.struct("now", "to_since"), order).alias("x")).select("security_code", F.col("x.now").alias("status"), F.col("x.to_since").alias("effective_from"), F.lit(last).cast("date").alias("effective_to"))
+    return ended.unionByName(open_).where("effective_from <= effective_to")
 
 
 def status_transition_errors(notices: DataFrame, first: str, last: str, opening: str = "TRADING") -> DataFrame:
-    return status_folds(notices, first, last, opening).select("security_code", F.inline("errors"))
+    """security_code, status, event_type, effective_date of the notices that are not allowed in the status before them."""
+    return status_steps(notices, first, last, opening).where(F.col("to").isNull()).select("security_code", "status", "event_type", "effective_date")
 
 
 def snapshot_reconcile(intervals: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -219,7 +307,7 @@ def session_pairs(calendar: DataFrame) -> DataFrame:
 
 
 def state_status_conflicts(bars: DataFrame, intervals: DataFrame, allowed: DataFrame) -> DataFrame:
-    """Bars whose state is not allowed under the status in force."""
+    """Bars whose state is not allowed under the status in force, a row for each bar: one that is there twice conflicts twice."""
     at = resolve_as_of(bars.select("security_code", "trade_date", "trading_state"), ["trading_state"], "trade_date", intervals, "status", "effective_from", "effective_to")
     return at.where("status is not null").join(F.broadcast(allowed), ["status", "trading_state"], "left_anti").select("security_code", "trade_date", "trading_state", "status")
 

@@ -40,6 +40,13 @@ def _(v: Views):
     return J.identifier_collisions(v.identity())
 
 
+@query("j2_identifier_collision_links", """WITH i AS (SELECT isin, security_code, board, valid_from, coalesce(valid_to, DATE '9999-12-31') e, '{"security_code":"' || security_code || '","board":"' || board || '"}' l FROM identity),
+    p AS (SELECT a.isin, a.security_code, a.board, a.valid_from, a.e, a.l, max(row(b.e, b.l, b.valid_from)) x FROM i a JOIN i b ON a.isin = b.isin AND a.l <> b.l AND row(b.valid_from, b.e, b.l) < row(a.valid_from, a.e, a.l) AND b.e >= a.valid_from GROUP BY ALL)
+    SELECT isin, security_code, board, valid_from, struct_extract(x, 2) with_listing, struct_extract(x, 3) with_from, nullif(struct_extract(x, 1), DATE '9999-12-31') with_to FROM p""")
+def _(v: Views):
+    return J.collision_links(v.identity())
+
+
 @query("j3_resolve_identity", """SELECT fact_id, f.security_code, fact_date, CASE WHEN count(i.isin) = 1 THEN min(i.isin) END isin, CASE count(i.isin) WHEN 1 THEN 'MATCHED' WHEN 0 THEN 'MISSING' ELSE 'AMBIGUOUS' END resolution
     FROM facts f LEFT JOIN identity i ON i.security_code = f.security_code AND fact_date >= valid_from AND fact_date <= coalesce(valid_to, DATE '9999-12-31') GROUP BY ALL""")
 def _(v: Views):

@@ -87,6 +87,51 @@ def fold_fact_status(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(fact.alias("factual_status"), against.alias("contradiction_status"), F.when(F.bool_or("corrected"), "CORRECTED").otherwise("ORIGINAL").alias("correction_status"))
 
 
+def prefix_candidates(sets: DataFrame, block: Sequence[str], jaccard: float, group: int = 64, depth: int = 4) -> DataFrame:
+    """(set, other), set < other: pairs of token sets of a block that may have this Jaccard similarity; none that has it is missing.
+
+    ``sets``: the block's columns, set, n and tokens. In one order of all tokens,
+    the commonest last, two such sets share k tokens of their first
+    floor((1 - j) n) + k. So they meet by their first common token, and where
+    more than ``group`` sets have it there, by their first two, three and up to
+    ``depth``: a token that very many sets share never ties all of them. A pair
+    that meets by its first k common tokens, the last at places p and q, has
+    k + min(n - p, m - q) in common at most. Each set also has 256 bits, each the
+    parity of how many of its tokens fall on it: two sets differ in as many
+    tokens as bits at least. Pairs that have too few in common, or differ in too
+    many, for their sizes are no candidates. One table is written for each k.
+    """
+    each = sets.select(*block, "set", "n", F.explode("tokens").alias("token"))
+    # any one order of tokens will do; the commonest come last, all others are as rare as each other
+    common = each.groupBy("token").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "token").limit(_COMMON)
+    rare = each.join(F.broadcast(common), "token", "left").groupBy(*block, "set", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("by_df"))
+    first = F.floor((1 - jaccard) * F.col("n")).cast("int")
+    parity = F.expr("transform(array(0, 64, 128, 192), w -> aggregate(by_df.token, 0L, (a, t) -> if(pmod(xxhash64(t), 256) - w between 0 and 63, a ^ shiftleft(1L, cast(pmod(xxhash64(t), 256) - w as int)), a)))")
+    rows = rare.select(*block, "set", "n", F.slice("by_df.token", 1, first + depth).alias("prefix"), first.alias("first"), parity.alias("bits"))
+    kept = [*block, "set", "n", "bits", "prefix", "first"]
+    keys = rows.select("*", F.posexplode(F.slice("prefix", 1, F.col("first") + 1)).alias("at", "token")).select(*kept, "at", F.sha2("token", 256).alias("key"))
+    found = None
+    for k in range(1, depth + 1):
+        keys = materialise(keys, "prefixes")
+        sizes = keys.groupBy(*block, "key").agg(F.count("*").alias("sets_of_key")).where("sets_of_key > 1")
+        sized = materialise(sizes, "prefix-sizes")
+        hot = sized.where(F.col("sets_of_key") > group).drop("sets_of_key")
+        more = k < depth and not hot.isEmpty()
+        here = keys.join(sized.where(F.col("sets_of_key") <= group) if more else sized, [*block, "key"]).select(*block, "key", "set", "n", "at", "bits")
+        theirs = here.select(*block, "key", F.col("set").alias("other"), F.col("n").alias("m"), F.col("at").alias("there"), F.col("bits").alias("their_bits"))
+        least = F.ceil(jaccard / (1 + jaccard) * (F.col("n") + F.col("m")) - 1e-9)
+        differ = sum((F.bit_count(F.col("bits")[w].bitwiseXOR(F.col("their_bits")[w])) for w in range(4)), F.lit(0))
+        enough = (k + F.least(F.col("n") - 1 - F.col("at"), F.col("m") - 1 - F.col("there")) >= least) & (differ <= F.col("n") + F.col("m") - 2 * least)
+        close = here.join(theirs, [*block, "key"]).where((F.col("set") < F.col("other")) & (F.least("n", "m") >= jaccard * F.greatest("n", "m")) & enough).select("set", "other")
+        found = close if found is None else found.unionByName(close)
+        if not more:
+            break
+        later = F.sequence(F.col("at") + 1, F.least(F.col("first") + k, F.size("prefix") - 1))
+        longer = keys.join(hot, [*block, "key"]).where(F.col("at") + 1 <= F.least(F.col("first") + k, F.size("prefix") - 1)).withColumn("next", F.explode(later))
+        keys = longer.select(*kept, F.col("next").alias("at"), F.sha2(F.concat("key", F.lit(" "), F.get("prefix", F.col("next"))), 256).alias("key"))
+    return found.distinct()
+
+
 def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int = 6, containment: float = 0.90, jaccard: float = 0.82) -> DataFrame:
     """(a, b, why): same security, kind and direction, and one event or origin, or texts nearly alike and close in time.
 
@@ -94,11 +139,9 @@ def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int
     group of copies is expanded. Equal keys are tied to the smallest id of the
     key. Texts: rows with an equal set of tokens in one stretch of ``hours`` are
     tied to its smallest id, and stretches that follow within ``hours`` to each
-    other; such a run then stands for its rows. Two different sets with this
-    Jaccard similarity share one of their rarest tokens, the first
-    floor((1 - j) n) + 1 in one order of all tokens; only those are compared in
-    full, and then the runs of both that come within ``hours`` of each other are
-    tied. Null texts have no tokens. Token sets and stretches are written to
+    other; such a run then stands for its rows. Different sets that
+    ``prefix_candidates`` names are compared in full, and then the runs of both
+    that come within ``hours`` of each other are tied. Null texts have no tokens. Token sets and stretches are written to
     tables on the way.
     """
     f = findings.where("direction <> 'NEUTRAL'")
@@ -121,14 +164,7 @@ def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int
     runs = stretches.groupBy("set", "run").agg(F.min("rep").alias("rep"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
     sets = materialise(t.select(*block, "set", "tokens").dropDuplicates(["set"]).withColumn("n", F.size("tokens")), "sets")
-    each = sets.select(*block, "set", "n", F.explode("tokens").alias("token"))
-    # any one order of tokens will do; the commonest come last, all others are as rare as each other
-    common = each.groupBy("token").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "token").limit(_COMMON)
-    rare = each.join(F.broadcast(common), "token", "left").groupBy(*block, "set", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("by_df"))
-    first = F.slice("by_df", 1, F.floor((1 - jaccard) * F.col("n")).cast("int") + 1)
-    keys = materialise(rare.select(*block, "set", "n", F.explode(first).alias("x")).select(*block, "set", "n", F.col("x.token").alias("token")), "prefixes")
-    right = keys.select(*block, "token", F.col("set").alias("other"), F.col("n").alias("m"))
-    close = keys.join(right, [*block, "token"]).where((F.col("set") < F.col("other")) & (F.least("n", "m") >= jaccard * F.greatest("n", "m"))).select("set", "other").distinct()
+    close = prefix_candidates(sets, block, jaccard)
     j = close.join(sets.select("set", "tokens"), "set").join(sets.select(F.col("set").alias("other"), F.col("tokens").alias("theirs")), "other")
     both = F.size(F.array_intersect("tokens", "theirs"))
     total = F.size("tokens") + F.size("theirs") - both

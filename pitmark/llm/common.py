@@ -41,6 +41,17 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be none of the columns of ``df`` in either case."""
+    here, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in here:
+            name = "_" + name
+        here.add(name.lower())
+        found.append(name)
+    return found
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A record batch with the columns in the schema's order."""
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

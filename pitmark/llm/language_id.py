@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pitmark.llm.common import annotate, batch, hashed, share_for, texts_of
+from pitmark.llm.common import annotate, batch, hashed, share_for, texts_of, unused
 from pitmark.llm.pieces import PieceTable, by_length, codes, piece_table
 
 #: Up to this many characters the products of probabilities stay within a double; sums over longer words are scaled on the way.
@@ -307,6 +307,6 @@ def predictor(docs: DataFrame, model: tuple[list[str], np.ndarray], vocabulary:
 
 def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", *, least: float = 0.5, vocabulary: str = "piece_bpe_32k.model") -> DataFrame:
     """The rows of ``docs`` whose language is found with a score of at least ``least``; columns stay as they are."""
-    fields = [T.StructField("__lang_pred", T.StringType()), T.StructField("__lang_score", T.DoubleType())]
-    found = annotate(docs, text_col, predictor(docs, model, vocabulary), fields)
-    return found.where((F.col("__lang_pred") != "und") & (F.col("__lang_score") >= least)).select(*docs.columns)
+    language, score = unused(docs, "language", "score")
+    found = annotate(docs, text_col, predictor(docs, model, vocabulary), [T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())])
+    return found.where((F.col(language) != "und") & (F.col(score) >= least)).select(*docs.columns)

@@ -11,11 +11,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitmark.llm.common import batch, contract, texts_of
+from pitmark.llm.common import batch, contract, texts_of, unused
 from pitmark.operators.components import components
 from pitmark.operators.scratch import materialise
 
-_SIGNED = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("cls", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 _CLASS = ["d1", "d2", "n"]
 #: Word hashes remembered by a Python worker.
@@ -102,7 +102,7 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
 def _signed(docs: DataFrame, size: int, rows: int, bands: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(t, size) for t in texts_of(b.column(1))]
+            sets = [shingles(t, size) for t in texts_of(b.column(2))]
             full = [i for i, s in enumerate(sets) if len(s)]
             digests = _digests(sets)
             keys: list = [None] * len(sets)
@@ -114,27 +114,27 @@ def _signed(docs: DataFrame, size: int, rows: int, bands: int, seed: int) -> Dat
                         key = _mix64(key * _ODD[j % len(_ODD)] + sig[:, :, j])
                 for i, k in zip(full, key.view(np.int64), strict=True):
                     keys[i] = k
-            yield batch(_SIGNED, id=b.column(0), n=[len(s) for s in sets], d1=digests[:, 0], d2=digests[:, 1], bands=keys)
+            yield batch(_SIGNED, id=b.column(0), text_hash=b.column(1), n=[len(s) for s in sets], d1=digests[:, 0], d2=digests[:, 1], bands=keys)
 
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, bands array<long>")
+    return docs.select("id", "text_hash", "text").mapInArrow(run, "id long, text_hash long, n long, d1 long, d2 long, bands array<long>")
 
 
-def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(cls, hashes) of the classes ``wanted``, from texts of their smallest ids; no other text is read into a set.
+def _sets_of(wanted: DataFrame, owners: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(cls, hashes) of the classes ``wanted``, each from one text: ``owners`` has the id and the text's hash of each class.
 
-    The texts are dealt by id once, in the same way at every size; the other
-    texts of an id and further rows of the same text go.
+    The texts are dealt by id and hash once, in the same way at every size, so
+    very many texts of one id are dealt out too; the other texts go unread.
     """
-    owned = wanted.select("cls").distinct().join(classes, "cls").groupBy(F.col("rep").alias("id")).agg(F.collect_list(F.struct("cls", "d1", "d2")).alias("owners"))
-    owned = materialise(owned, "wanted")
+    owned = materialise(wanted.select("cls").distinct().join(owners, "cls"), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, size) for t in texts_of(b.column(0))]
-            pairs = [(o["cls"], s) for s, d, owners in zip(sets, _digests(sets).tolist(), b.column(1).to_pylist(), strict=True) for o in owners if [o["d1"], o["d2"]] == d]
-            yield batch(_SETS, cls=[c for c, _ in pairs], hashes=[s.view(np.int64) for _, s in pairs])
+            # two texts of an id may have one hash: the set itself says whose it is
+            mine = [k for k, (d, x, y) in enumerate(zip(_digests(sets).tolist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)) if d == [x, y]]
+            yield batch(_SETS, cls=b.column(1).take(pa.array(mine, pa.int64())), hashes=[sets[k].view(np.int64) for k in mine])
 
-    made = docs.join(owned.hint("shuffle_hash"), "id").select("text", "owners").mapInArrow(run, "cls long, hashes array<long>")
+    made = docs.join(owned.hint("shuffle_hash"), ["id", "text_hash"]).select("text", "cls", "d1", "d2").mapInArrow(run, "cls long, hashes array<long>")
     return materialise(made.dropDuplicates(["cls"]), "sets")
 
 
@@ -232,18 +232,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row each; if their texts differ, the id belongs to what any of them reaches.
     An empty table gives no rows. Other columns are ignored.
     """
-    docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).withColumn("text_hash", F.xxhash64("text"))
     signed = materialise(_signed(docs, size, rows, bands, seed), "signed")
     some = signed.where("n > 0 and id is not null")
     classes = some.groupBy(*_CLASS).agg(F.min("id").alias("rep"))
     classes = materialise(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
     first = some.join(classes, _CLASS).where("id = rep").dropDuplicates(["cls"])
+    first = materialise(first.select("cls", "id", "text_hash", "n", "d1", "d2", "bands"), "first")
     banded = materialise(first.select("cls", "n", F.explode("bands").alias("bucket")), "banded")
     shared = materialise(banded.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     met = materialise(banded.join(shared, "bucket"), "met")
     common = materialise(met.groupBy("cls").agg(F.sum("m").alias("pop")), "common")
     met = met.join(common, "cls").select("bucket", "cls", "n", "pop")
-    sets = _sets_of(met, classes, docs, size)
+    sets = _sets_of(met, first.select("cls", "id", "text_hash", "d1", "d2"), docs, size)
     # an id with several sets ties their classes together
     twin = some.groupBy("id").agg(F.min("d1").alias("x1"), F.max("d1").alias("x2"), F.min("d2").alias("y1"), F.max("d2").alias("y2")).where("x1 <> x2 or y1 <> y2").select("id")
     several = materialise(some.join(twin, "id", "left_semi").select("id", *_CLASS).distinct().join(classes.drop("rep"), _CLASS).select("id", F.col("cls").alias("a")), "several")
@@ -278,10 +279,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     rows share is reduced in each task before they meet.
     """
     found = near_duplicates(docs, id_col, text_col, **options).where("n_shingles > 0 and doc_id is not null")
-    decided = found.groupBy("doc_id").agg(F.bool_and("kept").alias("__stays"), F.count("*").alias("__n")).where("not __stays or __n > 1")
-    decided = materialise(decided.withColumnRenamed("doc_id", "__id"), "decided")
+    key, stays = unused(docs, "id", "stays")
+    decided = found.groupBy("doc_id").agg(F.bool_and("kept").alias("stays"), F.count("*").alias("n")).where("not stays or n > 1")
+    decided = materialise(decided.select(F.col("doc_id").alias(key), F.col("stays").alias(stays)), "decided")
     words = F.coalesce(docs[text_col].rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    rows = docs.withColumn("__id", F.when(words, docs[id_col].cast("long"))).join(decided, "__id", "left")
-    single = rows.where("__stays is null").select(*docs.columns)
-    several = rows.where("__stays").groupBy("__id").agg(F.min_by(F.struct(*docs.columns), text_col).alias("row"))
+    rows = docs.withColumn(key, F.when(words, docs[id_col].cast("long"))).join(decided, key, "left")
+    single = rows.where(F.col(stays).isNull()).select(*docs.columns)
+    several = rows.where(F.col(stays)).groupBy(key).agg(F.min_by(F.struct(*docs.columns), text_col).alias("row"))
     return single.unionByName(several.select("row.*"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitmark.llm.common import annotate, batch, hashed, share_for, smallest, texts_of
+from pitmark.llm.common import annotate, batch, hashed, share_for, smallest, texts_of, unused
 
 #: Buckets of word shapes, and counts about the whole text.
 SHAPES, STATS = 256, 10
@@ -196,5 +196,6 @@ def scores(docs: DataFrame, model: Model):
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", *, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more; columns stay as they are."""
-    found = annotate(docs, text_col, scores(docs, model), [T.StructField("__score", T.DoubleType())])
-    return found.where(F.col("__score") >= threshold).select(*docs.columns)
+    (score,) = unused(docs, "score")
+    found = annotate(docs, text_col, scores(docs, model), [T.StructField(score, T.DoubleType())])
+    return found.where(F.col(score) >= threshold).select(*docs.columns)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,17 +18,42 @@ from pitmark.llm.common import texts_of
 #: Pre-tokens in a leaf.
 LEAF = 16
 _EDITS = "array<struct<start:int,end:int,text:string>>"
-#: All characters that the tokenizer may take for white space, and a few more.
-_WHITE = np.array(sorted({*map(ord, pretokens.WHITE), 28, 29, 30, 31}), np.uint32)
+#: Characters before and after an edit on which no cut within reach depends.
+_MARGIN = 4
+_UNKNOWN, _BLANK, _LETTER, _DIGIT, _MARK = range(5)
 _COUNTS = ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_chars_encoded"]
 
 
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """For each code point what the tokenizer's pattern takes it for; unknown where versions of Unicode may not agree."""
+    first = {"L": _LETTER, "N": _DIGIT}
+    kinds = np.array([_UNKNOWN if (c := unicodedata.category(chr(k))) in ("Cn", "Cs") else first.get(c[0], _MARK) for k in range(0x20000)] + [_UNKNOWN], np.uint8)
+    kinds[[*map(ord, pretokens.WHITE)]] = _BLANK
+    # separators that not all take for white space, and the ends of the special token
+    kinds[[28, 29, 30, 31, *map(ord, "<|>")]] = _UNKNOWN
+    return kinds
+
+
 def safe_cuts(text: str) -> np.ndarray:
-    """Places before a space that a non-space follows: the tokenizer never reads across them."""
+    """Places where a pre-token begins whatever stands two characters and more away, in either direction.
+
+    They are: before a space that a non-space follows; before white space after
+    anything else; after a single white character that is no space; between
+    letters, digits and marks, but not after an apostrophe. Nothing is cut next
+    to the characters that begin and end a special token, so none spans a cut.
+    """
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     if len(c) < 2:
         return np.zeros(0, np.int64)
-    return np.flatnonzero((c[1:-1] == 32) & ~np.isin(c[2:], _WHITE)) + 1
+    k = _kinds()[np.minimum(c, 0x20000)]
+    a, b = k[:-1], k[1:]
+    space = c == 32
+    known, blank = k != _UNKNOWN, k == _BLANK
+    cut = known[:-1] & known[1:] & (a != b) & ~blank[:-1] & (blank[1:] | (c[:-1] != 39))  # a run of its kind ends
+    cut[:-1] |= space[1:-1] & known[2:] & ~blank[2:]
+    cut[1:] |= blank[1:-1] & ~space[1:-1] & known[2:] & ~blank[2:] & known[:-2] & ~blank[:-2]
+    return np.flatnonzero(cut) + 1
 
 
 class TokenTree:
@@ -81,9 +108,9 @@ class TokenTree:
     def edit(self, text: str, edits: list[tuple[int, int, str]], tokenizer: str) -> str:
         """Apply edits (start, end, replacement), sorted and apart, and return the new text.
 
-        Each edit touches the leaves of its characters and one leaf more on
-        either side, since what stands beside an edit may fall into other
-        tokens; neighbouring edits share a region. Only regions are encoded again.
+        Each edit touches the leaves that hold it and a few characters on either
+        side, since what stands beside an edit may fall into other tokens; edits
+        that share a leaf share a region. Only regions are encoded again.
         """
         if not len(text):
             new = "".join(r for _, _, r in edits)
@@ -92,7 +119,7 @@ class TokenTree:
             return new
         regions: list[list] = []  # first leaf, last leaf, edits
         for a, b, r in edits:
-            first, last = max(0, self.leaf(a)[0] - 1), min(self.width - 1, self.leaf(max(a, b - 1))[0] + 1)
+            first, last = self.leaf(max(0, a - _MARGIN))[0], self.leaf(b + _MARGIN)[0]
             if regions and first <= regions[-1][1]:
                 regions[-1][1] = max(last, regions[-1][1])
                 regions[-1][2].append((a, b, r))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from pitmark.functions.columns import codes
@@ -78,15 +82,65 @@ def stream_seal(events: DataFrame, run: int = 4096) -> DataFrame:
     return g.select("ledger_id", "n", "first_hash", "last_hash", F.when(F.col("parts") == 1, F.col("one")).otherwise(F.col("many")).alias("digest"))
 
 
-def packet_hash(files: DataFrame) -> DataFrame:
-    """SHA-256 of each packet's canonical list of (path, sha256): keys in order, no spaces, a line feed at the end.
+def ordered_digest(rows: DataFrame, key: Sequence[str], order: Sequence[str], piece: Column, ends: Sequence[str] = (), *, head: str = "", between: str = "", tail: str = "") -> DataFrame:
+    """For each key: n, digest, and ``first_`` and ``last_`` values of the columns ``ends``, over its rows in order.
 
-    The list of a packet is one string, as the digest of the canonical form asks
-    for; a packet is a bounded thing (a few thousand files), not a corpus.
+    The digest is the SHA-256 of the UTF-8 bytes of ``head``, the pieces with
+    ``between`` between them, and ``tail``. One hash runs over a key's rows as
+    they pass by in batches, so a key of any size takes the same memory; SHA-256
+    has no parallel form, so a key's rows pass through one task. Null pieces
+    are empty; null keys are one key; rows equal in order stand by their piece.
+    """
+    made = rows.select(*key, *order, *[F.col(c).alias(f"end_{c}") for c in ends], F.coalesce(piece, F.lit("")).alias("piece"))
+    # pieces are only compared where the order ties
+    ordered = made.repartition(*key).sortWithinPartitions(*key, *order, "piece").select(*key, *[f"end_{c}" for c in ends], "piece")
+    width = len(key)
+    kept = [*ordered.schema.fields[:width], T.StructField("n", T.LongType()), T.StructField("digest", T.StringType())]
+    kept += [T.StructField(f"{k}_{f.name[4:]}", f.dataType) for f in ordered.schema.fields[width:-1] for k in ("first", "last")]
+    schema = to_arrow_schema(T.StructType(kept))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, first, last, n, hashed, out = None, None, None, 0, None, []
+
+        def closed():
+            hashed.update(tail.encode())
+            return dict(zip(schema.names, (*now, n, hashed.hexdigest(), *[x for pair in zip(first, last, strict=True) for x in pair]), strict=True))
+
+        for b in batches:
+            for row in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                here, held = row[:width], row[width:-1]
+                if hashed is None or here != now:
+                    if hashed is not None:
+                        out.append(closed())
+                    now, first, n, hashed = here, held, 0, hashlib.sha256(head.encode())
+                hashed.update(((between if n else "") + row[-1]).encode("utf-8", "surrogatepass"))
+                last, n = held, n + 1
+            if len(out) >= 1000:
+                yield pa.RecordBatch.from_pylist(out, schema)
+                out = []
+        if hashed is not None:
+            yield pa.RecordBatch.from_pylist([*out, closed()], schema)
+
+    return ordered.mapInArrow(run, T.StructType(kept))
+
+
+def ledger_seal(events: DataFrame) -> DataFrame:
+    """ledger_id, event_count, first and last event hash, last_recorded_at (where events have recorded_at) and content_sha256 of each ledger.
+
+    ``events``: ledger_id, seq, event_hash and line, the canonical text of an
+    event. The digest is that of the ledger's file: every line with a line feed
+    after it, in order of seq.
     """
+    times = ["recorded_at"] if "recorded_at" in events.columns else []
+    d = ordered_digest(events, ["ledger_id"], ["seq"], F.concat(F.coalesce("line", F.lit("")), F.lit("\n")), ["event_hash", *times])
+    return d.select("ledger_id", F.col("n").alias("event_count"), F.col("first_event_hash"), F.col("last_event_hash"), *[f"last_{c}" for c in times], F.col("digest").alias("content_sha256"))
+
+
+def packet_hash(files: DataFrame) -> DataFrame:
+    """packet_id, n_files and packet_sha256: the digest of each packet's canonical list of (path, sha256), keys in order, no spaces, a line feed at the end."""
     item = F.concat(F.lit('{"path":"'), "path", F.lit('","sha256":"'), "sha256", F.lit('"}'))
-    g = files.groupBy("packet_id").agg(F.array_sort(F.collect_list(F.struct("path", item.alias("item")))).alias("all"), F.count("*").alias("n_files"))
-    return g.select("packet_id", "n_files", F.sha2(F.concat(F.lit("["), F.array_join(F.transform("all", lambda x: x.item), ","), F.lit("]\n")), 256).alias("packet_sha256"))
+    d = ordered_digest(files, ["packet_id"], ["path"], item, head="[", between=",", tail="]\n")
+    return d.select("packet_id", F.col("n").alias("n_files"), F.col("digest").alias("packet_sha256"))
 
 
 def manifest_inventory(manifest: DataFrame, files: DataFrame) -> DataFrame:

@@ -26,7 +26,8 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN[app]
 
 
-def _file(spark: SparkSession, path: str):
+def hadoop_file(spark: SparkSession, path: str):
+    """The file system of a path, and the path."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
@@ -35,7 +36,7 @@ def _file(spark: SparkSession, path: str):
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete tables that no later step reads."""
     for path in paths:
-        files, place = _file(spark, path)
+        files, place = hadoop_file(spark, path)
         files.delete(place, True)
 
 
@@ -44,7 +45,7 @@ def write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    files, place = _file(spark, path)
+    files, place = hadoop_file(spark, path)
     files.deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path), path
 

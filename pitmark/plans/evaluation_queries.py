@@ -142,6 +142,12 @@ def _(v: Views):
     return L.stream_seal(v.ledger())
 
 
+@query("l4_ledger_seal", """SELECT ledger_id, count(*) event_count, arg_min(event_hash, seq) first_event_hash, arg_max(event_hash, seq) last_event_hash, sha256(string_agg('{"event_hash":"' || event_hash || '","seq":' || seq || '}' || chr(10), '' ORDER BY seq)) content_sha256 FROM ledger GROUP BY 1""")
+def _(v: Views):
+    line = F.concat(F.lit('{"event_hash":"'), "event_hash", F.lit('","seq":'), F.col("seq").cast("string"), F.lit("}"))
+    return L.ledger_seal(v.ledger().withColumn("line", line))
+
+
 @query("l5_packet_hash", """SELECT source || '-' || (doc_id // 1000) packet_id, count(*) n_files, sha256('[' || string_agg('{"path":"d' || doc_id || '","sha256":"' || sha256(text) || '"}', ',' ORDER BY 'd' || doc_id) || ']' || chr(10)) packet_sha256 FROM documents GROUP BY 1""")  # packets of a bounded number of files
 def _(v: Views):
     return L.packet_hash(v.table("documents").select(F.concat_ws("-", "source", F.floor(F.col("doc_id") / 1000).cast("string")).alias("packet_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256")))

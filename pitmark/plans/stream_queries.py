@@ -176,12 +176,24 @@ def _(v: Views):
 @query("t6_incremental_run", "SELECT user_id % 10 source_id, count(*) n FROM events WHERE user_id % 10 > 4 OR ts > TIMESTAMP '2024-01-15' GROUP BY 1")
 def _(v: Views):
     marks = v.spark.range(5).select(F.col("id").alias("source_id"), F.lit("2024-01-15").cast("timestamp").alias("watermark"))
+    return _incremental(v, marks)[0].groupBy("source_id").agg(F.count("*").alias("n"))
+
+
+def _incremental(v: Views, marks):
     out = spot(v, "incremental")
-    T.incremental_run(_events(v), marks, spot(v, "incremental-state"), lambda df: df.write.mode("append").parquet(out)).awaitTermination()
-    return v.spark.read.parquet(out).groupBy("source_id").agg(F.count("*").alias("n"))
+    T.incremental_run(_events(v), marks, out, spot(v, "incremental-state"))
+    return T.incremental_rows(v.spark, out), T.current_watermarks(v.spark, out, marks)
+
+
+@query("t6_incremental_watermarks", "SELECT user_id % 10 source_id, greatest(max(ts), CASE WHEN user_id % 10 <= 4 THEN TIMESTAMP '2024-01-15' END) watermark FROM events GROUP BY 1")
+def _(v: Views):
+    marks = v.spark.range(5).select(F.col("id").alias("source_id"), F.lit("2024-01-15").cast("timestamp").alias("watermark"))
+    return _incremental(v, marks)[1].withColumn("watermark", F.col("watermark").cast("timestamp_ntz"))
 
 
 @query("t7_late_rows", "SELECT event_id, ts + INTERVAL 10 MINUTE > TIMESTAMP '2024-01-20' late FROM events")
 def _(v: Views):
-    good, late = T.late_rows(_events(v), F.lit("2024-01-20").cast("timestamp_ntz"))
-    return _run(v, good.select("event_id"), "on-time").withColumn("late", F.lit(False)).unionByName(_run(v, late.select("event_id"), "late").withColumn("late", F.lit(True)))
+    at, e = spot(v, "late"), _events(v)
+    T.late_rows(e, F.lit("2024-01-20").cast("timestamp_ntz"), at, spot(v, "late-state"))
+    side = lambda late: T.split(v.spark, at, e.schema, late).select("event_id", F.lit(late).alias("late"))
+    return side(False).unionByName(side(True))

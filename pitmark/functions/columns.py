@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable
+from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Public suffixes of two labels that count as one.
 TWO_LABEL_SUFFIXES = (
@@ -79,26 +83,10 @@ def names_compatible(a: Column, b: Column) -> Column:
     return F.when(x == y, True).when(smaller == 0, False).otherwise(F.size(F.array_intersect(x, y)) >= 0.8 * smaller)
 
 
-def _compatible_forms() -> tuple[str, str, dict[str, str]]:
-    """Characters of the basic plane with a compatible form of one character, those forms, and presentation forms of several."""
-    one, forms, several = [], [], {}
-    for i in (*range(0xA0, 0xD800), *range(0xF900, 0xFFFE)):
-        form = unicodedata.normalize("NFKC", chr(i))
-        if len(form) == 1 and form != chr(i):
-            one.append(chr(i))
-            forms.append(form)
-        elif len(form) > 1 and (0xFB00 <= i <= 0xFB4F or 0xFE70 <= i <= 0xFEFF):
-            several[chr(i)] = form
-    return "".join(one), "".join(forms), several
-
-
-_ONE, _FORMS, _SEVERAL = _compatible_forms()
-
-
-def _ranges(characters: str, gap: int = 16) -> str:
+def _ranges(points: Iterable[int], gap: int = 16) -> str:
     """A character class of the ranges these lie in; neighbours within the gap share one."""
     out: list[list[int]] = []
-    for i in sorted(map(ord, characters)):
+    for i in sorted(points):
         if out and i - out[-1][1] <= gap:
             out[-1][1] = i
         else:
@@ -106,16 +94,38 @@ def _ranges(characters: str, gap: int = 16) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
 
 
-_MAYBE, _EXPANDS = _ranges(_ONE + "".join(_SEVERAL)), _ranges("".join(_SEVERAL))
+@lru_cache(maxsize=1)
+def _may_change() -> str:
+    """A pattern that finds any character that NFKC may change: forms of others, marks that are ordered, and what joins with the character before it."""
+    found = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # vowels and finals of Hangul syllables
+    for i in (*range(0xA0, 0xD800), *range(0xE000, 0x110000)):
+        c = chr(i)
+        if unicodedata.combining(c) or unicodedata.normalize("NFKC", c) != c:
+            found.add(i)
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            found.add(int(parts[1], 16))
+    return _ranges(found)
+
+
+@lru_cache(maxsize=1)
+def _nfkc():
+    # the function travels with the plan, so workers need nothing of this library
+    def normalised(texts: pd.Series) -> pd.Series:
+        import unicodedata
+
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+    return F.pandas_udf(normalised, T.StringType())
 
 
 def compatible(text: Column) -> Column:
-    """Compatibility forms (NFKC) of full-width and half-width letters, ligatures and presentation forms; marks are not composed."""
-    t = F.translate(text, _ONE, _FORMS)
-    wide = t
-    for a, b in _SEVERAL.items():
-        wide = F.replace(wide, F.lit(a), F.lit(b))
-    return F.when(~text.rlike(_MAYBE), text).when(text.rlike(_EXPANDS), wide).otherwise(t)
+    """The text in Unicode's form NFKC: compatibility forms replaced, marks in order, and composed.
+
+    Spark has no such function, so texts that may change go through Arrow to
+    Python's Unicode tables; all others, most of them, are nulls on that way and stay as they are.
+    """
+    return F.coalesce(_nfkc()(F.when(text.rlike(_may_change()), text)), text)
 
 
 def claim_tokens(text: Column) -> Column:

@@ -20,8 +20,18 @@ def merge_providers(rows: DataFrame, key: Sequence[str], values: Sequence[str])
     return g.select(*key, (F.col("versions") == 1).alias("agreed"), "primary_provider", *[F.when(F.col("versions") == 1, F.col(f"v.{c}")).alias(c) for c in values], F.array_sort(supporting).alias("supporting_hashes"))
 
 
+#: States of bars that traded.
+TRADED = ("TRADED", "TRADED_THEN_SUSPENDED")
+
+
 def market_totals(bars: DataFrame) -> DataFrame:
-    return bars.where("volume > 0").groupBy("trade_date").agg(F.count_distinct("security_code").alias("traded_securities"), F.sum("volume").alias("total_volume"), F.sum("turnover").alias("total_value"), F.sum("trade_count").alias("total_trades"))
+    """Securities, volume, value and trades of each day, over bars that traded.
+
+    Those are the bars whose ``trading_state`` says so, whatever their volume;
+    where bars state none, those with a volume. A missing figure adds nothing.
+    """
+    traded = F.col("trading_state").isin(*TRADED) if "trading_state" in bars.columns else F.col("volume") > 0
+    return bars.where(traded).groupBy("trade_date").agg(F.count_distinct("security_code").alias("traded_securities"), F.sum("volume").alias("total_volume"), F.sum("turnover").alias("total_value"), F.sum("trade_count").alias("total_trades"))
 
 
 def reconcile_totals(totals: DataFrame, declared: DataFrame, complete: DataFrame, tolerance: float = 0.001) -> DataFrame:

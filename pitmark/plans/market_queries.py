@@ -107,6 +107,14 @@ def _(v: Views):
     return totals(v)
 
 
+@query("a2_market_totals_by_state", """SELECT trade_date, count(DISTINCT security_code) traded_securities, sum(volume) total_volume, sum(turnover) total_value, sum(trade_count) total_trades FROM gapped WHERE day(trade_date) % 5 <> 0 AND (CAST(security_code AS INTEGER) + day(trade_date)) % 4 < 2 GROUP BY 1""")
+def _(v: Views):
+    """Bars with missing and with zero volumes among those that traded, and with volumes among those that did not."""
+    k = (F.col("security_code").cast("int") + F.dayofmonth("trade_date")) % 4
+    states = F.when(F.dayofmonth("trade_date") % 5 == 0, "NO_TRADE").when(k == 0, "TRADED").when(k == 1, "TRADED_THEN_SUSPENDED").when(k == 2, "SUSPENDED")
+    return A.market_totals(v.gapped().withColumn("trading_state", states))
+
+
 @query("a3_reconcile_totals", f"""WITH t AS ({TOTALS}) SELECT trade_date, CASE WHEN day(trade_date) = 4 THEN 'NOT_RECONCILABLE' WHEN day(trade_date) = 6 AND month(trade_date) <= 6 THEN 'MISMATCH' WHEN day(trade_date) = 6 THEN 'MISMATCH_WARNING' ELSE 'OK' END code FROM t""")
 def _(v: Views):
     t, day = totals(v), F.dayofmonth("trade_date")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitmark.functions.columns import host, registrable_domain
+from pitmark.operators.ordered import Sums, running
 
 _BAD = "_corrupt_record"
 
@@ -27,26 +28,55 @@ def header_errors(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return first.select("file", code.alias("code")).where("code is not null")
 
 
-def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def _records(lines: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
+    """Records of (file, block, n, head, value) lines, and error rows of those that don't end within ``longest`` lines.
+
+    A line feed belongs to a record if the quotes before it in its file are odd
+    in number. They are counted by a running sum over the ordered lines of a
+    file, which goes on from task to task, so a record may lie across the splits
+    of a file and a file across many tasks. Without any line of odd quotes, lines are records.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = lines.withColumn("odd", (quotes % 2).cast("long"))
+    none = lines.select(F.col("value").alias("raw"), F.lit("").alias("code")).where("false")
+    if lines.where("odd = 1").isEmpty():
+        return lines.drop("odd", "block"), none
+    key, order = ["file"], ["block", "n"]
+    at = running(lines, key, order, Sums(open="odd")).withColumn("begins", ((F.col("open") - F.col("odd")) % 2 == 0).cast("long"))
+    at = running(at.drop("open"), key, order, Sums(record="begins"))
+    place = F.struct("block", "n")
+    sizes = at.groupBy("file", "record").agg(F.count("*").alias("size"), F.min_by("value", place).alias("first"), F.min_by("n", place).alias("n"), F.min_by("head", place).alias("head"))
+    one = sizes.where("size = 1").select("file", "n", "head", F.col("first").alias("value"))
+    # a quote that never closes is no reason to hold a file in one row
+    long = sizes.where(F.col("size") > longest).select(F.col("first").alias("raw"), F.lit("RECORD_NOT_CLOSED").alias("code"))
+    several = sizes.where((F.col("size") > 1) & (F.col("size") <= longest)).select("file", "record", F.col("n").alias("first_n"), F.col("head").alias("first_head"))
+    joined = at.join(several, ["file", "record"]).groupBy("file", "record", "first_n", "first_head").agg(F.array_sort(F.collect_list(F.struct("block", "n", "value"))).alias("x"))
+    return one.unionByName(joined.select("file", F.col("first_n").alias("n"), F.col("first_head").alias("head"), F.array_join("x.value", "\n").alias("value"))), long
+
+
+def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType, longest: int = 1000) -> tuple[DataFrame, DataFrame]:
     """Good rows and error rows of CSV files with this header; rows that are too wide or too narrow, or do not parse, are error rows.
 
-    One record a line; a byte-order mark and carriage returns are ignored. The
-    first line of every file must be exactly the header, or the whole read is
-    refused with an error that names the files; a later line that repeats it is
-    an error row.
+    A quoted cell may hold line feeds, and quotes that are doubled; a record of
+    more than ``longest`` lines is an error row of its first line. A byte-order
+    mark and carriage returns at the ends of lines are ignored. The first line
+    of every file must be exactly the header, or the whole read is refused with
+    an error that names the files; a later record that repeats it is an error row.
     """
     wrong = [f"{r.file}: {r.code}" for r in header_errors(spark, path, schema).limit(5).collect()]
     if wrong:
         raise ValueError("files out of contract: " + "; ".join(wrong))
     line = F.regexp_replace("value", "^\ufeff|\r$", "")
-    lines = spark.read.text(path).select(line.alias("value"), (F.col("_metadata.file_block_start") == 0).alias("head"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
+    block = F.col("_metadata.file_block_start")
+    lines = spark.read.text(path).select(line.alias("value"), block.alias("block"), (block == 0).alias("head"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
+    lines, unclosed = _records(lines, longest)
     header = ",".join(f.name for f in schema.fields)
     first = lines.where(F.col("head") & (F.col("value") == header)).groupBy("file").agg(F.min("n").alias("n"))
     repeated = lines.where(F.col("value") == header).join(first, ["file", "n"], "left_anti").select(F.col("value").alias("raw"), F.lit("HEADER_REPEATED").alias("code"))
     lines = lines.where((F.trim("value") != "") & (F.col("value") != header)).select("value")
-    parsed = lines.select("value", F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _with_bad(schema).fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}).alias("r"))
+    parsed = lines.select("value", F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _with_bad(schema).fields), {"mode": "PERMISSIVE", "escape": '"', "columnNameOfCorruptRecord": _BAD}).alias("r"))
     bad = F.col("r").isNull() | F.col(f"r.{_BAD}").isNotNull()
-    return parsed.where(~bad).select("r.*").drop(_BAD), parsed.where(bad).select(F.col("value").alias("raw"), F.lit("ROW_NOT_IN_CONTRACT").alias("code")).unionByName(repeated)
+    return parsed.where(~bad).select("r.*").drop(_BAD), parsed.where(bad).select(F.col("value").alias("raw"), F.lit("ROW_NOT_IN_CONTRACT").alias("code")).unionByName(repeated).unionByName(unclosed)
 
 
 def read_contract_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:

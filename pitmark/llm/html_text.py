@@ -29,11 +29,13 @@ _CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-_UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas svg math datalist noembed noframes".split())
+_UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas datalist noembed noframes".split())
+#: Parts of drawings and formulas that only describe or define.
+_UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker filter lineargradient radialgradient annotation annotation-xml".split())
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for t in _RAW}
 #: Elements set off by a blank line, and those that only begin a line.
 _APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
-_BLOCK = _APART | frozenset("html body div article section nav header footer main aside address form li dt dd tr caption figcaption details summary legend center hgroup search menu dir option optgroup".split())
+_BLOCK = _APART | frozenset("html body div article section nav header footer main aside address form li dt dd tr caption figcaption details summary legend center hgroup search menu dir option optgroup text".split())
 #: A start tag ends an open element of these, looking no further up than the bounds.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -51,11 +53,69 @@ _INDENT = 80
 _CELL, _ROW = 1, 2
 
 
+_SELECTOR = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#]-?[a-zA-Z_][\w-]*)*)")
+
+
+class Sheet:
+    """Rules of a page's own style sheets for ``display`` and ``visibility``.
+
+    Selectors count if they are an element, classes and ids, or all of these at
+    once; others, as those of descendants or states, and blocks of at-rules, as
+    those for print, are left out.
+    """
+
+    def __init__(self) -> None:
+        self.rules: dict[str, list[tuple]] = defaultdict(list)
+        self.n = 0
+
+    def add(self, source: str) -> None:
+        source, depth, at, selector = _CSS_COMMENT.sub(" ", source), 0, 0, ""
+        for m in re.finditer("[{};]", source):
+            if m[0] == "{":
+                if depth == 0:
+                    selector, body = source[at : m.start()].strip(), m.end()
+                depth += 1
+            elif m[0] == "}" and depth:
+                depth -= 1
+                if depth == 0:
+                    if not selector.startswith("@"):
+                        self.rule(selector, source[body : m.start()])
+                    at = m.end()
+            elif depth == 0:  # the end of an at-rule without a block
+                at = m.end()
+
+    def rule(self, selectors: str, body: str) -> None:
+        said = [m for part in body.split(";") if (m := _DECLARATION.fullmatch(part))]
+        for one in selectors.split(",") if said else ():
+            m = _SELECTOR.fullmatch(one.strip())
+            if not m or not m[0]:
+                continue
+            tag, names = (m[1] or "*").lower(), re.findall("[.#][^.#]+", m[2])
+            ids, classes = {x[1:] for x in names if x[0] == "#"}, {x[1:] for x in names if x[0] == "."}
+            key = f"#{min(ids)}" if ids else f".{min(classes)}" if classes else tag
+            for d in said:
+                self.n += 1
+                self.rules[key].append((d[1].lower(), (bool(d[3]), len(ids), len(classes), tag != "*", self.n), d[2].lower(), tag, ids, classes))
+
+    def style(self, node: Node, name: str) -> tuple[str | None, bool]:
+        """Value of the strongest rule that fits, and whether it is marked important."""
+        if not self.rules:
+            return None, False
+        own, classes = node.get("id"), set((node.get("class") or "").split())
+        keys = [node.tag, "*", *[f".{c}" for c in classes], *([f"#{own}"] if own else [])]
+        fits = [r for k in keys for r in self.rules.get(k, ()) if r[0] == name and r[3] in ("*", node.tag) and r[4] <= {own} and r[5] <= classes]
+        best = max(fits, key=lambda r: r[1], default=None)
+        return (best[2], best[1][0]) if best else (None, False)
+
+
+_NO_SHEET = Sheet()
+
+
 class Node:
-    __slots__ = ("_found", "attributes", "children", "holds", "tag")
+    __slots__ = ("_found", "attributes", "children", "holds", "sheet", "tag")
 
-    def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: str = "", sheet: Sheet = _NO_SHEET):
+        self.tag, self.attributes, self.children, self.sheet = tag, attributes, [], sheet
         #: Cells and rows below, but not those in a table of their own.
         self.holds = 0
         self._found: dict[str, str] | None = None if attributes and not attributes.isspace() else {}
@@ -73,19 +133,20 @@ class Node:
         return default if m is None or int(m[1]) < least else min(most, int(m[1]))
 
     def style(self, name: str) -> str | None:
-        """Value of a style property: the last declaration, but one marked important before others."""
-        if "style" not in self.attributes.lower():
-            return None
+        """Value of a style property: the element's last declaration, else the page's rules; any marked important before others."""
         value, strong = None, False
+        ruled, stronger = self.sheet.style(self, name)
+        if "style" not in self.attributes.lower():
+            return ruled
         for part in _CSS_COMMENT.sub(" ", self.get("style") or "").split(";"):
             m = _DECLARATION.fullmatch(part)
             if m and m[1].lower() == name and (m[3] or not strong):
                 value, strong = m[2].lower(), bool(m[3])
-        return value
+        return ruled if value is None or (stronger and not strong) else value
 
     def shown(self) -> bool:
         """False if the element makes no box: by its kind, its display, or its attributes where display doesn't say."""
-        if self.tag in _UNSEEN:
+        if self.tag in _UNSEEN or self.tag in _UNDRAWN:
             return False
         display = self.style("display")
         if display is not None:
@@ -101,6 +162,7 @@ class Tree:
     """
 
     def __init__(self, source: str):
+        self.sheet = Sheet()
         self.root = Node("html")
         self.stack = [self.root]
         #: Places in the stack of the open elements of each tag.
@@ -122,6 +184,8 @@ class Tree:
                 stop = close.start() if close else len(source)
                 if tag == "textarea":
                     self.text(source[at:stop])
+                elif tag == "style":
+                    self.sheet.add(source[at:stop])
                 at = close.end() if close else len(source)
                 self.end(tag)
         if at < len(source):
@@ -143,11 +207,12 @@ class Tree:
             return
         if tag in _ENDS:
             self.close(*_ENDS[tag])
-        elif tag in _BLOCK and tag != "body":
+        elif tag in _BLOCK and tag not in ("body", "text"):
             self.close({"p"}, _SCOPE)
         if tag in ("td", "th") and self.stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             self.push(Node("tr"), True)
-        self.push(Node(tag, attributes), tag not in _VOID and not (attributes.endswith("/") and tag in ("path", "circle")))
+        drawn = self.open["svg"] or self.open["math"]
+        self.push(Node(tag, attributes, self.sheet), tag not in _VOID and not (drawn and attributes.endswith("/")))
 
     def push(self, node: Node, stays: bool) -> None:
         self.stack[-1].children.append(node)
@@ -443,11 +508,14 @@ def visible_text(source: str) -> str:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Per row: page_id, text (all that a reader would see), n_lines.
+    """Per row: page_id, text (what a reader would see), n_lines.
 
     Unseen are elements that hide their content, ``display: none``, and the
     ``hidden`` attribute unless a display style says otherwise; the last
-    declaration of a style counts, important ones first. A hidden
+    declaration of a style counts, important ones first. The page's own style
+    sheets are read for display and visibility, as ``Sheet`` says; linked ones,
+    and rules on descendants, states and media, are not. The text of drawings
+    and formulas is seen, without what only describes or defines them. A hidden
     ``visibility`` passes to what is below until something there is visible.
     Paragraphs, headings, lists and tables are set apart by a blank line; list
     items carry their mark and depth (moved right by 80 columns at most);

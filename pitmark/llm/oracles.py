@@ -47,4 +47,25 @@ LICENSES = rf"""WITH rules(rank, strength, "label", keyword, before, after, base
     SELECT doc_id, len(w) n_words, count(*) FILTER (base) n_base, min(s) FILTER (base) first_word, max(s) FILTER (base) last_word, coalesce(string_agg(DISTINCT "label", ',' ORDER BY "label") FILTER (base), '') base_labels,
     coalesce(string_agg(DISTINCT "label", ',' ORDER BY "label") FILTER (base OR stays), '') labels, coalesce(max(strength) FILTER (stays), 0) / 4 score FROM d LEFT JOIN g USING (r) GROUP BY r, doc_id, w"""
 
-ORACLES = {"op5_minhash": NEAR_DUPLICATES, "op7_secrets": SECRETS, "op10_embedding_dedup": EMBEDDINGS, "op12_licenses": LICENSES}
+#: One step of the repair: from each state and the best way to it, by up to two inserted rows and then an edit of the next row.
+_INSERTED = """SELECT conv, i, CASE st WHEN 2 THEN 3 ELSE 2 END st, {'cost': x.cost + 3, 'audit': x.audit || 'I', 'said': list_append(x.said, CASE st WHEN 2 THEN 'assistant:' ELSE 'user:' END)} x FROM"""
+CONVERSATIONS = rf"""WITH RECURSIVE bits(b, k, v) AS (SELECT b, 0, b FROM (SELECT unnest(range(256)) b) UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+    crc AS (SELECT list(v ORDER BY b) t FROM bits WHERE k = 8),
+    c AS (SELECT conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') s FROM conversations),
+    h AS (SELECT c.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(s, ''), lambda z: CAST(ord(z) AS BIGINT))), lambda p, z: xor(p >> 8, t[CAST(xor(p, z) & 255 AS INTEGER) + 1])), 4294967295) % 20 k FROM c, crc),
+    w AS (SELECT conv_id conv, turn, CASE k WHEN 4 THEN 'user' ELSE role END role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END text FROM h, range(2) twice(n) WHERE k <> 0 AND (n = 0 OR k = 3)),
+    o AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) i FROM w),
+    r AS MATERIALIZED (SELECT conv, i, turn, role, text, left(role, 1) a, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) z, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 again FROM o),
+    f AS MATERIALIZED (SELECT *, CASE WHEN z = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN z NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END fault, lag(a) OVER (PARTITION BY conv ORDER BY i) b FROM r),
+    steps(conv, i, st, x) AS (SELECT DISTINCT conv, CAST(0 AS BIGINT), 0, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'said': CAST([] AS VARCHAR[])}} FROM f UNION ALL
+        SELECT conv, i, u.st, min(u.x) FROM (SELECT e.conv, e.i + 1 i, unnest([{{'st': e.st, 'x': {{'cost': e.x.cost + 4, 'audit': e.x.audit || 'D', 'said': e.x.said}}}},
+                CASE WHEN fault IN ('', 'truncated') AND (e.st, a) IN ((0, 's'), (0, 'u'), (1, 'u'), (3, 'u'), (2, 'a')) THEN {{'st': CASE a WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, 'x': {{'cost': e.x.cost + CASE fault WHEN '' THEN 0 ELSE 3 END, 'audit': e.x.audit || 'K', 'said': list_append(e.x.said, role || ':' || text)}}}} END,
+                CASE WHEN fault IN ('', 'truncated') THEN {{'st': CASE e.st WHEN 2 THEN 3 ELSE 2 END, 'x': {{'cost': e.x.cost + CASE fault WHEN '' THEN 3 ELSE 6 END, 'audit': e.x.audit || 'R', 'said': list_append(e.x.said, CASE e.st WHEN 2 THEN 'assistant:' ELSE 'user:' END || text)}}}} END]) u
+            FROM (SELECT * FROM steps UNION ALL {_INSERTED} steps UNION ALL {_INSERTED} ({_INSERTED} steps)) e JOIN f ON f.conv IS NOT DISTINCT FROM e.conv AND f.i = e.i + 1) WHERE u IS NOT NULL GROUP BY conv, i, u.st),
+    ends AS (SELECT conv, max(i) i FROM f GROUP BY 1), last AS (SELECT s.* FROM steps s JOIN ends e ON e.conv IS NOT DISTINCT FROM s.conv AND e.i = s.i),
+    best AS (SELECT conv, min(x) x FROM (SELECT * FROM last UNION ALL {_INSERTED} last UNION ALL {_INSERTED} ({_INSERTED} last)) WHERE st IN (0, 3) GROUP BY 1),
+    g AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) gaps, count(*) FILTER (fault = 'blank') blank, count(*) FILTER (fault = 'duplicate') duplicate, count(*) FILTER (fault = 'truncated') truncated, count(*) FILTER (b IS NOT NULL AND b || a NOT IN ('su', 'ua', 'au')) illegal FROM f GROUP BY 1)
+    SELECT d.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal, coalesce(x.cost, 0) AS "cost", coalesce(x.audit, '') audit, sha256(coalesce(array_to_string(x.said, chr(10)), '')) repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN g ON g.conv IS NOT DISTINCT FROM d.conv_id LEFT JOIN best ON best.conv IS NOT DISTINCT FROM d.conv_id"""
+
+ORACLES = {"op5_minhash": NEAR_DUPLICATES, "op7_secrets": SECRETS, "op10_embedding_dedup": EMBEDDINGS, "op12_licenses": LICENSES, "op13_conversation_repair": CONVERSATIONS}

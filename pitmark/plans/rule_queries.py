@@ -9,9 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pitmark.operators import actions as C
 from pitmark.operators import coverage as K
 from pitmark.operators import ranking as R
-from pitmark.plans.registry import query
+from pitmark.operators import temporal as J
+from pitmark.operators.ordered import numbered
+from pitmark.plans import market_queries  # noqa: F401  (registers c6)
+from pitmark.plans.rank_queries import snapshot
+from pitmark.plans.registry import BODIES, BUILDS, query
 from pitmark.plans.views import SQL, Views
 
 
@@ -165,3 +170,58 @@ def _(v: Views):
         status.alias("status"), (F.col("score") / 100).alias("evidence_coverage"), (F.col("score") / 100 - 1).alias("evidence_direction_alignment"), reasons.alias("reasons"),
     )
     return R.candidate_field_violations(rows, ["security_code", "score", "rank", "ticker", "status", "evidence_coverage", "evidence_direction_alignment", "reasons"])
+
+
+@query("j15_trust_registry", """WITH f AS (SELECT page_id fact_id, 's' || page_id % 3 src, CASE WHEN length(html) % 4 > 0 THEN CAST(page_id % 7 AS VARCHAR) END code, regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1) h, TIMESTAMP '2024-01-01' + to_hours(CAST(length(html) % 700 AS INTEGER)) tm FROM pages),
+    r AS (SELECT s_suppkey e, 's' || s_suppkey % 3 src, [CAST(s_nationkey % 7 AS VARCHAR), CAST((s_nationkey + 1) % 7 AS VARCHAR)] codes, ['example.com', 'example.org', 'example.net', 'com'][s_nationkey % 4 + 1] d, TIMESTAMP '2024-01-01' + to_hours(CAST(s_suppkey * 37 % 600 AS INTEGER)) a, TIMESTAMP '2024-01-01' + to_hours(CAST(s_suppkey * 37 % 600 + 90 AS INTEGER)) b FROM supplier),
+    j AS (SELECT fact_id, count(*) FILTER (ok) alive, count(*) FILTER (ok AND mine) n, min(e) FILTER (ok AND mine) e FROM (SELECT f.fact_id, r.e, r.e IS NOT NULL AND tm >= a AND tm < b AND (code IS NULL OR list_contains(codes, code)) ok, h = d OR ends_with(h, '.' || d) mine FROM f LEFT JOIN r ON f.src = r.src) GROUP BY 1)
+    SELECT fact_id, CASE WHEN n = 1 THEN e END entry_id, CASE WHEN n = 1 THEN 'MATCHED' WHEN n > 1 THEN 'AMBIGUOUS' WHEN alive > 0 THEN 'DOMAIN_OUTSIDE_ENTRY' ELSE 'MISSING' END resolution FROM j""")
+def _(v: Views):
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    hours = lambda n: start + F.make_interval(hours=n.cast("int"))
+    k, n = F.col("page_id"), F.length("html")
+    facts = v.table("pages").select(k.alias("fact_id"), F.concat(F.lit("s"), (k % 3).cast("string")).alias("source_id"), F.lit("x").alias("subject_id"), F.when(n % 4 > 0, (k % 7).cast("string")).alias("security_code"), F.lower("url").alias("url"), hours(n % 700).alias("at"))
+    s, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    domain = F.element_at(F.array(*map(F.lit, ("example.com", "example.org", "example.net", "com"))), (nation % 4 + 1).cast("int"))
+    registry = v.table("supplier").select(s.alias("entry_id"), F.concat(F.lit("s"), (s % 3).cast("string")).alias("source_id"), F.lit("x").alias("subject_id"), F.array((nation % 7).cast("string"), ((nation + 1) % 7).cast("string")).alias("security_codes"), domain.alias("domain"), hours(s * 37 % 600).alias("valid_from"), hours(s * 37 % 600 + 90).alias("valid_until"))
+    return J.trust_entry_as_of(facts, registry)
+
+
+SQL["audited"] = BODIES["c6_audit_integration"]
+
+
+@query("c6_integration_metrics", """WITH f AS (SELECT p_partkey k FROM part WHERE p_retailprice > 1200 UNION ALL SELECT p_partkey FROM part WHERE p_size > 40 UNION ALL SELECT -p_partkey FROM part WHERE p_size = 1), n AS (SELECT k, count(*) n FROM f GROUP BY 1)
+    SELECT count(*) actions, count(*) FILTER (audit_status = 'PASS') passed, count(*) FILTER (audit_status = 'PARTIAL') partial, count(*) FILTER (audit_status = 'BLOCKED') blocked, count(*) FILTER (list_contains(codes, 'IDENTITY_UNRESOLVED')) identity_unresolved, count(*) FILTER (list_contains(codes, 'NOT_A_SESSION')) not_a_session, count(*) FILTER (list_contains(codes, 'STATUS_UNRESOLVED')) status_unresolved, count(*) FILTER (list_contains(codes, 'DELISTED_AT_EX_DATE')) delisted_at_ex_date, count(*) FILTER (list_contains(codes, 'NO_PRICE_ROW')) no_price_row, count(*) FILTER (list_contains(codes, 'NO_BENCHMARK_ROW')) no_benchmark_row,
+    (SELECT count(*) FROM part WHERE p_partkey NOT IN (SELECT k FROM n)) without_factor, (SELECT count(*) FROM n WHERE n > 1) several_factors, (SELECT count(*) FROM n WHERE k < 0) factor_without_action FROM audited""")
+def _(v: Views):
+    p, k = v.table("part"), F.col("p_partkey")
+    rows = lambda test, key: p.where(test).select(key.cast("string").alias("action_id"))
+    factors = rows("p_retailprice > 1200", k).unionByName(rows("p_size > 40", k)).unionByName(rows("p_size = 1", -k))
+    return C.integration_metrics(BUILDS["c6_audit_integration"](v), v.actions(), factors)
+
+
+@query("k13_source_claims", """SELECT doc_id event_id, unnest(list_filter([CASE WHEN g IS NULL THEN 'SOURCE_NOT_IN_CATALOGUE' END, CASE WHEN g IS NOT NULL AND g <> said THEN 'GROUP_DIFFERS' END, CASE WHEN g IS NOT NULL AND NOT (c = 'NEWS' AND k = 'NEWS' OR c = 'PRIMARY' AND k IN ('PRIMARY', 'NEWS')) THEN 'CLASS_EXCEEDS_CATALOGUE' END], lambda x: x IS NOT NULL)) code
+    FROM (SELECT doc_id, ['g0', 'g1', 'g2'][n_chars % 3 + 1] said, CASE WHEN n_chars % 2 = 0 THEN 'NEWS' ELSE 'PRIMARY' END k, CASE WHEN source <> (SELECT max(source) FROM documents) THEN 'g' || length(source) % 3 END g, CASE WHEN source = (SELECT min(source) FROM documents) THEN 'PRIMARY' ELSE 'NEWS' END c FROM documents)""")
+def _(v: Views):
+    d = v.table("documents")
+    ends = F.broadcast(d.agg(F.min("source").alias("least"), F.max("source").alias("most")))
+    n = F.col("n_chars")
+    events = d.select(F.col("doc_id").alias("event_id"), F.col("source").alias("source_id"), F.concat(F.lit("g"), (n % 3).cast("string")).alias("source_group_id"), F.when(n % 2 == 0, "NEWS").otherwise("PRIMARY").alias("source_class"))
+    catalogue = d.select("source").distinct().crossJoin(ends).where("source <> most").select(F.col("source").alias("source_id"), F.concat(F.lit("g"), (F.length("source") % 3).cast("string")).alias("independence_group"), F.when(F.col("source") == F.col("least"), "PRIMARY").otherwise("NEWS").alias("source_class"))
+    allowed = v.spark.createDataFrame([("NEWS", "NEWS"), ("PRIMARY", "PRIMARY"), ("PRIMARY", "NEWS")], "source_class string, event_class string")
+    return K.source_claim_violations(events, catalogue, allowed)
+
+
+@query("r5_snapshot_row_violations", """WITH g AS (SELECT security_code, count(*) FILTER (status = 'OBSERVED') o, count(*) FILTER (status = 'MISSING') m, count(*) FILTER (status = 'REJECTED') r, count(*) FILTER (status = 'OBSERVED' AND factor_id <> 'f3') / 2 held FROM snap GROUP BY 1),
+    w AS (SELECT CAST(c_custkey AS VARCHAR) security_code, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) + CASE WHEN c_acctbal > 9900 THEN 1 ELSE 0 END ord, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) place, CASE WHEN c_nationkey % 3 = 0 THEN 3 WHEN c_nationkey % 3 = 1 THEN 2 ELSE 1 END so, CASE WHEN c_nationkey % 2 = 0 THEN 1.0 ELSE 0.5 END cov, ['SELECTED', 'ABSTAINED', 'UNRESOLVED', 'ELIGIBLE'][c_nationkey % 4 + 1] d, CASE WHEN c_acctbal > 0 THEN c_acctbal END score, CASE WHEN c_nationkey % 5 > 0 THEN 'UNVALIDATED_RESEARCH_SCORE' END kind, CASE WHEN c_acctbal < -900 THEN 0.5 END p FROM customer)
+    SELECT * FROM (SELECT security_code, unnest([CASE WHEN so <> o OR 3 - so <> m OR r <> 0 THEN 'COUNTS_DIFFER' END, CASE WHEN cov <> held THEN 'COVERAGE_DIFFERS' END, CASE WHEN ord <> place THEN 'NOT_IN_ORDER' END, CASE WHEN d = 'SELECTED' AND (score IS NULL OR kind IS NULL) THEN 'SELECTED_WITHOUT_SCORE' END, CASE WHEN score IS NULL AND kind IS NOT NULL THEN 'SCORE_KIND_WITHOUT_SCORE' END,
+        CASE WHEN d IN ('ABSTAINED', 'UNRESOLVED') AND score IS NOT NULL THEN 'SCORE_ON_ABSTENTION' END, CASE WHEN p IS NOT NULL THEN 'PROBABILITY_RECORDED' END]) code FROM w JOIN g USING (security_code)) WHERE code IS NOT NULL""")
+def _(v: Views):
+    c, n, balance = v.table("customer"), F.col("c_nationkey"), F.col("c_acctbal")
+    rows = numbered(c.withColumn("security_code", F.col("c_custkey").cast("string")), ["security_code"], "at")
+    observed = F.when(n % 3 == 0, 3).when(n % 3 == 1, 2).otherwise(1)
+    rows = rows.select(
+        "security_code", (F.col("at") + F.when(balance > 9900, 1).otherwise(0)).alias("ordinal"), observed.alias("observed"), (3 - observed).alias("missing"), F.lit(0).alias("not_applicable"), F.lit(0).alias("rejected"), F.when(n % 2 == 0, 1.0).otherwise(0.5).alias("required_coverage"),
+        F.element_at(F.array(*map(F.lit, ("SELECTED", "ABSTAINED", "UNRESOLVED", "ELIGIBLE"))), (n % 4 + 1).cast("int")).alias("disposition"), F.when(balance > 0, balance).alias("score"), F.when(n % 5 > 0, "UNVALIDATED_RESEARCH_SCORE").alias("score_kind"), F.when(balance < -900, 0.5).alias("probability"),
+    )
+    return R.snapshot_row_violations(rows, snapshot(v), v.spark.createDataFrame([("f1",), ("f2",)], "factor_id string"))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitmark.operators.components import contract  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,17 +75,3 @@ def annotate(df: DataFrame, text_col: str, factory: Callable, fields: list[T.Str
             yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, new)], names=names)
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
-
-
-def contract(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """The smallest place reachable from each place over the links i - j."""
-    at = np.arange(n)
-    while True:
-        low = np.minimum(at[i], at[j])
-        new = at.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == at).all():
-            return at
-        at = new

@@ -108,7 +108,8 @@ def prefix_candidates(sets: DataFrame, block: Sequence[str], jaccard: float, gro
     first = F.floor((1 - jaccard) * F.col("n")).cast("int")
     parity = F.expr("transform(array(0, 64, 128, 192), w -> aggregate(by_df.token, 0L, (a, t) -> if(pmod(xxhash64(t), 256) - w between 0 and 63, a ^ shiftleft(1L, cast(pmod(xxhash64(t), 256) - w as int)), a)))")
     rows = rare.select(*block, "set", "n", F.slice("by_df.token", 1, first + depth).alias("prefix"), first.alias("first"), parity.alias("bits"))
-    kept = [*block, "set", "n", "bits", "prefix", "first"]
+    rows = materialise(rows, "rare")
+    kept = [*block, "set", "n", "bits", "first"]
     keys = rows.select("*", F.posexplode(F.slice("prefix", 1, F.col("first") + 1)).alias("at", "token")).select(*kept, "at", F.sha2("token", 256).alias("key"))
     found = None
     for k in range(1, depth + 1):
@@ -127,7 +128,7 @@ def prefix_candidates(sets: DataFrame, block: Sequence[str], jaccard: float, gro
         if not more:
             break
         later = F.sequence(F.col("at") + 1, F.least(F.col("first") + k, F.size("prefix") - 1))
-        longer = keys.join(hot, [*block, "key"]).where(F.col("at") + 1 <= F.least(F.col("first") + k, F.size("prefix") - 1)).withColumn("next", F.explode(later))
+        longer = keys.join(hot, [*block, "key"]).join(rows.select("set", "prefix"), "set").where(F.col("at") + 1 <= F.least(F.col("first") + k, F.size("prefix") - 1)).withColumn("next", F.explode(later))
         keys = longer.select(*kept, F.col("next").alias("at"), F.sha2(F.concat("key", F.lit(" "), F.get("prefix", F.col("next"))), 256).alias("key"))
     return found.distinct()
 

@@ -105,7 +105,8 @@ def _may_change() -> str:
         parts = unicodedata.decomposition(c).split()
         if len(parts) == 2 and not parts[0].startswith("<"):
             found.add(int(parts[1], 16))
-    return _ranges(found)
+    # hundreds of ranges are tried one after the other, so only where the one before them holds: all found are U+00A0 or above
+    return r"(?=[^\x00-\x9f])" + _ranges(found)
 
 
 @lru_cache(maxsize=1)
@@ -131,8 +132,10 @@ def compatible(text: Column) -> Column:
 def claim_tokens(text: Column) -> Column:
     """Distinct words of three characters or more, without addresses and Arabic marks, with letter forms folded."""
     t = F.regexp_replace(F.lower(compatible(text)), r"https?://\S+", " ")
-    t = F.translate(F.regexp_replace(t, "[ً-ٰٟـ]", ""), "أإآى", "اااي")
-    return F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?U)[\w؀-ۿ]{3,}"), F.lit(0)))
+    # one pass for each form: translate() looks up every character as a string of its own
+    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "[ً-ٰٟـ]", ""), "[أإآ]", "ا"), "ى", "ي")
+    # \w holds a-z0-9_ too, but asks for them last
+    return F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?U)[a-z0-9_\w؀-ۿ]{3,}"), F.lit(0)))
 
 
 def folded(text: Column) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,6 +17,8 @@ from pitmark.operators.scratch import materialise
 
 #: Tokens that are told apart by how common they are; the table is sent to every task.
 _COMMON = 20_000
+#: What it costs to write and deal a row, in comparisons of two rows that lie together.
+_ROW = 16
 _OFFICIAL = ("PRIMARY_OFFICIAL", "COMPANY_OFFICIAL")
 
 
@@ -87,50 +91,103 @@ def fold_fact_status(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(fact.alias("factual_status"), against.alias("contradiction_status"), F.when(F.bool_or("corrected"), "CORRECTED").otherwise("ORIGINAL").alias("correction_status"))
 
 
+def _ordered_prefixes(df: DataFrame, jaccard: float, depth: int, common: list) -> DataFrame:
+    """Rows (b, set, row, n, hashes of tokens) with their first tokens in one order, rare ones first, and 256 parity bits as w0 to w3; nothing is shuffled."""
+    known = np.array([r[0] for r in common], np.int64)
+    place = np.argsort(known)
+    known, often = known[place], np.array([r[1] for r in common], np.int64)[place]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            lists = rows.column("hashes")
+            n, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+            row = np.repeat(np.arange(len(n)), n)
+            df_ = np.zeros(len(flat), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+                df_ = np.where(known[at] == flat, often[at], 0)
+            first = np.floor((1 - jaccard) * n).astype(np.int32)
+            # two tokens with one hash stand side by side: they only make more candidates
+            flat = flat[np.lexsort((flat, df_, row))]
+            kept = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(first + depth, n)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=len(n)))]).astype(np.int32)
+            odd = np.zeros((len(n), 256), np.uint8)
+            step = max(1, (1 << 22) // 256)
+            for k in range(0, len(n), step):
+                here = (row >= k) & (row < k + step)
+                some = min(step, len(n) - k)
+                odd[k : k + some] = (np.bincount((row[here] - k) * 256 + (flat[here] & 255), minlength=some * 256) & 1).reshape(some, 256)
+            words = np.packbits(odd, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in ("b", "set", "row", "n")], pa.array(first), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[kept])), *[pa.array(np.ascontiguousarray(words[:, w])) for w in range(4)]], names=out)
+
+    kind = df.schema["set"].dataType.simpleString()
+    out = ["b", "set", "row", "n", "first", "prefix", "w0", "w1", "w2", "w3"]
+    return df.mapInArrow(run, f"b long, set {kind}, row long, n int, first int, prefix array<long>, w0 long, w1 long, w2 long, w3 long")
+
+
 def prefix_candidates(sets: DataFrame, block: Sequence[str], jaccard: float, group: int = 64, depth: int = 4) -> DataFrame:
     """(set, other), set < other: pairs of token sets of a block that may have this Jaccard similarity; none that has it is missing.
 
-    ``sets``: the block's columns, set, n and tokens. In one order of all tokens,
+    ``sets``: the block's columns, set, n and tokens, and ``row``, a number of the
+    row, if it has one; a set may be there more than once. In one order of all tokens,
     the commonest last, two such sets share k tokens of their first
-    floor((1 - j) n) + k. So they meet by their first common token, and where
-    more than ``group`` sets have it there, by their first two, three and up to
-    ``depth``: a token that very many sets share never ties all of them. A pair
+    floor((1 - j) n) + k. So they meet by their first common token. Where more than
+    ``group`` sets have it there, they meet by their first two, three and up to
+    ``depth`` instead, if that takes fewer comparisons: a token that very many
+    sets share never ties all of them, and sets that share all their tokens are
+    not met once for each combination. A pair
     that meets by its first k common tokens, the last at places p and q, has
     k + min(n - p, m - q) in common at most. Each set also has 256 bits, each the
     parity of how many of its tokens fall on it: two sets differ in as many
     tokens as bits at least. Pairs that have too few in common, or differ in too
-    many, for their sizes are no candidates. One table is written for each k.
+    many, for their sizes are no candidates. Tokens are compared by 64-bit hashes
+    and sets by numbers, so a place in a prefix is a row of a few numbers.
     """
-    each = sets.select(*block, "set", "n", F.explode("tokens").alias("token"))
+    pairs, rows = _candidates(sets, block, jaccard, group, depth)
+    name = lambda x: rows.select(F.col("row").alias(f"{x}_row"), F.col("set").alias(f"{x}_set"))
+    named = pairs.join(name("a"), F.col("row") == F.col("a_row")).join(name("b"), F.col("other") == F.col("b_row"))
+    return named.select(F.least("a_set", "b_set").alias("set"), F.greatest("a_set", "b_set").alias("other"))
+
+
+def _candidates(sets: DataFrame, block: Sequence[str], jaccard: float, group: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """``prefix_candidates`` as (row, other) by the number of one row of each set, and the table of sets with these."""
+    numbers = sets if "row" in sets.columns else materialise(sets.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    for c in block:
+        numbers = numbers.where(F.col(c).isNotNull())
+    hashed = numbers.select(F.xxhash64(*block).alias("b"), "set", "row", "n", F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
     # any one order of tokens will do; the commonest come last, all others are as rare as each other
-    common = each.groupBy("token").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "token").limit(_COMMON)
-    rare = each.join(F.broadcast(common), "token", "left").groupBy(*block, "set", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("by_df"))
-    first = F.floor((1 - jaccard) * F.col("n")).cast("int")
-    parity = F.expr("transform(array(0, 64, 128, 192), w -> aggregate(by_df.token, 0L, (a, t) -> if(pmod(xxhash64(t), 256) - w between 0 and 63, a ^ shiftleft(1L, cast(pmod(xxhash64(t), 256) - w as int)), a)))")
-    rows = rare.select(*block, "set", "n", F.slice("by_df.token", 1, first + depth).alias("prefix"), first.alias("first"), parity.alias("bits"))
-    rows = materialise(rows, "rare")
-    kept = [*block, "set", "n", "bits", "first"]
-    keys = rows.select("*", F.posexplode(F.slice("prefix", 1, F.col("first") + 1)).alias("at", "token")).select(*kept, "at", F.sha2("token", 256).alias("key"))
+    common = hashed.select(F.explode("hashes").alias("token")).groupBy("token").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "token").limit(_COMMON).collect()
+    bits = ["w0", "w1", "w2", "w3"]
+    rows = materialise(_ordered_prefixes(hashed, jaccard, depth, common).dropDuplicates(["set"]), "rare")
+    keys = rows.select("row", "n", "first", F.size("prefix").alias("held"), *bits, "b", F.posexplode(F.slice("prefix", 1, F.col("first") + 1)).alias("at", "token")).withColumn("key", F.xxhash64("b", "token"))
     found = None
     for k in range(1, depth + 1):
-        keys = materialise(keys, "prefixes")
-        sizes = keys.groupBy(*block, "key").agg(F.count("*").alias("sets_of_key")).where("sets_of_key > 1")
-        sized = materialise(sizes, "prefix-sizes")
-        hot = sized.where(F.col("sets_of_key") > group).drop("sets_of_key")
-        more = k < depth and not hot.isEmpty()
-        here = keys.join(sized.where(F.col("sets_of_key") <= group) if more else sized, [*block, "key"]).select(*block, "key", "set", "n", "at", "bits")
-        theirs = here.select(*block, "key", F.col("set").alias("other"), F.col("n").alias("m"), F.col("at").alias("there"), F.col("bits").alias("their_bits"))
+        # how many places a row would go on to, if its key were told apart further
+        more = F.greatest(F.least(F.col("first") + k, F.col("held") - 1) - F.col("at"), F.lit(0))
+        sized = materialise(keys.groupBy("key").agg(F.count("*").alias("c"), F.sum(more).alias("more")).where("c > 1"), "prefix-sizes")
+        pairs_of = F.col("c") * (F.col("c") - 1) / 2
+        hot = sized.where((F.col("c") > group) & (pairs_of > _ROW * F.col("more")))
+        told, longer = None, None
+        if k < depth and not hot.isEmpty():
+            later = keys.join(hot.select("key"), "key").select("key", "row", "at").join(rows, "row")
+            later = later.where(F.col("at") + 1 <= F.least(F.col("first") + k, F.size("prefix") - 1)).withColumn("next", F.explode(F.sequence(F.col("at") + 1, F.least(F.col("first") + k, F.size("prefix") - 1))))
+            longer = materialise(later.select(F.col("key").alias("parent"), "row", "n", "first", F.size("prefix").alias("held"), *bits, F.col("next").alias("at"), F.xxhash64("key", F.get("prefix", F.col("next"))).alias("key")), "prefixes")
+            left = longer.groupBy("parent", "key").agg(F.count("*").alias("m")).groupBy("parent").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("left"))
+            told = materialise(hot.join(left, hot["key"] == left["parent"], "left").where(F.coalesce("left", F.lit(0.0)) + _ROW * F.col("more") < pairs_of).select("key"), "told-apart")
+        chosen = (sized if told is None else sized.join(told, "key", "left_anti")).select("key")
+        here = keys.join(chosen, "key").select("key", "row", "n", "at", *bits)
+        theirs = keys.join(chosen, "key").select("key", F.col("row").alias("other"), F.col("n").alias("m"), F.col("at").alias("there"), *[F.col(w).alias(f"their_{w}") for w in bits])
         least = F.ceil(jaccard / (1 + jaccard) * (F.col("n") + F.col("m")) - 1e-9)
-        differ = sum((F.bit_count(F.col("bits")[w].bitwiseXOR(F.col("their_bits")[w])) for w in range(4)), F.lit(0))
+        differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"their_{w}"))) for w in bits), F.lit(0))
         enough = (k + F.least(F.col("n") - 1 - F.col("at"), F.col("m") - 1 - F.col("there")) >= least) & (differ <= F.col("n") + F.col("m") - 2 * least)
-        close = here.join(theirs, [*block, "key"]).where((F.col("set") < F.col("other")) & (F.least("n", "m") >= jaccard * F.greatest("n", "m")) & enough).select("set", "other")
+        close = here.join(theirs, "key").where((F.col("row") < F.col("other")) & (F.least("n", "m") >= jaccard * F.greatest("n", "m")) & enough).select("row", "other")
         found = close if found is None else found.unionByName(close)
-        if not more:
+        if told is None:
             break
-        later = F.sequence(F.col("at") + 1, F.least(F.col("first") + k, F.size("prefix") - 1))
-        longer = keys.join(hot, [*block, "key"]).join(rows.select("set", "prefix"), "set").where(F.col("at") + 1 <= F.least(F.col("first") + k, F.size("prefix") - 1)).withColumn("next", F.explode(later))
-        keys = longer.select(*kept, F.col("next").alias("at"), F.sha2(F.concat("key", F.lit(" "), F.get("prefix", F.col("next"))), 256).alias("key"))
-    return found.distinct()
+        keys = longer.join(told.select(F.col("key").alias("parent")), "parent", "left_semi").drop("parent")
+    return materialise(found.distinct(), "candidates"), rows
 
 
 def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int = 6, containment: float = 0.90, jaccard: float = 0.82) -> DataFrame:
@@ -152,10 +209,11 @@ def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int
         least = f.groupBy(*block, key).agg(F.min("finding_id").alias("a"))
         return f.join(least, [*block, key]).where("finding_id <> a").select("a", F.col("finding_id").alias("b"), F.lit(key).alias("why"))
 
-    t = f.select(*block, "finding_id", F.unix_seconds(F.col("available_at").cast("timestamp")).alias("at"), F.array_sort(claim_tokens(F.col("claim_text"))).alias("tokens"))
-    key = F.sha2(F.concat_ws("\x1f", *block, F.array_join("tokens", "\x1f")), 256)
-    # written first and filtered after, or texts would be cut into tokens for the filter and once more for the table
-    t = materialise(t.withColumn("stretch", F.floor(F.col("at") / span)), "tokens").where(F.size("tokens") >= least_tokens).withColumn("set", key)
+    t = f.select(*block, "finding_id", F.unix_seconds(F.col("available_at").cast("timestamp")).alias("at"), F.array_join(F.array_sort(claim_tokens(F.col("claim_text"))), " ").alias("words"))
+    key = F.unhex(F.sha2(F.concat_ws("\x1f", *block, "words"), 256))
+    # written first and filtered after, or texts would be cut into tokens for the filter and once more for the table; a word holds no blank
+    t = materialise(t.withColumn("stretch", F.floor(F.col("at") / span)).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    t = t.withColumn("tokens", F.filter(F.split("words", " "), lambda w: w != "")).withColumn("n", F.size("tokens")).where(F.col("n") >= least_tokens).withColumn("set", key)
     stretches = t.groupBy("set", "stretch").agg(F.min("finding_id").alias("rep"), F.min("at").alias("lo"), F.max("at").alias("hi"))
     order = Window.partitionBy("set").orderBy("stretch")  # one row for each stretch of time, not for each text
     before = stretches.withColumn("last", F.lag("rep").over(order)).withColumn("breaks", F.coalesce(F.col("lo") - F.lag("hi").over(order) > span, F.lit(True)))
@@ -164,12 +222,15 @@ def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int
     chain = stretches.where("not breaks").select(F.least("last", "rep").alias("a"), F.greatest("last", "rep").alias("b"))
     runs = stretches.groupBy("set", "run").agg(F.min("rep").alias("rep"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
-    sets = materialise(t.select(*block, "set", "tokens").dropDuplicates(["set"]).withColumn("n", F.size("tokens")), "sets")
-    close = prefix_candidates(sets, block, jaccard)
-    j = close.join(sets.select("set", "tokens"), "set").join(sets.select(F.col("set").alias("other"), F.col("tokens").alias("theirs")), "other")
+    close, numbers = _candidates(t.select(*block, "set", "row", "n", "tokens"), block, jaccard, 64, 4)
+    words = t.select("row", "words")
+    j = close.join(words, "row").join(words.select(F.col("row").alias("other"), F.col("words").alias("their_words")), "other")
+    j = j.select("row", "other", F.split("words", " ").alias("tokens"), F.split("their_words", " ").alias("theirs"))
     both = F.size(F.array_intersect("tokens", "theirs"))
     total = F.size("tokens") + F.size("theirs") - both
-    alike = j.where((both >= containment * F.least(F.size("tokens"), F.size("theirs"))) & (both >= jaccard * total)).select("set", "other")
+    alike = j.where((both >= containment * F.least(F.size("tokens"), F.size("theirs"))) & (both >= jaccard * total)).select("row", "other")
+    number = lambda x, s: numbers.select(F.col("row").alias(x), F.col("set").alias(s))
+    alike = alike.join(number("row", "set"), "row").withColumnRenamed("other", "other_row").join(number("other_row", "other"), "other_row").select("set", "other")
     theirs = runs.select(F.col("set").alias("other"), F.col("rep").alias("rep_"), F.col("lo").alias("lo_"), F.col("hi").alias("hi_"))
     met = alike.join(runs, "set").join(theirs, "other").where((F.col("lo") - F.col("hi_") <= span) & (F.col("lo_") - F.col("hi") <= span))
     texts = copies.unionByName(chain).unionByName(met.select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b")))

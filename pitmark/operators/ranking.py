@@ -208,11 +208,12 @@ def claim_scope_violations(requests: DataFrame, packets: DataFrame, ranked: Data
 CANDIDATE_RANGES = {"evidence_coverage": (0, 1), "source_quality_factor": (0, 1), "evidence_direction_alignment": (-1, 1), "community_contribution_total": (-1, 1), "community_contribution_cap": (0, 1)}
 
 
-def candidate_field_violations(ranked: DataFrame, allowed: Sequence[str]) -> DataFrame:
+def candidate_field_violations(ranked: DataFrame, allowed: Sequence[str], ties: Sequence[str] = ()) -> DataFrame:
     """(run_id, security_code, code): identity, ranges, labels and reasons of candidates, roles against their quorum, and fields out of place.
 
     Rules on fields that the table lacks are left out; a column that is not
-    ``allowed`` is a code of every row.
+    ``allowed`` is a code of every row. ``ties`` are further columns that order
+    rows of one score and code; they are no fields of a candidate.
     """
     c, here = F.col, set(ranked.columns)
     rules = [(~F.coalesce(c("security_code").rlike("^[0-9]{1,12}$"), F.lit(False)), "CODE_INVALID"), (~F.coalesce(c("rank") > 0, F.lit(False)), "RANK_NOT_POSITIVE")]
@@ -229,10 +230,10 @@ def candidate_field_violations(ranked: DataFrame, allowed: Sequence[str]) -> Dat
         rules += [(F.size(F.array_distinct("reasons")) < F.size("reasons"), "REASON_DOUBLED"), (F.exists("reasons", lambda r: F.trim(r) == ""), "REASON_EMPTY")]
     if "role_gaps" in here:
         rules.append((F.exists("role_gaps", lambda g: (g.actual < 0) | (g.required < 0)), "ROLE_GAP_NEGATIVE"))
-    extra = sorted(here - set(allowed) - {"run_id"})
+    extra = sorted(here - set(allowed) - {"run_id", *ties})
     if extra:
         rules.append((F.lit(True), "FIELDS_NOT_ALLOWED:" + ",".join(extra)))
-    order = Window.partitionBy("run_id").orderBy(F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), "security_code")
+    order = Window.partitionBy("run_id").orderBy(F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), "security_code", *ties)
     rows = ranked.withColumn("__place", F.row_number().over(order))
     return with_codes(rows, ["run_id", "security_code"], *rules, (c("rank") != c("__place"), "RANK_NOT_BY_SCORE"))
 

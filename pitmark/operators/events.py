@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,6 +20,8 @@ from pitmark.operators.scratch import materialise
 _COMMON = 20_000
 #: What it costs to write and deal a row, in comparisons of two rows that lie together.
 _ROW = 16
+#: Sets that lie together when pairs are compared in full.
+_TILE = 1024
 _OFFICIAL = ("PRIMARY_OFFICIAL", "COMPANY_OFFICIAL")
 
 
@@ -177,12 +180,15 @@ def _candidates(sets: DataFrame, block: Sequence[str], jaccard: float, group: in
             left = longer.groupBy("parent", "key").agg(F.count("*").alias("m")).groupBy("parent").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("left"))
             told = materialise(hot.join(left, hot["key"] == left["parent"], "left").where(F.coalesce("left", F.lit(0.0)) + _ROW * F.col("more") < pairs_of).select("key"), "told-apart")
         chosen = (sized if told is None else sized.join(told, "key", "left_anti")).select("key")
-        here = keys.join(chosen, "key").select("key", "row", "n", "at", *bits)
-        theirs = keys.join(chosen, "key").select("key", F.col("row").alias("other"), F.col("n").alias("m"), F.col("at").alias("there"), *[F.col(w).alias(f"their_{w}") for w in bits])
-        least = F.ceil(jaccard / (1 + jaccard) * (F.col("n") + F.col("m")) - 1e-9)
-        differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"their_{w}"))) for w in bits), F.lit(0))
-        enough = (k + F.least(F.col("n") - 1 - F.col("at"), F.col("m") - 1 - F.col("there")) >= least) & (differ <= F.col("n") + F.col("m") - 2 * least)
-        close = here.join(theirs, "key").where((F.col("row") < F.col("other")) & (F.least("n", "m") >= jaccard * F.greatest("n", "m")) & enough).select("row", "other")
+        # both sides are one plan, so that places are dealt once
+        places = keys.join(chosen, "key").select("key", "row", "n", "at", *bits)
+        here, theirs = places.alias("here"), places.alias("theirs")
+        n, m, at, there = F.col("here.n"), F.col("theirs.n"), F.col("here.at"), F.col("theirs.at")
+        least = F.ceil(jaccard / (1 + jaccard) * (n + m) - 1e-9)
+        differ = sum((F.bit_count(F.col(f"here.{w}").bitwiseXOR(F.col(f"theirs.{w}"))) for w in bits), F.lit(0))
+        enough = (k + F.least(n - 1 - at, m - 1 - there) >= least) & (differ <= n + m - 2 * least)
+        met = here.join(theirs, F.col("here.key") == F.col("theirs.key")).where((F.col("here.row") < F.col("theirs.row")) & (F.least(n, m) >= jaccard * F.greatest(n, m)) & enough)
+        close = met.select(F.col("here.row").alias("row"), F.col("theirs.row").alias("other"))
         found = close if found is None else found.unionByName(close)
         if told is None:
             break
@@ -190,6 +196,44 @@ def _candidates(sets: DataFrame, block: Sequence[str], jaccard: float, group: in
     return materialise(found.distinct(), "candidates"), rows
 
 
+def _alike(close: DataFrame, numbers: DataFrame, words: DataFrame, containment: float, jaccard: float) -> DataFrame:
+    """The pairs (row, other) of ``close`` whose words are nearly alike.
+
+    Sets of one block and about one size are dealt to tiles of some ``_TILE``
+    sets, and a pair belongs to the cell of both its tiles. The words of a set go
+    to each cell once, however many pairs it has there, and a cell holds two
+    tiles at most.
+    """
+    grade = F.floor(F.log("n") / -np.log(jaccard))
+    sizes = numbers.select("row", "b", grade.alias("grade"))
+    parts = sizes.groupBy("b", "grade").agg(F.ceil(F.count("*") / _TILE).alias("parts"))
+    tiles = sizes.join(parts, ["b", "grade"]).select("row", F.xxhash64("b", "grade", F.pmod(F.xxhash64("row"), "parts")).alias("tile"))
+    theirs = tiles.select(F.col("row").alias("other"), F.col("tile").alias("their_tile"))
+    cell = F.xxhash64(F.least("tile", "their_tile"), F.greatest("tile", "their_tile"))
+    placed = materialise(close.join(tiles, "row").join(theirs, "other").select("row", "other", cell.alias("cell")), "cells")
+    needed = placed.select(F.col("cell").alias("place"), F.explode(F.array("row", "other")).alias("row")).distinct()
+
+    def verify(texts: pa.Table, pairs: pa.Table) -> pa.Table:
+        rows = texts.column("row").to_numpy()
+        lists = pc.split_pattern(texts.column("words").combine_chunks(), " ")
+        n, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().dictionary_encode().indices.to_numpy()
+        owner = np.repeat(np.arange(len(n)), n)
+        # a word of one text alone is in no intersection
+        shared = np.bincount(flat) > 1
+        kept = shared[flat]
+        owner, flat = owner[kept], (np.cumsum(shared) - 1)[flat[kept]]
+        bits = np.zeros((len(n), int(shared.sum()) // 64 + 1), np.uint64)
+        np.bitwise_or.at(bits, (owner, flat >> 6), np.uint64(1) << (flat & 63).astype(np.uint64))
+        order = np.argsort(rows)
+        i, j = (order[np.searchsorted(rows[order], pairs.column(c).to_numpy())] for c in ("row", "other"))
+        step = max(1, (1 << 22) // bits.shape[1])
+        both = np.concatenate([np.zeros(0, np.int64), *[np.bitwise_count(bits[i[k : k + step]] & bits[j[k : k + step]]).sum(1, dtype=np.int64) for k in range(0, len(i), step)]])
+        good = (both >= containment * np.minimum(n[i], n[j])) & (both >= jaccard * (n[i] + n[j] - both))
+        return pairs.select(["row", "other"]).filter(pa.array(good))
+
+    return words.join(needed, "row").select("place", "row", "words").groupBy("place").cogroup(placed.groupBy("cell")).applyInArrow(verify, "row long, other long")
+
+
 def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int = 6, containment: float = 0.90, jaccard: float = 0.82) -> DataFrame:
     """(a, b, why): same security, kind and direction, and one event or origin, or texts nearly alike and close in time.
 
@@ -224,11 +268,7 @@ def near_duplicate_pairs(findings: DataFrame, hours: int = 72, least_tokens: int
 
     close, numbers = _candidates(t.select(*block, "set", "row", "n", "tokens"), block, jaccard, 64, 4)
     words = t.select("row", "words")
-    j = close.join(words, "row").join(words.select(F.col("row").alias("other"), F.col("words").alias("their_words")), "other")
-    j = j.select("row", "other", F.split("words", " ").alias("tokens"), F.split("their_words", " ").alias("theirs"))
-    both = F.size(F.array_intersect("tokens", "theirs"))
-    total = F.size("tokens") + F.size("theirs") - both
-    alike = j.where((both >= containment * F.least(F.size("tokens"), F.size("theirs"))) & (both >= jaccard * total)).select("row", "other")
+    alike = _alike(close, numbers, words, containment, jaccard)
     number = lambda x, s: numbers.select(F.col("row").alias(x), F.col("set").alias(s))
     alike = alike.join(number("row", "set"), "row").withColumnRenamed("other", "other_row").join(number("other_row", "other"), "other_row").select("set", "other")
     theirs = runs.select(F.col("set").alias("other"), F.col("rep").alias("rep_"), F.col("lo").alias("lo_"), F.col("hi").alias("hi_"))

@@ -116,11 +116,22 @@ def series_coverage(series: DataFrame, calendar: DataFrame, key: str) -> DataFra
 
 def series_gaps(series: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
     """(key, trade_date, gap): each session a series lacks, and each date it has that is no session."""
-    sessions = calendar.where("is_trading_day").select("trade_date").distinct()
-    seen = series.select(key, "trade_date").distinct()
-    grid = seen.select(key).distinct().crossJoin(F.broadcast(sessions))  # keys x days; days are few
-    missing = grid.join(seen, [key, "trade_date"], "left_anti").withColumn("gap", F.lit("MISSING"))
-    return missing.unionByName(seen.join(F.broadcast(sessions), "trade_date", "left_anti").select(key, "trade_date", F.lit("EXTRA").alias("gap")))
+    return grid_gaps(series, calendar.where("is_trading_day").select("trade_date"), key, "trade_date")
+
+
+def grid_gaps(actual: DataFrame, days: DataFrame, key: str, day: str) -> DataFrame:
+    """(key, day, gap): what each key lacks of ``days``, and what it has besides, in any number of keys.
+
+    Days are few, so a key's days are one row, and what it lacks or has besides
+    is found in place: the grid of keys and days is never shuffled.
+    """
+    whole = F.broadcast(days.select(day).distinct().agg(F.collect_list(day).alias("days")))
+    # as in SQL's EXCEPT, nulls are one key, and a null day is one that the grid lacks
+    bare = F.when(F.bool_or(F.col(day).isNull()), F.array(F.lit(None))).otherwise(F.array()).cast(f"array<{actual.schema[day].dataType.simpleString()}>")
+    seen = actual.groupBy(key).agg(F.concat(F.collect_set(day), bare).alias("seen"))
+    gap = lambda d, name: F.transform(d, lambda x: F.struct(x.alias(day), F.lit(name).alias("gap")))
+    found = F.concat(gap(F.array_except("days", "seen"), "MISSING"), gap(F.array_except("seen", "days"), "EXTRA"))
+    return seen.crossJoin(whole).select(key, F.explode(found).alias("x")).select(key, "x.*")
 
 
 def query_ledger_violations(q: DataFrame) -> DataFrame:

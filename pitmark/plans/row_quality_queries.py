@@ -92,9 +92,8 @@ def _(v: Views):
 @query("q11_denominator_gap", """WITH e AS (SELECT trade_date, security_code FROM (SELECT trade_date FROM calendar WHERE is_trading_day), (SELECT DISTINCT security_code FROM bars)), a AS (SELECT DISTINCT trade_date, security_code FROM bars)
     SELECT *, 'MISSING' gap FROM (SELECT * FROM e EXCEPT SELECT * FROM a) UNION ALL SELECT *, 'EXTRA' FROM (SELECT * FROM a EXCEPT SELECT * FROM e)""")
 def _(v: Views):
-    b = v.bars()
-    grid = b.select("security_code").distinct().crossJoin(F.broadcast(v.calendar().where("is_trading_day").select("trade_date")))
-    return Q.denominator_gap(grid, b, ["trade_date", "security_code"])
+    # the denominator is a grid, every security on every session
+    return Q.grid_gaps(v.bars(), v.calendar().where("is_trading_day"), "security_code", "trade_date").select("trade_date", "security_code", "gap")
 
 
 @query("q12_quarantine_split", """SELECT security_code, trade_date, ['LOW_ABOVE_PRICES'] codes, false clean FROM bars WHERE 1 = 0 UNION ALL SELECT security_code, trade_date, NULL, true FROM bars WHERE day(trade_date) NOT IN (3, 5)

@@ -235,10 +235,9 @@ def forecast_payload_violations(events: DataFrame, allowed: Sequence[str] = (*FO
     keys = F.json_object_keys("payload")
     get = lambda k: F.get_json_object("payload", f"$.{k}")
     said = lambda k: F.coalesce(get(k), F.lit("")) != ""
-    # every string of the text and whether a colon follows: those are keys, at any depth
-    strings = F.lit(r'"((?:[^"\\]|\\.)*)"(\s*:)?')
-    pairs = F.arrays_zip(F.regexp_extract_all("payload", strings, F.lit(1)).alias("s"), F.regexp_extract_all("payload", strings, F.lit(2)).alias("colon"))
-    deep = F.transform(F.filter(pairs, lambda x: x["colon"] != ""), lambda x: F.lower(x["s"]))
+    # every string of the text, in one pass; those that a colon follows are keys, at any depth, and the others leave the group empty
+    strings = F.lit(r'"((?:[^"\\]|\\.)*+)"\s*:|"(?:[^"\\]|\\.)*+"')
+    deep = F.transform(F.regexp_extract_all("payload", strings, F.lit(1)), F.lower)
     number = lambda k: get(k).try_cast("double")
     bad_number = lambda k: said(k) & (number(k).isNull() | F.isnan(number(k)) | (F.abs(number(k)) == float("inf")))
     at = lambda k: F.try_to_timestamp(get(k))
@@ -253,4 +252,5 @@ def forecast_payload_violations(events: DataFrame, allowed: Sequence[str] = (*FO
         (keys.isNotNull() & ~said("score") & ~said("probability"), "SCORE_MISSING"), (bad_number("score") | bad_number("probability"), "NUMBER_UNREADABLE"), (~number("probability").between(0, 1), "PROBABILITY_OUT_OF_RANGE"), (below_one("rank"), "RANK_NOT_POSITIVE"),
         (F.exists(F.array(*[get(k).isNotNull() & ~get(k).startswith("[") for k in ("reason_codes", "catalyst_news_ids")]), lambda x: x), "LIST_EXPECTED"), (keys.isNull(), "PAYLOAD_UNREADABLE"),
     )
-    return events.select("event_id", F.explode(why).alias("code"))
+    # codes stand in a projection of their own, where a field is read once; an inner explode would judge each payload once more in a filter, field by field
+    return events.select("event_id", why.alias("codes")).select("event_id", F.explode_outer("codes").alias("code")).where("code is not null")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -73,37 +74,45 @@ def split(spark: SparkSession, path: str, schema, late: bool) -> DataFrame:
 
 
 class _Status(StatefulProcessor):
-    """State: status and the day since when. A transition emits the interval it ends; an illegal one emits an error."""
+    """State of a bucket: status of each of its securities and the day since when. A transition emits the interval it ends; an illegal one emits an error."""
 
     def __init__(self, opening: str, first: str):
         self.opening, self.first = opening, pd.Timestamp(first).date()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("status", "status string, since date")
+        self.state = handle.getListState("statuses", "security_code string, status string, since date")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        status, since = self.state.get() if self.state.exists() else (self.opening, self.first)
-        out = []
-        for x in pd.concat(list(rows)).sort_values(["effective_date", "notice_id"]).itertuples():
-            to = TRANSITIONS.get((status, x.event_type))
-            day = pd.Timestamp(x.effective_date).date()
+        known = {code: (status, since) for code, status, since in self.state.get()} if self.state.exists() else {}
+        out, opened, before = [], (self.opening, self.first), dt.timedelta(days=1)
+        frame = pd.concat(list(rows)).sort_values(["effective_date", "notice_id"])
+        codes = [x if isinstance(x, str) else None for x in frame["security_code"].tolist()]
+        for code, day, event in zip(codes, frame["effective_date"].tolist(), frame["event_type"].tolist(), strict=True):
+            status, since = known.get(code, opened)
+            to = TRANSITIONS.get((status, event))
             if to is None:
-                out.append((key[0], "ERROR", status, x.event_type, day, day))
+                known.setdefault(code, opened)
+                out.append((code, "ERROR", status, event, day, day))
                 continue
-            end = day - pd.Timedelta(days=1)
-            if end >= since:
-                out.append((key[0], "INTERVAL", status, x.event_type, since, end))
-            status, since = to, day
-        self.state.update((status, since))
+            if day - before >= since:
+                out.append((code, "INTERVAL", status, event, since, day - before))
+            known[code] = to, day
+        self.state.put([(code, *x) for code, x in known.items()])
         yield pd.DataFrame(out, columns=["security_code", "kind", "status", "event_type", "effective_from", "effective_to"])
 
     def close(self) -> None:
         pass
 
 
-def status_intervals(notices: DataFrame, opening: str = "TRADING", first: str = "1995-01-01") -> DataFrame:
-    """Intervals as transitions arrive, and error rows for illegal ones. Needs the RocksDB state store."""
-    return notices.groupBy("security_code").transformWithStateInPandas(
+def status_intervals(notices: DataFrame, opening: str = "TRADING", first: str = "1995-01-01", buckets: int = 1024) -> DataFrame:
+    """Intervals as transitions arrive, and error rows for illegal ones; a notice without a day is left out. Needs the RocksDB state store.
+
+    Securities are many and have few notices each, so what a key costs in frames
+    and in questions to the store is paid once for each of ``buckets``, whose
+    states are read and written as one list. A checkpoint keeps to its number of buckets.
+    """
+    kept = notices.where("effective_date is not null").select("security_code", F.col("effective_date").cast("date").alias("effective_date"), "notice_id", "event_type", F.pmod(F.xxhash64("security_code"), F.lit(buckets)).alias("bucket"))
+    return kept.groupBy("bucket").transformWithStateInPandas(
         _Status(opening, first), outputStructType="security_code string, kind string, status string, event_type string, effective_from date, effective_to date", outputMode="append", timeMode="none"
     )
 

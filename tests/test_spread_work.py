@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from pitmark.operators import temporal
+from pitmark.streaming import streams
 
 
 def test_pairs_of_one_isin_lie_in_several_tasks(spark):
@@ -18,3 +19,23 @@ def test_pairs_of_one_isin_lie_in_several_tasks(spark):
     less = lambda a, b: None not in (a[1], b[1]) and (a[1] < b[1] or (a[1] == b[1] and None not in (a[2], b[2]) and a[2] < b[2]))
     want = [("I", a[1], b[1], a[3], b[3]) for a in rows for b in rows if less(a, b) and a[3] <= end(b) and b[3] <= end(a)]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_securities_of_a_bucket_keep_their_own_states_over_batches(spark, tmp_path):
+    d = lambda k: dt.date(2024, 1, k)
+    first = [("a", d(3), 1, "SUSPEND"), ("b", d(2), 2, "RESUME"), (None, d(4), 3, "DELIST"), ("a", None, 4, "RESUME")]
+    second = [("b", d(9), 5, "DELIST"), ("a", d(7), 6, "RESUME"), (None, d(8), 7, "RELIST"), ("a", d(7), 8, "SUSPEND")]
+    for k, rows in enumerate((first, second)):
+        spark.createDataFrame(rows, "security_code string, effective_date date, notice_id long, event_type string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, streams.STATE_STORE)
+    try:
+        notices = spark.readStream.schema(spark.read.parquet(f"{tmp_path}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        got = streams.run_available(streams.status_intervals(notices, first="2024-01-01", buckets=1), f"{tmp_path}/out", f"{tmp_path}/state")
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        ("a", "INTERVAL", "TRADING", "SUSPEND", d(1), d(2)), ("a", "INTERVAL", "SUSPENDED", "RESUME", d(3), d(6)), ("b", "ERROR", "TRADING", "RESUME", d(2), d(2)), ("b", "INTERVAL", "TRADING", "DELIST", d(1), d(8)),
+        (None, "INTERVAL", "TRADING", "DELIST", d(1), d(3)), (None, "INTERVAL", "DELISTED", "RELIST", d(4), d(7)),
+    ], key=repr)

@@ -3,8 +3,9 @@
 Rows are cut into ranges of (key, order), so a key with very many rows lies in
 several tasks. Each task runs its fold over its own range and writes the rows
 with their states; only the first key of a range can have begun before it, so
-what is carried over is one state for each range. The rows then take it up in
-place. One shuffle, one table, no window over a whole key.
+what is carried over is one state for each range. The rows of that key then take
+it up in place; all others are as they were written. One shuffle, one table, no
+window over a whole key.
 """
 
 from __future__ import annotations
@@ -168,7 +169,9 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], fo
                     states = [pa.concat_arrays([s, n.cast(s.type)]).take(pa.array(place)) for s, n in zip(states, new, strict=True)]
             yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in columns], *states], names=[*columns, *mine])
 
-    return table.mapInArrow(take_up, type(schema)(schema.fields[: len(columns) + len(mine)]))
+    # only rows of a range's first key may change; all others are read as they are
+    begun = table.where(_HEAD).mapInArrow(take_up, type(schema)(schema.fields[: len(columns) + len(mine)]))
+    return table.where(~F.col(_HEAD)).select(*columns, *mine).unionByName(begun)
 
 
 def numbered(df: DataFrame, order: Sequence[str | Column], name: str, key: Sequence[str] = ()) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Tables that cut lineage: Parquet in the folder all executors share."""
+"""Tables that cut lineage: Parquet in the folder all executors share. How many tasks small rows that grow are dealt to."""
 
 from __future__ import annotations
 
@@ -53,3 +53,8 @@ def write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later plans start from files that outlive executors."""
     return write(df, name)[0]
+
+
+def many_tasks(spark: SparkSession) -> int:
+    """Partitions for rows that grow in their task: a number that is asked for is not lowered by the bytes they have before."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)

@@ -39,3 +39,26 @@ def test_securities_of_a_bucket_keep_their_own_states_over_batches(spark, tmp_pa
         ("a", "INTERVAL", "TRADING", "SUSPEND", d(1), d(2)), ("a", "INTERVAL", "SUSPENDED", "RESUME", d(3), d(6)), ("b", "ERROR", "TRADING", "RESUME", d(2), d(2)), ("b", "INTERVAL", "TRADING", "DELIST", d(1), d(8)),
         (None, "INTERVAL", "TRADING", "DELIST", d(1), d(3)), (None, "INTERVAL", "DELISTED", "RELIST", d(4), d(7)),
     ], key=repr)
+
+
+def test_facts_meet_few_values_without_a_shuffle(spark):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int") % 50 * 10)
+    intervals = spark.range(20_000).select((F.col("id") / 50).cast("int").cast("string").alias("security_code"), F.when(F.col("id") % 3 != 2, F.element_at(F.array(F.lit("on"), F.lit("off")), (F.col("id") % 3 % 2 + 1).cast("int"))).alias("v"), day.alias("valid_from"), F.date_add(day, 8).alias("valid_to"))
+    facts = spark.range(3_000).select(F.col("id").alias("fact"), (F.col("id") % 401).cast("string").alias("security_code"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int") % 500).alias("at"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20k")
+    try:
+        found = temporal.resolve_as_of(facts, ["fact"], "at", intervals, "v")
+        got = {tuple(r) for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    want = set()
+    for k in range(3_000):
+        code, at = k % 401, k % 500
+        hit = at % 10 < 9 and code < 400
+        n = (code * 50 + at // 10) % 3
+        want.add((k, str(code), dt.date(2024, 1, 1) + dt.timedelta(at), ("on", "off", None)[n] if hit else None, "MATCHED" if hit else "MISSING"))
+    assert got == want

@@ -24,14 +24,17 @@ def merge_providers(rows: DataFrame, key: Sequence[str], values: Sequence[str])
 TRADED = ("TRADED", "TRADED_THEN_SUSPENDED")
 
 
-def market_totals(bars: DataFrame) -> DataFrame:
+def market_totals(bars: DataFrame, *, one_a_day: bool = False) -> DataFrame:
     """Securities, volume, value and trades of each day, over bars that traded.
 
     Those are the bars whose ``trading_state`` says so, whatever their volume;
     where bars state none, those with a volume. A missing figure adds nothing.
+    ``one_a_day``: bars come from a grouping by security and day, so counting
+    them counts securities; otherwise bars are grouped once more, which takes
+    two more tables of all bars in the memory of the tasks.
     """
     traded = F.col("trading_state").isin(*TRADED) if "trading_state" in bars.columns else F.col("volume") > 0
-    return bars.where(traded).groupBy("trade_date").agg(F.count_distinct("security_code").alias("traded_securities"), F.sum("volume").alias("total_volume"), F.sum("turnover").alias("total_value"), F.sum("trade_count").alias("total_trades"))
+    return bars.where(traded).groupBy("trade_date").agg((F.count if one_a_day else F.count_distinct)("security_code").alias("traded_securities"), F.sum("volume").alias("total_volume"), F.sum("turnover").alias("total_value"), F.sum("trade_count").alias("total_trades"))
 
 
 def reconcile_totals(totals: DataFrame, declared: DataFrame, complete: DataFrame, tolerance: float = 0.001) -> DataFrame:

@@ -99,7 +99,7 @@ TOTALS = "SELECT trade_date, count(DISTINCT security_code) traded_securities, ro
 
 
 def totals(v: Views):
-    return A.market_totals(v.gapped()).withColumn("total_volume", F.round("total_volume", 4)).withColumn("total_value", F.round("total_value", 2))
+    return A.market_totals(v.gapped(), one_a_day=True).withColumn("total_volume", F.round("total_volume", 4)).withColumn("total_value", F.round("total_value", 2))
 
 
 @query("a2_market_totals", TOTALS)
@@ -112,7 +112,7 @@ def _(v: Views):
     """Bars with missing and with zero volumes among those that traded, and with volumes among those that did not."""
     k = (F.col("security_code").cast("int") + F.dayofmonth("trade_date")) % 4
     states = F.when(F.dayofmonth("trade_date") % 5 == 0, "NO_TRADE").when(k == 0, "TRADED").when(k == 1, "TRADED_THEN_SUSPENDED").when(k == 2, "SUSPENDED")
-    return A.market_totals(v.gapped().withColumn("trading_state", states))
+    return A.market_totals(v.gapped().withColumn("trading_state", states), one_a_day=True)
 
 
 @query("a3_reconcile_totals", f"""WITH t AS ({TOTALS}) SELECT trade_date, CASE WHEN day(trade_date) = 4 THEN 'NOT_RECONCILABLE' WHEN day(trade_date) = 6 AND month(trade_date) <= 6 THEN 'MISMATCH' WHEN day(trade_date) = 6 THEN 'MISMATCH_WARNING' ELSE 'OK' END code FROM t""")

@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from pitmark.operators import temporal
+from pitmark.operators import market, temporal
+from pitmark.plans.catalogue import QUERIES
 from pitmark.streaming import streams
 
 
@@ -71,3 +72,15 @@ def test_pieces_of_a_universe_are_spread_into_days_in_several_tasks(spark):
     statuses = spark.createDataFrame([(str(k), "TRADING", d(0), d(99)) for k in range(40)], "security_code string, status string, effective_from date, effective_to date")
     got = temporal.eligible_universe(calendar, master, statuses)
     assert got.count() == 4_000 and got.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_bars_of_one_row_a_day_are_grouped_once(spark):
+    rows = [("a", "d", 3, 1.5, 2), ("a", "d", 4, None, 1), ("b", "d", None, 2.0, 1), (None, "d", 5, 1.0, 1), ("b", "e", 0, 9.0, 9), ("c", "e", 7, 1.0, 1)]
+    bars = spark.createDataFrame(rows, "security_code string, trade_date string, volume long, turnover double, trade_count long")
+    grouped = bars.groupBy("security_code", "trade_date").agg(*[F.sum(c).alias(c) for c in ("volume", "turnover", "trade_count")])
+    once, again = market.market_totals(grouped, one_a_day=True), market.market_totals(grouped)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, again.collect())) == [("d", 1, 12, 2.5, 4), ("e", 1, 7, 1.0, 1)]
+    for name in ("a2_market_totals", "a2_market_totals_by_state"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        # partial and final, by security and day and then by day
+        assert plan.count("HashAggregate") == 4

@@ -155,6 +155,16 @@ def direction(value: Column, band: float) -> Column:
     return F.when(value > band, "POSITIVE").when(value < -band, "NEGATIVE").otherwise("NEUTRAL")
 
 
+def scaled_round(value: Column, places: int) -> Column:
+    """A double rounded as SQL engines round it: scaled up, to the nearest whole number, scaled down.
+
+    ``F.round`` rounds the decimal text of a double: 200.00005 is 200.0001 there
+    at four places and 200.0 here, as the double times 10,000 is 2000000.4999999998.
+    """
+    scale = float(10**places)
+    return F.round(value * scale) / scale
+
+
 def signed(direction_: Column) -> Column:
     return F.when(direction_ == "POSITIVE", 1.0).when(direction_ == "NEGATIVE", -1.0).otherwise(0.0)
 

@@ -213,7 +213,8 @@ def candidate_field_violations(ranked: DataFrame, allowed: Sequence[str], ties:
 
     Rules on fields that the table lacks are left out; a column that is not
     ``allowed`` is a code of every row. ``ties`` are further columns that order
-    rows of one score and code; they are no fields of a candidate.
+    rows of one score and code; they are no fields of a candidate. Rows that all
+    these leave alike stand by the rank they state. Nulls come last.
     """
     c, here = F.col, set(ranked.columns)
     rules = [(~F.coalesce(c("security_code").rlike("^[0-9]{1,12}$"), F.lit(False)), "CODE_INVALID"), (~F.coalesce(c("rank") > 0, F.lit(False)), "RANK_NOT_POSITIVE")]
@@ -233,7 +234,7 @@ def candidate_field_violations(ranked: DataFrame, allowed: Sequence[str], ties:
     extra = sorted(here - set(allowed) - {"run_id", *ties})
     if extra:
         rules.append((F.lit(True), "FIELDS_NOT_ALLOWED:" + ",".join(extra)))
-    order = Window.partitionBy("run_id").orderBy(F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), "security_code", *ties)
+    order = Window.partitionBy("run_id").orderBy(F.desc("score"), F.col("security_code").try_cast("bigint").asc_nulls_last(), *[c(x).asc_nulls_last() for x in ("security_code", *ties, "rank")])
     rows = ranked.withColumn("__place", F.row_number().over(order))
     return with_codes(rows, ["run_id", "security_code"], *rules, (c("rank") != c("__place"), "RANK_NOT_BY_SCORE"))
 

@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import duckdb
 from pyspark.sql import functions as F
 
 from pitmark.operators import market, temporal
 from pitmark.plans.catalogue import QUERIES
+from pitmark.plans.registry import BODIES
 from pitmark.streaming import streams
 
 
@@ -22,6 +24,33 @@ def test_pairs_of_one_isin_lie_in_several_tasks(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_pairs_of_small_cells_are_those_of_sql(spark):
+    d = lambda k: dt.date(2024, 1, 1 + k % 28)
+    rows = [("IJ"[k % 2], f"s{k // 3}", "XY"[k % 2], d(k * 5), d(k * 7) if k % 3 else None) for k in range(90)]
+    rows += [("I", "s1", None, d(1), None), ("I", None, "X", d(1), None), ("I", "s1", "X", None, d(3)), (None, "s1", "X", d(1), None), ("I", "s3", "X", d(2), None), ("K", "s1", "X", d(1), None)] + rows[:4]
+    master = spark.createDataFrame(rows, "isin string, security_code string, board string, valid_from date, valid_to date")
+    duck = duckdb.connect()
+    duck.execute("create table identity (isin varchar, security_code varchar, board varchar, valid_from date, valid_to date)")
+    duck.executemany("insert into identity values (?, ?, ?, ?, ?)", rows)
+    want = sorted(duck.execute(BODIES["j2_identifier_collisions"]).fetchall())
+    for cut in ({"most": 7}, {"tiles": 1}, {}):
+        assert sorted(map(tuple, temporal.identifier_collisions(master, **cut).collect())) == want
+
+
+def test_listings_are_sent_to_few_cells(spark):
+    master = spark.range(400).select(F.lit("I").alias("isin"), F.col("id").cast("string").alias("security_code"), F.lit("MAIN").alias("board"), F.lit("2024-01-01").cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    assert len(temporal.identifier_collisions(master).collect()) == 400 * 399 // 2
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    run = store.executionsList().last()
+    values, metrics = store.executionMetrics(run.executionId()), run.metrics()
+    # a plan that is changed on the way names its metrics again
+    ids = {m.accumulatorId() for m in (metrics.apply(k) for k in range(metrics.size())) if m.name() == "shuffle records written"}
+    sent = [int(x.get().replace(",", "")) for x in map(values.get, ids) if x.isDefined()]
+    # 17 times where each listing meets all tiles
+    assert 0 < sum(sent) <= 400 * 8
+
+
 def test_securities_of_a_bucket_keep_their_own_states_over_batches(spark, tmp_path):
     d = lambda k: dt.date(2024, 1, k)
     first = [("a", d(3), 1, "SUSPEND"), ("b", d(2), 2, "RESUME"), (None, d(4), 3, "DELIST"), ("a", None, 4, "RESUME")]
